@@ -25,12 +25,14 @@ def collect_pages(
     page_rows: int = PAGE_ROWS,
     page_by: Column | None = None,
 ) -> DataFrame:
-    """Distinct members per key as sorted arrays, with `page` and the `total` of the key.
+    """Members per key as sorted arrays, with `page` and the `total` of the key.
 
-    `page_by` is what the page of a member is hashed from, the member by default.
+    Without `page_by` the members are a set: repeats fold into one. With it every
+    row is kept, and `page_by` names its identity, from which the page is hashed.
     """
     members = df.select(*keys, member.alias("_member"), (member if page_by is None else page_by).alias("_by"))
-    members = members.distinct()
+    if page_by is None:
+        members = members.distinct()
     sizes = members.groupBy(*keys).agg(F.count("*").alias("total"))
     pages = F.ceil(F.col("total") / page_rows)
     return (
@@ -58,14 +60,16 @@ def embed(
     key: str,
     fields: Sequence[str],
     name: str,
+    identity: Sequence[str],
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Parents with their children nested as an array of structs, in pages.
 
-    A parent without children keeps one row with an empty array.
+    `identity` tells the children of one parent apart. A parent without children
+    keeps one row with an empty array.
     """
-    child = F.struct(*fields)
-    nested = collect_pages(children, [key], child, name, page_rows, F.to_json(child))
+    by = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
+    nested = collect_pages(children, [key], F.struct(*fields), name, page_rows, by)
     return (
         parents.join(nested, key, "left")
         .withColumn("total", F.coalesce("total", F.lit(0)))
@@ -80,12 +84,20 @@ def unwind(df: DataFrame, column: str) -> DataFrame:
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, local: str, foreign: str, name: str, page_rows: int = PAGE_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    local: str,
+    foreign: str,
+    name: str,
+    identity: Sequence[str],
+    page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Matches of each left row as a nested array, in pages; no match gives an empty array."""
-    fields = right.columns
-    keyed = right.withColumn(local, F.col(foreign))
-    return embed(left, keyed, local, fields, name, page_rows)
+    match = F.struct(*right.columns)
+    keyed = right.select(F.col(foreign).alias(local), match.alias("_match"),
+                         *[F.col(c).alias(f"_id_{c}") for c in identity])
+    nested = embed(left, keyed, local, ["_match"], name, [f"_id_{c}" for c in identity], page_rows)
+    return nested.withColumn(name, F.transform(name, lambda s: s["_match"]))
 
 
 def lookup_unwind(left: DataFrame, right: DataFrame, local: str, foreign: str, name: str) -> DataFrame:

@@ -180,7 +180,7 @@ def doc_relational_division(t: Tables) -> DataFrame:
 
 @query("doc_embed_unembed", """
 SELECT o_orderkey AS orderid, count(l_orderkey) AS lines, coalesce(sum(CAST(l_quantity AS BIGINT)), 0) AS quantity
-FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem) ON l_orderkey = o_orderkey GROUP BY 1""")
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
 def doc_embed_unembed(t: Tables) -> DataFrame:
     """Orders with their lines embedded; counts and sums are read from the arrays and from unwinding them."""
     lines = t.lineitem.select(
@@ -188,7 +188,8 @@ def doc_embed_unembed(t: Tables) -> DataFrame:
         F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     orders = t.orders.select(F.col("o_orderkey").alias("orderid"))
-    embedded = embed(orders, lines, "orderid", ["part", "supplier", "line", "quantity"], "lines")
+    embedded = embed(orders, lines, "orderid", ["part", "supplier", "line", "quantity"], "lines",
+                     identity=["part", "supplier", "line"])
     sizes = embedded.groupBy("orderid").agg(F.sum(F.size("lines")).alias("lines"))
     sums = unwind(embedded, "lines").groupBy("orderid").agg(F.sum("lines.quantity").alias("quantity"))
     return sizes.join(sums, "orderid", "left").select("orderid", "lines", F.coalesce("quantity", F.lit(0)).alias("quantity"))

@@ -1 +1,283 @@
+"""Key-value queries over the event log and the order tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from brindle.functions import arrays, maps
+from brindle.functions.text import part_of
+from brindle.operators import keyspace as kv
+from brindle.operators.changes import delete_where
+from brindle.operators.documents import insert
+from brindle.registry import query
+from brindle.sources.tables import Tables
+
+AS_OF = "2024-01-30 12:00:00"
+FIELDS = ("click", "error", "purchase", "signup", "view")
+
+
+def user_key(t: Tables, column: str = "user_id"):
+    return kv.key_of("user", F.col(column))
+
+
+def writes(t: Tables) -> DataFrame:
+    """Events as hash writes: the user's key, the event type as field."""
+    return t.events.select(
+        F.col("event_id").alias("seq"), user_key(t).alias("key"), F.col("event_type").alias("field"),
+        F.col("value").cast("decimal(18,2)").alias("value"),
+    )
+
+
+def hashes(t: Tables) -> DataFrame:
+    return kv.last_write(writes(t), ["key", "field"], "value")
+
+
+def scores(t: Tables) -> DataFrame:
+    """A sorted set per event type: users scored by the sum of values."""
+    return kv.add_scores(t.events.select(
+        F.col("event_type").alias("key"), kv.key_of("user", F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("member"),
+        F.col("value").cast("decimal(18,2)").alias("delta"),
+    ))
+
+
+HASH_SQL = """(SELECT 'user:' || user_id AS key, event_type AS field, CAST(arg_max(value, event_id) AS DECIMAL(18,2)) AS value
+  FROM events GROUP BY 1, 2)"""
+SCORE_SQL = """(SELECT event_type AS key, 'user:' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS member, sum(CAST(value AS DECIMAL(18,2))) AS score
+  FROM events GROUP BY 1, 2)"""
+
+
+@query("kv_mget", """
+WITH s AS (SELECT 'user:' || user_id AS key, CAST(CAST(arg_max(value, event_id) AS DECIMAL(18,2)) AS DOUBLE) AS value FROM events GROUP BY 1)
+SELECT 'user:' || c_custkey AS key, value FROM customer LEFT JOIN s ON s.key = 'user:' || c_custkey""")
+def kv_mget(t: Tables) -> DataFrame:
+    """The last value of every customer's key; NULL where there is none."""
+    store = kv.last_write(writes(t), ["key"], "value")
+    return kv.get_many(store, t.customer.select(kv.key_of("user", F.col("c_custkey")).alias("key")))
+
+
+@query("kv_key_pattern", """
+SELECT DISTINCT event_type || ':' || user_id || ':seen' AS key FROM events
+WHERE event_type || ':' || user_id || ':seen' GLOB '?i*:1?:*'""")
+def kv_key_pattern(t: Tables) -> DataFrame:
+    store = t.events.select(F.concat_ws(":", "event_type", "user_id", F.lit("seen")).alias("key")).distinct()
+    return kv.keys(store, "?i*:1?:*")
+
+
+@query("kv_exists", """
+SELECT 'user:' || c_custkey AS key, c_custkey IN (SELECT user_id FROM events WHERE event_type = 'signup') AS present FROM customer""")
+def kv_exists(t: Tables) -> DataFrame:
+    """Which customers are members of the signed-up set?"""
+    signed = t.events.where(F.col("event_type") == "signup").select(user_key(t).alias("key"))
+    return kv.exists_many(signed, t.customer.select(kv.key_of("user", F.col("c_custkey")).alias("key")))
+
+
+@query("kv_hash_pivot", f"""
+SELECT key, {', '.join(f"CAST(max(value) FILTER (field = '{f}') AS DOUBLE) AS {f}" for f in FIELDS)} FROM {HASH_SQL} GROUP BY 1""")
+def kv_hash_pivot(t: Tables) -> DataFrame:
+    return kv.hash_to_wide(hashes(t), FIELDS)
+
+
+@query("kv_hash_filter", f"""
+WITH w AS (SELECT key, {', '.join(f"CAST(max(value) FILTER (field = '{f}') AS DOUBLE) AS {f}" for f in FIELDS)} FROM {HASH_SQL} GROUP BY 1)
+SELECT key, click, view FROM w WHERE purchase < 60 AND NOT coalesce(error > 100, false)""")
+def kv_hash_filter(t: Tables) -> DataFrame:
+    """Hashes with a low price field, after deleting those whose error field is high."""
+    wide = kv.hash_to_wide(hashes(t), FIELDS)
+    kept = delete_where(wide, F.col("error") > 100)
+    return kept.where(F.col("purchase") < 60).select("key", "click", "view")
+
+
+@query("kv_hash_fields", f"""
+WITH h AS (SELECT key, field, CAST(value AS VARCHAR) AS value FROM {HASH_SQL} WHERE field <> 'error'),
+u AS (SELECT key, field, CASE WHEN field = 'view' THEN 'brown' ELSE value END AS value FROM h
+  UNION ALL SELECT DISTINCT 'user:' || user_id, 'updated', 'true' FROM events
+  UNION ALL SELECT DISTINCT 'user:' || user_id, 'view', 'brown' FROM events WHERE 'user:' || user_id NOT IN (SELECT key FROM h WHERE field = 'view'))
+SELECT key, string_agg(field || '=' || value, ',' ORDER BY field || '=' || value) AS fields FROM u GROUP BY 1""")
+def kv_hash_fields(t: Tables) -> DataFrame:
+    """Set one field, add a flag field, delete a field of every hash."""
+    wide = kv.hash_to_wide(hashes(t).withColumn("value", F.col("value").cast("string")), FIELDS)
+    pairs = [c for f in FIELDS for c in (F.lit(f), F.col(f))]
+    record = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    record = maps.set_fields(record, view=F.lit("brown"), updated=F.lit("true"))
+    return wide.select("key", maps.as_text(maps.delete_fields(record, "error")).alias("fields"))
+
+
+@query("kv_list_ops", """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+p AS (SELECT doc_id, list_append(list_prepend('first', a), 'last') AS b, a[1] AS mark FROM d),
+i AS (SELECT *, list_position(b, mark) AS k FROM p),
+j AS (SELECT *, b[1:k-1] || ['before'] || b[k:] AS c FROM i)
+SELECT doc_id, len(c) AS size, c[1] AS head, c[-1] AS tail, array_to_string(c[1:3], '|') AS first3, array_to_string(c[-2:], '|') AS last2,
+  array_to_string(c[2:], '|') AS left_popped, array_to_string(c[1:len(c)-1], '|') AS right_popped FROM j""")
+def kv_list_ops(t: Tables) -> DataFrame:
+    """The lines of each document as a list: push, insert, range, index, length and pop."""
+    lines = F.split("text", "\n")
+    items = arrays.push_right(arrays.push_left(lines, F.lit("first")), F.lit("last"))
+    items = arrays.insert_before(items, F.get(lines, F.lit(0)), F.lit("before"))
+    lists = t.documents.select("doc_id", items.alias("items"))
+    c = F.col("items")
+
+    def text(a):
+        return F.array_join(a, "|")
+
+    return lists.select(
+        "doc_id", F.size(c).alias("size"), arrays.at(c, 0).alias("head"), arrays.at(c, -1).alias("tail"),
+        text(arrays.slice_range(c, 0, 2)).alias("first3"), text(arrays.slice_range(c, -2, -1)).alias("last2"),
+        text(arrays.pop_left(c)["rest"]).alias("left_popped"), text(arrays.pop_right(c)["rest"]).alias("right_popped"),
+    )
+
+
+@query("kv_set_ops", """
+WITH a AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'purchase' AND value > 40), b AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'error' AND value > 40)
+SELECT 'inter' AS op, 'user:' || m AS member FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
+UNION ALL SELECT 'union', 'user:' || m FROM (SELECT * FROM a UNION SELECT * FROM b)
+UNION ALL SELECT 'diff', 'user:' || m FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT 'members', 'user:' || m FROM a
+UNION ALL SELECT 'size:purchase', CAST(count(*) AS VARCHAR) FROM a UNION ALL SELECT 'size:error', CAST(count(*) AS VARCHAR) FROM b""")
+def kv_set_ops(t: Tables) -> DataFrame:
+    """Intersection, union, difference, members and sizes of two user sets."""
+    big = t.events.where((F.col("value") > 40) & F.col("event_type").isin("purchase", "error"))
+    sets = big.select(F.col("event_type").alias("key"), user_key(t).alias("member")).distinct()
+    sizes = kv.cardinality(sets).select(
+        F.concat(F.lit("size:"), F.col("key")).alias("op"), F.col("size").cast("string").alias("member"))
+    parts = {
+        "inter": kv.intersection(sets, "purchase", "error"), "union": kv.union(sets, "purchase", "error"),
+        "diff": kv.difference(sets, "purchase", "error"), "members": kv.members(sets, "purchase"),
+    }
+    for op, df in parts.items():
+        sizes = sizes.unionByName(df.withColumn("op", F.lit(op)))
+    return sizes
+
+
+@query("kv_set_move", """
+WITH log AS (SELECT event_id AS seq, user_id AS m, CASE event_type WHEN 'signup' THEN 'add' WHEN 'error' THEN 'rem' WHEN 'purchase' THEN 'move' END AS op
+  FROM events WHERE event_type IN ('signup', 'error', 'purchase')),
+tr AS (SELECT *, lag(op) OVER (PARTITION BY m ORDER BY seq) AS before FROM log),
+st AS (SELECT m, arg_max(op, seq) AS op FROM log GROUP BY 1)
+SELECT 'online' AS key, 'user:' || m AS member FROM st WHERE op = 'add'
+UNION ALL SELECT DISTINCT 'buyers', 'user:' || m FROM tr WHERE op = 'move' AND before = 'add'""")
+def kv_set_move(t: Tables) -> DataFrame:
+    """Sign-ups go online, errors drop out, purchases move those online to the buyers."""
+    kind = F.col("event_type")
+    log = t.events.where(kind.isin("signup", "error", "purchase")).select(
+        F.col("event_id").alias("seq"),
+        F.when(kind == "signup", "add").when(kind == "error", "rem").otherwise("move").alias("op"),
+        F.lit("online").alias("key"), user_key(t).alias("member"), F.lit("buyers").alias("target"),
+    )
+    return kv.set_state_with_moves(log)
+
+
+@query("kv_leaderboard_top3", f"""
+SELECT key, row_number() OVER (PARTITION BY key ORDER BY score DESC, member DESC) AS rank, member, CAST(score AS DOUBLE) AS score
+FROM {SCORE_SQL} QUALIFY rank <= 3""")
+def kv_leaderboard_top3(t: Tables) -> DataFrame:
+    return kv.leaderboard(scores(t), 3)
+
+
+@query("kv_zrank", f"""
+SELECT key, member, CAST(score AS DOUBLE) AS score, row_number() OVER (PARTITION BY key ORDER BY score, member) - 1 AS rank,
+  row_number() OVER (PARTITION BY key ORDER BY score DESC, member DESC) - 1 AS revrank FROM {SCORE_SQL}""")
+def kv_zrank(t: Tables) -> DataFrame:
+    return kv.zrank(scores(t))
+
+
+@query("kv_zrange", f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score, member) - 1 AS position, count(*) OVER (PARTITION BY key) AS n FROM {SCORE_SQL})
+SELECT 'low' AS side, key, member, position FROM r WHERE position BETWEEN 0 AND 2
+UNION ALL SELECT 'end', key, member, position FROM r WHERE position BETWEEN n - 3 AND n - 1""")
+def kv_zrange(t: Tables) -> DataFrame:
+    """The three lowest members by index from the start, and the three last by index from the end."""
+    zset = scores(t)
+    low = kv.zrange(zset, 0, 2).withColumn("side", F.lit("low"))
+    end = kv.zrange(zset, -3, -1).withColumn("side", F.lit("end"))
+    return low.unionByName(end).select("side", "key", "member", "position")
+
+
+@query("kv_zscore", f"""
+SELECT 'purchase' AS key, 'user:' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS member, CAST(score AS DOUBLE) AS score
+FROM customer LEFT JOIN {SCORE_SQL} z ON z.key = 'purchase' AND z.member = 'user:' || lpad(CAST(c_custkey AS VARCHAR), 9, '0')""")
+def kv_zscore(t: Tables) -> DataFrame:
+    asked = t.customer.select(
+        F.lit("purchase").alias("key"), kv.key_of("user", F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("member"))
+    return kv.zscore(scores(t), asked)
+
+
+@query("kv_ttl_live", f"""
+WITH s AS (SELECT user_id, CASE WHEN arg_max(event_type, event_id) <> 'signup' THEN max(ts) + INTERVAL 6 HOUR END AS expires_at,
+    CASE WHEN user_id = 2 THEN 'user:two' ELSE 'user:' || user_id END AS key FROM events GROUP BY user_id)
+SELECT 'user:' || c_custkey AS key, CAST(CASE WHEN s.user_id IS NULL OR s.expires_at <= TIMESTAMP '{AS_OF}' THEN -2
+  WHEN s.expires_at IS NULL THEN -1 ELSE floor(epoch(s.expires_at)) - floor(epoch(TIMESTAMP '{AS_OF}')) END AS BIGINT) AS ttl
+FROM customer LEFT JOIN s ON s.key = 'user:' || c_custkey""")
+def kv_ttl_live(t: Tables) -> DataFrame:
+    """Remaining time of every customer's session key; one key was renamed, sign-ups never expire."""
+    sessions = t.events.groupBy(user_key(t).alias("key")).agg(
+        F.max("ts").alias("last"), F.max_by("event_type", "event_id").alias("kind"))
+    ends = F.when(F.col("kind") != "signup", F.col("last") + F.expr("INTERVAL 6 HOURS"))
+    store = kv.rename_key(sessions.select("key", ends.alias("expires_at")), "user:2", "user:two")
+    asked = t.customer.select(kv.key_of("user", F.col("c_custkey")).alias("key"))
+    return kv.ttl(store, asked, F.lit(AS_OF).cast("timestamp_ntz"))
+
+
+@query("kv_replay_log", """
+WITH log AS (SELECT event_id AS seq, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value FROM events WHERE event_type IN ('signup', 'purchase', 'error')),
+b AS (SELECT user_id, max(seq) FILTER (event_type IN ('signup', 'error')) AS base FROM log GROUP BY 1)
+SELECT 'user:' || user_id AS key, CAST(sum(value) FILTER (event_type <> 'error') AS DOUBLE) AS value FROM log JOIN b USING (user_id)
+WHERE base IS NULL OR seq >= base GROUP BY 1 HAVING count(*) FILTER (event_type <> 'error') > 0""")
+def kv_replay_log(t: Tables) -> DataFrame:
+    """Balances after replaying the event log: sign-ups set, purchases add, errors delete."""
+    op = F.when(F.col("field") == "signup", "set").when(F.col("field") == "purchase", "incr").when(
+        F.col("field") == "error", "del")
+    log = writes(t).select("seq", op.alias("op"), "key", "value").where(F.col("op").isNotNull())
+    return kv.replay(log, ["key"])
+
+
+@query("kv_last_write", f"SELECT key, field, CAST(value AS DOUBLE) AS value FROM {HASH_SQL}")
+def kv_last_write(t: Tables) -> DataFrame:
+    return hashes(t)
+
+
+@query("kv_running_counter", """
+WITH d AS (SELECT CAST(ts AS DATE) AS day, sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'error' THEN -1 ELSE 0 END) AS change FROM events GROUP BY 1)
+SELECT CAST(day AS VARCHAR) AS day, CAST(change AS BIGINT) AS change, CAST(sum(change) OVER (ORDER BY day) AS BIGINT) AS counter FROM d""")
+def kv_running_counter(t: Tables) -> DataFrame:
+    """A maintained counter: its changes per day and its value after each day."""
+    step = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "error", -1).otherwise(0)
+    days = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.sum(step).alias("change"))
+    # One row per calendar day is left here, so a single window over all of them is small.
+    return days.withColumn("counter", F.sum("change").over(Window.orderBy("day")))
+
+
+@query("kv_reference_join", """
+SELECT DISTINCT c_name AS name, p_name || ' #' || p_partkey AS title FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey""")
+def kv_reference_join(t: Tables) -> DataFrame:
+    """Entity hashes and reference sets in one key space; the person is read from the set's key."""
+    people = kv.wide_to_hash(t.customer.withColumnRenamed("c_name", "name"), kv.key_of("person", F.col("c_custkey")), ["name"])
+    titled = t.part.withColumn("title", F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string")))
+    movies = kv.wide_to_hash(titled, kv.key_of("movie", F.col("p_partkey")), ["title"])
+    entities = insert(people, movies)
+    bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    pairs = bought.select("o_custkey", "l_partkey").distinct()
+    references = pairs.select(
+        kv.key_of("person", F.col("o_custkey"), F.lit("movies")).alias("key"),
+        kv.key_of("movie", F.col("l_partkey")).alias("member"),
+    )
+    person = F.concat_ws(":", part_of(F.col("key"), 0), part_of(F.col("key"), 1))
+    named = kv.follow(kv.keys(references, "person:*:movies"), entities, person, "name", "name")
+    return kv.follow(named, entities, F.col("member"), "title", "title").select("name", "title")
+
+
+@query("stock_guard", """
+SELECT l_partkey AS item, l_orderkey AS orderid, l_linenumber AS line,
+  row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) <= p_size AS accepted
+FROM lineitem JOIN part ON p_partkey = l_partkey""")
+def stock_guard(t: Tables) -> DataFrame:
+    """Every request for an item, accepted while stock lasts."""
+    stock = t.part.select(F.col("p_partkey").alias("item"), F.col("p_size").alias("quantity"))
+    requests = t.lineitem.select(
+        F.col("l_partkey").alias("item"), F.col("l_shipdate").alias("at"), F.col("l_orderkey").alias("orderid"),
+        F.col("l_linenumber").alias("line"), "l_suppkey", "l_extendedprice",
+    )
+    order = [F.col(c) for c in ("at", "orderid", "line", "l_suppkey", "l_extendedprice")]
+    return kv.allocate(requests, stock, "item", order, "quantity").select("item", "orderid", "line", "accepted")
