@@ -67,11 +67,11 @@ def graph_one_hop(t: Tables) -> DataFrame:
 @query("graph_edge_types_to_node", f"""
 SELECT c_name AS person, p_partkey + 1000000000000 AS film, type FROM
 (SELECT *, 'ACTED_IN' AS type FROM {ACTED_SQL} UNION ALL SELECT *, 'DIRECTED' FROM {DIRECTED_SQL})
-JOIN customer ON c_custkey = src JOIN part ON p_partkey = dst WHERE p_name = 'red widget' AND p_size + 1990 = 2005""")
+JOIN customer ON c_custkey = src JOIN part ON p_partkey = dst WHERE p_size + 1990 = 2005""")
 def graph_edge_types_to_node(t: Tables) -> DataFrame:
-    """How people are tied to the films of one title and year."""
+    """How people are tied to the films of one year."""
     graph = src.film_graph(t)
-    chosen = graph.nodes.where((F.col("title") == "red widget") & (F.col("released") == 2005)).select(F.col("id").alias("film"))
+    chosen = graph.nodes.where(F.col("released") == 2005).select(F.col("id").alias("film"))
     tied = g.hop(chosen, graph.edges, "film", "person", reverse=True, properties=["type"])
     return g.attach(tied, graph.nodes, "person", "name").select(F.col("person_name").alias("person"), "film", "type")
 
@@ -167,7 +167,7 @@ def graph_first3_per_actor(t: Tables) -> DataFrame:
 
 
 @query("graph_latest_film", f"""
-SELECT c_name AS name, max(p_size) + 1990 AS latest, arg_max(p_name, p_size * 1000000000 + p_partkey) AS title, count(*) AS films
+SELECT c_name AS name, max(p_size) + 1990 AS latest, arg_max(p_name, CAST(p_size AS BIGINT) * 1000000000 + p_partkey) AS title, count(*) AS films
 FROM {ACTED_SQL} a JOIN part ON p_partkey = dst JOIN customer ON c_custkey = src GROUP BY c_custkey, c_name""")
 def graph_latest_film(t: Tables) -> DataFrame:
     """Year and title of each actor's latest film, and how many films there are."""

@@ -1 +1,138 @@
+"""Stream queries: the event table arrives as a stream and is used up."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from brindle import sinks
+from brindle.operators import pipeline
+from brindle.plans.keyspace import SCORE_SQL
+from brindle.plans.pipelines import TREND_SQL
+from brindle.registry import query
+from brindle.session import fresh_path
+from brindle.sources.tables import Tables
+from brindle.streaming import channels, counters, stock
+from brindle.streaming.runner import drain, drained, file_stream, to_batches
+
+SINCE = "2024-01-10 00:00:00"
+MESSAGE_SQL = """(SELECT event_id AS seq, event_type || CASE WHEN user_id < 100 THEN ':' || user_id ELSE '' END AS channel,
+  CASE WHEN value > 250 THEN 'KILL' ELSE 'song ' || event_type || ':singer ' || user_id END AS data, ts FROM events)"""
+
+
+def table_stream(t: Tables, name: str) -> DataFrame:
+    """One table of the folder as a stream."""
+    return file_stream(t.spark, t.folder, getattr(t, name).schema, pathGlobFilter=f"{name}.parquet")
+
+
+def messages(t: Tables) -> DataFrame:
+    """Events as messages: a channel per type, with a sub-channel for regular users."""
+    user = F.col("user_id").cast("string")
+    channel = F.when(F.col("user_id") < 100, F.concat_ws(":", "event_type", user)).otherwise(F.col("event_type"))
+    song = F.concat(F.lit("song "), F.col("event_type"), F.lit(":singer "), user)
+    return table_stream(t, "events").select(
+        F.col("event_id").alias("seq"), channel.alias("channel"),
+        F.when(F.col("value") > 250, channels.STOP).otherwise(song).alias("data"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+
+
+@query("stream_channel_filter", f"""
+SELECT seq, channel, channel || ' : ' || data AS line FROM {MESSAGE_SQL} WHERE (channel = 'click' OR channel LIKE 'view:%') AND ts >= TIMESTAMP '{SINCE}'""")
+def stream_channel_filter(t: Tables) -> DataFrame:
+    """One channel and one family of channels, heard from a moment on."""
+    heard = channels.subscribe(messages(t), ["click"], ["view:*"], since=SINCE)
+    lines = heard.select("seq", "channel", F.concat_ws(" : ", "channel", "data").alias("line"))
+    return drained(lines).drop("batch")
+
+
+@query("stream_message_split", f"""
+SELECT seq, split_part(data, ':', 1) AS song, split_part(data, ':', 2) AS singer FROM {MESSAGE_SQL} WHERE channel LIKE 'purchase%' AND data <> 'KILL'""")
+def stream_message_split(t: Tables) -> DataFrame:
+    heard = channels.subscribe(messages(t), patterns=["purchase*"]).where(F.col("data") != channels.STOP)
+    return drained(channels.split_fields(heard, "song", "singer").select("seq", "song", "singer")).drop("batch")
+
+
+@query("stream_poison_pill", f"""
+SELECT seq, channel, data FROM {MESSAGE_SQL} WHERE channel LIKE 'signup%' AND seq < (SELECT min(seq) FROM {MESSAGE_SQL} WHERE channel LIKE 'signup%' AND data = 'KILL')""")
+def stream_poison_pill(t: Tables) -> DataFrame:
+    """Messages handled before the one that stops the consumer."""
+    heard = channels.subscribe(messages(t), patterns=["signup*"])
+    return channels.consume(heard, lambda batch: batch.select("seq", "channel", "data")).drop("batch")
+
+
+@query("stream_handler_batches", f"SELECT channel, count(*) AS handled FROM {MESSAGE_SQL} GROUP BY 1")
+def stream_handler_batches(t: Tables) -> DataFrame:
+    """A handler of one's own per micro-batch: here it counts what it was given."""
+    path = fresh_path(t.spark, "handled")
+    store = to_batches(path)
+
+    def work(batch: DataFrame, number: int) -> None:
+        store(batch.groupBy("channel").agg(F.count("*").alias("handled")), number)
+
+    drain(messages(t), work)
+    return t.spark.read.parquet(path).groupBy("channel").agg(F.sum("handled").alias("handled"))
+
+
+@query("stream_leaderboard", f"""
+SELECT key, row_number() OVER (PARTITION BY key ORDER BY score DESC, member DESC) AS rank, member, CAST(score AS DOUBLE) AS score
+FROM {SCORE_SQL} QUALIFY rank <= 3""")
+def stream_leaderboard(t: Tables) -> DataFrame:
+    user = F.concat(F.lit("user:"), F.lpad(F.col("user_id").cast("string"), 9, "0"))
+    changes = table_stream(t, "events").select(
+        F.col("event_type").alias("key"), user.alias("member"), F.col("value").cast("decimal(18,2)").alias("delta"))
+    return counters.live_leaderboard(changes, 3).select("key", "rank", "member", "score")
+
+
+@query("stream_counters", """
+SELECT 'user:' || user_id AS key, event_type AS field, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value, count(*) AS writes FROM events GROUP BY 1, 2""")
+def stream_counters(t: Tables) -> DataFrame:
+    changes = table_stream(t, "events").select(
+        F.concat(F.lit("user:"), F.col("user_id").cast("string")).alias("key"), F.col("event_type").alias("field"),
+        F.col("value").cast("decimal(18,2)").alias("delta"))
+    return counters.counters(changes)
+
+
+@query("stream_dedup_horizon")
+def stream_dedup_horizon(t: Tables) -> DataFrame:
+    """First sightings of a user's event type within an hour.
+
+    What counts as a repeat depends on how far the watermark has moved, so there
+    is no SQL twin; `seen_within_hour` gives the exact answer for a table.
+    """
+    events = table_stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    fresh = counters.fresh_within(events, ["user_id", "event_type"], "ts", "1 hour")
+    return drained(fresh.select("event_id", "user_id", "event_type", "ts")).drop("batch")
+
+
+@query("stream_stock_guard", """
+SELECT l_partkey AS item, l_orderkey AS orderid, l_linenumber AS line,
+  row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) <= p_size AS accepted
+FROM lineitem JOIN part ON p_partkey = l_partkey""")
+def stream_stock_guard(t: Tables) -> DataFrame:
+    """Requests for items as a stream, accepted while stock lasts."""
+    on_hand = t.part.select(F.col("p_partkey").alias("item"), F.col("p_size").alias("quantity"))
+    requests = table_stream(t, "lineitem").select(
+        F.col("l_partkey").alias("item"), F.col("l_shipdate").alias("at"), F.col("l_orderkey").alias("orderid"),
+        F.col("l_linenumber").alias("line"), "l_suppkey", "l_extendedprice")
+    order = [F.col(c) for c in ("at", "orderid", "line", "l_suppkey", "l_extendedprice")]
+    return stock.sell(requests, on_hand, "item", order, "quantity").select("item", "orderid", "line", "accepted")
+
+
+@query("stream_file_arrival_trend", TREND_SQL)
+def stream_file_arrival_trend(t: Tables) -> DataFrame:
+    """CSV files arrive, each adds to the average of its days; then the trend of the days."""
+    inbox, path = fresh_path(t.spark, "inbox"), fresh_path(t.spark, "runs")
+    arriving = t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("run"), "value")
+    sinks.write_csv(arriving.repartition(4, "run"), inbox)
+    stream = file_stream(t.spark, inbox, "event_id bigint, run date, value double", "csv", header="true", maxFilesPerTrigger="1")
+    store = to_batches(path)
+
+    def load(batch: DataFrame, number: int) -> None:
+        amount = F.col("value").cast("decimal(18,2)")
+        store(batch.groupBy("run").agg(F.sum(amount).alias("total"), F.count("*").alias("n")), number)
+
+    drain(stream, load)
+    runs = t.spark.read.parquet(path).groupBy("run").agg(
+        (F.sum("total").cast("double") / F.sum("n")).alias("average"))
+    return pipeline.trend(runs, "run", "average")
