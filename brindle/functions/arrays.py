@@ -58,9 +58,8 @@ def field_of_each(objects: Column, field: str) -> Column:
 
 def choose(items: Column, count: Column, *seed: Column) -> Column:
     """`count` elements without replacement, in an order fixed by the seed."""
-    keyed = F.transform(
-        items, lambda x: F.struct(stable_hash(x, *seed).alias("h"), x.alias("x"))
-    )
+    mark = F.concat_ws("|", F.lit(""), *[s.cast("string") for s in seed])
+    keyed = F.transform(items, lambda x: F.struct(F.md5(F.concat(x, mark)).alias("h"), x.alias("x")))
     return F.transform(F.slice(F.array_sort(keyed), F.lit(1), count), lambda s: s["x"])
 
 

@@ -165,9 +165,8 @@ def leaderboard(zset: DataFrame, top: int) -> DataFrame:
 
 def zrank(zset: DataFrame) -> DataFrame:
     """Zero-based `rank` and `revrank` of every member. Both come from one ordering."""
-    sizes = cardinality(zset)
-    placed = row_numbers(zset, ["key"], _rising(), "rank", start=0)
-    return placed.join(sizes, "key").withColumn("revrank", F.col("size") - 1 - F.col("rank")).drop("size")
+    placed = row_numbers(zset, ["key"], _rising(), "rank", start=0, total="_size")
+    return placed.withColumn("revrank", F.col("_size") - 1 - F.col("rank")).drop("_size")
 
 
 def zrange(zset: DataFrame, start: int, stop: int, descending: bool = False) -> DataFrame:

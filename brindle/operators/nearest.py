@@ -9,8 +9,8 @@ from brindle.functions.geo import chord_km, haversine_km, on_unit_sphere
 from brindle.session import materialize
 
 MOST_PLACES = 2000  # places that travel with the plan; more go by grid
-# Cell widths on the unit sphere, from about 30 km to the whole globe.
-CELLS = (0.005, 0.02, 0.08, 0.32, 2.0)
+# Cell widths on the unit sphere, from about 30 m to the whole globe.
+CELLS = (5e-6, 4e-5, 3.2e-4, 2.56e-3, 0.02, 0.16, 2.0)
 
 
 def nearest(points: DataFrame, places: DataFrame, identity: str, most_places: int = MOST_PLACES) -> DataFrame:
@@ -49,7 +49,8 @@ def _by_grid(points: DataFrame, places: DataFrame, fields: list[str], identity:
     names = ("_x", "_y", "_z")
     place_at = dict(zip(names, on_unit_sphere(F.col("_plat"), F.col("_plon"))))
     point_at = dict(zip(names, on_unit_sphere(F.col("lat"), F.col("lon"))))
-    packed = places.select(F.col("lat").alias("_plat"), F.col("lon").alias("_plon"), F.struct(*fields).alias("_place"))
+    # Of several places at one spot the first one wins every tie.
+    packed = places.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min(F.struct(*fields)).alias("_place"))
     packed = packed.withColumns(place_at)
     around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     open_points = points.select(identity, "lat", "lon").withColumns(point_at)

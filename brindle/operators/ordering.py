@@ -27,17 +27,27 @@ def _slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], weight: Column, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    weight: Column,
+    name: str,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add the sum of `weight` over the earlier rows of the same key."""
+    """Add the sum of `weight` over the earlier rows of the same key.
+
+    With `total`, also the sum over all rows of the key.
+    """
     slabs = _slabs(df.withColumn("_weight", weight), keys, order)
     earlier_slabs = Window.partitionBy(*keys).orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         slabs.groupBy(*keys, _SLAB)
         .agg(F.sum("_weight").alias("_slab_weight"))
         .withColumn("_offset", F.coalesce(F.sum("_slab_weight").over(earlier_slabs), F.lit(0)))
-        .drop("_slab_weight")
     )
+    if total is not None:
+        offsets = offsets.withColumn(total, F.sum("_slab_weight").over(Window.partitionBy(*keys)))
+    offsets = offsets.drop("_slab_weight")
     earlier_rows = (
         Window.partitionBy(*keys, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -49,18 +59,28 @@ def running_total(
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, start: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    start: int = 1,
+    total: str | None = None,
 ) -> DataFrame:
-    """Number the rows of each key; with no keys, number the whole table."""
-    counted = running_total(df, keys, order, F.lit(1).cast("bigint"), name)
+    """Number the rows of each key; with no keys, number the whole table.
+
+    `order` should tell rows apart, or equal rows share one slab.
+    """
+    counted = running_total(df, keys, order, F.lit(1).cast("bigint"), name, total)
     return counted.withColumn(name, F.col(name) + F.lit(start))
 
 
 def ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, descending: bool = True) -> DataFrame:
     """Rank with gaps on ties.
 
-    Ties are counted first, so that many equal values travel as one row.
+    Ties are counted first, so that many equal values travel as one row. The
+    input is written once, because it is read for the ties and for the result.
     """
+    df = materialize(df, "ranked")
     order = F.col(value).desc() if descending else F.col(value).asc()
     tallies = df.groupBy(*keys, value).agg(F.count("*").alias("_tied"))
     placed = running_total(tallies, keys, [order], F.col("_tied"), name)
@@ -105,11 +125,10 @@ def range_by_index(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: int, stop: int, name: str = "position"
 ) -> DataFrame:
     """Rows at positions `start`..`stop` (from 0, inclusive; negatives from the end)."""
-    placed = row_numbers(df, keys, order, name, start=0)
     if start >= 0 and stop >= 0:
-        return placed.where(F.col(name).between(start, stop))
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_size"))
-    placed = placed.join(sizes, list(keys))
+        ends = top_per_key(df, keys, order, stop + 1, name).withColumn(name, F.col(name) - 1)
+        return ends.where(F.col(name) >= start)
+    placed = row_numbers(df, keys, order, name, start=0, total="_size")
     first = F.lit(start) if start >= 0 else F.col("_size") + start
     last = F.lit(stop) if stop >= 0 else F.col("_size") + stop
     return placed.where(F.col(name).between(first, last)).drop("_size")

@@ -3,7 +3,8 @@
 Time is cut into buckets as wide as the horizon. Two events of one bucket are
 then closer than the horizon, and an event further back than the bucket before is
 out of reach. So a few numbers per (key, bucket) answer everything, and they are
-combined before the shuffle however many events a key has.
+combined before the shuffle however many events a key has. A window over the
+buckets of a key is as long as the time covered, not as the events.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ def _buckets(df: DataFrame, key: str, ts: str, identity: str, seconds: int) -> D
 
 def first_sightings(df: DataFrame, key: str, ts: str, identity: str, seconds: int) -> DataFrame:
     """Ids of events with no event of the same key in the `seconds` before."""
-    buckets = _buckets(df, key, ts, identity, seconds)
-    before = buckets.select(key, (F.col("_bucket") + 1).alias("_bucket"), F.col("_last").alias("_before"))
+    line = Window.partitionBy(key).orderBy("_bucket")
+    buckets = _buckets(df, key, ts, identity, seconds).withColumn("_before", F.lag("_last").over(line))
     fresh = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > seconds * 1_000_000)
-    return buckets.join(before, [key, "_bucket"], "left").where(fresh).select(F.col("_first_id").alias(identity))
+    return buckets.where(fresh).select(F.col("_first_id").alias(identity))
 
 
 def seen_within(df: DataFrame, key: str, ts: str, identity: str, seconds: int) -> DataFrame:

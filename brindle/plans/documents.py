@@ -65,7 +65,7 @@ SELECT p_name AS title, p_size + 1990 AS year FROM part WHERE p_size + 1990 > 19
 def doc_range_sort(t: Tables) -> DataFrame:
     """Films of the nineties from old to recent, both ends open."""
     nineties = (F.col("year") > 1990) & (F.col("year") < 2000)
-    return doc.find(films(t), nineties, "title", "year").orderBy("year", "title")
+    return doc.find(films(t), nineties, "title", "year", "id").orderBy("year", "title", "id").drop("id")
 
 
 @query("doc_regex_prefix", "SELECT p_partkey AS id, p_name AS title FROM part WHERE regexp_matches(p_name, '^re')")
@@ -77,7 +77,7 @@ def doc_regex_prefix(t: Tables) -> DataFrame:
 SELECT c_name AS name, c_mktsegment AS segment FROM customer WHERE c_mktsegment IN ('FURNITURE', 'MACHINERY') ORDER BY c_acctbal DESC""")
 def doc_in_list(t: Tables) -> DataFrame:
     wanted = F.col("segment").isin("FURNITURE", "MACHINERY")
-    return doc.find(people(t), wanted).orderBy(F.col("balance").desc()).select("name", "segment")
+    return doc.find(people(t), wanted).orderBy(F.col("balance").desc(), "id").select("name", "segment")
 
 
 @query("doc_insert_heterogeneous", """

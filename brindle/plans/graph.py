@@ -150,7 +150,7 @@ SELECT p_partkey + 1000000000000 AS film, p_name AS title, count(*) AS directors
 def graph_directors_per_film(t: Tables) -> DataFrame:
     graph = src.film_graph(t)
     counted = g.degrees(graph.edges, "DIRECTED", "dst").join(graph.nodes.select("id", "title"), "id")
-    return counted.select(F.col("id").alias("film"), "title", F.col("degree").alias("directors")).orderBy(F.col("directors").desc())
+    return counted.select(F.col("id").alias("film"), "title", F.col("degree").alias("directors")).orderBy(F.col("directors").desc(), "film")
 
 
 @query("graph_first3_per_actor", f"""
@@ -217,7 +217,7 @@ def graph_ratings_of_user(t: Tables) -> DataFrame:
     """Films one user rated, best first."""
     start = src.people(t).where(F.col("id") == 3).select(F.col("id").alias("user"))
     rated = g.hop(start, src.reviews(t), "user", "film", ["REVIEWED"], properties=["rating"])
-    return g.attach(rated, src.films(t), "film", "title").select(F.col("film_title").alias("title"), "rating").orderBy(F.col("rating").desc())
+    return g.attach(rated, src.films(t), "film", "title").select(F.col("film_title").alias("title"), "rating").orderBy(F.col("rating").desc(), "title")
 
 
 @query("graph_genres_of_actor", f"""

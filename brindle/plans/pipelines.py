@@ -122,7 +122,7 @@ def positional_merge(t: Tables) -> DataFrame:
 
 
 def _pick_sql(items: str, count: str, *seed: str) -> str:
-    key = stable_hash_sql("x", *seed)
+    key = "md5(x || '|' || " + " || '|' || ".join(seed) + ")"
     return f"array_to_string(list_transform(list_sort(list_transform({items}, lambda x: {{'h': {key}, 'x': x}}))[1:{count}], lambda s: s.x), ',')"
 
 
@@ -150,9 +150,11 @@ def character_assembly(t: Tables) -> DataFrame:
         F.concat(F.lit("["), F.array_join(scores.cast("array<string>"), ", "), F.lit("]")).alias("attributes"),
     )
     races = t.part.select("p_partkey", F.lower("p_type").alias("race"))
+    docs = t.documents.select("doc_id", F.col("lang").alias("language"), F.col("source").alias("class"))
+    # The texts take no part in the merge; their words are picked once and joined by id.
     first_line = F.split(F.get(F.split("text", "\n"), F.lit(0)), " ")
-    docs = t.documents.select(
-        "doc_id", F.col("lang").alias("language"), F.col("source").alias("class"),
+    picks = t.documents.select(
+        "doc_id",
         F.array_join(choose(F.split("text", " "), F.lit(2), F.col("doc_id")), ",").alias("proficiencies"),
         F.array_join(choose_up_to(first_line, 3, F.col("doc_id")), ",").alias("spells"),
     )
@@ -163,9 +165,10 @@ def character_assembly(t: Tables) -> DataFrame:
     merged = p.positional_merge({
         "n": (packed(names, "name", "level", "attributes").withColumnRenamed("_row", "n"), [F.col("c_custkey")]),
         "r": (packed(races, "race").withColumnRenamed("_row", "r"), [F.col("p_partkey")]),
-        "d": (packed(docs, "language", "class", "proficiencies", "spells").withColumnRenamed("_row", "d"), [F.col("doc_id")]),
+        "d": (packed(docs, "doc_id", "language", "class").withColumnRenamed("_row", "d"), [F.col("doc_id")]),
     })
-    return sinks.append(merged.select("pos", "n.*", "r.*", "d.*"), fresh_path(t.spark, "characters"))
+    characters = merged.select("pos", "n.*", "r.*", "d.*").join(picks, "doc_id", "left").drop("doc_id")
+    return sinks.append(characters, fresh_path(t.spark, "characters"))
 
 
 @query("json_recordset", "SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events")

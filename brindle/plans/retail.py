@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions.dates import month_of, within_days
-from brindle.operators.nesting import collect_pages, pages_sql
-from brindle.operators.ordering import top_per_key
+from brindle.operators import retail as reports
+from brindle.operators.nesting import pages_sql
 from brindle.registry import query
-from brindle.sources import retail
+from brindle.sources.retail import shop
 from brindle.sources.tables import Tables
 
 PAY_SQL = "(SELECT o_orderkey AS purchaseid, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders WHERE o_orderstatus = 'F')"
@@ -18,30 +17,24 @@ DAY_SQL = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
 MONTH_SQL = "CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR)"
 
 
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("purchasedate", F.to_date("purchasedatetime")).drop("purchasedatetime")
+
+
 @query("unpaid_purchases", f"""
 SELECT o_orderkey AS purchaseid, {DAY_SQL} AS purchasedate, c_name AS customername, n_name AS storename
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
 LEFT JOIN {PAY_SQL} pay ON pay.purchaseid = o_orderkey
 WHERE pay.purchaseid IS NULL ORDER BY o_orderdate DESC""")
 def unpaid_purchases(t: Tables) -> DataFrame:
-    """Purchases without a payment, newest first."""
-    return (
-        retail.purchases(t)
-        .join(retail.payments(t), "purchaseid", "left_anti")
-        .join(retail.customers(t), "customerid")
-        .join(retail.stores(t), "storeid")
-        .orderBy(F.col("purchasedatetime").desc())
-        .select("purchaseid", F.to_date("purchasedatetime").alias("purchasedate"), "customername", "storename")
-    )
+    return _dated(reports.unpaid(shop(t, with_stores=True)))
 
 
 @query("orders_without_items", """
 SELECT o_orderkey AS purchaseid, o_custkey AS customerid FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def orders_without_items(t: Tables) -> DataFrame:
-    return t.orders.select(F.col("o_orderkey").alias("purchaseid"), F.col("o_custkey").alias("customerid")).join(
-        retail.items(t), "purchaseid", "left_anti"
-    )
+    return reports.without_items(shop(t)).select("purchaseid", "customerid")
 
 
 @query("last5_purchases_per_customer", f"""
@@ -52,42 +45,15 @@ SELECT c_custkey AS customerid, c_name AS customername, o_orderkey AS purchaseid
   CAST(n AS BIGINT) AS itemcount, CAST(paid AS DOUBLE) AS paidamount
 FROM p JOIN customer ON c_custkey = o_custkey LEFT JOIN i ON l_orderkey = o_orderkey LEFT JOIN s ON s.purchaseid = o_orderkey""")
 def last5_purchases_per_customer(t: Tables) -> DataFrame:
-    """Last five purchases of each customer with item count and paid amount.
-
-    Trims the purchases first; items and payments are summed only for those.
-    """
-    newest = [F.col("purchasedatetime").desc(), F.col("purchaseid").desc()]
-    purchases = t.orders.select(
-        F.col("o_custkey").alias("customerid"),
-        F.col("o_orderkey").alias("purchaseid"),
-        F.col("o_orderdate").alias("purchasedatetime"),
-    )
-    last = top_per_key(purchases, ["customerid"], newest, 5)
-    items = retail.items(t).groupBy("purchaseid").agg(F.sum("quantity").alias("itemcount"))
-    paid = retail.payments(t).groupBy("purchaseid").agg(F.sum("amount").alias("paidamount"))
-    return (
-        last.join(retail.customers(t), "customerid")
-        .join(items, "purchaseid", "left")
-        .join(paid, "purchaseid", "left")
-        .select("customerid", "customername", "purchaseid",
-                F.to_date("purchasedatetime").alias("purchasedate"), "itemcount", "paidamount")
-    )
+    return _dated(reports.last_purchases(shop(t)))
 
 
 @query("store_revenue_in_range", f"""
 SELECT c_nationkey AS storeid, CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN {PAY_SQL} pay ON pay.purchaseid = o_orderkey
 WHERE o_orderdate BETWEEN TIMESTAMP '1996-08-10 09:30:00' AND TIMESTAMP '1998-09-30 09:30:00' GROUP BY 1""")
-def store_revenue_in_range(t: Tables, start="1996-08-10 09:30:00", end="1998-09-30 09:30:00") -> DataFrame:
-    """Revenue and number of paid purchases per store within a closed time range."""
-    bounds = [F.lit(x).cast("timestamp_ntz") for x in (start, end)]
-    return (
-        retail.purchases(t)
-        .where(F.col("purchasedatetime").between(*bounds))
-        .join(retail.payments(t), "purchaseid")
-        .groupBy("storeid")
-        .agg(F.sum("amount").alias("total_amount"), F.count("*").alias("transaction_count"))
-    )
+def store_revenue_in_range(t: Tables) -> DataFrame:
+    return reports.store_revenue(shop(t, with_stores=True), "1996-08-10 09:30:00", "1998-09-30 09:30:00")
 
 
 @query("top5_products_last_n_days", f"""
@@ -95,47 +61,15 @@ SELECT p_partkey AS productid, p_name AS productname, CAST(sum({AMOUNT_SQL}) AS
 FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
 WHERE o_orderdate >= TIMESTAMP '2001-08-01 12:00:00' - INTERVAL 90 DAY
 GROUP BY 1, 2 ORDER BY sum({AMOUNT_SQL}) DESC, 1 LIMIT 5""")
-def top5_products_last_n_days(t: Tables, as_of="2001-08-01 12:00:00", days=90) -> DataFrame:
-    """Best products by revenue in the days before `as_of`.
-
-    Quantities are summed per product before the price is looked up.
-    """
-    recent = t.orders.where(within_days(F.col("o_orderdate"), as_of, days)).select(
-        F.col("o_orderkey").alias("purchaseid")
-    )
-    sold = (
-        retail.items(t).join(recent, "purchaseid").groupBy("productid").agg(F.sum("quantity").alias("quantity"))
-    )
-    return (
-        sold.join(retail.products(t), "productid")
-        .select("productid", "productname",
-                retail.amount_of(F.col("quantity"), F.col("price")).alias("product_revenue"))
-        .orderBy(F.col("product_revenue").desc(), "productid")
-        .limit(5)
-    )
+def top5_products_last_n_days(t: Tables) -> DataFrame:
+    return reports.best_products(shop(t), "2001-08-01 12:00:00", 90)
 
 
 @query("suppliers_of_product", pages_sql(
     "SELECT l_partkey AS productid, s_name AS v FROM lineitem JOIN supplier ON s_suppkey = l_suppkey",
     "productid", "suppliers", 16))
 def suppliers_of_product(t: Tables) -> DataFrame:
-    """Supplier names of every product as comma-joined text, in pages."""
-    pairs = retail.items(t).select("productid", "supplierid").distinct()
-    named = pairs.join(retail.suppliers(t), "supplierid")
-    pages = collect_pages(named, ["productid"], F.col("suppliername"), "suppliers", page_rows=16)
-    return pages.withColumn("suppliers", F.array_join("suppliers", ", "))
-
-
-def _monthly(t: Tables) -> DataFrame:
-    """Revenue by month, category and location: the base of the monthly reports."""
-    return (
-        retail.items(t)
-        .join(retail.purchases(t), "purchaseid")
-        .join(retail.products(t), "productid")
-        .groupBy(month_of(F.col("purchasedatetime")).alias("month"), "categoryname", "storeid")
-        .agg(F.sum(retail.amount_of(F.col("quantity"), F.col("price"))).alias("revenue"))
-        .join(retail.stores(t).select("storeid", "location"), "storeid")
-    )
+    return reports.suppliers_of(shop(t), page_rows=16)
 
 
 @query("monthly_revenue_category_and_location", f"""
@@ -145,16 +79,7 @@ WITH x AS (SELECT p_type, r_name, {MONTH_SQL} AS month, {AMOUNT_SQL} AS amount
 SELECT 'Category' AS type, p_type AS name, month, CAST(sum(amount) AS DOUBLE) AS revenue FROM x GROUP BY 2, 3
 UNION ALL SELECT 'Store', r_name, month, CAST(sum(amount) AS DOUBLE) FROM x GROUP BY 2, 3""")
 def monthly_revenue_category_and_location(t: Tables) -> DataFrame:
-    """Two tagged groupings from one pass: the fine sums are grouped again both ways."""
-    grouped = _monthly(t).groupingSets(
-        [[F.col("categoryname"), F.col("month")], [F.col("location"), F.col("month")]],
-        F.col("categoryname"), F.col("location"), F.col("month"),
-    ).agg(F.sum("revenue").alias("revenue"), F.grouping("categoryname").alias("by_store"))
-    return grouped.select(
-        F.when(F.col("by_store") == 0, "Category").otherwise("Store").alias("type"),
-        F.when(F.col("by_store") == 0, F.col("categoryname")).otherwise(F.col("location")).alias("name"),
-        "month", "revenue",
-    )
+    return reports.monthly_revenue(shop(t, with_stores=True))
 
 
 @query("monthly_revenue_yoy", f"""
@@ -164,20 +89,7 @@ SELECT a.category, CAST(a.month AS VARCHAR) AS month, a.revenue, b.revenue AS la
   round((a.revenue - b.revenue) / b.revenue, 4) AS growth
 FROM m a LEFT JOIN m b ON a.category = b.category AND b.month = a.month - INTERVAL 12 MONTH""")
 def monthly_revenue_yoy(t: Tables) -> DataFrame:
-    """Monthly revenue per category with its change against the same month a year before."""
-    # Quantities are summed per product and month, then priced.
-    dated = t.orders.select(F.col("o_orderkey").alias("purchaseid"), month_of(F.col("o_orderdate")).alias("month"))
-    months = (
-        retail.items(t).join(dated, "purchaseid")
-        .groupBy("productid", "month").agg(F.sum("quantity").alias("quantity"))
-        .join(retail.products(t), "productid")
-        .groupBy(F.col("categoryname").alias("category"), "month")
-        .agg(F.sum(retail.amount_of(F.col("quantity"), F.col("price"))).cast("double").alias("revenue"))
-    )
-    year_later = months.select("category", F.add_months("month", 12).alias("month"), F.col("revenue").alias("last_year"))
-    return months.join(year_later, ["category", "month"], "left").withColumn(
-        "growth", F.round((F.col("revenue") - F.col("last_year")) / F.col("last_year"), 4)
-    )
+    return reports.category_growth(shop(t))
 
 
 @query("monthly_retention", f"""
@@ -185,33 +97,15 @@ WITH c AS (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS D
 SELECT CAST(a.month AS VARCHAR) AS month, count(DISTINCT a.o_custkey) AS retained_customers
 FROM c a JOIN c b ON a.o_custkey = b.o_custkey AND b.month = a.month - INTERVAL 1 MONTH GROUP BY 1 ORDER BY 1""")
 def monthly_retention(t: Tables) -> DataFrame:
-    """Customers of a month who had also bought in the month before."""
-    active = t.orders.select("o_custkey", month_of(F.col("o_orderdate")).alias("month")).distinct()
-    month_after = active.withColumn("month", F.add_months("month", 1))
-    # (customer, month) is unique on both sides: a plain count is the distinct count.
-    return (
-        active.join(month_after, ["o_custkey", "month"], "left_semi")
-        .groupBy("month").agg(F.count("*").alias("retained_customers"))
-        .orderBy("month")
-    )
+    return reports.retention(shop(t))
 
 
 @query("bestsellers_of_month", """
 SELECT p_name AS productname, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS sold
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 WHERE date_trunc('month', o_orderdate) = DATE '1998-03-01' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
-def bestsellers_of_month(t: Tables, month="1998-03-01") -> DataFrame:
-    """Five products sold most often in a month."""
-    start = F.lit(month).cast("timestamp_ntz")
-    in_month = (F.col("o_orderdate") >= start) & (F.col("o_orderdate") < start + F.expr("INTERVAL 1 MONTH"))
-    dated = t.orders.where(in_month).select(F.col("o_orderkey").alias("purchaseid"))
-    return (
-        retail.items(t).join(dated, "purchaseid")
-        .groupBy("productid").agg(F.sum("quantity").alias("quantity"))
-        .join(retail.products(t), "productid")
-        .groupBy("productname").agg(F.sum("quantity").alias("sold"))
-        .orderBy(F.col("sold").desc(), "productname").limit(5)
-    )
+def bestsellers_of_month(t: Tables) -> DataFrame:
+    return reports.bestsellers_of_month(shop(t), "1998-03-01")
 
 
 @query("global_count_and_distinct", """

@@ -141,7 +141,7 @@ FROM {FACT_SQL} f JOIN part ON p_partkey = productkey GROUP BY 2 ORDER BY 1""")
 def top_products_rank(t: Tables) -> DataFrame:
     products = star.dim_product(retail.products(t), categories(t)).select("productkey", "productname")
     sales = star.sales_by(item_fact(t), products, "productkey", "productname")
-    return ranks(sales, [], "sales", "product_rank").orderBy("product_rank")
+    return ranks(sales, [], "sales", "product_rank").orderBy("product_rank", "productname")
 
 
 @query("top_suppliers_rank", f"""
@@ -151,7 +151,7 @@ FROM {FACT_SQL} f JOIN supplier ON s_suppkey = supplierkey GROUP BY 2 ORDER BY 1
 def top_suppliers_rank(t: Tables) -> DataFrame:
     """Suppliers ranked by sales: the flagship report."""
     sales = star.sales_by(item_fact(t), star.dim_supplier(retail.suppliers(t)), "supplierkey", "suppliername")
-    return ranks(sales, [], "sales", "supplier_rank").orderBy("supplier_rank")
+    return ranks(sales, [], "sales", "supplier_rank").orderBy("supplier_rank", "suppliername")
 
 
 @query("avg_quantity_per_customer", f"""

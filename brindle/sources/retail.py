@@ -6,31 +6,27 @@ category is the part type, and a finished order counts as paid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.operators.retail import AMOUNT, Shop
 from brindle.sources.tables import Tables
 
 PRICE = "decimal(10,2)"
-AMOUNT = "decimal(18,2)"
 
 
-def amount_of(quantity: Column, price: Column) -> Column:
-    """Quantity times price; Spark widens the product, so cast it back."""
-    return (quantity * price).cast(AMOUNT)
+def headers(t: Tables) -> DataFrame:
+    """Purchases without their store, which takes a join to find."""
+    return t.orders.select(
+        F.col("o_orderkey").alias("purchaseid"),
+        F.col("o_orderdate").alias("purchasedatetime"),
+        F.col("o_custkey").alias("customerid"),
+    )
 
 
 def purchases(t: Tables) -> DataFrame:
-    stores = t.customer.select("c_custkey", F.col("c_nationkey").alias("storeid"))
-    return (
-        t.orders.select(
-            F.col("o_orderkey").alias("purchaseid"),
-            F.col("o_orderdate").alias("purchasedatetime"),
-            F.col("o_custkey").alias("customerid"),
-        )
-        .join(stores, F.col("customerid") == F.col("c_custkey"), "left")
-        .drop("c_custkey")
-    )
+    homes = t.customer.select(F.col("c_custkey").alias("customerid"), F.col("c_nationkey").alias("storeid"))
+    return headers(t).join(homes, "customerid", "left")
 
 
 def items(t: Tables) -> DataFrame:
@@ -82,3 +78,11 @@ def payments(t: Tables) -> DataFrame:
         F.when(urgency <= 2, "Card").when(urgency == 3, "Cash").otherwise("Voucher").alias("paymentmethod"),
         F.col("o_totalprice").cast(AMOUNT).alias("amount"),
     )
+
+
+def shop(t: Tables, with_stores: bool = False) -> Shop:
+    return Shop(
+        purchases=purchases(t) if with_stores else headers(t),
+        items=items(t), products=products(t), payments=payments(t), customers=customers(t),
+        stores=stores(t), product_suppliers=items(t), suppliers=suppliers(t),
+    )

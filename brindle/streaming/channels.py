@@ -40,20 +40,15 @@ def until_stop(messages: DataFrame, stop: str = STOP) -> DataFrame:
 def consume(messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: str = STOP) -> DataFrame:
     """Apply `work` to each micro-batch until a stop message; later ones stay unseen."""
     spark = messages.sparkSession
-    path = fresh_path(spark, "consumed")
-    store = to_batches(path)
-    stopped_in = None
+    path, stops = fresh_path(spark, "consumed"), fresh_path(spark, "stops")
+    store, note = to_batches(path), to_batches(stops)
 
     def handle(batch: DataFrame, number: int) -> None:
-        nonlocal stopped_in
-        batch = batch.persist()
-        try:
-            if stopped_in is None or number <= stopped_in:
-                if not batch.where(F.col("data") == stop).isEmpty():
-                    stopped_in = number
-                store(work(until_stop(batch, stop)), number)
-        finally:
-            batch.unpersist()
+        # The batch where the consumer stopped is kept on disk, for a restart.
+        if number > 0 and not spark.read.parquet(stops).where(F.col("batch") < number).isEmpty():
+            return
+        note(batch.where(F.col("data") == stop).agg(F.min("seq").alias("seq")).where(F.col("seq").isNotNull()), number)
+        store(work(until_stop(batch, stop)), number)
 
     drain(messages, handle)
     return spark.read.parquet(path)
