@@ -25,10 +25,11 @@ def dim_store(stores: DataFrame) -> DataFrame:
 
 def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Products with their category; a product without one is kept."""
-    return products.join(categories, "categoryname", "left").select(
+    known = categories.select("categoryname", F.col("categoryname").alias("category"))
+    return products.join(known, "categoryname", "left").select(
         F.col("productid").alias("productkey"),
         "productname",
-        F.when(F.col("categoryid").isNotNull(), F.col("categoryname")).alias("category"),
+        "category",
         "price",
         F.lit(None).cast("string").alias("brand"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.casts import cast_for_load
 from brindle.functions.dates import minute_of_day
 from brindle.operators import scd, star
-from brindle.operators.ordering import ranks, row_numbers
+from brindle.operators.ordering import ranks
 from brindle.registry import query
 from brindle.sinks import replace_all
 from brindle.sources import retail
@@ -27,8 +27,7 @@ FACT_SQL = f"""(SELECT l_orderkey AS saleid, datekey, c_nationkey AS storekey, l
 
 
 def categories(t: Tables) -> DataFrame:
-    names = t.part.select(F.col("p_type").alias("categoryname")).distinct()
-    return row_numbers(names, [], [F.col("categoryname")], "categoryid")
+    return t.part.select(F.col("p_type").alias("categoryname")).distinct()
 
 
 def dates(t: Tables) -> DataFrame:
