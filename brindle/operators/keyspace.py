@@ -80,6 +80,17 @@ def wide_to_hash(df: DataFrame, key: Column, fields: Sequence[str]) -> DataFrame
     return df.select(key.alias("key"), F.inline(pairs)).where(F.col("value").isNotNull())
 
 
+def fetch_fields(hashes: DataFrame, requests: DataFrame, *fields: str) -> DataFrame:
+    """The named fields (or all that exist) of every requested key as (key, field, value).
+
+    A named field that a key lacks has a NULL value.
+    """
+    if not fields:
+        return requests.join(hashes, "key").select("key", "field", "value")
+    named = F.explode(F.array(*[F.lit(f) for f in fields]))
+    return requests.withColumn("field", named).join(hashes, ["key", "field"], "left").select("key", "field", "value")
+
+
 # --- command log -----------------------------------------------------------------
 
 

@@ -57,10 +57,10 @@ def _by_grid(points: DataFrame, places: DataFrame, fields: list[str], identity:
     found = None
     for width in CELLS:
         cells = {f"_c{n}": F.floor(F.col(n) / width) for n in names}
-        spread = packed.withColumns(cells)
-        for c in cells:
-            spread = spread.withColumn(c, F.explode(F.transform(around, lambda i, c=c: F.col(c) + i)))
-        spread = spread.drop(*names)
+        spread = packed.withColumns(cells).drop(*names)
+        for c in cells:  # into the cells before, at and after its own
+            spread = spread.withColumn("_step", F.explode(around)).withColumn(c, F.col(c) + F.col("_step"))
+        spread = spread.drop("_step")
         met = open_points.withColumns(cells).join(spread, list(cells))
         km = haversine_km(F.col("lat"), F.col("lon"), F.col("_plat"), F.col("_plon"))
         best = met.groupBy(identity).agg(F.min(F.struct(km.alias("km"), F.col("_place").alias("place"))).alias("_best"))

@@ -141,6 +141,19 @@ def doc_match_lookup(t: Tables) -> DataFrame:
     )
 
 
+@query("doc_directed_collection", """
+SELECT DISTINCT s_suppkey AS directorid, s_name AS directorname, p_partkey AS filmid, p_name AS filmtitle
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey""")
+def doc_directed_collection(t: Tables) -> DataFrame:
+    """A collection of who directed what, built from two lookups."""
+    pairs = t.lineitem.select(F.col("l_suppkey").alias("directorid"), F.col("l_partkey").alias("filmid")).distinct()
+    directors = t.supplier.select("s_suppkey", "s_name")
+    named = lookup_unwind(pairs, directors, "directorid", "s_suppkey", "director")
+    titled = lookup_unwind(named, films(t).select("id", "title"), "filmid", "id", "film")
+    return titled.select("directorid", F.col("director.s_name").alias("directorname"), "filmid",
+                         F.col("film.title").alias("filmtitle"))
+
+
 @query("doc_add_to_set_match", f"""SELECT * FROM ({pages_sql(
     "SELECT p_name AS title, s_name AS v FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey",
     "title", "suppliers", 16)}) WHERE title LIKE 'red %' AND total >= 20""")

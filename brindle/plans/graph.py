@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.operators import graph as g
 from brindle.operators.nesting import collect_pages, pages_sql
 from brindle.registry import query
+from brindle.sinks import replace_all
 from brindle.sources import film_graph as src
 from brindle.sources.tables import Tables
 
@@ -20,9 +21,22 @@ def _actor(graph: g.Graph) -> DataFrame:
     return g.with_label(graph.nodes, "Person").where(F.col("name") == ACTOR).select("id")
 
 
-@query("graph_label_scan", "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)")
+@query("graph_label_scan", """
+SELECT c_custkey AS id, c_name AS name, 'Person+Director' AS labels FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)""")
 def graph_label_scan(t: Tables) -> DataFrame:
-    return g.with_label(src.film_graph(t).nodes, "Director").select("id", "name")
+    """Nodes with one label, and all their labels."""
+    return g.with_label(src.film_graph(t).nodes, "Director").select("id", "name", F.array_join("labels", "+").alias("labels"))
+
+
+@query("graph_bulk_load", f"""
+SELECT 'nodes' AS name, (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) AS rows
+UNION ALL SELECT 'edges', (SELECT count(*) FROM {ACTED_SQL}) + (SELECT count(*) FROM {DIRECTED_SQL})""")
+def graph_bulk_load(t: Tables) -> DataFrame:
+    """Nodes and edges written as one version and read back."""
+    graph = src.film_graph(t)
+    loaded = replace_all(t.spark, {"nodes": graph.nodes, "edges": graph.edges})
+    counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in loaded.items()]
+    return counts[0].unionByName(counts[1])
 
 
 @query("graph_distinct_labels", """

@@ -103,6 +103,15 @@ def kv_hash_fields(t: Tables) -> DataFrame:
     return wide.select("key", maps.as_text(maps.delete_fields(record, "error")).alias("fields"))
 
 
+@query("kv_hash_get", f"""
+SELECT 'user:' || c_custkey AS key, f AS field, CAST(value AS DOUBLE) AS value
+FROM customer CROSS JOIN (VALUES ('signup'), ('view')) v(f) LEFT JOIN {HASH_SQL} h ON h.key = 'user:' || c_custkey AND h.field = f""")
+def kv_hash_get(t: Tables) -> DataFrame:
+    """Two fields of every customer's hash; NULL where there is none."""
+    asked = t.customer.select(kv.key_of("user", F.col("c_custkey")).alias("key"))
+    return kv.fetch_fields(hashes(t), asked, "signup", "view")
+
+
 @query("kv_list_ops", """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
 p AS (SELECT doc_id, list_append(list_prepend('first', a), 'last') AS b, a[1] AS mark FROM d),

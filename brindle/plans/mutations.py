@@ -130,7 +130,7 @@ def doc_set_unset_inc(t: Tables) -> DataFrame:
 @query("doc_nested_set", """
 WITH a AS (SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Main street ' || c_custkey END AS street,
     CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'NATION_' || c_nationkey END AS country, c_acctbal FROM customer)
-SELECT id, name, CASE WHEN country IS NOT NULL AND c_acctbal < 3000 THEN 'Narva 99' ELSE street END AS street, country,
+SELECT id, name, CASE WHEN country IS NOT NULL AND c_acctbal < 3000 THEN 'Harbour 99' ELSE street END AS street, country,
   CASE WHEN name IN (SELECT s_name FROM supplier) OR c_acctbal > 8000 THEN true END AS known FROM a
 UNION ALL SELECT NULL, s_name, NULL, NULL, true FROM supplier WHERE s_name NOT IN (SELECT c_name FROM customer)""")
 def doc_nested_set(t: Tables) -> DataFrame:
@@ -142,7 +142,7 @@ def doc_nested_set(t: Tables) -> DataFrame:
         F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("country"),
     )
     out = ch.set_where(docs, F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), address=address)
-    out = ch.set_nested(out, F.col("c_acctbal") < 3000, "address", street=F.lit("Narva 99"))
+    out = ch.set_nested(out, F.col("c_acctbal") < 3000, "address", street=F.lit("Harbour 99"))
     rich = docs.where(F.col("c_acctbal") > 8000).select("name")
     out = ch.upsert_matching(out, rich.unionByName(t.supplier.select(F.col("s_name").alias("name"))),
                              "name", known=F.lit(True))

@@ -40,6 +40,18 @@ def epoch_threshold(t: Tables) -> DataFrame:
     return late.select(F.col("_c0").cast("bigint").alias("event_id"), F.col("_c2").cast("bigint").alias("modified"))
 
 
+@query("interval_increments", f"""
+SELECT {START} + ({EPOCH_SQL} - {START}) // 604800 * 604800 AS interval, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids
+FROM events WHERE {EPOCH_SQL} >= {START} AND {EPOCH_SQL} < {START} + 2 * 604800 GROUP BY 1""")
+def interval_increments(t: Tables) -> DataFrame:
+    """Weekly batches, one of them run twice: each week is stored once."""
+    rows = t.events.select("event_id", epoch_seconds(F.col("ts")).alias("modified"))
+    path, week = fresh_path(t.spark, "weeks"), 7 * 24 * 3600
+    for start in (START, START + week, START):
+        sinks.write_interval(p.in_interval(rows, "modified", start, start + week - 1), path, start)
+    return t.spark.read.parquet(path).groupBy("interval").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
+
+
 def _sheet(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("props").alias("piece"), F.col("event_type").alias("type"),
@@ -59,7 +71,7 @@ def interval_etl_split(t: Tables) -> DataFrame:
     def load():
         pieces, composers = p.split_sheet(batch, ["piece", "type"], "composer")
         base = fresh_path(t.spark, "sheet")
-        loaded_pieces = sinks.append(pieces, f"{base}/intavolature")
+        loaded_pieces = sinks.append(pieces, f"{base}/pieces")
         loaded_composers = sinks.append(composers, f"{base}/composer")
         counted = loaded_pieces.groupBy(F.lit("piece").alias("name"), F.col("piece").alias("value"), "type").agg(F.count("*").alias("rows"))
         return counted.unionByName(loaded_composers.select(

@@ -20,6 +20,7 @@ RUNTIME = {
 }
 
 _local_folder = None
+_scratch: set[str] = set()
 
 
 def build(app: str = "brindle", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,9 +65,22 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write `df` once and read it back.
 
     Cuts the lineage and pins values that a second run could change, such as
-    the partition a row landed in. Survives lost executors.
+    the partition a row landed in. Survives lost executors. The copy stays until
+    `clear_scratch`, because results that are read from it are lazy.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    _scratch.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the copies made by `materialize`, once no result needs them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    count = 0
+    while _scratch:
+        path = hadoop(_scratch.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        count += 1
+    return count

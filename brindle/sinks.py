@@ -43,6 +43,11 @@ def append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_interval(df: DataFrame, path: str, start: int) -> None:
+    """Store the rows of one interval; a second run of it replaces the first."""
+    df.write.mode("overwrite").parquet(f"{path}/interval={start}")
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with a header line and no index column."""
     # Without escaping of the quote mark by itself, texts that hold quotes do not come back.

@@ -65,10 +65,10 @@ def test_increment_of_a_text_fails(spark):
 
 
 def test_nested_set_and_upsert(spark, people):
-    address = F.struct(F.lit("UUS 70").alias("street"), F.lit("Estonia").alias("country"))
+    address = F.struct(F.lit("Main 70").alias("street"), F.lit("Norway").alias("country"))
     homes = ch.set_where(people, F.col("id") == 1, address=address)
-    moved = ch.set_nested(homes, F.lit(True), "address", street=F.lit("Narva 99"))
-    assert rows(moved, "id", "address.street", "address.country") == [(1, "Narva 99", "Estonia"), (2, None, None), (3, None, None)]
+    moved = ch.set_nested(homes, F.lit(True), "address", street=F.lit("Harbour 99"))
+    assert rows(moved, "id", "address.street", "address.country") == [(1, "Harbour 99", "Norway"), (2, None, None), (3, None, None)]
     asked = spark.createDataFrame([("liam@x",), ("kate@x",)], "email string")
     out = ch.upsert_matching(people, asked, "email", age=F.lit(7))
     assert rows(out, "id", "email", "age") == [(1, "ava@x", 10), (2, "liam@x", 7), (3, None, 30), (None, "kate@x", 7)]

@@ -49,13 +49,13 @@ END = date(9999, 12, 31)
 
 
 def test_type2_closes_and_adds(spark):
-    state = versions(spark, [(1, 1, "Tallinn", date(2025, 1, 1), END), (2, 2, "Tartu", date(2025, 1, 1), END)])
+    state = versions(spark, [(1, 1, "Oslo", date(2025, 1, 1), END), (2, 2, "Bergen", date(2025, 1, 1), END)])
     changes = spark.createDataFrame(
-        [(1, "Tartu", date(2025, 9, 21)), (2, "Tartu", date(2025, 9, 21))], "id long, city string, effective date")
+        [(1, "Bergen", date(2025, 9, 21)), (2, "Bergen", date(2025, 9, 21))], "id long, city string, effective date")
     out = scd.apply_type2(state, changes, "id", ["city"], "sk")
     expected = [
-        (1, 1, "Tallinn", date(2025, 1, 1), date(2025, 9, 20)), (2, 2, "Tartu", date(2025, 1, 1), END),
-        (3, 1, "Tartu", date(2025, 9, 21), END)]
+        (1, 1, "Oslo", date(2025, 1, 1), date(2025, 9, 20)), (2, 2, "Bergen", date(2025, 1, 1), END),
+        (3, 1, "Bergen", date(2025, 9, 21), END)]
     assert rows(out) == expected
     assert rows(scd.apply_type2(out, changes, "id", ["city"], "sk")) == expected  # idempotent
 
@@ -83,6 +83,6 @@ def test_type2_null_is_a_value(spark):
 
 
 def test_type1_overwrites(spark):
-    state = spark.createDataFrame([(1, "Tallinn"), (2, "Tartu")], "id long, city string")
-    changes = spark.createDataFrame([(1, "Tartu", date(2025, 1, 2)), (1, "Narva", date(2025, 1, 1))], "id long, city string, effective date")
-    assert rows(scd.apply_type1(state, changes, "id", ["city"])) == [(1, "Tartu"), (2, "Tartu")]
+    state = spark.createDataFrame([(1, "Oslo"), (2, "Bergen")], "id long, city string")
+    changes = spark.createDataFrame([(1, "Bergen", date(2025, 1, 2)), (1, "Harbour", date(2025, 1, 1))], "id long, city string, effective date")
+    assert rows(scd.apply_type1(state, changes, "id", ["city"])) == [(1, "Bergen"), (2, "Bergen")]
