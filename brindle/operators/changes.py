@@ -39,7 +39,7 @@ def returning(state: DataFrame, changes: DataFrame, key: str, columns: Sequence[
 def unused_only(changes: DataFrame, state: DataFrame, key: str, column: str) -> DataFrame:
     """Changes whose new value nobody holds; of several claims the lowest key wins."""
     first = changes.groupBy(column).agg(F.min(key).alias(key))
-    return first.join(state.select(column), column, "left_anti").select(key, column)
+    return first.join(state.select(column).distinct(), column, "left_anti").select(key, column)
 
 
 def matching_old(changes: DataFrame, state: DataFrame, key: str, column: str, expected: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.text import key_like
 from brindle.operators.ordering import previous, range_by_index, row_numbers, top_per_key
+from brindle.operators.skew import HOT_ROWS, join_totals
 
 
 def key_of(namespace: str, *parts: Column) -> Column:
@@ -94,15 +95,16 @@ def fetch_fields(hashes: DataFrame, requests: DataFrame, *fields: str) -> DataFr
 # --- command log -----------------------------------------------------------------
 
 
-def replay(log: DataFrame, on: Sequence[str]) -> DataFrame:
+def replay(log: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Final numbers of a log of `set`, `incr` and `del` commands.
 
     The last `set` or `del` of a key is its base: what came before is void. A key
     whose last word is a `del` is gone; increments after it start from 0.
     """
     absolute = F.when(F.col("op").isin("set", "del"), F.col("seq"))
-    bases = log.groupBy(*on).agg(F.max(absolute).alias("_base"))
-    counted = log.where(F.col("op").isin("set", "incr", "del")).join(bases, list(on))
+    log = log.where(F.col("op").isin("set", "incr", "del"))
+    bases = log.groupBy(*on).agg(F.max(absolute).alias("_base"), F.count("*").alias("_size"))
+    counted = join_totals(log, bases, on, "_size", hot_rows)
     current = counted.where(F.col("_base").isNull() | (F.col("seq") >= F.col("_base")))
     value = F.when(F.col("op") != "del", F.col("value"))
     totals = current.groupBy(*on).agg(F.sum(value).alias("value"), F.count(value).alias("_writes"))
@@ -200,6 +202,6 @@ def follow(references: DataFrame, hashes: DataFrame, on: Column, field: str, nam
 
 def allocate(requests: DataFrame, stock: DataFrame, item: str, order: Sequence[Column], quantity: str) -> DataFrame:
     """Accept the first `quantity` requests of each item and reject the others."""
-    placed = row_numbers(requests, [item], order, "_place")
-    joined = placed.join(stock.select(item, F.col(quantity).alias("_stock")), item, "left")
-    return joined.withColumn("accepted", F.col("_place") <= F.coalesce("_stock", F.lit(0))).drop("_place", "_stock")
+    on_hand = stock.select(item, F.col(quantity).alias("_stock"))
+    placed = row_numbers(requests, [item], order, "_place", per_key=on_hand)
+    return placed.withColumn("accepted", F.col("_place") <= F.coalesce("_stock", F.lit(0))).drop("_place", "_stock")

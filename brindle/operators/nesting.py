@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.hashing import stable_hash, stable_hash_sql
+from brindle.operators.skew import HOT_ROWS, join_totals
 
 PAGE_ROWS = 1000
 
@@ -24,6 +25,7 @@ def collect_pages(
     name: str,
     page_rows: int = PAGE_ROWS,
     page_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Members per key as sorted arrays, with `page` and the `total` of the key.
 
@@ -36,7 +38,7 @@ def collect_pages(
     sizes = members.groupBy(*keys).agg(F.count("*").alias("total"))
     pages = F.ceil(F.col("total") / page_rows)
     return (
-        members.join(sizes, list(keys))
+        join_totals(members, sizes, keys, "total", hot_rows)
         .withColumn("page", F.pmod(stable_hash(F.col("_by")), pages))
         .groupBy(*keys, "total", "page")
         .agg(F.array_sort(F.collect_list("_member")).alias(name))

@@ -33,10 +33,13 @@ def running_total(
     weight: Column,
     name: str,
     total: str | None = None,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Add the sum of `weight` over the earlier rows of the same key.
 
-    With `total`, also the sum over all rows of the key.
+    With `total`, also the sum over all rows of the key. With `per_key`, a table
+    that is unique by the keys, also its columns (NULL where a key is missing):
+    it is joined to the few rows per slab, not to the rows themselves.
     """
     slabs = _slabs(df.withColumn("_weight", weight), keys, order)
     earlier_slabs = Window.partitionBy(*keys).orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
@@ -47,6 +50,8 @@ def running_total(
     )
     if total is not None:
         offsets = offsets.withColumn(total, F.sum("_slab_weight").over(Window.partitionBy(*keys)))
+    if per_key is not None:
+        offsets = offsets.join(per_key, list(keys), "left")
     offsets = offsets.drop("_slab_weight")
     earlier_rows = (
         Window.partitionBy(*keys, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,12 +70,13 @@ def row_numbers(
     name: str,
     start: int = 1,
     total: str | None = None,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each key; with no keys, number the whole table.
 
     `order` should tell rows apart, or equal rows share one slab.
     """
-    counted = running_total(df, keys, order, F.lit(1).cast("bigint"), name, total)
+    counted = running_total(df, keys, order, F.lit(1).cast("bigint"), name, total, per_key)
     return counted.withColumn(name, F.col(name) + F.lit(start))
 
 

@@ -58,7 +58,7 @@ def unpaid(shop: Shop) -> DataFrame:
 
 
 def without_items(shop: Shop) -> DataFrame:
-    return shop.purchases.join(shop.items.select("purchaseid"), "purchaseid", "left_anti")
+    return shop.purchases.join(shop.items.select("purchaseid").distinct(), "purchaseid", "left_anti")
 
 
 def last_purchases(shop: Shop, count: int = 5) -> DataFrame:

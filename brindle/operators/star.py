@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,14 +78,16 @@ def fact_sales(
     purchases: DataFrame | None = None,
     payments: DataFrame | None = None,
     dates: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per purchase item; an unpaid purchase has no payment key.
 
     A report that needs no key of a table leaves that table out and saves its
-    join. Payments and dates need `purchases`.
+    join. Payments and dates need `purchases`. `keep` names product columns that
+    come along, so that a report on them need not join the products again.
     """
     amount = (F.col("quantity") * F.col("price")).cast("decimal(18,2)")
-    fact = items.join(products.select("productid", "price"), "productid", "left").withColumn("salesamount", amount)
+    fact = items.join(products.select("productid", "price", *keep), "productid", "left").withColumn("salesamount", amount)
     if purchases is not None:
         headers = purchases
         if payments is not None:

@@ -178,13 +178,11 @@ SELECT month, day, category, storekey, CAST(sum(salesamount) AS DOUBLE) AS sales
 GROUP BY GROUPING SETS ((month, storekey), (day, storekey), (category))""")
 def sales_grouping_sets(t: Tables) -> DataFrame:
     """Monthly, daily and category sales from one pass over the fact."""
-    products = star.dim_product(retail.products(t), categories(t)).select("productkey", "category")
     days = dates(t)
-    calendar = days.select("datekey", "month", "day")
+    sales = star.fact_sales(retail.items(t), retail.products(t), retail.purchases(t), dates=days, keep=["categoryname"])
     fine = (
-        store_fact(t, days).join(products, "productkey")
-        .groupBy("datekey", "storekey", "category").agg(F.sum("salesamount").alias("sales"))
-        .join(calendar, "datekey")
+        sales.groupBy("datekey", "storekey", F.col("categoryname").alias("category")).agg(F.sum("salesamount").alias("sales"))
+        .join(days.select("datekey", "month", "day"), "datekey")
         .groupBy("month", "day", "storekey", "category").agg(F.sum("sales").alias("sales"))
     )
     sets = [["month", "storekey"], ["day", "storekey"], ["category"]]

@@ -82,6 +82,8 @@ def test_pages_hold_the_whole_group(spark):
     assert sorted(i for r in hot.collect() for i in r.ids) == list(range(0, 5000, 3))
     assert {r.total for r in hot.collect()} == {1667}
     assert pages.select(F.explode("ids")).count() == 5000
+    split = nesting.collect_pages(df, ["k"], F.col("id"), "ids", page_rows=100, hot_rows=1000)
+    assert rows(split) == rows(pages)
 
 
 def test_pages_keep_repeats_when_asked(spark):

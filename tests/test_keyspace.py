@@ -81,6 +81,7 @@ def test_replay(spark):
          (5, "incr", "fresh", 3.0), (6, "incr", "fresh", 4.0), (7, "del", "back", None), (8, "incr", "back", 2.0),
          (9, "set", "over", 1.0), (10, "incr", "over", 9.0), (11, "set", "over", 7.0)],
         "seq int, op string, key string, value double")
+    assert rows(kv.replay(log, ["key"], hot_rows=2)) == rows(kv.replay(log, ["key"]))
     assert rows(kv.replay(log, ["key"])) == [("back", 2.0), ("fresh", 7.0), ("gold", 4025.0), ("over", 7.0)]
 
 
