@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.ordering import top_per_key
+from brindle.operators.skew import plain_side
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,7 @@ def both_types(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 def without(edges: DataFrame, edge_type: str, forbidden: str) -> DataFrame:
     """Edges of a type whose source has no edge of the forbidden type."""
-    barred = edges.where(F.col("type") == forbidden).select("src").distinct()
+    barred = plain_side(edges.where(F.col("type") == forbidden).select("src").distinct())
     return edges.where(F.col("type") == edge_type).join(barred, "src", "left_anti")
 
 
@@ -137,7 +138,7 @@ def merge_edges(edges: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def detach_delete(graph: Graph, predicate: Column) -> Graph:
     """Delete nodes together with every edge that touches them."""
-    doomed = graph.nodes.where(F.coalesce(predicate, F.lit(False))).select("id")
+    doomed = plain_side(graph.nodes.where(F.coalesce(predicate, F.lit(False))).select("id"))
     kept = graph.nodes.join(doomed, "id", "left_anti")
     edges = graph.edges
     for end in ("src", "dst"):

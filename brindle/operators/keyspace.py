@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.text import key_like
 from brindle.operators.ordering import previous, range_by_index, row_numbers, top_per_key
-from brindle.operators.skew import HOT_ROWS, join_totals
+from brindle.operators.skew import HOT_ROWS, join_totals, plain_side
 
 
 def key_of(namespace: str, *parts: Column) -> Column:
@@ -34,7 +34,7 @@ def get_many(store: DataFrame, requests: DataFrame) -> DataFrame:
 
 def exists_many(store: DataFrame, requests: DataFrame, on: Sequence[str] = ("key",)) -> DataFrame:
     """`present` for every request: is the key, or the (key, member), in the store?"""
-    known = store.select(*on).distinct().withColumn("present", F.lit(True))
+    known = plain_side(store.select(*on).distinct()).withColumn("present", F.lit(True))
     return requests.join(known, list(on), "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 

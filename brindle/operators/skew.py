@@ -1,4 +1,9 @@
-"""Joining per-key numbers back to the rows they were made from."""
+"""Joins whose larger side may have most of its rows under one key.
+
+Spark splits such a key at runtime (`spark.sql.adaptive.skewJoin`), but only where
+both sides of the join come straight out of a shuffle. Where one side is an
+aggregate or another join, these functions keep the hot key apart.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.session import materialize
+
 HOT_ROWS = 10_000_000  # a key with more rows is never brought together by a join
 
 
@@ -15,13 +22,21 @@ def join_totals(
 ) -> DataFrame:
     """Add to each row the `totals` of its key, of which `size` is the key's row count.
 
-    Spark does not split a hot key where one side of a join is an aggregate. So the
-    totals of hot keys are broadcast and their rows stay where they are. There can
-    be no more hot keys than rows / hot_rows, which bounds the broadcast: a trillion
-    rows have at most a hundred thousand. The other keys are joined as usual.
+    The totals of hot keys are broadcast and their rows stay where they are. There
+    can be no more hot keys than rows / hot_rows, which bounds the broadcast: a
+    trillion rows have at most a hundred thousand. Other keys are joined as usual.
     """
     keys = list(keys)
     hot = F.broadcast(totals.where(F.col(size) > hot_rows))
     cold = totals.where(F.col(size) <= hot_rows)
     rest = df.join(hot.select(*keys), keys, "left_anti")
     return df.join(hot, keys).unionByName(rest.join(cold, keys))
+
+
+def plain_side(df: DataFrame) -> DataFrame:
+    """The smaller side of a join as a written table.
+
+    Spark then knows its size before it chooses the join, and can split hot keys
+    of the other side.
+    """
+    return materialize(df, "side")

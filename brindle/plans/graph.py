@@ -25,7 +25,7 @@ def _actor(graph: g.Graph) -> DataFrame:
 SELECT c_custkey AS id, c_name AS name, 'Person+Director' AS labels FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)""")
 def graph_label_scan(t: Tables) -> DataFrame:
     """Nodes with one label, and all their labels."""
-    return g.with_label(src.film_graph(t).nodes, "Director").select("id", "name", F.array_join("labels", "+").alias("labels"))
+    return g.with_label(src.film_graph(t, all_labels=True).nodes, "Director").select("id", "name", F.array_join("labels", "+").alias("labels"))
 
 
 @query("graph_bulk_load", f"""
@@ -33,7 +33,7 @@ SELECT 'nodes' AS name, (SELECT count(*) FROM customer) + (SELECT count(*) FROM
 UNION ALL SELECT 'edges', (SELECT count(*) FROM {ACTED_SQL}) + (SELECT count(*) FROM {DIRECTED_SQL})""")
 def graph_bulk_load(t: Tables) -> DataFrame:
     """Nodes and edges written as one version and read back."""
-    graph = src.film_graph(t)
+    graph = src.film_graph(t, all_labels=True)
     loaded = replace_all(t.spark, {"nodes": graph.nodes, "edges": graph.edges})
     counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in loaded.items()]
     return counts[0].unionByName(counts[1])
@@ -44,7 +44,7 @@ SELECT CASE WHEN s_suppkey IS NULL THEN 'Person' ELSE 'Director+Person' END AS l
 FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey GROUP BY 1
 UNION ALL SELECT 'Film', count(*) FROM part""")
 def graph_distinct_labels(t: Tables) -> DataFrame:
-    return g.label_sets(src.film_graph(t).nodes)
+    return g.label_sets(src.film_graph(t, all_labels=True).nodes)
 
 
 @query("graph_remove_label", """
@@ -53,7 +53,7 @@ UNION ALL SELECT 'Person+Regular', count(*) FROM customer WHERE c_mktsegment = '
 def graph_remove_label(t: Tables) -> DataFrame:
     """Take the Director label away and mark some people with another one."""
     regulars = t.customer.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("id"), F.lit(True).alias("regular"))
-    people = src.people(t).join(regulars, "id", "left")
+    people = src.labelled_people(t).join(regulars, "id", "left")
     people = g.add_label(g.remove_label(people, "Director"), F.col("regular"), "Regular")
     return g.label_sets(people)
 
@@ -63,7 +63,7 @@ SELECT CASE WHEN s_suppkey IS NULL THEN 'Person' ELSE 'Director+Person' END AS s
 FROM (SELECT src, 'ACTED_IN' AS type FROM {ACTED_SQL} UNION ALL SELECT src, 'DIRECTED' FROM {DIRECTED_SQL})
 JOIN customer ON c_custkey = src LEFT JOIN supplier ON s_suppkey = c_custkey GROUP BY 1, 2""")
 def graph_schema(t: Tables) -> DataFrame:
-    return g.schema(src.film_graph(t))
+    return g.schema(src.film_graph(t, all_labels=True))
 
 
 @query("graph_one_hop", f"""
@@ -262,7 +262,7 @@ SELECT name, 'Person' AS label, false AS created FROM (SELECT c_name AS name FRO
 UNION ALL SELECT name, 'Person', true FROM wanted WHERE name NOT IN (SELECT c_name FROM customer)""")
 def graph_merge(t: Tables) -> DataFrame:
     """Match or create people by name: the nodes afterwards, and which are new."""
-    nodes = src.people(t).select("id", "labels", "name").withColumn("created", F.lit(False))
+    nodes = src.people(t).withColumn("created", F.lit(False))
     known = F.concat(F.lit("Customer#"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0"))
     wanted = t.supplier.select(
         F.array(F.lit("Person")).alias("labels"),
@@ -300,7 +300,7 @@ def graph_from_relational(t: Tables) -> DataFrame:
     """Foreign keys and junction rows become edges, the country column becomes nodes."""
     countries = t.nation.select(
         (F.col("n_nationkey") + src.COUNTRY_BASE).alias("id"), F.array(F.lit("Country")).alias("labels"), F.col("n_name").alias("name"))
-    nodes = src.people(t).drop("country").unionByName(src.films(t), allowMissingColumns=True).unionByName(countries, allowMissingColumns=True)
+    nodes = src.people(t).unionByName(src.films(t), allowMissingColumns=True).unionByName(countries, allowMissingColumns=True)
     lives = t.customer.select(
         F.col("c_custkey").alias("src"), (F.col("c_nationkey") + src.COUNTRY_BASE).alias("dst"), F.lit("LIVES_IN").alias("type"))
     bought = src.reviews(t).select("src", "dst", F.lit("BOUGHT").alias("type"), F.col("rating").alias("weight"))

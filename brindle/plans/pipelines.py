@@ -16,6 +16,7 @@ from brindle.operators import sampling, sessions
 from brindle.operators.documents import exact_mean
 from brindle.operators.nearest import nearest
 from brindle.operators.ordering import top_per_key
+from brindle.operators.skew import plain_side
 from brindle.registry import query
 from brindle.session import fresh_path
 from brindle.sources import files
@@ -252,7 +253,7 @@ SELECT page_id, host, host IN (SELECT host FROM h WHERE plain) AS blacklisted FR
 def blacklist_semi_anti(t: Tables) -> DataFrame:
     """Pages of blacklisted hosts and the others; a host seen over plain http is listed."""
     pages = t.pages.select("page_id", F.regexp_extract("url", "^https?://([^/:?#]+)", 1).alias("host"), F.col("url").startswith("http://").alias("plain"))
-    listed = pages.where("plain").select("host").distinct()
+    listed = plain_side(pages.where("plain").select("host").distinct())
     blocked = pages.join(listed, "host", "left_semi").select("page_id", "host", F.lit(True).alias("blacklisted"))
     return blocked.unionByName(pages.join(listed, "host", "left_anti").select("page_id", "host", F.lit(False).alias("blacklisted")))
 

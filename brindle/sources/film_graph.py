@@ -19,11 +19,15 @@ COUNTRY_BASE = 3_000_000_000_000
 
 
 def people(t: Tables) -> DataFrame:
+    """People as plain nodes, without the labels that take a join to find."""
+    return t.customer.select(
+        F.col("c_custkey").alias("id"), F.array(F.lit("Person")).alias("labels"), F.col("c_name").alias("name"))
+
+
+def labelled_people(t: Tables) -> DataFrame:
     directors = t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("Director").alias("_director"))
     labels = F.array_compact(F.array(F.lit("Person"), F.col("_director")))
-    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_nationkey").join(
-        directors, "id", "left"
-    ).select("id", labels.alias("labels"), "name", F.col("c_nationkey").alias("country"))
+    return people(t).drop("labels").join(directors, "id", "left").select("id", labels.alias("labels"), "name")
 
 
 def films(t: Tables) -> DataFrame:
@@ -59,7 +63,8 @@ def directed(t: Tables) -> DataFrame:
     ).distinct().withColumn("type", F.lit("DIRECTED"))
 
 
-def film_graph(t: Tables) -> Graph:
+def film_graph(t: Tables, all_labels: bool = False) -> Graph:
     """People, films, and who acted in or directed which film."""
-    nodes = people(t).drop("country").unionByName(films(t), allowMissingColumns=True)
+    persons = labelled_people(t) if all_labels else people(t)
+    nodes = persons.unionByName(films(t), allowMissingColumns=True)
     return Graph(nodes, acted(t).unionByName(directed(t)))
