@@ -17,6 +17,12 @@ def in_interval(df: DataFrame, epoch: str, start: int, end: int) -> DataFrame:
     return df.where(F.col(epoch).between(start, end))
 
 
+def in_time_interval(df: DataFrame, ts: str, start: int, end: int) -> DataFrame:
+    """The same for a timestamp column, whole seconds counted; the scan can use the bounds."""
+    first, after = [F.timestamp_seconds(F.lit(s)).cast("timestamp_ntz") for s in (start, end + 1)]
+    return df.where((F.col(ts) >= first) & (F.col(ts) < after))
+
+
 def after_epoch(df: DataFrame, position: int, epoch: int) -> DataFrame:
     """Rows whose column at `position` is a number above `epoch`; a header row is none."""
     return df.where(to_int(F.col(df.columns[position])) > epoch)

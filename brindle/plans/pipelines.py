@@ -28,8 +28,8 @@ EPOCH_SQL = "CAST(floor(epoch(ts)) AS BIGINT)"
 
 @query("interval_filter", f"SELECT event_id, event_type, {EPOCH_SQL} AS modified FROM events WHERE {EPOCH_SQL} BETWEEN {START} AND {END}")
 def interval_filter(t: Tables) -> DataFrame:
-    rows = t.events.select("event_id", "event_type", epoch_seconds(F.col("ts")).alias("modified"))
-    return p.in_interval(rows, "modified", START, END)
+    rows = p.in_time_interval(t.events, "ts", START, END)
+    return rows.select("event_id", "event_type", epoch_seconds(F.col("ts")).alias("modified"))
 
 
 @query("epoch_threshold", f"SELECT event_id, {EPOCH_SQL} AS modified FROM events WHERE {EPOCH_SQL} > {START}")
@@ -46,10 +46,10 @@ SELECT {START} + ({EPOCH_SQL} - {START}) // 604800 * 604800 AS interval, count(*
 FROM events WHERE {EPOCH_SQL} >= {START} AND {EPOCH_SQL} < {START} + 2 * 604800 GROUP BY 1""")
 def interval_increments(t: Tables) -> DataFrame:
     """Weekly batches, one of them run twice: each week is stored once."""
-    rows = t.events.select("event_id", epoch_seconds(F.col("ts")).alias("modified"))
+    rows = t.events.select("event_id", "ts")
     path, week = fresh_path(t.spark, "weeks"), 7 * 24 * 3600
     for start in (START, START + week, START):
-        sinks.write_interval(p.in_interval(rows, "modified", start, start + week - 1), path, start)
+        sinks.write_interval(p.in_time_interval(rows, "ts", start, start + week - 1), path, start)
     return t.spark.read.parquet(path).groupBy("interval").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
 
 
