@@ -41,13 +41,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.
+    """The shared folder named by `spark.checkpoint.dir`, or set on the context.
 
     A local session without the setting gets a folder of its own, removed when
     Python ends. A cluster session must name one that every executor can reach.
     """
     global _local_folder
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.text import key_like, part_of
-from brindle.session import fresh_path
-from brindle.streaming.runner import drain, to_batches
+from brindle.streaming.runner import drain, home_of, stored, to_batches
 
 STOP = "KILL"  # fixed value: the message that ends a consumer
 
@@ -37,10 +36,12 @@ def until_stop(messages: DataFrame, stop: str = STOP) -> DataFrame:
     return messages.where(end.isNull() | (F.col("seq") < end))
 
 
-def consume(messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: str = STOP) -> DataFrame:
+def consume(
+    messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: str = STOP, home: str | None = None
+) -> DataFrame:
     """Apply `work` to each micro-batch until a stop message; later ones stay unseen."""
-    spark = messages.sparkSession
-    path, stops = fresh_path(spark, "consumed"), fresh_path(spark, "stops")
+    spark, home = messages.sparkSession, home_of(messages, home)
+    path, stops = f"{home}/out", f"{home}/stops"
     store, note = to_batches(path), to_batches(stops)
 
     def handle(batch: DataFrame, number: int) -> None:
@@ -50,5 +51,5 @@ def consume(messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: s
         note(batch.where(F.col("data") == stop).agg(F.min("seq").alias("seq")).where(F.col("seq").isNotNull()), number)
         store(work(until_stop(batch, stop)), number)
 
-    drain(messages, handle)
-    return spark.read.parquet(path)
+    drain(messages, handle, home=home)
+    return stored(spark, path, work(spark.createDataFrame([], messages.schema)))

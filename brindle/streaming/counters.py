@@ -9,21 +9,21 @@ from brindle.operators.keyspace import last_write, leaderboard
 from brindle.streaming.runner import drained
 
 
-def counters(changes: DataFrame) -> DataFrame:
+def counters(changes: DataFrame, home: str | None = None) -> DataFrame:
     """Totals per (key, field) of a stream of increments.
 
     Each micro-batch writes only the totals it changed; the newest one counts.
     """
     totals = changes.groupBy("key", "field").agg(F.sum("delta").alias("value"), F.count("*").alias("writes"))
-    changed = drained(totals, mode="update")
+    changed = drained(totals, mode="update", home=home)
     newest = changed.withColumn("now", F.struct("value", "writes"))
     return last_write(newest, ["key", "field"], "now", "batch").select("key", "field", "now.value", "now.writes")
 
 
-def live_leaderboard(changes: DataFrame, top: int) -> DataFrame:
+def live_leaderboard(changes: DataFrame, top: int, home: str | None = None) -> DataFrame:
     """The best members per key after the last micro-batch."""
     scores = changes.groupBy("key", "member").agg(F.sum("delta").alias("score"))
-    boards = drained(scores, mode="complete", shape=lambda batch: leaderboard(batch, top))
+    boards = drained(scores, mode="complete", shape=lambda batch: leaderboard(batch, top), home=home)
     last = boards.agg(F.max("batch").alias("batch")).scalar()
     return boards.where(F.col("batch") == last).drop("batch")
 

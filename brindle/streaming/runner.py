@@ -1,13 +1,15 @@
 """Running a stream to the end of its input and reading what it wrote.
 
-Results go to the shared work folder, by micro-batch. A batch that runs again
-after a failure overwrites its own folder, so nothing counts twice.
+Results go to a folder by micro-batch. A batch that runs again after a failure
+overwrites its own folder, so nothing counts twice. A stream that is given a `home`
+goes on there the next time it runs; without one it starts afresh.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.session import fresh_path
@@ -20,11 +22,15 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return spark.readStream.schema(schema).options(**options).format(fmt).load(folder)
 
 
-def drain(stream: DataFrame, handler: Handler, mode: str = "append") -> None:
+def home_of(stream: DataFrame, home: str | None) -> str:
+    return home or fresh_path(stream.sparkSession, "stream")
+
+
+def drain(stream: DataFrame, handler: Handler, mode: str = "append", home: str | None = None) -> None:
     """Hand every micro-batch to `handler` until the waiting input is used up."""
-    checkpoint = fresh_path(stream.sparkSession, "checkpoint")
     writer = stream.writeStream.outputMode(mode).foreachBatch(handler)
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    writer = writer.option("checkpointLocation", f"{home_of(stream, home)}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def to_batches(path: str) -> Handler:
@@ -36,11 +42,19 @@ def to_batches(path: str) -> Handler:
     return handle
 
 
-def drained(stream: DataFrame, mode: str = "append", shape=None) -> DataFrame:
-    """Everything a stream emits, with its `batch` number; `shape` is applied per batch."""
-    spark = stream.sparkSession
-    path = fresh_path(spark, "stream")
-    store = to_batches(path)
-    handler = store if shape is None else lambda batch, number: store(shape(batch), number)
-    drain(stream, handler, mode)
-    return spark.read.parquet(path)
+def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """What `to_batches` stored, with its `batch`; no rows where no batch came."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        empty = spark.createDataFrame([], like.schema)
+        return empty.selectExpr("*", "0 AS batch")
+
+
+def drained(stream: DataFrame, mode: str = "append", shape=None, home: str | None = None) -> DataFrame:
+    """Everything a stream has emitted, with its `batch`; `shape` is applied per batch."""
+    spark, home = stream.sparkSession, home_of(stream, home)
+    store = to_batches(f"{home}/out")
+    shape = shape or (lambda batch: batch)
+    drain(stream, lambda batch, number: store(shape(batch), number), mode, home)
+    return stored(spark, f"{home}/out", shape(spark.createDataFrame([], stream.schema)))

@@ -8,19 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.keyspace import allocate
-from brindle.session import fresh_path
-from brindle.streaming.runner import drain
+from brindle.streaming.runner import drain, home_of, stored
 
 
-def sell(requests: DataFrame, stock: DataFrame, item: str, order: Sequence[Column], quantity: str) -> DataFrame:
+def sell(
+    requests: DataFrame,
+    stock: DataFrame,
+    item: str,
+    order: Sequence[Column],
+    quantity: str,
+    home: str | None = None,
+) -> DataFrame:
     """Each request, accepted while stock lasts.
 
     The state is what every item sold up to a micro-batch, one table per batch.
     A batch is served by the distributed numbering of `allocate`, so one item
     with most of the requests does not end up in one task.
     """
-    spark = requests.sparkSession
-    decisions, sold = fresh_path(spark, "decisions"), fresh_path(spark, "sold")
+    spark, home = requests.sparkSession, home_of(requests, home)
+    decisions, sold = f"{home}/out", f"{home}/sold"
 
     def handle(batch: DataFrame, number: int) -> None:
         left = stock.select(item, F.col(quantity).cast("bigint").alias("_left"))
@@ -34,5 +40,6 @@ def sell(requests: DataFrame, stock: DataFrame, item: str, order: Sequence[Colum
             counts = before.unionByName(counts).groupBy(item).agg(F.sum("sold").alias("sold"))
         counts.write.mode("overwrite").parquet(f"{sold}/batch={number}")
 
-    drain(requests, handle)
-    return spark.read.parquet(decisions)
+    drain(requests, handle, home=home)
+    undecided = spark.createDataFrame([], requests.schema).withColumn("accepted", F.lit(True))
+    return stored(spark, decisions, undecided)

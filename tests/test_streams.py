@@ -78,6 +78,26 @@ def test_stock_over_batches_equals_one_batch(spark):
     assert rows(sold, "item", "at", "accepted") == rows(at_once, "item", "at", "accepted")
 
 
+def test_streams_go_on_where_they_stopped(spark):
+    folder, home, shop_home = fresh_path(spark, "in"), fresh_path(spark, "home"), fresh_path(spark, "home")
+    on_hand = spark.createDataFrame([(0, 4)], "item long, quantity int")
+
+    def more(first, count):
+        spark.range(first, first + count).selectExpr("id - id AS item", "id AS at").coalesce(1).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, "item long, at long")
+        changes = stream.selectExpr("'k' AS key", "'f' AS field", "at - at + 1 AS delta")
+        sold = stock.sell(stream, on_hand, "item", [F.col("at")], "quantity", home=shop_home)
+        return rows(counters.counters(changes, home=home), "value"), sold.where("accepted").count(), sold.count()
+
+    assert more(0, 3) == ([(3,)], 3, 3)
+    assert more(3, 5) == ([(8,)], 4, 8)
+
+
+def test_no_input_no_rows(spark, tmp_path):
+    nothing = file_stream(spark, str(tmp_path), "id long")
+    assert rows(drained(nothing)) == [] and drained(nothing).columns == ["id", "batch"]
+
+
 def test_handler_sees_every_batch_once(spark):
     seen = []
     drain(arriving(spark, spark.range(3), spark.range(5)), lambda batch, number: seen.append((number, batch.count())))
