@@ -20,9 +20,3 @@ def on_unit_sphere(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
     phi, lam = F.radians(lat), F.radians(lon)
     return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
 
-
-def chord_km(chord: float) -> float:
-    """Great-circle length that belongs to a straight chord of the unit sphere."""
-    import math
-
-    return 2 * EARTH_KM * math.asin(min(chord / 2, 1.0))

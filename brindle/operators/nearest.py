@@ -1,16 +1,22 @@
-"""Nearest place to each point on the globe."""
+"""Nearest place to each point on the globe.
+
+Candidates are compared by the straight line through the globe, which grows with
+the distance on it and costs no trigonometry per pair. Only the winner's distance
+is worked out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions.geo import chord_km, haversine_km, on_unit_sphere
+from brindle.functions.geo import haversine_km, on_unit_sphere
 from brindle.session import materialize
 
-MOST_PLACES = 2000  # places that travel with the plan; more go by grid
+MOST_PLACES = 500  # places that travel with the plan; more go by grid
 # Cell widths on the unit sphere, from about 30 m to the whole globe.
 CELLS = (5e-6, 4e-5, 3.2e-4, 2.56e-3, 0.02, 0.16, 2.0)
+_AXES = ("_x", "_y", "_z")
 
 
 def nearest(points: DataFrame, places: DataFrame, identity: str, most_places: int = MOST_PLACES) -> DataFrame:
@@ -20,56 +26,53 @@ def nearest(points: DataFrame, places: DataFrame, identity: str, most_places: in
     go to the first place in column order.
     """
     fields = [c for c in places.columns if c not in ("lat", "lon")]
-    if places.limit(most_places + 1).count() <= most_places:
-        return _by_array(points, places, fields)
-    return _by_grid(points, places, fields, identity)
+    # Of several places at one spot the first one wins every tie.
+    spots = places.groupBy("lat", "lon").agg(F.min(F.struct(*fields)).alias("place"))
+    spots = _on_sphere(spots).select(F.struct(*_AXES, "place", "lat", "lon").alias("spot"))
+    few = places.limit(most_places + 1).count() <= most_places
+    best = _by_array(points, spots) if few else _by_grid(points, spots, identity)
+    km = haversine_km(F.col("lat"), F.col("lon"), F.col("_best.lat"), F.col("_best.lon"))
+    return best.select(*points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], km.alias("km"))
 
 
-def _by_array(points: DataFrame, places: DataFrame, fields: list[str]) -> DataFrame:
-    """Few places: each point is measured against all of them in place, with no join."""
-    packed = places.agg(F.collect_list(F.struct("lat", "lon", F.struct(*fields).alias("place")))).scalar()
+def _on_sphere(df: DataFrame) -> DataFrame:
+    return df.withColumns(dict(zip(_AXES, on_unit_sphere(F.col("lat"), F.col("lon")))))
+
 
-    def measured(p):
-        km = haversine_km(F.col("lat"), F.col("lon"), p["lat"], p["lon"])
-        return F.struct(km.alias("km"), p["place"].alias("place"))
+def _candidate(spot: Column) -> Column:
+    """A spot with its squared chord to the row's point in front, so that the least struct is nearest."""
+    steps = [F.col(a) - spot[a] for a in _AXES]
+    chord = sum((s * s for s in steps[1:]), steps[0] * steps[0])
+    return F.struct(chord.alias("chord"), spot["place"].alias("place"), spot["lat"].alias("lat"), spot["lon"].alias("lon"))
 
-    best = F.array_min(F.transform("_places", measured))
-    return points.withColumn("_places", packed).withColumn("_best", best).select(
-        *points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], F.col("_best.km").alias("km")
-    )
+
+def _by_array(points: DataFrame, spots: DataFrame) -> DataFrame:
+    """Few places: each point is measured against all of them in place, with no join."""
+    packed = spots.agg(F.collect_list("spot")).scalar()
+    measured = F.array_min(F.transform("_spots", _candidate))
+    return _on_sphere(points).withColumn("_spots", packed).withColumn("_best", measured)
 
 
-def _by_grid(points: DataFrame, places: DataFrame, fields: list[str], identity: str) -> DataFrame:
+def _by_grid(points: DataFrame, spots: DataFrame, identity: str) -> DataFrame:
     """Many places: points meet the places of their own and the adjoining cells.
 
     A place outside those cells is further than one cell width, so a nearer match
     is final. Points without one try again with wider cells; the widest cells
     cover the globe.
     """
-    names = ("_x", "_y", "_z")
-    place_at = dict(zip(names, on_unit_sphere(F.col("_plat"), F.col("_plon"))))
-    point_at = dict(zip(names, on_unit_sphere(F.col("lat"), F.col("lon"))))
-    # Of several places at one spot the first one wins every tie.
-    packed = places.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min(F.struct(*fields)).alias("_place"))
-    packed = packed.withColumns(place_at)
     around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    open_points = points.select(identity, "lat", "lon").withColumns(point_at)
+    open_points = _on_sphere(points.select(identity, "lat", "lon")).drop("lat", "lon")
     found = None
     for width in CELLS:
-        cells = {f"_c{n}": F.floor(F.col(n) / width) for n in names}
-        spread = packed.withColumns(cells).drop(*names)
+        cells = [f"_c{a}" for a in _AXES]
+        spread = spots.withColumns({c: F.floor(F.col(f"spot.{a}") / width) for c, a in zip(cells, _AXES)})
         for c in cells:  # into the cells before, at and after its own
-            spread = spread.withColumn("_step", F.explode(around)).withColumn(c, F.col(c) + F.col("_step"))
-        spread = spread.drop("_step")
-        met = open_points.withColumns(cells).join(spread, list(cells))
-        km = haversine_km(F.col("lat"), F.col("lon"), F.col("_plat"), F.col("_plon"))
-        best = met.groupBy(identity).agg(F.min(F.struct(km.alias("km"), F.col("_place").alias("place"))).alias("_best"))
+            spread = spread.withColumn("_step", F.explode(around)).withColumn(c, F.col(c) + F.col("_step")).drop("_step")
+        placed = open_points.withColumns({c: F.floor(F.col(a) / width) for c, a in zip(cells, _AXES)})
+        best = placed.join(spread, cells).groupBy(identity).agg(F.min(_candidate(F.col("spot"))).alias("_best"))
         if width < CELLS[-1]:
-            best = best.where(F.col("_best.km") <= F.lit(chord_km(width)))
+            best = best.where(F.col("_best.chord") <= width * width)
         best = materialize(best, "nearest")
         found = best if found is None else found.unionByName(best)
         open_points = open_points.join(best.select(identity), identity, "left_anti")
-    return points.join(found, identity).select(
-        *points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], F.col("_best.km").alias("km")
-    )
-
+    return points.join(found, identity)
