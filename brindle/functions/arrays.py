@@ -57,10 +57,22 @@ def field_of_each(objects: Column, field: str) -> Column:
 
 
 def choose(items: Column, count: Column, *seed: Column) -> Column:
-    """`count` elements without replacement, in an order fixed by the seed."""
-    mark = F.concat_ws("|", F.lit(""), *[s.cast("string") for s in seed])
-    keyed = F.transform(items, lambda x: F.struct(F.md5(F.concat(x, mark)).alias("h"), x.alias("x")))
-    return F.transform(F.slice(F.array_sort(keyed), F.lit(1), count), lambda s: s["x"])
+    """`count` elements without replacement, fixed by the seed; all of them if there are fewer.
+
+    Each step takes one element of those that remain, so there is one hash per
+    pick and not one per element.
+    """
+
+    def pick(state, step):
+        rest = state["rest"]
+        at = F.pmod(stable_hash(*seed, step), F.greatest(F.size(rest), F.lit(1))).cast("int")
+        left = F.concat(F.slice(rest, F.lit(1), at), F.slice(rest, at + 2, F.size(rest)))
+        return F.struct(left.alias("rest"), F.array_append(state["picked"], F.get(rest, at)).alias("picked"))
+
+    picks = F.least(count, F.size(items))
+    steps = F.when(picks > 0, F.sequence(F.lit(0), picks - 1)).otherwise(F.array().cast("array<int>"))
+    start = F.struct(items.alias("rest"), F.slice(items, 1, 0).alias("picked"))
+    return F.aggregate(steps, start, pick, lambda state: state["picked"])
 
 
 def choose_up_to(items: Column, most: int, *seed: Column) -> Column:

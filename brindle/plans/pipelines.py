@@ -134,12 +134,14 @@ def positional_merge(t: Tables) -> DataFrame:
     })
 
 
-def _pick_sql(items: str, count: str, *seed: str) -> str:
-    key = "md5(x || '|' || " + " || '|' || ".join(seed) + ")"
-    return f"array_to_string(list_transform(list_sort(list_transform({items}, lambda x: {{'h': {key}, 'x': x}}))[1:{count}], lambda s: s.x), ',')"
+def _pick_sql(items: str, count: str) -> str:
+    """Three picks without replacement by document, the first `count` of them joined."""
+    at = [f"{stable_hash_sql('doc_id', str(i))} % greatest(len(a{i}), 1)" for i in range(3)]
+    return f"""(SELECT doc_id, array_to_string([p0, p1, a2[1 + {at[2]}]][1:least({count}, len(a0))], ',') AS picks FROM
+      (SELECT *, a1[1 + {at[1]}] AS p1, a1[1:{at[1]}] || a1[2 + {at[1]}:] AS a2 FROM
+        (SELECT *, a0[1 + {at[0]}] AS p0, a0[1:{at[0]}] || a0[2 + {at[0]}:] AS a1 FROM (SELECT doc_id, {items} AS a0 FROM documents))))"""
 
 
-_WORDS = "string_split(text, ' ')"
 _FIRST = "string_split(string_split(text, chr(10))[1], ' ')"
 
 
@@ -147,8 +149,8 @@ _FIRST = "string_split(string_split(text, chr(10))[1], ' ')"
 WITH n AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, c_name AS name, 1 + {stable_hash_sql('c_custkey', "'level'")} % 3 AS level,
     '[' || {" || ', ' || ".join(f"CAST(6 + {stable_hash_sql('c_custkey', str(i))} % 14 AS VARCHAR)" for i in range(5))} || ']' AS attributes FROM customer),
 r AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS pos, lower(p_type) AS race FROM part),
-d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, lang AS language, source AS class, {_pick_sql(_WORDS, '2', 'doc_id')} AS proficiencies,
-  {_pick_sql(_FIRST, f"1 + {stable_hash_sql('doc_id')} % least(3, len({_FIRST}))", 'doc_id')} AS spells FROM documents)
+d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, lang AS language, source AS class, w.picks AS proficiencies, s.picks AS spells FROM documents
+  JOIN {_pick_sql("string_split(text, ' ')", '2')} w USING (doc_id) JOIN {_pick_sql(_FIRST, f"1 + {stable_hash_sql('doc_id')} % least(3, len(a0))")} s USING (doc_id))
 SELECT pos, name, level, attributes, race, language, class, proficiencies, spells FROM n FULL JOIN r USING (pos) FULL JOIN d USING (pos)""")
 def character_assembly(t: Tables) -> DataFrame:
     """Columns of three tables merged by position into characters, and loaded.
@@ -164,12 +166,15 @@ def character_assembly(t: Tables) -> DataFrame:
     )
     races = t.part.select("p_partkey", F.lower("p_type").alias("race"))
     docs = t.documents.select("doc_id", F.col("lang").alias("language"), F.col("source").alias("class"))
-    # The texts take no part in the merge; their words are picked once and joined by id.
-    first_line = F.split(F.get(F.split("text", "\n"), F.lit(0)), " ")
-    picks = t.documents.select(
+    # The texts take no part in the merge; their words are split once, picked and joined by id.
+    words = t.documents.select(
+        "doc_id", F.split("text", " ").alias("words"),
+        F.split(F.substring_index("text", "\n", 1), " ").alias("opening"),
+    )
+    picks = words.select(
         "doc_id",
-        F.array_join(choose(F.split("text", " "), F.lit(2), F.col("doc_id")), ",").alias("proficiencies"),
-        F.array_join(choose_up_to(first_line, 3, F.col("doc_id")), ",").alias("spells"),
+        F.array_join(choose(F.col("words"), F.lit(2), F.col("doc_id")), ",").alias("proficiencies"),
+        F.array_join(choose_up_to(F.col("opening"), 3, F.col("doc_id")), ",").alias("spells"),
     )
 
     def packed(df, *columns):
