@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from brindle.session import materialize
 
+TRIMMED = 1000  # fixed value: Spark's default limit for trimming windows early
 _SLAB = "_slab"
 
 
@@ -120,9 +121,11 @@ def top_per_key(
 ) -> DataFrame:
     """The first `count` rows of each key.
 
-    Spark trims every key to `count` rows before the shuffle, so a hot key
-    costs no more than any other.
+    Up to `TRIMMED` rows, Spark trims every key before the shuffle, so a hot key
+    costs no more than any other; beyond, keys are numbered by slabs.
     """
+    if count > TRIMMED:
+        return row_numbers(df, keys, order, name).where(F.col(name) <= count)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= count)
 

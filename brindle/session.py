@@ -58,7 +58,10 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the work folder; it counts as scratch."""
+    path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.add(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -70,13 +73,15 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    _scratch.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the copies made by `materialize`, once no result needs them any more."""
+    """Delete what lies at fresh paths, once no result needs it any more.
+
+    Tables under paths of one's own, and streams with a home, are not touched.
+    """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     count = 0
     while _scratch:

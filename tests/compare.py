@@ -63,7 +63,7 @@ def differences(spark, con, name: str, folder: str) -> str | None:
 
 
 def main(folder: str, wanted: list[str]) -> int:
-    from brindle.session import build
+    from brindle.session import build, clear_scratch
 
     load_all()
     spark = build(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
@@ -76,6 +76,7 @@ def main(folder: str, wanted: list[str]) -> int:
             problem = differences(spark, con, name, folder)
         except Exception as e:  # keep going: the report lists every failure
             problem = f"{type(e).__name__}: {str(e)[:600]}"
+        clear_scratch(spark)
         failed += problem is not None
         kind = "sql" if name in registry.SQL else "rows"
         print(f"{'FAIL' if problem else 'ok  '} {kind:4} {time.time() - start:6.2f}s {name} {problem or ''}", flush=True)

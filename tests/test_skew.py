@@ -77,6 +77,12 @@ def test_top_per_key_trims_before_the_shuffle(hot):
     assert rows(top, "k", "o") == sorted(((k, o) for k, v in grouped(hot).items() for o, _ in v[:2]), key=str)
 
 
+def test_top_per_key_beyond_the_trimming_limit(hot):
+    top = ordering.top_per_key(hot, ["k"], [F.col("o")], 1500)
+    counts = {r.k: r["count"] for r in top.groupBy("k").count().collect()}
+    assert counts["hot"] == 1500 and sum(counts.values()) == N - 500
+
+
 def test_range_by_index(hot):
     groups = grouped(hot)
     low = ordering.range_by_index(hot, ["k"], [F.col("o")], 1, 2)
