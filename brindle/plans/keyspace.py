@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions import arrays, maps
 from brindle.functions.text import part_of
 from brindle.operators import keyspace as kv
+from brindle.operators import lists
 from brindle.operators.changes import delete_where
 from brindle.operators.documents import insert
 from brindle.registry import query
@@ -137,6 +138,30 @@ def kv_list_ops(t: Tables) -> DataFrame:
     )
 
 
+@query("kv_list_table", """
+WITH l AS (SELECT 'user:' || user_id AS key, CASE event_type WHEN 'error' THEN -1 ELSE 1 END * (event_id + 1) AS pos, event_type || ' ' || event_id AS item FROM events),
+n AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY key) AS size FROM l WINDOW w AS (PARTITION BY key ORDER BY pos))
+SELECT 'first3' AS what, key, i AS position, item FROM n WHERE i <= 2
+UNION ALL SELECT 'last2', key, i, item FROM n WHERE i >= size - 2 UNION ALL SELECT 'popped', key, 0, item FROM n WHERE i = 0
+UNION ALL SELECT 'second', key, 0, item FROM n WHERE i = 1""")
+def kv_list_table(t: Tables) -> DataFrame:
+    """A list per user from pushes to both ends: its ends, a pop, and the head after it."""
+    log = t.events.select(
+        (F.col("event_id") + 1).alias("seq"), F.when(F.col("event_type") == "error", "lpush").otherwise("rpush").alias("op"),
+        user_key(t).alias("key"), F.concat_ws(" ", "event_type", "event_id").alias("item"))
+    items = lists.from_pushes(log)
+    popped, rest = lists.pop(items)
+    parts = {
+        "first3": lists.item_range(items, 0, 2), "last2": lists.item_range(items, -2, -1),
+        "popped": popped.withColumn("position", F.lit(0)), "second": lists.item_range(rest, 0, 0),
+    }
+    out = None
+    for what, df in parts.items():
+        one = df.select(F.lit(what).alias("what"), "key", F.col("position").cast("bigint").alias("position"), "item")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("kv_set_ops", """
 WITH a AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'purchase' AND value > 40), b AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'error' AND value > 40)
 SELECT 'inter' AS op, 'user:' || m AS member FROM (SELECT * FROM a INTERSECT SELECT * FROM b)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle import sinks
 from brindle.functions.arrays import choose, choose_up_to
 from brindle.functions.casts import to_int
-from brindle.functions.dates import epoch_micros, epoch_seconds
+from brindle.functions.dates import epoch_seconds
 from brindle.functions.hashing import stable_hash, stable_hash_sql
 from brindle.functions.text import decoded
 from brindle.operators import pipeline as p

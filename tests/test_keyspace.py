@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from brindle.functions import arrays, maps
 from brindle.functions.text import capitalise, glob_regex, part_of, strip_marks
 from brindle.operators import keyspace as kv
+from brindle.operators import lists
 from tests.conftest import rows
 
 
@@ -30,6 +31,25 @@ def test_list_session(spark):
     assert empty.value is None and empty.rest == []
 
 
+def test_list_table_session(spark):
+    pushes = [("lpush", "Rafael"), ("lpush", "Ruben"), ("lpush", "Ruben"), ("rpush", "Kim")]
+    log = spark.createDataFrame([(i + 1, op, "customers", v) for i, (op, v) in enumerate(pushes)], "seq long, op string, key string, item string")
+
+    def items(df):
+        return [r.item for r in df.orderBy("pos", "sub").collect()]
+
+    whole = lists.insert_before(lists.from_pushes(log), spark.createDataFrame([("customers", "Rafael", "Jan")], "key string, pivot string, item string"))
+    assert items(whole) == ["Ruben", "Ruben", "Jan", "Rafael", "Kim"]
+    assert rows(lists.lengths(whole)) == [("customers", 5)]
+    again = lists.insert_before(whole, spark.createDataFrame([("customers", "Jan", "Eve"), ("x", "a", "b")], "key string, pivot string, item string"))
+    assert items(again) == ["Ruben", "Ruben", "Eve", "Jan", "Rafael", "Kim"]
+    assert rows(lists.item_range(whole, -2, -1), "position", "item") == [(3, "Rafael"), (4, "Kim")]
+    head, rest = lists.pop(whole)
+    tail, rest = lists.pop(rest, left=False)
+    assert rows(head, "item") + rows(tail, "item") == [("Ruben",), ("Kim",)]
+    assert items(rest) == ["Ruben", "Jan", "Rafael"]
+
+
 def test_sets(spark):
     sets = spark.createDataFrame(
         [("online", m) for m in ("Ruben", "Rafael", "Sara Lind")] + [("friends", m) for m in ("Ruben", "Felix", "Hassan")],

@@ -1,6 +1,5 @@
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators.keyspace import allocate
