@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.hashing import stable_hash, stable_hash_sql
 from brindle.operators.skew import HOT_ROWS, join_totals
+from brindle.session import materialize
 
 PAGE_ROWS = 1000
 
@@ -34,7 +35,8 @@ def collect_pages(
     """
     members = df.select(*keys, member.alias("_member"), (member if page_by is None else page_by).alias("_by"))
     if page_by is None:
-        members = members.distinct()
+        # Written once: they are read for the totals and for the pages.
+        members = materialize(members.distinct(), "members")
     sizes = members.groupBy(*keys).agg(F.count("*").alias("total"))
     pages = F.ceil(F.col("total") / page_rows)
     return (

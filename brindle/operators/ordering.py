@@ -6,12 +6,13 @@ slabs. Work inside a slab is an ordinary window; what crosses slabs is one small
 row per (key, slab).
 
 The slabs are written once, because a second run of the range exchange could
-draw other bounds. Keys must not be NULL.
+draw other bounds. NULL is a key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,12 +20,24 @@ from pyspark.sql import functions as F
 from brindle.session import materialize
 
 TRIMMED = 1000  # fixed value: Spark's default limit for trimming windows early
-_SLAB = "_slab"
+_SLAB, _KEY = "_slab", "_key"
 
 
-def _slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _struct_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(_KEY, F.struct(*keys))
+
+
+def _slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    """The rows with their slab, and the columns to tell keys apart by.
+
+    These are the keys themselves. Only if some are NULL (the files' statistics
+    tell) it is a struct of them, in which NULL equals NULL but which is slower.
+    """
     spread = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    return materialize(spread.withColumn(_SLAB, F.spark_partition_id()), "slabs")
+    slabs = materialize(spread.withColumn(_SLAB, F.spark_partition_id()), "slabs")
+    if not keys or slabs.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
+        return slabs, list(keys)
+    return _struct_key(slabs, keys), [_KEY]
 
 
 def running_total(
@@ -42,25 +55,24 @@ def running_total(
     that is unique by the keys, also its columns (NULL where a key is missing):
     it is joined to the few rows per slab, not to the rows themselves.
     """
-    slabs = _slabs(df.withColumn("_weight", weight), keys, order)
-    earlier_slabs = Window.partitionBy(*keys).orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
+    slabs, by = _slabs(df.withColumn("_weight", weight), keys, order)
+    earlier_slabs = Window.partitionBy(*by).orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        slabs.groupBy(*keys, _SLAB)
+        slabs.groupBy(*by, _SLAB)
         .agg(F.sum("_weight").alias("_slab_weight"))
         .withColumn("_offset", F.coalesce(F.sum("_slab_weight").over(earlier_slabs), F.lit(0)))
     )
     if total is not None:
-        offsets = offsets.withColumn(total, F.sum("_slab_weight").over(Window.partitionBy(*keys)))
+        offsets = offsets.withColumn(total, F.sum("_slab_weight").over(Window.partitionBy(*by)))
     if per_key is not None:
-        offsets = offsets.join(per_key, list(keys), "left")
+        facts = per_key if by == list(keys) else _struct_key(per_key, keys).drop(*keys)
+        offsets = offsets.join(facts, by, "left")
     offsets = offsets.drop("_slab_weight")
-    earlier_rows = (
-        Window.partitionBy(*keys, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier_rows = Window.partitionBy(*by, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slabs.join(offsets, [*keys, _SLAB])
+        slabs.join(offsets, [*by, _SLAB])
         .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_weight").over(earlier_rows), F.lit(0)))
-        .drop(_SLAB, "_offset", "_weight")
+        .drop(_KEY, _SLAB, "_offset", "_weight")
     )
 
 
@@ -99,20 +111,21 @@ def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str
 ) -> DataFrame:
     """Add `value` of the row before, in key order; NULL on a key's first row."""
-    slabs = _slabs(df, keys, order).withColumn("_value", F.struct(F.col(value).alias("v")))
-    inside = Window.partitionBy(*keys, _SLAB).orderBy(*order)
+    slabs, by = _slabs(df, keys, order)
+    slabs = slabs.withColumn("_value", F.struct(F.col(value).alias("v")))
+    inside = Window.partitionBy(*by, _SLAB).orderBy(*order)
     numbered = slabs.withColumn("_before", F.lag("_value").over(inside)).withColumn(
         "_is_last", F.lead(F.lit(1)).over(inside).isNull()
     )
-    by_slab = Window.partitionBy(*keys).orderBy(_SLAB)
+    by_slab = Window.partitionBy(*by).orderBy(_SLAB)
     carried = (
         numbered.where("_is_last")
-        .select(*keys, _SLAB, F.lag("_value").over(by_slab).alias("_carried"))
+        .select(*by, _SLAB, F.lag("_value").over(by_slab).alias("_carried"))
     )
     return (
-        numbered.join(carried, [*keys, _SLAB])
+        numbered.join(carried, [*by, _SLAB])
         .withColumn(name, F.coalesce("_before", "_carried")["v"])
-        .drop(_SLAB, "_value", "_before", "_carried", "_is_last")
+        .drop(_KEY, _SLAB, "_value", "_before", "_carried", "_is_last")
     )
 
 

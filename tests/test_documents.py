@@ -86,6 +86,13 @@ def test_pages_hold_the_whole_group(spark):
     assert rows(split) == rows(pages)
 
 
+def test_pages_of_the_missing_key(spark):
+    df = spark.range(60).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), "id")
+    for hot_rows in (1000, 10):
+        found = nesting.collect_pages(df, ["k"], F.col("id"), "ids", page_rows=100, hot_rows=hot_rows)
+        assert rows(found.select("k", "total", F.size("ids"))) == [(1, 20, 20), (2, 20, 20), (None, 20, 20)]
+
+
 def test_pages_keep_repeats_when_asked(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3)], "k int, v string, id int")
     assert nesting.collect_pages(df, ["k"], F.col("v"), "vs").first().vs == ["a", "b"]

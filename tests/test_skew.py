@@ -41,6 +41,14 @@ def test_row_numbers_of_the_whole_table(hot):
     assert sorted((r.n, r.o) for r in found.collect()) == [(i, N - 1 - i) for i in range(N)]
 
 
+def test_missing_keys_are_a_key(spark):
+    df = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.lit("a")).alias("k"), "id")
+    found = ordering.row_numbers(df, ["k"], [F.col("id")], "n").groupBy("k").agg(F.count("*"), F.max("n"), F.count_distinct("n"))
+    assert rows(found) == [("a", 200, 200, 200), (None, 100, 100, 100)]
+    before = ordering.previous(df, ["k"], [F.col("id")], "id", "b")
+    assert before.count() == 300 and before.where("k is null and b = id - 3").count() == 99
+
+
 def test_running_total(hot):
     expected = []
     for k, v in grouped(hot).items():
@@ -63,7 +71,7 @@ def test_previous(hot):
 
 
 def test_hot_key_is_spread_over_slabs(hot):
-    slabs = ordering._slabs(hot, ["k"], [F.col("o")])
+    slabs, _ = ordering._slabs(hot, ["k"], [F.col("o")])
     sizes = [r.n for r in slabs.groupBy("_slab").agg(F.count("*").alias("n")).collect()]
     in_hot = slabs.where("k = 'hot'").select("_slab").distinct().count()
     assert in_hot >= 2 and max(sizes) < 0.5 * N
