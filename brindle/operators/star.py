@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.dates import OPEN_END, calendar
 from brindle.operators.ordering import row_numbers
+from brindle.operators.skew import plain_side
 
 
 def dim_date(purchases: DataFrame, grain: str = "day") -> DataFrame:
@@ -96,7 +97,11 @@ def fact_sales(
         if dates is not None:
             day = dates.select("datekey", F.col("fulldate").alias("_day"))
             headers = headers.join(day, F.to_date("purchasedatetime") == F.col("_day"), "left")
-        fact = fact.join(headers.drop("_day", "purchasedatetime"), "purchaseid", "left")
+        headers = headers.drop("_day", "purchasedatetime")
+        if payments is not None:
+            # Already laid out by purchase; written, so that one with very many items can be split.
+            headers = plain_side(headers)
+        fact = fact.join(headers, "purchaseid", "left")
     keys = {"purchaseid": "saleid", "storeid": "storekey", "productid": "productkey",
             "supplierid": "supplierkey", "customerid": "customerkey"}
     return fact.drop("price").withColumnsRenamed(keys)
