@@ -61,7 +61,7 @@ def doc_filter_or_and_nor(t: Tables) -> DataFrame:
 
 
 @query("doc_range_sort", """
-SELECT p_name AS title, p_size + 1990 AS year FROM part WHERE p_size + 1990 > 1990 AND p_size + 1990 < 2000 ORDER BY 2, 1""")
+SELECT p_name AS title, p_size + 1990 AS year FROM part WHERE p_size + 1990 > 1990 AND p_size + 1990 < 2000 ORDER BY 2, 1""", bigint=["year"])
 def doc_range_sort(t: Tables) -> DataFrame:
     """Films of the nineties from old to recent, both ends open."""
     nineties = (F.col("year") > 1990) & (F.col("year") < 2000)
@@ -82,7 +82,7 @@ def doc_in_list(t: Tables) -> DataFrame:
 
 @query("doc_insert_heterogeneous", """
 SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS born, NULL AS role FROM customer
-UNION ALL SELECT s_suppkey, s_name, NULL, 1950 + s_nationkey, 'Director' FROM supplier""")
+UNION ALL SELECT s_suppkey, s_name, NULL, 1950 + s_nationkey, 'Director' FROM supplier""", bigint=["born"])
 def doc_insert_heterogeneous(t: Tables) -> DataFrame:
     """Documents with new fields join a collection that lacks them."""
     directors = t.supplier.select(
@@ -129,7 +129,7 @@ def doc_lookup_unwind(t: Tables) -> DataFrame:
 
 @query("doc_match_lookup", """
 SELECT DISTINCT s_name AS name, s_nationkey + 1950 AS birthyear, p_partkey AS filmid
-FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey WHERE p_name = 'red widget'""")
+FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey WHERE p_name = 'red widget'""", bigint=["birthyear"])
 def doc_match_lookup(t: Tables) -> DataFrame:
     """Directors of the films with one title: match first, look up after."""
     titled = doc.find(films(t), F.col("title") == "red widget").select(F.col("id").alias("filmid"))
@@ -193,7 +193,7 @@ def doc_relational_division(t: Tables) -> DataFrame:
 
 @query("doc_embed_unembed", """
 SELECT o_orderkey AS orderid, count(l_orderkey) AS lines, coalesce(sum(CAST(l_quantity AS BIGINT)), 0) AS quantity
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""", bigint=["quantity"])
 def doc_embed_unembed(t: Tables) -> DataFrame:
     """Orders with their lines embedded; counts and sums are read from unwinding them."""
     lines = t.lineitem.select(

@@ -182,7 +182,7 @@ def graph_first3_per_actor(t: Tables) -> DataFrame:
 
 @query("graph_latest_film", f"""
 SELECT c_name AS name, max(p_size) + 1990 AS latest, arg_max(p_name, CAST(p_size AS BIGINT) * 1000000000 + p_partkey) AS title, count(*) AS films
-FROM {ACTED_SQL} a JOIN part ON p_partkey = dst JOIN customer ON c_custkey = src GROUP BY c_custkey, c_name""")
+FROM {ACTED_SQL} a JOIN part ON p_partkey = dst JOIN customer ON c_custkey = src GROUP BY c_custkey, c_name""", bigint=["latest"])
 def graph_latest_film(t: Tables) -> DataFrame:
     """Year and title of each actor's latest film, and how many films there are."""
     graph = src.film_graph(t)
@@ -226,7 +226,7 @@ def graph_top_rated_min_raters(t: Tables) -> DataFrame:
 
 
 @query("graph_ratings_of_user", f"""
-SELECT p_name AS title, rating FROM {RATING_SQL} JOIN part ON p_partkey = dst WHERE src = 3 ORDER BY 2 DESC""")
+SELECT p_name AS title, rating FROM {RATING_SQL} JOIN part ON p_partkey = dst WHERE src = 3 ORDER BY 2 DESC""", bigint=["rating"])
 def graph_ratings_of_user(t: Tables) -> DataFrame:
     """Films one user rated, best first."""
     start = src.people(t).where(F.col("id") == 3).select(F.col("id").alias("user"))
@@ -311,7 +311,7 @@ def graph_from_relational(t: Tables) -> DataFrame:
 
 
 @query("graph_reviews", f"""
-SELECT c_name AS name, p_name AS title, rating, summary FROM {RATING_SQL} JOIN customer ON c_custkey = src JOIN part ON p_partkey = dst""")
+SELECT c_name AS name, p_name AS title, rating, summary FROM {RATING_SQL} JOIN customer ON c_custkey = src JOIN part ON p_partkey = dst""", bigint=["rating"])
 def graph_reviews(t: Tables) -> DataFrame:
     """Reviews with rating and text: properties that live on the edge."""
     edges = src.reviews(t).select(
@@ -321,7 +321,7 @@ def graph_reviews(t: Tables) -> DataFrame:
 
 
 @query("graph_update_property", """
-SELECT p_partkey + 1000000000000 AS film, p_name AS title, p_size + 1990 AS before, 2005 AS after FROM part WHERE p_name = 'blue bolt'""")
+SELECT p_partkey + 1000000000000 AS film, p_name AS title, p_size + 1990 AS before, 2005 AS after FROM part WHERE p_name = 'blue bolt'""", bigint=["before", "after"])
 def graph_update_property(t: Tables) -> DataFrame:
     """Set a property of the films with one title; the year before and after."""
     from brindle.operators.changes import returning

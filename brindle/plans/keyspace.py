@@ -305,7 +305,7 @@ def kv_reference_join(t: Tables) -> DataFrame:
 @query("stock_guard", """
 SELECT l_partkey AS item, l_orderkey AS orderid, l_linenumber AS line,
   row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) <= p_size AS accepted
-FROM lineitem JOIN part ON p_partkey = l_partkey""")
+FROM lineitem JOIN part ON p_partkey = l_partkey""", bigint=["line"])
 def stock_guard(t: Tables) -> DataFrame:
     """Every request for an item, accepted while stock lasts."""
     stock = t.part.select(F.col("p_partkey").alias("item"), F.col("p_size").alias("quantity"))

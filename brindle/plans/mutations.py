@@ -19,7 +19,7 @@ METHOD_SQL = """CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'Card
 @query("update_store_returning", """
 SELECT o_orderkey AS purchaseid, (c_nationkey + 1) % 25 AS storeid, c_nationkey AS old_storeid,
   CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS purchasedate
-FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT'""")
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT'""", bigint=["storeid", "old_storeid"])
 def update_store_returning(t: Tables) -> DataFrame:
     """Move the urgent purchases to the next store and return them."""
     purchases = retail.purchases(t)
@@ -114,7 +114,7 @@ f AS (SELECT min(id) AS id FROM d WHERE role = 'assistant')
 SELECT id, conv_id, CASE WHEN turn = 0 THEN 'opener' ELSE role END AS speaker, CASE WHEN role = 'user' AND turn > 0 THEN NULL ELSE text END AS text,
   CASE WHEN role = 'assistant' THEN turn + 10 WHEN turn = 0 THEN turn ELSE turn END * CASE WHEN role = 'user' AND turn > 0 THEN 2 ELSE 1 END AS turn,
   CASE WHEN id = (SELECT id FROM f) THEN 1 END AS flagged
-FROM d""")
+FROM d""", bigint=["flagged"])
 def doc_set_unset_inc(t: Tables) -> DataFrame:
     """Set, unset, increment, multiply and rename fields of the messages."""
     messages = t.conversations.withColumn("id", F.concat_ws("-", "conv_id", "turn"))

@@ -189,7 +189,7 @@ def character_assembly(t: Tables) -> DataFrame:
     return sinks.append(characters, fresh_path(t.spark, "characters"))
 
 
-@query("json_recordset", "SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events")
+@query("json_recordset", "SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events", bigint=["k"])
 def json_recordset(t: Tables) -> DataFrame:
     """Rows from JSON arrays of records held in a text column."""
     texts = t.events.select("event_id", F.concat(F.lit("["), "props", F.lit("]")).alias("records"))
@@ -200,7 +200,7 @@ def json_recordset(t: Tables) -> DataFrame:
 WITH k AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem),
 r AS (SELECT s_name AS class, s_nationkey % 3 + 1 AS level, p_partkey AS spell, p_size AS spell_level, row_number() OVER (PARTITION BY s_suppkey ORDER BY p_size, p_partkey) AS position
   FROM k JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE p_size <= 2)
-SELECT class, level, spell, spell_level, position FROM r WHERE position <= level + 3""")
+SELECT class, level, spell, spell_level, position FROM r WHERE position <= level + 3""", bigint=["level", "spell_level"])
 def class_legal_spells(t: Tables) -> DataFrame:
     """Spells a class may learn: known to it, of level two at most, level + 3 of them."""
     spells = t.part.where(F.col("p_size") <= 2).select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("spell_level"))

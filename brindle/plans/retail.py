@@ -51,7 +51,7 @@ def last5_purchases_per_customer(t: Tables) -> DataFrame:
 @query("store_revenue_in_range", f"""
 SELECT c_nationkey AS storeid, CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transaction_count
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN {PAY_SQL} pay ON pay.purchaseid = o_orderkey
-WHERE o_orderdate BETWEEN TIMESTAMP '1996-08-10 09:30:00' AND TIMESTAMP '1998-09-30 09:30:00' GROUP BY 1""")
+WHERE o_orderdate BETWEEN TIMESTAMP '1996-08-10 09:30:00' AND TIMESTAMP '1998-09-30 09:30:00' GROUP BY 1""", bigint=["storeid"])
 def store_revenue_in_range(t: Tables) -> DataFrame:
     return reports.store_revenue(shop(t, with_stores=True), "1996-08-10 09:30:00", "1998-09-30 09:30:00")
 

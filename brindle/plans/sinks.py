@@ -20,7 +20,7 @@ def _sums(df: DataFrame, name: str) -> DataFrame:
 
 
 @query("sink_roundtrip_csv_json", """
-SELECT format, p_partkey, p_name, p_size, p_retailprice FROM part, (VALUES ('csv'), ('json')) f(format)""")
+SELECT format, p_partkey, p_name, p_size, p_retailprice FROM part, (VALUES ('csv'), ('json')) f(format)""", bigint=["p_size"])
 def sink_roundtrip_csv_json(t: Tables) -> DataFrame:
     """Parts written and read back as CSV and as JSON lines."""
     csv = files.read_csv(t.spark, sinks.write_csv(t.part, fresh_path(t.spark, "csv")), PART_SCHEMA)
@@ -31,7 +31,7 @@ def sink_roundtrip_csv_json(t: Tables) -> DataFrame:
 
 @query("sink_replace_all", """
 SELECT 'part' AS name, count(*) AS rows, sum(p_size) AS size FROM part WHERE p_type = 'PROMO' UNION ALL SELECT 'rest', count(*), sum(p_size) FROM part WHERE p_type <> 'PROMO'
-UNION ALL SELECT 'emptied', 0, NULL""")
+UNION ALL SELECT 'emptied', 0, NULL""", bigint=["size"])
 def sink_replace_all(t: Tables) -> DataFrame:
     """A family is replaced as a whole by a second load; another one is emptied."""
     base, promo = fresh_path(t.spark, "family"), F.col("p_type") == "PROMO"

@@ -67,7 +67,7 @@ def star_dim_product(t: Tables) -> DataFrame:
 
 @query("star_dim_store", """
 SELECT n_nationkey AS storekey, n_name AS storename, r_name AS city, CAST(NULL AS VARCHAR) AS region
-FROM nation LEFT JOIN region ON r_regionkey = n_regionkey""")
+FROM nation LEFT JOIN region ON r_regionkey = n_regionkey""", bigint=["storekey"])
 def star_dim_store(t: Tables) -> DataFrame:
     return star.dim_store(retail.stores(t))
 
@@ -104,14 +104,14 @@ def star_dim_time(t: Tables) -> DataFrame:
     )
 
 
-@query("star_fact_sales", f"SELECT * REPLACE (CAST(salesamount AS DOUBLE) AS salesamount) FROM {FACT_SQL}")
+@query("star_fact_sales", f"SELECT * REPLACE (CAST(salesamount AS DOUBLE) AS salesamount) FROM {FACT_SQL}", bigint=["storekey", "quantity"])
 def star_fact_sales(t: Tables) -> DataFrame:
     return fact(t, dates(t))
 
 
 @query("sales_by_month_store", f"""
 SELECT month(fulldate) AS month, storekey, CAST(sum(salesamount) AS DOUBLE) AS sales
-FROM {FACT_SQL} f JOIN {DATE_SQL} d USING (datekey) GROUP BY 1, 2""")
+FROM {FACT_SQL} f JOIN {DATE_SQL} d USING (datekey) GROUP BY 1, 2""", bigint=["storekey"])
 def sales_by_month_store(t: Tables) -> DataFrame:
     days = dates(t)
     return star.sales_by(store_fact(t, days), days, "datekey", "month", "storekey")
@@ -119,7 +119,7 @@ def sales_by_month_store(t: Tables) -> DataFrame:
 
 @query("sales_by_day_store", f"""
 SELECT day(fulldate) AS day, storekey, CAST(sum(salesamount) AS DOUBLE) AS sales
-FROM {FACT_SQL} f JOIN {DATE_SQL} d USING (datekey) GROUP BY 1, 2""")
+FROM {FACT_SQL} f JOIN {DATE_SQL} d USING (datekey) GROUP BY 1, 2""", bigint=["storekey"])
 def sales_by_day_store(t: Tables) -> DataFrame:
     days = dates(t)
     return star.sales_by(store_fact(t, days), days, "datekey", "day", "storekey")
@@ -175,7 +175,7 @@ def avg_basket_size(t: Tables) -> DataFrame:
 SELECT month, day, category, storekey, CAST(sum(salesamount) AS DOUBLE) AS sales FROM
   (SELECT month(fulldate) AS month, day(fulldate) AS day, p_type AS category, storekey, salesamount
    FROM {FACT_SQL} f JOIN {DATE_SQL} d USING (datekey) JOIN part ON p_partkey = productkey)
-GROUP BY GROUPING SETS ((month, storekey), (day, storekey), (category))""")
+GROUP BY GROUPING SETS ((month, storekey), (day, storekey), (category))""", bigint=["storekey"])
 def sales_grouping_sets(t: Tables) -> DataFrame:
     """Monthly, daily and category sales from one pass over the fact."""
     days = dates(t)

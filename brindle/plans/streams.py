@@ -108,7 +108,7 @@ def stream_dedup_horizon(t: Tables) -> DataFrame:
 @query("stream_stock_guard", """
 SELECT l_partkey AS item, l_orderkey AS orderid, l_linenumber AS line,
   row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) <= p_size AS accepted
-FROM lineitem JOIN part ON p_partkey = l_partkey""")
+FROM lineitem JOIN part ON p_partkey = l_partkey""", bigint=["line"])
 def stream_stock_guard(t: Tables) -> DataFrame:
     """Requests for items as a stream, accepted while stock lasts."""
     on_hand = t.part.select(F.col("p_partkey").alias("item"), F.col("p_size").alias("quantity"))

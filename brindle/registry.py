@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +32,11 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def query(name: str, sql: str | None = None):
-    """Register `fn(tables)` under `name`."""
+def query(name: str, sql: str | None = None, bigint: Sequence[str] = ()):
+    """Register `fn(tables)` under `name`, with its SQL twin.
+
+    `bigint` names integer columns that the SQL engine gives another width.
+    """
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +48,8 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = run
         if sql:
-            SQL[name] = sql.strip()
+            casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in bigint)
+            SQL[name] = f"SELECT * REPLACE ({casts}) FROM (\n{sql.strip()}\n)" if casts else sql.strip()
         return fn
 
     return register

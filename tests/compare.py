@@ -32,16 +32,19 @@ def _key(row):
     return tuple((v is None, str(v)) for v in row)
 
 
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def spark_rows(df):
-    names = sorted(df.columns)
-    return names, sorted([tuple(_plain(r[n]) for n in names) for r in df.collect()], key=_key)
+    names = sorted((f.name, TYPES[f.dataType.simpleString()]) for f in df.schema.fields)
+    return names, sorted([tuple(_plain(r[n]) for n, _ in names) for r in df.collect()], key=_key)
 
 
 def sql_rows(con, sql):
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
-    names = sorted(columns)
-    at = [columns.index(n) for n in names]
+    names = sorted((d[0], str(d[1])) for d in cursor.description)
+    at = [columns.index(n) for n, _ in names]
     return names, sorted([tuple(_plain(r[i]) for i in at) for r in cursor.fetchall()], key=_key)
 
 
