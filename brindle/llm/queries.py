@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import exact_dedup, quality, token_counts, toxicity
+from brindle.llm import decontamination, exact_dedup, quality, token_counts, toxicity
 from brindle.session import tune
 from brindle.sources.tables import Tables
 
@@ -63,3 +63,37 @@ def op6_quality(t: Tables) -> DataFrame:
 def op8_token_counts(t: Tables) -> DataFrame:
     """Tokens of every document."""
     return token_counts.token_counts(t.documents, tokenizer_path(), limit=1024)
+
+
+WORDS = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(LOWERED)
+
+
+@query("op1_decontamination", f"""
+WITH item AS (
+  SELECT item_id, words, least(len(words), 13) AS k
+  FROM (SELECT item_id, {WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL) WHERE len(words) > 0
+), win AS (
+  SELECT DISTINCT item_id, k, array_to_string(words[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM item)
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents
+), place AS (
+  SELECT r, k, p, array_to_string(words[p:p + k - 1], ' ') AS g
+  FROM (SELECT r, k, words, unnest(range(1, len(words) - k + 2)) AS p FROM doc, (SELECT DISTINCT k FROM item))
+), found AS (
+  SELECT r, p, k, item_id FROM place JOIN win USING (k, g)
+), hit AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS q FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""")
+def op1_decontamination(t: Tables) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items."""
+    found = decontamination.contamination(t.documents, t.benchmark)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
