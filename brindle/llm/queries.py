@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import decontamination, exact_dedup, quality, token_counts, toxicity
+from brindle.llm import decontamination, exact_dedup, ngram_join, quality, token_counts, toxicity
 from brindle.session import tune
 from brindle.sources.tables import Tables
 
@@ -97,3 +97,9 @@ def op1_decontamination(t: Tables) -> DataFrame:
     """Words of every document that stand in windows of benchmark items."""
     found = decontamination.contamination(t.documents, t.benchmark)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(t: Tables) -> DataFrame:
+    """Class, links and group of every document under the Jaccard coefficient of word 5-grams, 0.8 or more."""
+    return ngram_join.similar(t.documents)
