@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brindle.llm import decontamination, exact_dedup, ngram_join, quality, token_counts, toxicity
+from brindle.llm import decontamination, exact_dedup, mixing, ngram_join, quality, token_counts, toxicity
 from brindle.session import tune
 from brindle.sources.tables import Tables
 
@@ -103,3 +104,18 @@ def op1_decontamination(t: Tables) -> DataFrame:
 def op9_ngram_join(t: Tables) -> DataFrame:
     """Class, links and group of every document under the Jaccard coefficient of word 5-grams, 0.8 or more."""
     return ngram_join.similar(t.documents)
+
+
+#: What part of the tokens each domain is to have.
+TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the mixture: labelled documents, whose domain is their language."""
+    return docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text", F.col("lang").alias("domain"))
+
+
+@query("op5_mixing")
+def op5_mixing(t: Tables) -> DataFrame:
+    """Rate of every document, so that languages have their parts of the tokens."""
+    return mixing.rates(t.documents, domains(t.documents, t.labels), TARGETS).drop("text_key")
