@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontamination, exact_dedup, mixing, ngram_join, quality, token_counts, toxicity
+from brindle.llm import (
+    decontamination, exact_dedup, html_extraction, mixing, ngram_join, quality, token_counts, toxicity, warc,
+)
 from brindle.session import tune
 from brindle.sources.tables import Tables
 
@@ -119,3 +121,27 @@ def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op5_mixing(t: Tables) -> DataFrame:
     """Rate of every document, so that languages have their parts of the tokens."""
     return mixing.rates(t.documents, domains(t.documents, t.labels), TARGETS).drop("text_key")
+
+
+HTML = "coalesce(html, '')"
+
+
+@query("op4_warc", f"""
+WITH p AS (
+  SELECT page_id, strlen({HTML}) AS n, sha1({HTML}) AS digest, max(page_id) OVER (PARTITION BY {HTML}) AS best FROM pages
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM best THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM best THEN best END AS refers_to
+FROM p
+""")
+def op4_warc(t: Tables) -> DataFrame:
+    """Archives of all pages, written and read back."""
+    found = warc.read(warc.write(t.pages), t.pages.schema["page_id"].dataType.simpleString(), with_payload=False)
+    return found.drop("url")
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(t: Tables) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract(t.pages)
