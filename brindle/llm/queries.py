@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import (
-    decontamination, exact_dedup, html_extraction, mixing, ngram_join, quality, token_counts, toxicity, warc,
+    decontamination, exact_dedup, html_extraction, licenses, mixing, ngram_join, quality, token_counts, toxicity, warc,
 )
 from brindle.session import tune
 from brindle.sources.tables import Tables
@@ -145,3 +145,9 @@ def op4_warc(t: Tables) -> DataFrame:
 def op7_html_extraction(t: Tables) -> DataFrame:
     """Main text of every page."""
     return html_extraction.extract(t.pages)
+
+
+@query("op10_license_scan")
+def op10_license_scan(t: Tables) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(t.documents)
