@@ -17,8 +17,10 @@ from heapq import nlargest
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brindle.llm.words import LOWER
+from brindle.llm.joining import packed
+from brindle.llm.words import LOWER, field
 from brindle.session import materialize
 
 COUNTERS = 4096  # counters of a summary; at most so many digests, and one more, count as frequent
@@ -28,19 +30,18 @@ def _digest(text: bytes | None) -> bytes:
     return hashlib.sha256((text or b"").translate(LOWER)).digest()
 
 
-def _with_digest(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
+def _with_digest(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        digest = pa.array([_digest(t) for t in texts], pa.binary())
-        names = [n for n in batch.schema.names if keep_text or n != "text"]
+        digest = pa.array([_digest(t) for t in field(batch, path).cast(pa.binary()).to_pylist()], pa.binary())
+        names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), digest], names=[*names, "_digest"])
 
 
-def with_digest(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """The rows with `_digest`, the SHA-256 of the lower-cased text, and with or without the text."""
-    columns = [f for f in docs.schema.fields if keep_text or f.name != "text"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), "_digest binary"])
-    return docs.mapInArrow(lambda batches: _with_digest(batches, keep_text), schema)
+def with_digest(rows: DataFrame, path: str = "text") -> DataFrame:
+    """The columns but `text`, and `_digest`, the SHA-256 of the lower-cased text at `path`."""
+    columns = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType([*columns, T.StructField("_digest", T.BinaryType())])
+    return rows.mapInArrow(lambda batches: _with_digest(batches, path), schema)
 
 
 def _reduce(counts: dict[bytes, int], size: int) -> dict[bytes, int]:
@@ -89,7 +90,7 @@ def _winners(digests: DataFrame, counters: int) -> DataFrame:
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
-    narrow = with_digest(docs.select("doc_id", "text"), keep_text=False)
+    narrow = with_digest(docs.select("doc_id", "text"))
     return materialize(narrow.withColumn("_row", F.monotonically_increasing_id()), "digests")
 
 
@@ -118,8 +119,8 @@ def keep_one(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """
     best = _winners(_narrow(docs), counters).select("_digest", F.col("best.doc_id").alias("_best"))
     left = (
-        with_digest(docs).join(F.broadcast(best), "_digest", "left")
-        .where(F.col("_best").isNull() | F.col("doc_id").eqNullSafe(F.col("_best")))
+        with_digest(packed(docs).select("row"), "row.text").join(F.broadcast(best), "_digest", "left")
+        .where(F.col("_best").isNull() | F.col("row.doc_id").eqNullSafe(F.col("_best")))
     )
-    place = F.row_number().over(Window.partitionBy("_digest").orderBy(F.col("doc_id").desc_nulls_last()))
-    return left.withColumn("_place", place).where(F.col("_place") == 1).select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy("_digest").orderBy(F.col("row.doc_id").desc_nulls_last()))
+    return left.withColumn("_place", place).where(F.col("_place") == 1).select("row.*")

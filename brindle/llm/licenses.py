@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brindle.llm.joining import with_findings
 from brindle.llm.words import Words, signed, slices, split, windows
 from brindle.session import materialize
 
@@ -192,13 +193,12 @@ def scan(docs: DataFrame) -> DataFrame:
         "base",
     )
     wanted = spans(docs).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("template", "first", "last")).alias("spans"))
-    wanted = materialize(wanted, "spans").withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    checked = _keyed(docs).join(wanted, same).drop("_id", "_key").mapInArrow(
+    checked = with_findings(_keyed(docs), materialize(wanted, "spans"), "doc_id", "text_key").mapInArrow(
         _verify, f"doc_id {id_type}, text_key bigint, added array<string>, likeness double"
     )
     checked = materialize(checked.where(F.size("added") > 0), "licenses").dropDuplicates(["doc_id", "text_key"])
     checked = checked.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     added = F.coalesce("added", F.array().cast("array<string>"))
     return base.join(checked, same, "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.concat_ws(",", "base").alias("base_labels"),

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.components import components
+from brindle.llm.joining import packed, with_findings, without_findings
 from brindle.llm.words import mixed, slices, split, windows
 from brindle.session import materialize
 
@@ -321,10 +322,8 @@ def _verified(docs: DataFrame, classes: DataFrame, links: DataFrame, size: int,
     blocks = F.greatest(F.ceil(F.col("grams") / BLOCK_GRAMS), F.ceil(F.col("n") / BLOCK))
     weights = materialize(weights.select("comp", blocks.alias("blocks")), "weights")
     wanted = materialize(inside.join(weights, "comp").drop("n_grams"), "wanted")
-    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    sets = texts.join(wanted, same).select("node", "comp", "blocks", "text").mapInArrow(
+    sets = with_findings(texts, wanted, "doc_id", "text_key").select("node", "comp", "blocks", "text").mapInArrow(
         lambda batches: _set_rows(batches, size), "node bigint, comp bigint, blocks bigint, grams binary"
     )
     by = ["comp", "low", "high"]
@@ -381,15 +380,14 @@ def keep_one(docs: DataFrame, size: int = WORDS, threshold: float = THRESHOLD, t
     crowd = materialize(crowd.select("root", key.alias("key")), "crowd")
     best = materialize(crowd.groupBy("root").agg(F.min("key").alias("best")), "best")
     judged = crowd.join(best, "root")
-    named = [F.col("key.doc_id").alias("_id"), F.col("key.text_key").alias("_key")]
+    named = [F.col("key.doc_id"), F.col("key.text_key")]
     lost = materialize(judged.where(F.col("key") != F.col("best")).select(*named).distinct(), "lost")
     again = materialize(
         judged.where(F.col("key") == F.col("best")).groupBy(*named).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n"),
         "again",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    kept = docs.withColumn("text_key", F.xxhash64("text")).join(lost, same, "left_anti")
+    kept = without_findings(packed(docs), lost, "doc_id", "text_key")
     if not again.isEmpty():
-        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
-        kept = kept.join(again, same, "left_anti").unionByName(once)
-    return kept.select(*docs.columns)
+        once = with_findings(kept, again, "doc_id", "text_key").dropDuplicates(["doc_id", "text_key"])
+        kept = without_findings(kept, again, "doc_id", "text_key").unionByName(once)
+    return kept.select("row.*")

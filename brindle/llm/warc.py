@@ -29,6 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.llm.joining import with_findings_or_none
 from brindle.llm.words import slices
 from brindle.session import fresh_path, materialize
 
@@ -140,9 +141,9 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST, file_
     folder = folder or fresh_path(spark, "warc")
     store, root = _open(folder)
     store.create_dir(root, recursive=True)
-    copies = revisits(pages, least).withColumnsRenamed({"page_id": "_id", "html_key": "_key"}).withColumn("is_copy", F.lit(True))
-    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.xxhash64("html") == F.col("_key"))
-    rows = pages.select("page_id", "url", "html").join(copies, same, "left").select(
+    copies = revisits(pages, least).withColumn("is_copy", F.lit(True))
+    keyed = pages.select("page_id", "url", "html", F.xxhash64("html").alias("html_key"))
+    rows = with_findings_or_none(keyed, copies, "page_id", "html_key").select(
         "page_id", "url", "html", "refers_to", F.coalesce("is_copy", F.lit(False)).alias("is_copy")
     )
     made = rows.mapInArrow(lambda batches: _write(batches, folder, file_bytes), "path string, records bigint")

@@ -118,10 +118,22 @@ def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(mix[inside]), inside
 
 
+def field(batch: pa.RecordBatch, path: str) -> pa.Array:
+    """A column, or with `row.text` the field `text` of the struct column `row`."""
+    name, *inner = path.split(".")
+    column = batch.column(batch.schema.get_field_index(name))
+    for part in inner:
+        column = column.field(part)
+    return column
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Arrow batches cut into runs of rows of about `limit` bytes in `column`, with that column's values as bytes."""
+    """Arrow batches cut into runs of rows of about `limit` bytes in `column`, with that column's values as bytes.
+
+    `column` may be a field of a struct, as in `row.text`.
+    """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+        texts = field(batch, column).cast(pa.binary())
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         at = 0
         while at < batch.num_rows:
