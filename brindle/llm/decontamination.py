@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.llm.joining import packed, with_findings, without_findings
 from brindle.llm.words import signed, slices, split
 from brindle.session import materialize
 
@@ -191,23 +192,15 @@ def phrases(docs: DataFrame, met: DataFrame, items: DataFrame, size: int = SIZE)
         met.where(F.col("apart") == 0).join(terms, "item")
         .groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "start", "terms")).alias("places"))
     )
-    places = materialize(places, "places").withColumnRenamed("doc_id", "_id")
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    together = texts.join(places, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    together = with_findings(texts, materialize(places, "places"), "doc_id")
     checked = together.mapInArrow(
         lambda batches: _verify(batches, size), f"doc_id {id_type}, text_key bigint, n_hit bigint, item_ids array<string>"
     )
     return materialize(checked.where(F.col("n_hit") > 0), "phrases")
 
 
-def _attach(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join on (doc_id, text_key), in which NULL equals NULL; the columns of `right` but for these two follow."""
-    other = right.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    return left.join(other, same, how).drop("_id", "_key")
-
-
 def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:
     """Per document its words, those inside windows of items, the items, and whether it counts as contaminated.
 
@@ -217,7 +210,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: i
     known = read_items(items)
     met = materialize(candidates(postings, rarest_pairs(postings, known, size)), "met")
     exact = phrases(docs, met, known, size).dropDuplicates(["doc_id", "text_key"])
-    joined = _attach(documents, exact, "left")
+    found = exact.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    joined = documents.join(found, same, "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)), F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(
         "doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("bigint").alias("n_items"),
@@ -240,5 +235,4 @@ def proximity(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = S
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:
     """The rows of `docs` that are not contaminated, with their columns."""
     bad = contamination(docs, items, size, one_in).where("contaminated").select("doc_id", "text_key").distinct()
-    marked = docs.withColumn("text_key", F.xxhash64("text"))
-    return _attach(marked, materialize(bad, "contaminated"), "left_anti").select(*docs.columns)
+    return without_findings(packed(docs), materialize(bad, "contaminated"), "doc_id", "text_key").select("row.*")
