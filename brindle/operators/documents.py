@@ -37,7 +37,7 @@ def exists(field: Column) -> Column:
 
 def find(df: DataFrame, predicate: Column | None = None, *fields: str) -> DataFrame:
     """Matching documents, all fields or the named ones."""
-    found = df if predicate is None else df.where(_met(predicate))
+    found = df if predicate is None else df.where(predicate)  # as it is, so that the scan can use it
     return found.select(*fields) if fields else found
 
 

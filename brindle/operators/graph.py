@@ -7,14 +7,16 @@ far node's properties are wanted, one with the nodes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brindle.operators.changes import next_ids
 from brindle.operators.ordering import top_per_key
 from brindle.operators.skew import plain_side
+from brindle.session import materialize
 
 
 @dataclass(frozen=True)
@@ -67,14 +69,20 @@ def attach(df: DataFrame, nodes: DataFrame, at: str, *properties: str) -> DataFr
     return df.join(named(nodes, at, *properties), at)
 
 
-def neighbours_of(graph: Graph, people: DataFrame, edge_type: str, back_type: str) -> DataFrame:
+def neighbours_of(
+    graph: Graph, people: DataFrame, edge_type: str, back_type: str, back: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(start, film, other): who else is tied to the films of the given people.
 
     Edges are distinct, so the edge one came by is excluded by `other <> start`
-    when both hops use the same type.
+    when both hops use the same type. Edges that are costly to make may be given for
+    the second hop as `back`, a function of the films that were reached.
     """
     films = hop(people.select(F.col("id").alias("start")), graph.edges, "start", "film", [edge_type])
-    others = hop(films, graph.edges, "film", "other", [back_type], reverse=True)
+    if back is not None:
+        films = materialize(films, "films")
+    edges = graph.edges if back is None else back(films.select("film"))
+    others = hop(films, edges, "film", "other", [back_type], reverse=True)
     return others.where(F.col("other") != F.col("start")) if edge_type == back_type else others
 
 
@@ -120,13 +128,18 @@ def first_per_source(df: DataFrame, source: str, order: Sequence[Column], count:
 
 
 def merge_nodes(nodes: DataFrame, wanted: DataFrame, match: Sequence[str]) -> DataFrame:
-    """Add the wanted nodes whose whole pattern (`match`, and the labels) is not there yet."""
-    fresh = wanted.dropDuplicates([*match])
+    """Add the wanted nodes whose whole pattern (`match`, and the labels) is not there yet.
+
+    New nodes get the ids after the greatest one, in the order of their pattern.
+    """
+    pattern = wanted.drop("id").withColumn("labels", F.array_sort(F.array_distinct("labels")))
+    fresh = pattern.dropDuplicates([*match, "labels"])
     have = nodes.select(*match, F.col("labels").alias("_have"))
     same = [nodes_c.eqNullSafe(wanted_c) for nodes_c, wanted_c in ((have[m], fresh[m]) for m in match)]
     covered = F.size(F.array_except(fresh["labels"], F.col("_have"))) == 0
     missing = fresh.join(have, [*same, covered], "left_anti")
-    return nodes.unionByName(missing, allowMissingColumns=True)
+    numbered = next_ids(missing, nodes.agg(F.max("id").alias("top")), [*[F.col(m) for m in match], F.col("labels")], "id")
+    return nodes.unionByName(numbered, allowMissingColumns=True)
 
 
 def merge_edges(edges: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -7,13 +7,15 @@ zset(key, member, score) · log(seq, op, key, ...)
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.text import key_like
-from brindle.operators.ordering import previous, range_by_index, row_numbers, top_per_key
-from brindle.operators.skew import HOT_ROWS, join_totals, plain_side
+from brindle.operators.ordering import SLAB, in_slabs, previous, range_by_index, row_numbers, top_per_key
+from brindle.operators.skew import plain_side
+from brindle.session import materialize
 
 
 def key_of(namespace: str, *parts: Column) -> Column:
@@ -27,14 +29,19 @@ def keys(store: DataFrame, pattern: str) -> DataFrame:
     return store.where(key_like(F.col("key"), pattern))
 
 
+def _asked(store: DataFrame, requests: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The part of the store that is asked for. Few requests are broadcast, so the store itself is not shuffled."""
+    return store.join(requests.select(*on).distinct(), list(on), "left_semi")
+
+
 def get_many(store: DataFrame, requests: DataFrame) -> DataFrame:
     """A value for every requested key, NULL where the key is absent."""
-    return requests.join(store.select("key", "value"), "key", "left")
+    return requests.join(_asked(store.select("key", "value"), requests, ["key"]), "key", "left")
 
 
 def exists_many(store: DataFrame, requests: DataFrame, on: Sequence[str] = ("key",)) -> DataFrame:
     """`present` for every request: is the key, or the (key, member), in the store?"""
-    known = plain_side(store.select(*on).distinct()).withColumn("present", F.lit(True))
+    known = _asked(store.select(*on), requests, on).distinct().withColumn("present", F.lit(True))
     return requests.join(known, list(on), "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 
@@ -43,7 +50,9 @@ def last_write(log: DataFrame, on: Sequence[str], value: str, seq: str = "seq")
 
 
 def rename_key(store: DataFrame, old: str, new: str) -> DataFrame:
-    """Give a key another name; what the new name held before is gone. No such key, no change."""
+    """Give a key another name; what the new name held before is gone. No such key, or the same name: no change."""
+    if old == new:
+        return store
     there = store.where(F.col("key") == old).limit(1).agg(F.count("*").alias("n")).scalar() > 0
     return store.where(~((F.col("key") == new) & there)).withColumn(
         "key", F.when(F.col("key") == old, new).otherwise(F.col("key"))
@@ -61,7 +70,7 @@ def live(store: DataFrame, as_of: Column) -> DataFrame:
 
 def ttl(store: DataFrame, requests: DataFrame, as_of: Column) -> DataFrame:
     """Seconds left per requested key; -1 without expiry, -2 when absent or expired."""
-    alive = live(store, as_of).select("key", "expires_at", F.lit(True).alias("_alive"))
+    alive = _asked(live(store, as_of).select("key", "expires_at"), requests, ["key"]).withColumn("_alive", F.lit(True))
     left = F.unix_seconds(F.col("expires_at").cast("timestamp")) - F.unix_seconds(as_of.cast("timestamp"))
     remaining = F.when(F.col("_alive").isNull(), -2).when(F.col("expires_at").isNull(), -1).otherwise(left)
     return requests.join(alive, "key", "left").withColumn("ttl", remaining).drop("_alive", "expires_at")
@@ -87,28 +96,63 @@ def fetch_fields(hashes: DataFrame, requests: DataFrame, *fields: str) -> DataFr
     A named field that a key lacks has a NULL value.
     """
     if not fields:
-        return requests.join(hashes, "key").select("key", "field", "value")
-    named = F.explode(F.array(*[F.lit(f) for f in fields]))
-    return requests.withColumn("field", named).join(hashes, ["key", "field"], "left").select("key", "field", "value")
+        return requests.join(_asked(hashes, requests, ["key"]), "key").select("key", "field", "value")
+    named = requests.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
+    return named.join(_asked(hashes, named, ["key", "field"]), ["key", "field"], "left").select("key", "field", "value")
 
 
 # --- command log -----------------------------------------------------------------
 
 
-def replay(log: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def replay(log: DataFrame, on: Sequence[str]) -> DataFrame:
     """Final numbers of a log of `set`, `incr` and `del` commands.
 
     The last `set` or `del` of a key is its base: what came before is void. A key
-    whose last word is a `del` is gone; increments after it start from 0.
+    whose last word is a `del` is gone; increments after it start from 0. The log
+    is cut into slabs by key and time; each slab gives its last base and what was
+    added since, and the few slabs of a key are put together.
     """
-    absolute = F.when(F.col("op").isin("set", "del"), F.col("seq"))
-    log = log.where(F.col("op").isin("set", "incr", "del"))
-    bases = log.groupBy(*on).agg(F.max(absolute).alias("_base"), F.count("*").alias("_size"))
-    counted = join_totals(log, bases, on, "_size", hot_rows)
-    current = counted.where(F.col("_base").isNull() | (F.col("seq") >= F.col("_base")))
+    slabs, by = in_slabs(log.where(F.col("op").isin("set", "incr", "del")), on, [F.col("seq")])
+    absolute = F.max(F.when(F.col("op").isin("set", "del"), F.col("seq"))).over(Window.partitionBy(*by, SLAB))
+    current = slabs.withColumn("_base", absolute).where(F.col("_base").isNull() | (F.col("seq") >= F.col("_base")))
     value = F.when(F.col("op") != "del", F.col("value"))
-    totals = current.groupBy(*on).agg(F.sum(value).alias("value"), F.count(value).alias("_writes"))
-    return totals.where("_writes > 0").drop("_writes")
+    parts = current.groupBy(*by, SLAB).agg(
+        F.sum(value).alias("value"), F.count(value).alias("_writes"), F.max("_base").alias("_base")
+    )
+    first = F.max(F.when(F.col("_base").isNotNull(), F.col(SLAB))).over(Window.partitionBy(*by))
+    valid = parts.withColumn("_first", first).where(F.col("_first").isNull() | (F.col(SLAB) >= F.col("_first")))
+    totals = valid.groupBy(*by).agg(F.sum("value").alias("value"), F.sum("_writes").alias("_writes")).where("_writes > 0")
+    return totals.select(*(on if by == list(on) else [f"{by[0]}.*"]), "value")
+
+
+def replay_mixed(log: DataFrame) -> DataFrame:
+    """Final state of a log(seq, op, key, item, value) that mixes kinds: key, kind, item, value, all text.
+
+    `set`, `incr` act on numbers; `hset`, `hdel` on the field `item` of a hash;
+    `sadd`, `srem` on the member `item` of a set; `zadd`, `zincrby`, `zrem` on the
+    score of the member `item`. `del` voids all that a key held.
+    """
+    dead = log.where(F.col("op") == "del").groupBy("key").agg(F.max("seq").alias("_dead"))
+    alive = log.where(F.col("op") != "del").join(plain_side(dead), "key", "left")
+    alive = materialize(alive.where(F.col("_dead").isNull() | (F.col("seq") > F.col("_dead"))).drop("_dead"), "alive")
+
+    def last(put: str, drop: str) -> DataFrame:
+        rows = alive.where(F.col("op").isin(put, drop))
+        newest = rows.groupBy("key", "item").agg(F.max_by(F.struct("op", "value"), "seq").alias("_now"))
+        return newest.where(F.col("_now.op") == put).select("key", "item", F.col("_now.value").alias("value"))
+
+    def numbers(commands: dict[str, str], on: list[str]) -> DataFrame:
+        op = F.coalesce(*[F.when(F.col("op") == c, F.lit(meaning)) for c, meaning in commands.items()])
+        rows = alive.where(F.col("op").isin(list(commands))).withColumn("op", op)
+        return replay(rows.withColumn("value", F.col("value").cast("decimal(18,2)")), on)
+
+    kinds = {
+        "string": numbers({"set": "set", "incr": "incr"}, ["key"]).withColumn("item", F.lit(None).cast("string")),
+        "hash": last("hset", "hdel"), "set": last("sadd", "srem").withColumn("value", F.lit(None).cast("string")),
+        "zset": numbers({"zadd": "set", "zincrby": "incr", "zrem": "del"}, ["key", "item"]),
+    }
+    parts = [df.select("key", F.lit(kind).alias("kind"), "item", F.col("value").cast("string").alias("value")) for kind, df in kinds.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- sets ------------------------------------------------------------------------
@@ -122,17 +166,23 @@ def set_state(log: DataFrame) -> DataFrame:
 def set_state_with_moves(log: DataFrame) -> DataFrame:
     """Members after a log of `add`, `rem` and `move` (to `target`).
 
-    A move takes effect only if the member was there. A set that receives moves
-    must not be moved out of in the same log.
+    A move takes effect only if the member was there; then it is also an `add` to
+    the target, which later moves may build on. Each round decides one more link of
+    such chains, until nothing changes.
     """
-    sources = log.where(F.col("op") == "move").select("key").distinct()
-    targets = log.where(F.col("op") == "move").select(F.col("target").alias("key")).distinct()
-    if not sources.join(targets, "key", "left_semi").isEmpty():
-        raise ValueError("a set is both source and target of moves")
-    traced = previous(log, ["key", "member"], [F.col("seq")], "op", "before")
-    moved = traced.where((F.col("op") == "move") & (F.col("before") == "add"))
-    arrivals = moved.select("seq", F.lit("add").alias("op"), F.col("target").alias("key"), "member")
-    return set_state(log.select("seq", "op", "key", "member").unionByName(arrivals))
+    log = log.where((F.col("op") != "move") | (F.col("key") != F.col("target")))
+    words = log.select("seq", "op", "key", "member", "target")
+    arrivals = words.limit(0).drop("target")
+    before = None
+    while True:
+        rows = words.unionByName(arrivals, allowMissingColumns=True)
+        traced = previous(rows, ["key", "member"], [F.col("seq")], "op", "before")
+        moved = traced.where((F.col("op") == "move") & (F.col("before") == "add"))
+        arrivals = materialize(moved.select("seq", F.lit("add").alias("op"), F.col("target").alias("key"), "member"), "arrivals")
+        now = arrivals.agg(F.count("*"), F.bit_xor(F.xxhash64("seq", "key", "member"))).first()
+        if now == before:
+            return set_state(words.drop("target").unionByName(arrivals))
+        before = now
 
 
 def members(sets: DataFrame, key: str) -> DataFrame:
@@ -172,6 +222,12 @@ def add_scores(changes: DataFrame) -> DataFrame:
     return changes.groupBy("key", "member").agg(F.sum("delta").alias("score"))
 
 
+def replay_scores(log: DataFrame) -> DataFrame:
+    """Sorted sets from a log(seq, op, key, member, score): `zadd` sets a score and voids what was, `zincrby` adds, `zrem` removes."""
+    op = F.when(F.col("op") == "zadd", "set").when(F.col("op") == "zincrby", "incr").when(F.col("op") == "zrem", "del")
+    return replay(log.withColumn("op", op).withColumnRenamed("score", "value"), ["key", "member"]).withColumnRenamed("value", "score")
+
+
 def leaderboard(zset: DataFrame, top: int) -> DataFrame:
     return top_per_key(zset, ["key"], _falling(), top, "rank")
 
@@ -188,7 +244,7 @@ def zrange(zset: DataFrame, start: int, stop: int, descending: bool = False) ->
 
 def zscore(zset: DataFrame, requests: DataFrame) -> DataFrame:
     """Scores of the requested (key, member) pairs, NULL where there is none."""
-    return requests.join(zset, ["key", "member"], "left")
+    return requests.join(_asked(zset, requests, ["key", "member"]), ["key", "member"], "left")
 
 
 # --- references and stock ----------------------------------------------------------

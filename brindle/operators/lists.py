@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators.ordering import range_by_index
+from brindle.operators.ordering import range_by_index, row_numbers
 from brindle.operators.skew import plain_side
 
 
@@ -21,7 +21,7 @@ def _order() -> list[Column]:
 def from_pushes(log: DataFrame) -> DataFrame:
     """Lists from a log(seq, op, key, item) of `lpush` and `rpush`; `seq` counts from 1."""
     pos = F.when(F.col("op") == "lpush", -F.col("seq")).otherwise(F.col("seq"))
-    return log.select("key", pos.cast("bigint").alias("pos"), F.lit(0).alias("sub"), "item")
+    return log.select("key", pos.cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("sub"), "item")
 
 
 def lengths(lists: DataFrame) -> DataFrame:
@@ -43,10 +43,11 @@ def insert_before(lists: DataFrame, inserts: DataFrame) -> DataFrame:
         lists.join(plain_side(wanted), ["key", "item"])
         .groupBy("key", F.col("_new")).agg(F.min(F.struct("pos", "sub")).alias("_at"))
     )
-    # Doubling `sub` leaves room for the new item before its neighbour.
-    spread = lists.withColumn("sub", F.col("sub") * 2)
+    # Doubling `sub` leaves room for the new item before its neighbour; then the lists are numbered again.
+    spread = lists.select("key", "pos", (F.col("sub") * 2).alias("sub"), "item")
     added = first.select("key", F.col("_at.pos").alias("pos"), (F.col("_at.sub") * 2 - 1).alias("sub"), F.col("_new").alias("item"))
-    return spread.unionByName(added)
+    placed = row_numbers(spread.unionByName(added), ["key"], _order(), "_place")
+    return placed.select("key", F.col("_place").alias("pos"), F.lit(0).cast("bigint").alias("sub"), "item")
 
 
 def pop(lists: DataFrame, left: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -23,16 +23,21 @@ def nearest(points: DataFrame, places: DataFrame, identity: str, most_places: in
     """Add the nearest place's columns and `km` to each point.
 
     Both sides have `lat` and `lon`; `identity` is unique among the points. Ties
-    go to the first place in column order.
+    go to the first place in column order. A point without a position, or without
+    any place to go to, keeps NULL; a place without a position is nobody's nearest.
     """
     fields = [c for c in places.columns if c not in ("lat", "lon")]
+    places = places.dropna(subset=["lat", "lon"])
+    everyone, lost = points, F.col("lat").isNull() | F.col("lon").isNull()
+    points = points.where(~lost)
     # Of several places at one spot the first one wins every tie.
     spots = places.groupBy("lat", "lon").agg(F.min(F.struct(*fields)).alias("place"))
     spots = _on_sphere(spots).select(F.struct(*_AXES, "place", "lat", "lon").alias("spot"))
     few = places.limit(most_places + 1).count() <= most_places
     best = _by_array(points, spots) if few else _by_grid(points, spots, identity)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("_best.lat"), F.col("_best.lon"))
-    return best.select(*points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], km.alias("km"))
+    found = best.select(*points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], km.alias("km"))
+    return found.unionByName(everyone.where(lost), allowMissingColumns=True)
 
 
 def _on_sphere(df: DataFrame) -> DataFrame:
@@ -75,4 +80,4 @@ def _by_grid(points: DataFrame, spots: DataFrame, identity: str) -> DataFrame:
         best = materialize(best, "nearest")
         found = best if found is None else found.unionByName(best)
         open_points = open_points.join(best.select(identity), identity, "left_anti")
-    return points.join(found, identity)
+    return points.join(found, identity, "left")

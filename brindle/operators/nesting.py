@@ -1,8 +1,8 @@
 """Nesting rows into documents and back.
 
 A group may be larger than any one document should be. Nested members are
-therefore kept in pages: a group of n members becomes about n / page_rows rows
-whose arrays together hold the whole group.
+therefore kept in pages: full ones but for the last, which one after the other are
+the group's ordered list.
 """
 
 from __future__ import annotations
@@ -12,49 +12,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions.hashing import stable_hash, stable_hash_sql
-from brindle.operators.skew import HOT_ROWS, join_totals
-from brindle.session import materialize
+from brindle.operators.ordering import row_numbers
 
 PAGE_ROWS = 1000
 
 
 def collect_pages(
-    df: DataFrame,
-    keys: Sequence[str],
-    member: Column,
-    name: str,
-    page_rows: int = PAGE_ROWS,
-    page_by: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], member: Column, name: str, page_rows: int = PAGE_ROWS, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Members per key as sorted arrays, with `page` and the `total` of the key.
+    """Members per key as arrays, with `page` (from 0) and the `total` of the key.
 
-    Without `page_by` the members are a set: repeats fold into one. With it every
-    row is kept, and `page_by` names its identity, from which the page is hashed.
+    Without `order` the members are an ordered set: repeats fold into one, and NULL
+    is no member. With it every row is kept, in the order of those columns.
     """
-    members = df.select(*keys, member.alias("_member"), (member if page_by is None else page_by).alias("_by"))
-    if page_by is None:
-        # Written once: they are read for the totals and for the pages.
-        members = materialize(members.distinct(), "members")
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("total"))
-    pages = F.ceil(F.col("total") / page_rows)
-    return (
-        join_totals(members, sizes, keys, "total", hot_rows)
-        .withColumn("page", F.pmod(stable_hash(F.col("_by")), pages))
-        .groupBy(*keys, "total", "page")
-        .agg(F.array_sort(F.collect_list("_member")).alias(name))
-    )
+    columns = [c for c in order if c not in keys]
+    members = df.select(*keys, member.alias("_member"), *columns)
+    if not order:
+        members = members.where(F.col("_member").isNotNull()).distinct()
+    by = [F.col(c) for c in columns] or [F.col("_member")]
+    placed = row_numbers(members, keys, by, "_place", start=0, total="total")
+    page = F.floor(F.col("_place") / page_rows).alias("page")
+    paged = placed.groupBy(*keys, "total", page).agg(F.sort_array(F.collect_list(F.struct("_place", "_member"))).alias("_members"))
+    return paged.withColumn(name, F.transform("_members", lambda m: m["_member"])).drop("_members")
 
 
 def pages_sql(members: str, keys: str, name: str, page_rows: int = PAGE_ROWS, mark: str = ", ") -> str:
-    """SQL twin of `collect_pages` for text members; `members` selects `keys` and `v`."""
+    """The same in SQL for text members; `members` selects `keys` and `v`."""
     return f"""
-    WITH m AS (SELECT DISTINCT * FROM ({members})),
-    s AS (SELECT {keys}, count(*) AS total FROM m GROUP BY {keys}),
-    p AS (SELECT m.*, total, {stable_hash_sql('v')} % CAST(ceil(total / {page_rows}) AS BIGINT) AS page
-          FROM m JOIN s USING ({keys}))
-    SELECT {keys}, total, page, string_agg(v, '{mark}' ORDER BY v) AS {name}
+    WITH m AS (SELECT DISTINCT * FROM ({members}) WHERE v IS NOT NULL),
+    p AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY v) - 1 AS place, count(*) OVER (PARTITION BY {keys}) AS total FROM m)
+    SELECT {keys}, total, place // {page_rows} AS page, string_agg(v, '{mark}' ORDER BY place) AS {name}
     FROM p GROUP BY {keys}, total, page"""
 
 
@@ -69,11 +56,10 @@ def embed(
 ) -> DataFrame:
     """Parents with their children nested as an array of structs, in pages.
 
-    `identity` tells the children of one parent apart. A parent without children
-    keeps one row with an empty array.
+    `identity` tells the children of one parent apart and orders them. A parent
+    without children keeps one row with an empty array.
     """
-    by = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
-    nested = collect_pages(children, [key], F.struct(*fields), name, page_rows, by)
+    nested = collect_pages(children, [key], F.struct(*fields), name, page_rows, identity)
     return (
         parents.join(nested, key, "left")
         .withColumn("total", F.coalesce("total", F.lit(0)))

@@ -13,28 +13,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.session import materialize
 
-TRIMMED = 1000  # fixed value: Spark's default limit for trimming windows early
-_SLAB, _KEY = "_slab", "_key"
+SLAB, _KEY = "_slab", "_key"
 
 
 def _struct_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_KEY, F.struct(*keys))
 
 
-def _slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+def in_slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, list[str]]:
     """The rows with their slab, and the columns to tell keys apart by.
 
     These are the keys themselves. Only if some are NULL (the files' statistics
     tell) it is a struct of them, in which NULL equals NULL but which is slower.
     """
     spread = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    slabs = materialize(spread.withColumn(_SLAB, F.spark_partition_id()), "slabs")
+    slabs = materialize(spread.withColumn(SLAB, F.spark_partition_id()), "slabs")
     if not keys or slabs.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
         return slabs, list(keys)
     return _struct_key(slabs, keys), [_KEY]
@@ -55,10 +55,10 @@ def running_total(
     that is unique by the keys, also its columns (NULL where a key is missing):
     it is joined to the few rows per slab, not to the rows themselves.
     """
-    slabs, by = _slabs(df.withColumn("_weight", weight), keys, order)
-    earlier_slabs = Window.partitionBy(*by).orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
+    slabs, by = in_slabs(df.withColumn("_weight", weight), keys, order)
+    earlier_slabs = Window.partitionBy(*by).orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        slabs.groupBy(*by, _SLAB)
+        slabs.groupBy(*by, SLAB)
         .agg(F.sum("_weight").alias("_slab_weight"))
         .withColumn("_offset", F.coalesce(F.sum("_slab_weight").over(earlier_slabs), F.lit(0)))
     )
@@ -68,11 +68,11 @@ def running_total(
         facts = per_key if by == list(keys) else _struct_key(per_key, keys).drop(*keys)
         offsets = offsets.join(facts, by, "left")
     offsets = offsets.drop("_slab_weight")
-    earlier_rows = Window.partitionBy(*by, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier_rows = Window.partitionBy(*by, SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slabs.join(offsets, [*by, _SLAB])
+        slabs.join(offsets, [*by, SLAB])
         .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_weight").over(earlier_rows), F.lit(0)))
-        .drop(_KEY, _SLAB, "_offset", "_weight")
+        .drop(_KEY, SLAB, "_offset", "_weight")
     )
 
 
@@ -94,38 +94,39 @@ def row_numbers(
 
 
 def ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, descending: bool = True) -> DataFrame:
-    """Rank with gaps on ties.
+    """Rank with gaps on ties; a NULL value ranks last.
 
     Ties are counted first, so that many equal values travel as one row. The
     input is written once, because it is read for the ties and for the result.
     """
     df = materialize(df, "ranked")
-    order = F.col(value).desc() if descending else F.col(value).asc()
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     tallies = df.groupBy(*keys, value).agg(F.count("*").alias("_tied"))
     placed = running_total(tallies, keys, [order], F.col("_tied"), name)
-    placed = placed.select(*keys, value, (F.col(name) + 1).alias(name))
-    return df.join(placed, [*keys, value])
+    at = {c: f"_at_{c}" for c in (*keys, value)}
+    placed = placed.select(*[F.col(c).alias(a) for c, a in at.items()], (F.col(name) + 1).alias(name))
+    return df.join(placed, reduce(and_, [F.col(c).eqNullSafe(F.col(a)) for c, a in at.items()])).drop(*at.values())
 
 
 def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str
 ) -> DataFrame:
     """Add `value` of the row before, in key order; NULL on a key's first row."""
-    slabs, by = _slabs(df, keys, order)
+    slabs, by = in_slabs(df, keys, order)
     slabs = slabs.withColumn("_value", F.struct(F.col(value).alias("v")))
-    inside = Window.partitionBy(*by, _SLAB).orderBy(*order)
+    inside = Window.partitionBy(*by, SLAB).orderBy(*order)
     numbered = slabs.withColumn("_before", F.lag("_value").over(inside)).withColumn(
         "_is_last", F.lead(F.lit(1)).over(inside).isNull()
     )
-    by_slab = Window.partitionBy(*by).orderBy(_SLAB)
+    by_slab = Window.partitionBy(*by).orderBy(SLAB)
     carried = (
         numbered.where("_is_last")
-        .select(*by, _SLAB, F.lag("_value").over(by_slab).alias("_carried"))
+        .select(*by, SLAB, F.lag("_value").over(by_slab).alias("_carried"))
     )
     return (
-        numbered.join(carried, [*by, _SLAB])
+        numbered.join(carried, [*by, SLAB])
         .withColumn(name, F.coalesce("_before", "_carried")["v"])
-        .drop(_KEY, _SLAB, "_value", "_before", "_carried", "_is_last")
+        .drop(_KEY, SLAB, "_value", "_before", "_carried", "_is_last")
     )
 
 
@@ -134,10 +135,11 @@ def top_per_key(
 ) -> DataFrame:
     """The first `count` rows of each key.
 
-    Up to `TRIMMED` rows, Spark trims every key before the shuffle, so a hot key
-    costs no more than any other; beyond, keys are numbered by slabs.
+    Up to the session's limit (`spark.sql.optimizer.windowGroupLimitThreshold`) Spark
+    trims every key before the shuffle, so a hot key costs no more than any other;
+    beyond, keys are numbered by slabs.
     """
-    if count > TRIMMED:
+    if count > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         return row_numbers(df, keys, order, name).where(F.col(name) <= count)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= count)

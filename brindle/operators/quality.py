@@ -14,10 +14,19 @@ def _finding(df: DataFrame, rule: str, keys: list[str], count: Column) -> DataFr
 
 
 def unique(df: DataFrame, rule: str, *keys: str) -> DataFrame:
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    """Values that occur more than once. A row with a NULL among the keys repeats nothing."""
+    repeated = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     return _finding(repeated, rule, list(keys), F.col("n"))
 
 
+def primary_key(df: DataFrame, rule: str, *keys: str) -> DataFrame:
+    """Keys that occur more than once, and keys with a NULL, which shows as `NULL`."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    broken = df.groupBy(*keys).agg(F.count("*").alias("n")).where((F.col("n") > 1) | missing)
+    shown = broken.withColumns({k: F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys})
+    return _finding(shown, rule, list(keys), F.col("n"))
+
+
 def references(df: DataFrame, rule: str, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Values without a parent; NULL refers to nothing and is allowed."""
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from brindle.functions.dates import month_of, within_days
 from brindle.operators.nesting import PAGE_ROWS, collect_pages
 from brindle.operators.ordering import top_per_key
+from brindle.session import materialize
 
 AMOUNT = "decimal(18,2)"
 
@@ -81,11 +82,14 @@ def last_purchases(shop: Shop, count: int = 5) -> DataFrame:
 
 
 def store_revenue(shop: Shop, start: str, end: str) -> DataFrame:
-    """Revenue and number of paid purchases per store within a closed time range."""
+    """Revenue and number of paid purchases per store within a closed time range.
+
+    A purchase paid in parts counts once.
+    """
     bounds = [F.lit(x).cast("timestamp_ntz") for x in (start, end)]
     return (
         shop.purchases.where(F.col("purchasedatetime").between(*bounds))
-        .join(shop.payments.select("purchaseid", "amount"), "purchaseid")
+        .join(shop.payments.groupBy("purchaseid").agg(F.sum("amount").alias("amount")), "purchaseid")
         .groupBy("storeid")
         .agg(F.sum("amount").alias("total_amount"), F.count("*").alias("transaction_count"))
     )
@@ -125,9 +129,8 @@ def bestsellers_of_month(shop: Shop, month: str, count: int = 5) -> DataFrame:
 
 
 def suppliers_of(shop: Shop, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Supplier names of every product as comma-joined text, in pages."""
-    pairs = shop.product_suppliers.select("productid", "supplierid").distinct()
-    named = pairs.join(shop.suppliers, "supplierid")
+    """Supplier names of every product as one ordered comma-joined text; beyond `page_rows` names it goes on in pages."""
+    named = shop.product_suppliers.select("productid", "supplierid").join(shop.suppliers, "supplierid")
     pages = collect_pages(named, ["productid"], F.col("suppliername"), "suppliers", page_rows)
     return pages.withColumn("suppliers", F.array_join("suppliers", ", "))
 
@@ -159,7 +162,8 @@ def monthly_revenue(shop: Shop) -> DataFrame:
 def category_growth(shop: Shop) -> DataFrame:
     """Monthly revenue per category and its change against the same month a year before.
 
-    The year before is found by month, so missing months do not shift it.
+    The year before is found by month, so missing months do not shift it. There is
+    no growth over a year without revenue. The months are written once, being read twice.
     """
     dated = shop.purchases.select("purchaseid", month_of(F.col("purchasedatetime")).alias("month"))
     months = (
@@ -169,8 +173,9 @@ def category_growth(shop: Shop) -> DataFrame:
         .agg(_revenue("revenue"))
         .withColumn("revenue", F.col("revenue").cast("double"))
     )
+    months = materialize(months, "months")
     later = months.select("category", F.add_months("month", 12).alias("month"), F.col("revenue").alias("last_year"))
-    growth = (F.col("revenue") - F.col("last_year")) / F.col("last_year")
+    growth = F.try_divide(F.col("revenue") - F.col("last_year"), F.col("last_year"))
     return months.join(later, ["category", "month"], "left").withColumn("growth", F.round(growth, 4))
 
 

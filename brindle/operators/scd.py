@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.dates import OPEN_END
 from brindle.operators.changes import next_ids, update_by_key
+from brindle.session import materialize
 
 
 def _last_per_day(changes: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
@@ -29,7 +30,8 @@ def _last_per_day(changes: DataFrame, key: str, tracked: Sequence[str]) -> DataF
 
 def apply_type1(state: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
     """Overwrite the tracked columns with their newest values; no history."""
-    newest = changes.groupBy(key).agg(F.max_by(F.struct(*tracked), "effective").alias("_new"))
+    days = _last_per_day(changes, key, tracked)
+    newest = days.groupBy(key).agg(F.max_by(F.struct(*tracked), "effective").alias("_new"))
     newest = newest.select(key, *[F.col(f"_new.{c}").alias(c) for c in tracked])
     return update_by_key(state, newest, key, tracked)
 
@@ -40,7 +42,8 @@ def apply_type2(
     """Close the open version of every changed key and add new versions.
 
     A version ends the day before the next one starts. Changes that repeat the
-    value in force, or are not newer than the open version, have no effect.
+    value in force, or are not newer than the open version, have no effect; for a
+    key without an open version the same holds of its last closed one.
     Unknown keys are inserted. New versions get surrogate keys after the
     greatest one in use, in order of date and key.
     """
@@ -52,16 +55,19 @@ def apply_type2(
         _last_per_day(changes, key, tracked).select(key, fields.alias("_v"), F.col("effective").alias("_at")),
         allowMissingColumns=True,
     )
+    ends = closed.groupBy(key).agg(F.max("validto").alias("_closed"))
+    steps = steps.join(ends, key, "left")
     whole = Window.partitionBy(key)
     line = Window.partitionBy(key).orderBy("_at", F.col(surrogate).asc_nulls_last())
     versions = (
         steps.withColumn("_open_from", F.max(F.when(F.col(surrogate).isNotNull(), F.col("_at"))).over(whole))
-        .where(F.col(surrogate).isNotNull() | F.col("_open_from").isNull() | (F.col("_at") > F.col("_open_from")))
+        .where(F.col(surrogate).isNotNull() | (F.col("_at") > F.coalesce("_open_from", "_closed", F.lit("0001-01-01").cast("date"))))
         .withColumn("_before", F.lag("_v").over(line))
         .where(F.col("_before").isNull() | ~F.col("_v").eqNullSafe(F.col("_before")))
         .withColumn("validto", F.coalesce(F.date_sub(F.lead("_at").over(line), 1), open_end))
         .select(surrogate, key, *[F.col(f"_v.{c}").alias(c) for c in tracked], F.col("_at").alias("validfrom"), "validto")
     )
+    versions = materialize(versions, "versions")
     kept = versions.where(F.col(surrogate).isNotNull())
     added = next_ids(
         versions.where(F.col(surrogate).isNull()).drop(surrogate),

@@ -2,45 +2,15 @@
 
 Spark splits such a key at runtime (`spark.sql.adaptive.skewJoin`), but only where
 both sides of the join come straight out of a shuffle. Where one side is an
-aggregate or another join, these functions keep the hot key apart.
+aggregate or another join, it is written first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from brindle.session import materialize
 
-HOT_ROWS = 10_000_000  # a key with more rows is never brought together by a join
-
-
-def join_totals(
-    df: DataFrame, totals: DataFrame, keys: Sequence[str], size: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add to each row the `totals` of its key, of which `size` is the key's row count.
-
-    The totals of hot keys are broadcast and their rows stay where they are. There
-    can be no more hot keys than rows / hot_rows, which bounds the broadcast: a
-    trillion rows have at most a hundred thousand. Other keys are joined as usual.
-    Rows with a NULL key are joined apart from those, since NULL must equal NULL.
-    """
-    keys = list(keys)
-    others = [c for c in totals.columns if c not in keys]
-    totals = totals.select(*[F.col(k).alias(f"_{k}") for k in keys], *others)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    equal = reduce(and_, [F.col(k) == F.col(f"_{k}") for k in keys])
-    missing = reduce(or_, [F.col(k).isNull() for k in keys])
-    is_hot = F.col(size) > hot_rows
-    hot, cold = F.broadcast(totals.where(is_hot)), totals.where(~is_hot)
-    rest = df.join(hot, same, "left_anti")
-    joined = df.join(hot, same).unionByName(rest.join(cold, equal)).unionByName(rest.where(missing).join(cold, same))
-    return joined.select(*df.columns, *others)
-
 
 def plain_side(df: DataFrame) -> DataFrame:
     """The smaller side of a join as a written table.

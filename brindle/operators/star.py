@@ -83,6 +83,9 @@ def fact_sales(
 ) -> DataFrame:
     """One row per purchase item; an unpaid purchase has no payment key.
 
+    A purchase that is paid in parts has the key of its first payment, the one with
+    the least id, so that its items are not multiplied.
+
     A report that needs no key of a table leaves that table out and saves its
     join. Payments and dates need `purchases`. `keep` names product columns that
     come along, so that a report on them need not join the products again.
@@ -92,7 +95,7 @@ def fact_sales(
     if purchases is not None:
         headers = purchases
         if payments is not None:
-            paid = payments.select("purchaseid", F.col("paymentid").alias("paymentkey"))
+            paid = payments.groupBy("purchaseid").agg(F.min("paymentid").alias("paymentkey"))
             headers = headers.join(paid, "purchaseid", "left")
         if dates is not None:
             day = dates.select("datekey", F.col("fulldate").alias("_day"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.functions.arrays import field_of_each
 from brindle.functions.dates import epoch_seconds, object_id_time
 from brindle.functions.text import json_number
 from brindle.operators import documents as doc
-from brindle.operators.nesting import collect_pages, embed, lookup_unwind, pages_sql, unwind
+from brindle.operators.nesting import collect_pages, embed, lookup, lookup_unwind, pages_sql, unwind
 from brindle.registry import query
 from brindle.sources.tables import Tables
 
@@ -64,13 +65,14 @@ def doc_filter_or_and_nor(t: Tables) -> DataFrame:
 SELECT p_name AS title, p_size + 1990 AS year FROM part WHERE p_size + 1990 > 1990 AND p_size + 1990 < 2000 ORDER BY 2, 1""", bigint=["year"])
 def doc_range_sort(t: Tables) -> DataFrame:
     """Films of the nineties from old to recent, both ends open."""
-    nineties = (F.col("year") > 1990) & (F.col("year") < 2000)
-    return doc.find(films(t), nineties, "title", "year", "id").orderBy("year", "title", "id").drop("id")
+    first = films(t).withColumn("age", F.col("year") - 1990)  # Spark undoes this sum, so the scan sees the bounds
+    nineties = (F.col("age") > 0) & (F.col("age") < 10)
+    return doc.find(first, nineties, "title", "year", "id").orderBy("year", "title", "id").drop("id")
 
 
 @query("doc_regex_prefix", "SELECT p_partkey AS id, p_name AS title FROM part WHERE regexp_matches(p_name, '^re')")
 def doc_regex_prefix(t: Tables) -> DataFrame:
-    return doc.find(films(t), F.col("title").rlike("^re"), "id", "title")
+    return doc.find(films(t), F.col("title").startswith("re"), "id", "title")
 
 
 @query("doc_in_list", """
@@ -156,16 +158,52 @@ def doc_directed_collection(t: Tables) -> DataFrame:
 
 @query("doc_add_to_set_match", f"""SELECT * FROM ({pages_sql(
     "SELECT p_name AS title, s_name AS v FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey",
-    "title", "suppliers", 16)}) WHERE title LIKE 'red %' AND total >= 20""")
+    "title", "suppliers", 16)}) WHERE title LIKE 'red %' AND total >= 4""")
 def doc_add_to_set_match(t: Tables) -> DataFrame:
     """Distinct supplier names per title, kept where the title and the set size fit."""
-    pairs = t.lineitem.select(F.col("l_partkey").alias("filmid"), F.col("l_suppkey").alias("supplierid")).distinct()
-    titled = pairs.join(films(t).select(F.col("id").alias("filmid"), "title"), "filmid")
+    red = doc.find(films(t), F.col("title").startswith("red "))  # the title is the group, so it can be met first
+    titled = t.lineitem.select(F.col("l_partkey").alias("filmid"), F.col("l_suppkey").alias("supplierid")).join(
+        red.select(F.col("id").alias("filmid"), "title"), "filmid")
     named = titled.join(t.supplier.select(F.col("s_suppkey").alias("supplierid"), "s_name"), "supplierid")
     sets = collect_pages(named, ["title"], F.col("s_name"), "suppliers", page_rows=16)
-    return sets.where(F.col("title").startswith("red ") & (F.col("total") >= 20)).withColumn(
-        "suppliers", F.array_join("suppliers", ", ")
-    )
+    return sets.where(F.col("total") >= 4).withColumn("suppliers", F.array_join("suppliers", ", "))
+
+
+@query("doc_lookup_nested", f"""
+SELECT p_partkey AS id, count(personid) AS players, coalesce(min(personid), 0) AS first FROM part LEFT JOIN {ROLES_SQL} r ON filmid = p_partkey GROUP BY 1""")
+def doc_lookup_nested(t: Tables) -> DataFrame:
+    """A lookup without unwind: each film with its roles nested; a film without roles has none."""
+    found = lookup(films(t).select("id"), roles(t), "id", "filmid", "cast", ["personid"])
+    per_page = found.select("id", F.size("cast").alias("n"), F.array_min(F.transform("cast", lambda r: r["personid"])).alias("least"))
+    return per_page.groupBy("id").agg(F.sum("n").alias("players"), F.coalesce(F.min("least"), F.lit(0)).alias("first"))
+
+
+@query("doc_embed_both_ways", f"""
+SELECT 'person' AS side, c_custkey AS id, count(filmid) AS members FROM customer LEFT JOIN {ROLES_SQL} r ON personid = c_custkey GROUP BY 2
+UNION ALL SELECT 'film', p_partkey, count(personid) FROM part LEFT JOIN {ROLES_SQL} r ON filmid = p_partkey GROUP BY 2""")
+def doc_embed_both_ways(t: Tables) -> DataFrame:
+    """Films embedded in people, and people embedded in films."""
+    sides = [("person", people(t).select("id"), "personid", "filmid"), ("film", films(t).select("id"), "filmid", "personid")]
+    counted = []
+    for side, parents, own, other in sides:
+        children = roles(t).select(F.col(own).alias("id"), other)
+        nested = embed(parents, children, "id", [other], "members", identity=[other])
+        counted.append(nested.groupBy(F.lit(side).alias("side"), "id").agg(F.sum(F.size("members")).alias("members")))
+    return counted[0].unionByName(counted[1])
+
+
+@query("doc_sort_before_limit", "SELECT p_partkey AS id, p_name AS title FROM part ORDER BY p_size, p_partkey LIMIT 3")
+def doc_sort_before_limit(t: Tables) -> DataFrame:
+    """The three oldest films: the order counts before the limit, whatever was written first."""
+    return doc.find(films(t), None, "id", "title", "year").orderBy("year", "id").limit(3).drop("year")
+
+
+@query("doc_field_of_each", """
+SELECT event_id, event_type || ',' || CAST(user_id AS VARCHAR) AS names FROM events""")
+def doc_field_of_each(t: Tables) -> DataFrame:
+    """One field of each object in an array."""
+    objects = F.array(F.struct(F.col("event_type").alias("index")), F.struct(F.col("user_id").cast("string").alias("index")))
+    return t.events.select("event_id", F.array_join(field_of_each(objects, "index"), ",").alias("names"))
 
 
 @query("doc_relational_division", """

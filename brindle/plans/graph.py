@@ -97,8 +97,9 @@ JOIN {ACTED_SQL} b ON b.dst = a.dst AND b.src <> a.src JOIN customer o ON o.c_cu
 def graph_co_actors(t: Tables) -> DataFrame:
     """Who acted with one actor, and in which films."""
     graph = src.film_graph(t)
-    found = g.neighbours_of(graph, _actor(graph), "ACTED_IN", "ACTED_IN")
-    found = g.attach(g.attach(found, graph.nodes, "other", "name"), graph.nodes, "film", "title")
+    me = _actor(graph).select("id")
+    found = g.neighbours_of(src.graph_of(t, me), me, "ACTED_IN", "ACTED_IN", back=lambda films: src.acted(t, films=films))
+    found = g.attach(g.attach(found, src.people(t), "other", "name"), src.films(t), "film", "title")
     return found.select(F.col("other_name").alias("co_actor"), F.col("film_title").alias("title"), "film")
 
 
@@ -109,8 +110,9 @@ JOIN {DIRECTED_SQL} b ON b.dst = a.dst JOIN customer d ON d.c_custkey = b.src JO
 def graph_two_hop_directors(t: Tables) -> DataFrame:
     """Who directed the films of one actor."""
     graph = src.film_graph(t)
-    found = g.neighbours_of(graph, _actor(graph), "ACTED_IN", "DIRECTED")
-    found = g.attach(g.attach(found, graph.nodes, "other", "name"), graph.nodes, "film", "title")
+    me = _actor(graph).select("id")
+    found = g.neighbours_of(src.graph_of(t, me), me, "ACTED_IN", "DIRECTED", back=lambda films: src.directed(t, films))
+    found = g.attach(g.attach(found, src.people(t), "other", "name"), src.films(t), "film", "title")
     return found.select(F.col("other_name").alias("director"), F.col("film_title").alias("title"), "film")
 
 
@@ -136,9 +138,10 @@ def graph_never_directed(t: Tables) -> DataFrame:
     return found.select(F.col("person_name").alias("name"), F.col("film_title").alias("title"))
 
 
-def _films_of(graph: g.Graph, *properties: str) -> DataFrame:
-    played = g.hop(_actor(graph).withColumnRenamed("id", "actor"), graph.edges, "actor", "film", ["ACTED_IN"])
-    return g.attach(played, graph.nodes, "film", *properties)
+def _played(t: Tables) -> DataFrame:
+    """(actor, film) of the one actor."""
+    me = _actor(src.film_graph(t)).select("id")
+    return g.hop(me.withColumnRenamed("id", "actor"), src.acted(t, me), "actor", "film", ["ACTED_IN"])
 
 
 @query("graph_skip_limit", f"""
@@ -146,7 +149,7 @@ SELECT p_name AS title, p_partkey + 1000000000000 AS film FROM {ACTED_SQL} a JOI
 JOIN part ON p_partkey = dst ORDER BY 1, 2 LIMIT 3 OFFSET 2""")
 def graph_skip_limit(t: Tables) -> DataFrame:
     """Films of one actor by title: skip two, take three."""
-    films = _films_of(src.film_graph(t), "title").select(F.col("film_title").alias("title"), "film")
+    films = g.attach(_played(t), src.films(t), "film", "title").select(F.col("film_title").alias("title"), "film")
     return films.orderBy("title", "film").offset(2).limit(3)
 
 
@@ -197,14 +200,14 @@ def graph_latest_film(t: Tables) -> DataFrame:
 
 @query("graph_cast_list", pages_sql(
     f"SELECT p_partkey + 1000000000000 AS film, p_name AS title, c_name AS v FROM {ACTED_SQL} a JOIN part ON p_partkey = dst JOIN customer ON c_custkey = src",
-    "film, title", "players", 16))
+    "film, title", "players"))
 def graph_cast_list(t: Tables) -> DataFrame:
     """The cast of every film, in pages, with its size."""
     graph = src.film_graph(t)
     edges = graph.edges.where(F.col("type") == "ACTED_IN").select(F.col("src").alias("person"), F.col("dst").alias("film"))
-    named = g.attach(edges, graph.nodes, "person", "name")
-    pages = collect_pages(named, ["film"], F.col("person_name"), "players", page_rows=16)
-    return g.attach(pages, graph.nodes, "film", "title").select(
+    named = g.attach(edges, src.people(t), "person", "name")
+    pages = collect_pages(named, ["film"], F.col("person_name"), "players")
+    return g.attach(pages, src.films(t), "film", "title").select(
         "film", F.col("film_title").alias("title"), "total", "page", F.array_join("players", ", ").alias("players"))
 
 
@@ -238,13 +241,11 @@ def graph_ratings_of_user(t: Tables) -> DataFrame:
 SELECT DISTINCT p_type AS genre FROM {ACTED_SQL} a JOIN customer ON c_custkey = src AND c_name = '{ACTOR}' JOIN part ON p_partkey = dst""")
 def graph_genres_of_actor(t: Tables) -> DataFrame:
     """Genres of the films one actor played in."""
-    graph = src.film_graph(t)
     genres = src.genres(t)
     genre_edges = t.part.select((F.col("p_partkey") + src.FILM_BASE).alias("src"), F.col("p_type").alias("name")).join(
         genres.select("name", F.col("id").alias("dst")), "name"
     ).select("src", "dst", F.lit("HAS_GENRE").alias("type"))
-    played = g.hop(_actor(graph).withColumnRenamed("id", "actor"), graph.edges, "actor", "film", ["ACTED_IN"])
-    tagged = g.hop(played, genre_edges, "film", "genre")
+    tagged = g.hop(_played(t), genre_edges, "film", "genre")
     return g.attach(tagged, genres, "genre", "name").select(F.col("genre_name").alias("genre")).distinct()
 
 
@@ -257,17 +258,19 @@ def graph_top3_names_collect(t: Tables) -> DataFrame:
 
 
 @query("graph_merge", """
-WITH wanted AS (SELECT DISTINCT CASE WHEN s_acctbal < 5000 THEN 'Customer#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') ELSE s_name END AS name FROM supplier)
-SELECT name, 'Person' AS label, false AS created FROM (SELECT c_name AS name FROM customer)
-UNION ALL SELECT name, 'Person', true FROM wanted WHERE name NOT IN (SELECT c_name FROM customer)""")
+WITH wanted AS (SELECT DISTINCT CASE WHEN s_acctbal < 5000 THEN 'Customer#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') ELSE s_name END AS name,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'Person' ELSE 'Director' END AS label FROM supplier)
+SELECT c_custkey AS id, c_name AS name, 'Person' AS label, false AS created FROM customer
+UNION ALL SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY name, label), name, label, true FROM wanted
+WHERE label = 'Director' OR name NOT IN (SELECT c_name FROM customer)""")
 def graph_merge(t: Tables) -> DataFrame:
     """Match or create people by name: the nodes afterwards, and which are new."""
     nodes = src.people(t).withColumn("created", F.lit(False))
     known = F.concat(F.lit("Customer#"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0"))
     wanted = t.supplier.select(
-        F.array(F.lit("Person")).alias("labels"),
+        F.array(F.when(F.col("s_suppkey") % 2 == 0, "Person").otherwise("Director")).alias("labels"),
         F.when(F.col("s_acctbal") < 5000, known).otherwise(F.col("s_name")).alias("name"), F.lit(True).alias("created"))
-    return g.merge_nodes(nodes, wanted, ["name"]).select("name", F.col("labels")[0].alias("label"), "created")
+    return g.merge_nodes(nodes, wanted, ["name"]).select("id", "name", F.col("labels")[0].alias("label"), "created")
 
 
 @query("graph_merge_edges", f"""

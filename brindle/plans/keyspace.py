@@ -163,21 +163,23 @@ def kv_list_table(t: Tables) -> DataFrame:
 
 
 @query("kv_set_ops", """
-WITH a AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'purchase' AND value > 40), b AS (SELECT DISTINCT user_id AS m FROM events WHERE event_type = 'error' AND value > 40)
-SELECT 'inter' AS op, 'user:' || m AS member FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
-UNION ALL SELECT 'union', 'user:' || m FROM (SELECT * FROM a UNION SELECT * FROM b)
-UNION ALL SELECT 'diff', 'user:' || m FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
-UNION ALL SELECT 'members', 'user:' || m FROM a
-UNION ALL SELECT 'size:purchase', CAST(count(*) AS VARCHAR) FROM a UNION ALL SELECT 'size:error', CAST(count(*) AS VARCHAR) FROM b""")
+WITH s AS (SELECT DISTINCT strftime(ts, 'day:%Y-%m-%d') AS key, 'user:' || user_id AS m FROM events),
+a AS (SELECT m FROM s WHERE key = 'day:2024-01-10'), b AS (SELECT m FROM s WHERE key = 'day:2024-01-20')
+SELECT 'inter' AS op, m AS member FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
+UNION ALL SELECT 'union', m FROM (SELECT * FROM a UNION SELECT * FROM b)
+UNION ALL SELECT 'diff', m FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT 'members', m FROM a
+UNION ALL SELECT 'size:' || key, CAST(count(*) AS VARCHAR) FROM s GROUP BY key""")
 def kv_set_ops(t: Tables) -> DataFrame:
-    """Intersection, union, difference, members and sizes of two user sets."""
-    big = t.events.where((F.col("value") > 40) & F.col("event_type").isin("purchase", "error"))
-    sets = big.select(F.col("event_type").alias("key"), user_key(t).alias("member")).distinct()
+    """The users of each day as sets: intersection, union, difference and members of two of them, sizes of all."""
+    day = F.concat(F.lit("day:"), F.date_format("ts", "yyyy-MM-dd"))
+    sets = t.events.select(day.alias("key"), user_key(t).alias("member")).distinct()
     sizes = kv.cardinality(sets).select(
         F.concat(F.lit("size:"), F.col("key")).alias("op"), F.col("size").cast("string").alias("member"))
+    a, b = "day:2024-01-10", "day:2024-01-20"
     parts = {
-        "inter": kv.intersection(sets, "purchase", "error"), "union": kv.union(sets, "purchase", "error"),
-        "diff": kv.difference(sets, "purchase", "error"), "members": kv.members(sets, "purchase"),
+        "inter": kv.intersection(sets, a, b), "union": kv.union(sets, a, b),
+        "diff": kv.difference(sets, a, b), "members": kv.members(sets, a),
     }
     for op, df in parts.items():
         sizes = sizes.unionByName(df.withColumn("op", F.lit(op)))
@@ -202,6 +204,87 @@ def kv_set_move(t: Tables) -> DataFrame:
     return kv.set_state_with_moves(log)
 
 
+@query("kv_set_move_chain", """
+WITH log AS (SELECT event_id AS seq, user_id AS m, event_type FROM events WHERE event_type IN ('signup', 'view', 'purchase')),
+tr AS (SELECT *, max(seq) FILTER (event_type = 'signup') OVER (PARTITION BY m ORDER BY seq) AS s, lag(event_type) OVER w AS p1 FROM log WINDOW w AS (PARTITION BY m ORDER BY seq)),
+run AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY m ORDER BY seq) AS r FROM tr),
+first AS (SELECT m, r, min(seq) FILTER (event_type = 'view') AS v FROM run WHERE r > 0 GROUP BY m, r),
+moved AS (SELECT m, min(v) AS seq FROM first WHERE v IS NOT NULL GROUP BY m),
+buys AS (SELECT run.m, run.seq FROM run WHERE event_type = 'purchase'),
+views AS (SELECT m, v AS seq, 1 AS arrive FROM first WHERE v IS NOT NULL),
+seen AS (SELECT m, seq, 'a' AS what FROM views UNION ALL SELECT m, seq, 'p' FROM buys),
+taken AS (SELECT m, what, lag(what) OVER (PARTITION BY m ORDER BY seq) AS before, row_number() OVER (PARTITION BY m ORDER BY seq DESC) AS back FROM seen),
+online AS (SELECT first.m FROM first JOIN (SELECT m, max(r) AS r FROM run GROUP BY m) USING (m, r) WHERE v IS NULL)
+SELECT 'online' AS key, 'user:' || m AS member FROM online
+UNION ALL SELECT 'viewers', 'user:' || m FROM taken WHERE back = 1 AND what = 'a'
+UNION ALL SELECT DISTINCT 'buyers', 'user:' || m FROM taken WHERE what = 'p' AND before = 'a'""")
+def kv_set_move_chain(t: Tables) -> DataFrame:
+    """Sign-ups go online, a view moves those online to the viewers, a purchase moves viewers to the buyers."""
+    kind = F.col("event_type")
+    log = t.events.where(kind.isin("signup", "view", "purchase")).select(
+        F.col("event_id").alias("seq"), F.when(kind == "signup", "add").otherwise("move").alias("op"),
+        F.when(kind == "purchase", "viewers").otherwise("online").alias("key"), user_key(t).alias("member"),
+        F.when(kind == "purchase", "buyers").otherwise("viewers").alias("target"),
+    )
+    return kv.set_state_with_moves(log)
+
+
+@query("kv_zadd", """
+WITH log AS (SELECT event_id AS seq, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value FROM events WHERE event_type IN ('signup', 'purchase', 'error')),
+b AS (SELECT user_id, max(seq) FILTER (event_type IN ('signup', 'error')) AS base FROM log GROUP BY 1)
+SELECT 'board' AS key, 'user:' || user_id AS member, CAST(sum(value) FILTER (event_type <> 'error') AS DOUBLE) AS score FROM log JOIN b USING (user_id)
+WHERE base IS NULL OR seq >= base GROUP BY 2 HAVING count(*) FILTER (event_type <> 'error') > 0""")
+def kv_zadd(t: Tables) -> DataFrame:
+    """A board where sign-ups set a score, purchases add to it and errors remove the member."""
+    op = F.when(F.col("field") == "signup", "zadd").when(F.col("field") == "purchase", "zincrby").when(F.col("field") == "error", "zrem")
+    log = writes(t).select("seq", op.alias("op"), F.lit("board").alias("key"), F.col("key").alias("member"), F.col("value").alias("score"))
+    return kv.replay_scores(log.where(F.col("op").isNotNull()))
+
+
+@query("kv_replay_mixed", """
+WITH e AS (SELECT event_id AS seq, 'user:' || user_id AS key, event_type AS op, CAST(value AS DECIMAL(18,2)) AS v FROM events),
+dead AS (SELECT key, max(seq) AS d FROM e WHERE op = 'error' GROUP BY key),
+a AS (SELECT e.* FROM e LEFT JOIN dead USING (key) WHERE d IS NULL OR seq > d)
+SELECT key, 'hash' AS kind, 'last' AS item, CAST(arg_max(v, seq) AS VARCHAR) AS value FROM a WHERE op = 'view' GROUP BY key
+UNION ALL SELECT key || ':pages', 'set', 'p' || (seq % 3), NULL FROM e WHERE op = 'click' GROUP BY 1, 3
+UNION ALL SELECT 'board', 'zset', key, CAST(sum(v) AS VARCHAR) FROM e WHERE op = 'purchase' GROUP BY key
+UNION ALL SELECT key || ':visits', 'string', NULL, CAST(CAST(count(*) AS DECIMAL(18,2)) AS VARCHAR) FROM e WHERE op = 'signup' GROUP BY key""")
+def kv_replay_mixed(t: Tables) -> DataFrame:
+    """A log that mixes hashes, sets, boards and counters; errors delete the user's hash."""
+    kind, key = F.col("event_type"), user_key(t)
+    pairs = {"view": "hset", "click": "sadd", "purchase": "zincrby", "signup": "incr", "error": "del"}
+    op = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in pairs.items()])
+    named = F.when(kind == "click", F.concat(key, F.lit(":pages"))).when(kind == "purchase", F.lit("board")).when(
+        kind == "signup", F.concat(key, F.lit(":visits"))).otherwise(key)
+    item = F.when(kind == "view", "last").when(kind == "click", F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string"))).when(kind == "purchase", key)
+    value = F.when(kind == "signup", F.lit("1")).otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    log = t.events.select(F.col("event_id").alias("seq"), op.alias("op"), named.alias("key"), item.alias("item"), value.alias("value"))
+    return kv.replay_mixed(log.where(F.col("op").isNotNull()))
+
+
+@query("kv_delete_key", f"SELECT key, field, CAST(value AS DOUBLE) AS value FROM {HASH_SQL} WHERE key NOT IN ('user:2', 'user:3')")
+def kv_delete_key(t: Tables) -> DataFrame:
+    """All hashes but two that are deleted by key."""
+    return kv.delete_key(hashes(t), "user:2", "user:3")
+
+
+@query("kv_reference_sets", """
+WITH p AS (SELECT DISTINCT o_custkey AS c, l_partkey AS m, l_suppkey AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT DISTINCT 'person:' || c || ':movies' AS key, 'movie:' || m AS member FROM p
+UNION SELECT DISTINCT 'movie:' || m || ':actors', 'person:' || c FROM p
+UNION SELECT DISTINCT 'movie:' || m || ':directors', 'person:' || s FROM p""")
+def kv_reference_sets(t: Tables) -> DataFrame:
+    """References both ways, one set per role: a person's movies, a movie's actors and directors."""
+    bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey", "l_suppkey")
+    person, movie = kv.key_of("person", F.col("o_custkey")), kv.key_of("movie", F.col("l_partkey"))
+    roles = F.array(
+        F.struct(F.concat(person, F.lit(":movies")).alias("key"), movie.alias("member")),
+        F.struct(F.concat(movie, F.lit(":actors")).alias("key"), person.alias("member")),
+        F.struct(F.concat(movie, F.lit(":directors")).alias("key"), kv.key_of("person", F.col("l_suppkey")).alias("member")),
+    )
+    return bought.select(F.inline(roles)).distinct()
+
+
 @query("kv_leaderboard_top3", f"""
 SELECT key, row_number() OVER (PARTITION BY key ORDER BY score DESC, member DESC) AS rank, member, CAST(score AS DOUBLE) AS score
 FROM {SCORE_SQL} QUALIFY rank <= 3""")

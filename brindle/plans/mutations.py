@@ -162,6 +162,7 @@ def delete_where(t: Tables) -> DataFrame:
 
 @query("constraint_violations", f"""
 SELECT 'item is unique' AS rule, l_orderkey || ',' || l_linenumber AS key, count(*) AS rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL SELECT 'product name is unique', p_name, count(*) FROM part WHERE p_name IS NOT NULL GROUP BY p_name HAVING count(*) > 1
 UNION ALL SELECT 'item has a purchase', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey
 UNION ALL SELECT 'item has a product', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) GROUP BY l_partkey
 UNION ALL SELECT 'purchase has a customer', CAST(o_custkey AS VARCHAR), count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey
@@ -173,7 +174,8 @@ def constraint_violations(t: Tables) -> DataFrame:
     """Rows that break the keys, references and checks of the shop's tables."""
     methods = ["Cash", "Card", "Voucher"]
     return quality.violations(
-        quality.unique(t.lineitem, "item is unique", "l_orderkey", "l_linenumber"),
+        quality.primary_key(t.lineitem, "item is unique", "l_orderkey", "l_linenumber"),
+        quality.unique(t.part, "product name is unique", "p_name"),
         quality.references(t.lineitem, "item has a purchase", "l_orderkey", t.orders, "o_orderkey"),
         quality.references(t.lineitem, "item has a product", "l_partkey", t.part, "p_partkey"),
         quality.references(t.orders, "purchase has a customer", "o_custkey", t.customer, "c_custkey"),

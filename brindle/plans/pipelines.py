@@ -53,8 +53,8 @@ def interval_increments(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("interval").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
 
 
-def _sheet(t: Tables) -> DataFrame:
-    return t.events.select(
+def _sheet(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("props").alias("piece"), F.col("event_type").alias("type"),
         F.concat(F.lit("O'Neil, \"no. "), F.col("user_id").cast("string"), F.lit("\"`")).alias("composer"),
         epoch_seconds(F.col("ts")).alias("modified"),
@@ -67,7 +67,7 @@ SELECT 'piece' AS name, replace(props, '"', '') AS value, event_type AS type, co
 UNION ALL SELECT 'composer', 'ONeil no. ' || user_id, NULL, 1 FROM f GROUP BY user_id""")
 def interval_etl_split(t: Tables) -> DataFrame:
     """Filter the interval, stop if it is empty, split into two tables and load both."""
-    batch = p.in_interval(_sheet(t), "modified", START, END)
+    batch = _sheet(p.in_time_interval(t.events, "ts", START, END))
 
     def load():
         pieces, composers = p.split_sheet(batch, ["piece", "type"], "composer")
@@ -142,7 +142,7 @@ def _pick_sql(items: str, count: str) -> str:
         (SELECT *, a0[1 + {at[0]}] AS p0, a0[1:{at[0]}] || a0[2 + {at[0]}:] AS a1 FROM (SELECT doc_id, {items} AS a0 FROM documents))))"""
 
 
-_FIRST = "string_split(string_split(text, chr(10))[1], ' ')"
+_BACK = "list_reverse(string_split(text, ' '))"
 
 
 @query("character_assembly", f"""
@@ -150,13 +150,13 @@ WITH n AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, c_name AS n
     '[' || {" || ', ' || ".join(f"CAST(6 + {stable_hash_sql('c_custkey', str(i))} % 14 AS VARCHAR)" for i in range(5))} || ']' AS attributes FROM customer),
 r AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS pos, lower(p_type) AS race FROM part),
 d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, lang AS language, source AS class, w.picks AS proficiencies, s.picks AS spells FROM documents
-  JOIN {_pick_sql("string_split(text, ' ')", '2')} w USING (doc_id) JOIN {_pick_sql(_FIRST, f"1 + {stable_hash_sql('doc_id')} % least(3, len(a0))")} s USING (doc_id))
+  JOIN {_pick_sql("string_split(text, ' ')", '2')} w USING (doc_id) JOIN {_pick_sql(_BACK, f"1 + {stable_hash_sql('doc_id')} % least(3, len(a0))")} s USING (doc_id))
 SELECT pos, name, level, attributes, race, language, class, proficiencies, spells FROM n FULL JOIN r USING (pos) FULL JOIN d USING (pos)""")
 def character_assembly(t: Tables) -> DataFrame:
     """Columns of three tables merged by position into characters, and loaded.
 
     Traits are random picks that repeat: two words of the text as proficiencies,
-    one to three words of its first line as spells.
+    one to three of its words, read from the end, as spells.
     """
     who = F.col("c_custkey")
     scores = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: 6 + F.pmod(stable_hash(who, i), F.lit(14)))
@@ -168,13 +168,11 @@ def character_assembly(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", F.col("lang").alias("language"), F.col("source").alias("class"))
     # The texts take no part in the merge; their words are split once, picked and joined by id.
     words = t.documents.select(
-        "doc_id", F.split("text", " ").alias("words"),
-        F.split(F.substring_index("text", "\n", 1), " ").alias("opening"),
-    )
+        "doc_id", F.split("text", " ").alias("words"))
     picks = words.select(
         "doc_id",
         F.array_join(choose(F.col("words"), F.lit(2), F.col("doc_id")), ",").alias("proficiencies"),
-        F.array_join(choose_up_to(F.col("opening"), 3, F.col("doc_id")), ",").alias("spells"),
+        F.array_join(choose_up_to(F.reverse("words"), 3, F.col("doc_id")), ",").alias("spells"),
     )
 
     def packed(df, *columns):
@@ -205,9 +203,9 @@ def class_legal_spells(t: Tables) -> DataFrame:
     """Spells a class may learn: known to it, of level two at most, level + 3 of them."""
     spells = t.part.where(F.col("p_size") <= 2).select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("spell_level"))
     known = t.lineitem.select("l_suppkey", "l_partkey").join(spells, "l_partkey").distinct()
-    # No class has a level above 3, so six places hold every class's share.
-    first = top_per_key(known, ["l_suppkey"], [F.col("spell_level"), F.col("l_partkey")], 6)
     classes = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("class"), (F.col("s_nationkey") % 3 + 1).alias("level"))
+    highest = classes.agg(F.max("level")).first()[0] or 0
+    first = top_per_key(known, ["l_suppkey"], [F.col("spell_level"), F.col("l_partkey")], highest + 3)
     legal = first.join(classes, "l_suppkey").where(F.col("position") <= F.col("level") + 3)
     return legal.select("class", "level", F.col("l_partkey").alias("spell"), "spell_level", "position")
 
@@ -294,29 +292,27 @@ def random_sample_k(t: Tables) -> DataFrame:
     return sampling.random_rows(rows, "id", 5, seed=11)
 
 
-# The word lists of the sentence game.
-NOUNS = ["cloud", "elephant", "gø language", "laptøp", "cøntainer", "micrø-service", "turtle", "whale", "gøpher",
-         "møby døck", "server", "bicycle", "viking", "mermaid", "fjørd", "legø", "flødebolle", "smørrebrød"]
-VERBS = ["will drink", "smashes", "smøkes", "eats", "walks tøwards", "løves", "helps", "pushes", "debugs", "invites",
-         "hides", "will ship"]
-ADJECTIVES = ["the exquisite", "a pink", "the røtten", "a red", "the serverless", "a brøken", "a shiny", "the pretty",
-              "the impressive", "an awesøme", "the famøus", "a gigantic", "the gløriøus", "the nørdic", "the welcøming",
-              "the deliciøus"]
-
-
-def _word_sql(words: list[str], slot: str) -> str:
-    listed = "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    quoted = f"'{slot}'"
-    return f"{listed}[1 + {stable_hash_sql('c_custkey', quoted)} % {len(words)}]"
-
-
 @query("random_sentence", f"""
-SELECT id, upper(a[1]) || a[2:] || rest AS sentence FROM (SELECT c_custkey AS id, {_word_sql(ADJECTIVES, 'adjective1')} AS a,
-  ' ' || {_word_sql(NOUNS, 'noun1')} || ' ' || {_word_sql(VERBS, 'verb')} || ' ' || {_word_sql(ADJECTIVES, 'adjective2')} || ' ' || {_word_sql(NOUNS, 'noun2')} AS rest FROM customer)""")
+WITH adj AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS word FROM part)),
+noun AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT split_part(p_name, ' ', 2) AS word FROM part)),
+verb AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT event_type || 's' AS word FROM events)),
+c AS (SELECT c_custkey AS id, {', '.join(f"{stable_hash_sql('c_custkey', repr(slot))} AS h{k}" for k, slot in enumerate(("adjective1", "noun1", "verb", "adjective2", "noun2")))} FROM customer)
+SELECT id, upper(a[1]) || a[2:] AS sentence FROM (SELECT id, a1.word || ' ' || n1.word || ' ' || v.word || ' ' || a2.word || ' ' || n2.word AS a FROM c
+  JOIN adj a1 ON a1.at = h0 % a1.n JOIN noun n1 ON n1.at = h1 % n1.n JOIN verb v ON v.at = h2 % v.n JOIN adj a2 ON a2.at = h3 % a2.n JOIN noun n2 ON n2.at = h4 % n2.n)""")
 def random_sentence(t: Tables) -> DataFrame:
-    """A sentence for every customer."""
-    return t.customer.select(
-        F.col("c_custkey").alias("id"), sampling.sentence(ADJECTIVES, NOUNS, VERBS, F.col("c_custkey")).alias("sentence"))
+    """A sentence for every customer, from the words of tables."""
+    part = F.split("p_name", " ")
+    rows = t.customer.select(F.col("c_custkey").alias("id"))
+    adjectives, nouns = (t.part.select(F.get(part, F.lit(k)).alias("word")) for k in (0, 1))
+    return sampling.sentences(rows, "id", adjectives, nouns, t.events.select(F.concat("event_type", F.lit("s")).alias("word")))
+
+
+@query("multi_file_json", "SELECT event_id, event_type, CAST(value AS DOUBLE) AS value FROM events")
+def multi_file_json(t: Tables) -> DataFrame:
+    """A folder of several JSON files, read as one table."""
+    path = fresh_path(t.spark, "json")
+    sinks.write_json(t.events.select("event_id", "event_type", "value").repartition(3), path)
+    return files.read_json_lines(t.spark, path, "event_id bigint, event_type string, value double")
 
 
 @query("scalar_casts_defaults_intervals", """

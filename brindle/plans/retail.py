@@ -67,9 +67,9 @@ def top5_products_last_n_days(t: Tables) -> DataFrame:
 
 @query("suppliers_of_product", pages_sql(
     "SELECT l_partkey AS productid, s_name AS v FROM lineitem JOIN supplier ON s_suppkey = l_suppkey",
-    "productid", "suppliers", 16))
+    "productid", "suppliers"))
 def suppliers_of_product(t: Tables) -> DataFrame:
-    return reports.suppliers_of(shop(t), page_rows=16)
+    return reports.suppliers_of(shop(t))
 
 
 @query("monthly_revenue_category_and_location", f"""

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,7 @@ RUNTIME = {
 
 _local_folder = None
 _scratch: set[str] = set()
+_scope = threading.local()
 
 
 def build(app: str = "brindle", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,6 +65,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path in the work folder; it counts as scratch."""
     path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
     _scratch.add(path)
+    if (inner := getattr(_scope, "paths", None)) is not None:
+        inner.append(path)
     return path
 
 
@@ -77,15 +83,41 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _hadoop(spark, path)
+    return store.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, store = _hadoop(spark, path)
+    store.delete(place, True)
+
+
+@contextmanager
+def scratch_of_its_own(spark: SparkSession) -> Iterator[None]:
+    """What is written to fresh paths inside, by this thread, is deleted at the end."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            remove(spark, path)
+            _scratch.discard(path)
+        _scope.paths = outer
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what lies at fresh paths, once no result needs it any more.
 
     Tables under paths of one's own, and streams with a home, are not touched.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     count = 0
     while _scratch:
-        path = hadoop(_scratch.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _scratch.pop())
         count += 1
     return count

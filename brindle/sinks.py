@@ -12,20 +12,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.session import fresh_path
+from brindle.session import fresh_path, remove
 
 
-def replace_all(spark: SparkSession, tables: dict[str, DataFrame], base: str | None = None) -> dict[str, DataFrame]:
-    """Write all tables as one new version and make it current."""
+def replace_all(
+    spark: SparkSession, tables: dict[str, DataFrame], base: str | None = None, keep: int = 2
+) -> dict[str, DataFrame]:
+    """Write all tables as one new version and make it current; of older versions the last `keep` - 1 stay."""
     base = base or fresh_path(spark, "family")
     version = uuid.uuid4().hex
     for name, df in tables.items():
         df.write.parquet(f"{base}/{version}/{name}")
     pointer = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
     pointer.coalesce(1).write.mode("append").parquet(f"{base}/current")
+    prune(spark, base, keep)
     return read_current(spark, base, list(tables))
 
 
+def prune(spark: SparkSession, base: str, keep: int) -> None:
+    """Remove all versions but the newest `keep`, with their pointers: first the pointer, then what it names."""
+    pointers = spark.read.parquet(f"{base}/current").select("version", "at", F.input_file_name().alias("file"))
+    for row in pointers.orderBy(F.col("at").desc()).collect()[max(1, keep):]:
+        remove(spark, row.file)
+        remove(spark, f"{base}/{row.version}")
+
+
 def read_current(spark: SparkSession, base: str, names: list[str]) -> dict[str, DataFrame]:
     """The tables of the version published last."""
     newest = spark.read.parquet(f"{base}/current").agg(F.max_by("version", "at").alias("version")).first()

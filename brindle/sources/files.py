@@ -25,6 +25,11 @@ def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFram
     )
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All JSON files of a folder as one table, a record per line."""
+    return spark.read.schema(schema).json(path)
+
+
 def record_set(df: DataFrame, column: str, record: str) -> DataFrame:
     """Rows from a text column that holds a JSON array of records."""
     kept = [c for c in df.columns if c != column]

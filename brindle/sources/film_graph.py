@@ -43,26 +43,41 @@ def genres(t: Tables) -> DataFrame:
     return keyed.select((F.col("id") + GENRE_BASE).alias("id"), F.array(F.lit("Genre")).alias("labels"), "name")
 
 
-def reviews(t: Tables) -> DataFrame:
-    """REVIEWED edges with a rating and a summary, one per bought line."""
-    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("src"))
-    return t.lineitem.join(buyers, "l_orderkey").select(
+def reviews(t: Tables, people: DataFrame | None = None, films: DataFrame | None = None) -> DataFrame:
+    """REVIEWED edges with a rating and a summary, one per bought line.
+
+    Given `people` (id) or `films` (film), only theirs: the others leave before the join.
+    """
+    buyers, lines = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("src")), t.lineitem
+    if people is not None:
+        buyers = buyers.join(people.select(F.col("id").alias("src")), "src", "left_semi")
+    if films is not None:
+        lines = lines.join(films.select((F.col("film") - FILM_BASE).alias("l_partkey")).distinct(), "l_partkey", "left_semi")
+    return lines.join(buyers, "l_orderkey").select(
         "src", (F.col("l_partkey") + FILM_BASE).alias("dst"), F.lit("REVIEWED").alias("type"),
         F.col("l_quantity").cast("int").alias("rating"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("summary"),
     )
 
 
-def acted(t: Tables) -> DataFrame:
-    return reviews(t).select("src", "dst").distinct().withColumn("type", F.lit("ACTED_IN"))
+def acted(t: Tables, people: DataFrame | None = None, films: DataFrame | None = None) -> DataFrame:
+    return reviews(t, people, films).select("src", "dst").distinct().withColumn("type", F.lit("ACTED_IN"))
 
 
-def directed(t: Tables) -> DataFrame:
-    return t.lineitem.select(
+def directed(t: Tables, films: DataFrame | None = None) -> DataFrame:
+    lines = t.lineitem
+    if films is not None:
+        lines = lines.join(films.select((F.col("film") - FILM_BASE).alias("l_partkey")).distinct(), "l_partkey", "left_semi")
+    return lines.select(
         F.col("l_suppkey").alias("src"), (F.col("l_partkey") + FILM_BASE).alias("dst")
     ).distinct().withColumn("type", F.lit("DIRECTED"))
 
 
+def graph_of(t: Tables, people: DataFrame) -> Graph:
+    """The same nodes, and who of some `people` acted in which film."""
+    return Graph(film_graph(t).nodes, acted(t, people))
+
+
 def film_graph(t: Tables, all_labels: bool = False) -> Graph:
     """People, films, and who acted in or directed which film."""
     persons = labelled_people(t) if all_labels else people(t)

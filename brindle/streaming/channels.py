@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from threading import Event
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,19 +38,24 @@ def until_stop(messages: DataFrame, stop: str = STOP) -> DataFrame:
 
 
 def consume(
-    messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: str = STOP, home: str | None = None
+    messages: DataFrame, work: Callable[[DataFrame], DataFrame], stop: str = STOP, home: str | None = None, live: bool = False
 ) -> DataFrame:
-    """Apply `work` to each micro-batch until a stop message; later ones stay unseen."""
+    """Apply `work` to each micro-batch until a stop message, which ends the query; later ones stay unseen."""
     spark, home = messages.sparkSession, home_of(messages, home)
     path, stops = f"{home}/out", f"{home}/stops"
     store, note = to_batches(path), to_batches(stops)
+    stopped = Event()
 
     def handle(batch: DataFrame, number: int) -> None:
         # The batch where the consumer stopped is kept on disk, for a restart.
-        if number > 0 and not spark.read.parquet(stops).where(F.col("batch") < number).isEmpty():
+        if stopped.is_set() or (number > 0 and not spark.read.parquet(stops).where(F.col("batch") < number).isEmpty()):
+            stopped.set()
             return
-        note(batch.where(F.col("data") == stop).agg(F.min("seq").alias("seq")).where(F.col("seq").isNotNull()), number)
+        end = batch.where(F.col("data") == stop).agg(F.min("seq").alias("seq")).where(F.col("seq").isNotNull())
         store(work(until_stop(batch, stop)), number)
+        note(end, number)
+        if not spark.read.parquet(f"{stops}/batch={number}").isEmpty():
+            stopped.set()
 
-    drain(messages, handle, home=home)
+    drain(messages, handle, home=home, stopped=stopped.is_set, live=live)
     return stored(spark, path, work(spark.createDataFrame([], messages.schema)))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.keyspace import last_write, leaderboard
-from brindle.streaming.runner import drained
+from brindle.operators.ordering import previous
+from brindle.session import remove, scratch_of_its_own
+from brindle.streaming.runner import drain, drained, home_of, stored, to_batches
 
 
 def counters(changes: DataFrame, home: str | None = None) -> DataFrame:
@@ -21,13 +25,42 @@ def counters(changes: DataFrame, home: str | None = None) -> DataFrame:
 
 
 def live_leaderboard(changes: DataFrame, top: int, home: str | None = None) -> DataFrame:
-    """The best members per key after the last micro-batch."""
+    """The best members per key after the last micro-batch.
+
+    Each micro-batch writes only the scores it changed; the newest ones are ranked.
+    """
     scores = changes.groupBy("key", "member").agg(F.sum("delta").alias("score"))
-    boards = drained(scores, mode="complete", shape=lambda batch: leaderboard(batch, top), home=home)
-    last = boards.agg(F.max("batch").alias("batch")).scalar()
-    return boards.where(F.col("batch") == last).drop("batch")
+    changed = drained(scores, mode="update", home=home)
+    return leaderboard(last_write(changed, ["key", "member"], "score", "batch"), top)
+
+
+def fresh_within(
+    events: DataFrame, keys: Sequence[str], ts: str, identity: str, horizon: int, home: str | None = None
+) -> DataFrame:
+    """Events whose key was not seen in the `horizon` seconds before, as they stream in order of time.
+
+    The state is the last sighting of each key, as one table per micro-batch, without
+    those that are too old to matter. The last two are kept, so that a batch which
+    fails can run again.
+    """
+    spark, home = events.sparkSession, home_of(events, home)
+    out, seen = f"{home}/out", f"{home}/seen"
+    store = to_batches(out)
 
+    def handle(batch: DataFrame, number: int) -> None:
+        rows = batch
+        if number > 0:
+            rows = batch.unionByName(spark.read.parquet(f"{seen}/batch={number - 1}"), allowMissingColumns=True)
+        with scratch_of_its_own(spark):
+            order = [F.col(ts), F.col(identity).asc_nulls_first()]
+            traced = previous(rows, keys, order, ts, "_before")
+            late = F.col(ts) > F.col("_before") + F.make_dt_interval(secs=F.lit(horizon))
+            store(traced.where(F.col(identity).isNotNull() & (F.col("_before").isNull() | late)).select(*batch.columns), number)
+        last = rows.groupBy(*keys).agg(F.max(ts).alias(ts))
+        newest = F.lit(rows.agg(F.max(ts)).first()[0]).cast(batch.schema[ts].dataType)
+        recent = F.col(ts) >= newest - F.make_dt_interval(secs=F.lit(horizon))
+        last.where(recent).write.mode("overwrite").parquet(f"{seen}/batch={number}")
+        remove(spark, f"{seen}/batch={number - 2}")
 
-def fresh_within(events: DataFrame, keys: list[str], ts: str, horizon: str) -> DataFrame:
-    """First sighting of a key within the horizon, judged by event time."""
-    return events.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(keys)
+    drain(events, handle, home=home)
+    return stored(spark, out, spark.createDataFrame([], events.schema))

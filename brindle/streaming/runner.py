@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.session import fresh_path
+from brindle.session import exists, fresh_path
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -26,11 +25,25 @@ def home_of(stream: DataFrame, home: str | None) -> str:
     return home or fresh_path(stream.sparkSession, "stream")
 
 
-def drain(stream: DataFrame, handler: Handler, mode: str = "append", home: str | None = None) -> None:
-    """Hand every micro-batch to `handler` until the waiting input is used up."""
+def drain(
+    stream: DataFrame, handler: Handler, mode: str = "append", home: str | None = None,
+    stopped: Callable[[], bool] | None = None, live: bool = False,
+) -> None:
+    """Hand every micro-batch to `handler` until the waiting input is used up.
+
+    With `live` the stream goes on waiting for input. Once `stopped` says so, the
+    query is ended, and no later batch is read.
+    """
     writer = stream.writeStream.outputMode(mode).foreachBatch(handler)
     writer = writer.option("checkpointLocation", f"{home_of(stream, home)}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    query = (writer if live else writer.trigger(availableNow=True)).start()
+    if stopped is None:
+        query.awaitTermination()
+        return
+    while not query.awaitTermination(0.2):
+        if stopped():
+            query.stop()
+            return
 
 
 def to_batches(path: str) -> Handler:
@@ -44,11 +57,9 @@ def to_batches(path: str) -> Handler:
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """What `to_batches` stored, with its `batch`; no rows where no batch came."""
-    try:
+    if exists(spark, path):
         return spark.read.parquet(path)
-    except AnalysisException:
-        empty = spark.createDataFrame([], like.schema)
-        return empty.selectExpr("*", "0 AS batch")
+    return spark.createDataFrame([], like.schema).selectExpr("*", "0 AS batch")
 
 
 def drained(stream: DataFrame, mode: str = "append", shape=None, home: str | None = None) -> DataFrame:

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from brindle.session import build
@@ -7,7 +9,7 @@ from brindle.session import build
 def spark():
     session = build(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -166,5 +166,8 @@ def test_sampling_repeats(spark):
     df = spark.range(100)
     one = rows(sampling.random_rows(df, "id", 5, 1))
     assert len(set(one)) == 5 and one == rows(sampling.random_rows(df, "id", 5, 1)) and one != rows(sampling.random_rows(df, "id", 5, 2))
-    said = spark.range(50).select(sampling.sentence(["a red"], ["cloud", "whale"], ["eats"], F.col("id")).alias("s"))
-    assert {r.s for r in said.collect()} == {f"A red {a} eats a red {b}" for a in ("cloud", "whale") for b in ("cloud", "whale")}
+    nouns = spark.createDataFrame([("cloud",), ("whale",), ("cloud",), (None,)], "word string")
+    one = lambda w: spark.createDataFrame([(w,)], "word string")
+    said = sampling.sentences(spark.range(50), "id", one("a red"), nouns, one("eats"))
+    assert {r.sentence for r in said.collect()} == {f"A red {a} eats a red {b}" for a in ("cloud", "whale") for b in ("cloud", "whale")}
+    assert said.count() == 50

@@ -10,6 +10,7 @@ from tests.conftest import rows
 
 @pytest.fixture(scope="module")
 def shop(spark):
+    # Sample rows of a shop, from which the results below were worked out by hand.
     def table(data, schema):
         return spark.createDataFrame(data, schema)
 

@@ -11,6 +11,7 @@ from tests.conftest import rows
 
 @pytest.fixture(scope="module")
 def fact(spark):
+    # Sample facts, from which the results below were worked out by hand.
     sales = spark.createDataFrame(
         [(1, 1, 1, 1, 1, 2, 5, "6.00"), (1, 1, 2, 2, 1, 1, 3, "2.40"), (2, 2, 3, 3, 2, 2, 2, "5.00"),
          (2, 2, 4, 4, 2, 2, 1, "1.50"), (3, 1, 1, 1, 2, 1, 10, "12.00"), (3, 1, 3, 3, 1, 2, 1, "2.50")],

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from brindle.operators.keyspace import allocate
-from brindle.session import fresh_path
+from brindle.session import exists, fresh_path
 from brindle.streaming import channels, counters, stock
 from brindle.streaming.runner import drain, drained, file_stream
 from tests.conftest import rows
@@ -18,8 +18,8 @@ def arriving(spark, *batches):
 
 
 SENT = [
-    ("cityuni", "new_course_created DataEngineering"), ("cityuni", "new_job_posted Senior_Researcher"), ("students:1415", "John Doe"),
-    ("students:jane", "Jane Kidman"), ("Village", "nobody listens"), ("cityuni", "KILL"), ("cityuni", "too late")]
+    ("harbour", "ship 12 docks"), ("harbour:east", "crane moves"), ("harbour", "ship 14 docks"), ("airport", "fog"), ("harbour:west", "tug leaves"),
+    ("harbour", "KILL"), ("harbour", "ship 15 docks")]
 
 
 def messages(spark, sent, first=1):
@@ -30,25 +30,39 @@ def messages(spark, sent, first=1):
 
 
 def test_subscriber_stops_on_the_pill(spark):
-    heard = channels.subscribe(arriving(spark, messages(spark, SENT)), ["cityuni"], ["students:*"])
+    heard = channels.subscribe(arriving(spark, messages(spark, SENT)), ["harbour"], ["harbour:*"])
     handled = channels.consume(heard, lambda batch: batch.select("seq", F.concat_ws(" : ", "channel", "data").alias("line")))
-    assert rows(handled, "seq") == [(1,), (2,), (3,), (4,)]
+    assert rows(handled, "seq") == [(1,), (2,), (3,), (5,)]
 
 
 def test_pill_holds_for_later_batches(spark):
-    stream = arriving(spark, messages(spark, SENT[:3]), messages(spark, SENT[3:], 4), messages(spark, [("cityuni", "x")], 20))
-    handled = channels.consume(channels.subscribe(stream, ["cityuni"]), lambda batch: batch.select("seq"))
-    assert rows(handled, "seq") == [(1,), (2,)]
+    stream = arriving(spark, messages(spark, SENT[:2]), messages(spark, SENT[2:], 3), messages(spark, [("harbour", "x")], 20))
+    handled = channels.consume(channels.subscribe(stream, ["harbour"]), lambda batch: batch.select("seq"))
+    assert rows(handled, "seq") == [(1,), (3,)]
+
+
+def test_pill_ends_a_live_query_and_holds_after_a_restart(spark):
+    home, folder = fresh_path(spark, "home"), fresh_path(spark, "arriving")
+
+    def listen(live, *batches):
+        for batch in batches:
+            batch.coalesce(1).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, batches[0].schema, maxFilesPerTrigger="1")
+        return channels.consume(channels.subscribe(stream, ["harbour"]), lambda batch: batch.select("seq"), home=home, live=live)
+
+    assert rows(listen(True, messages(spark, SENT[:1]), messages(spark, SENT[1:], 2)), "seq") == [(1,), (3,)]
+    assert not spark.streams.active
+    assert rows(listen(False, messages(spark, SENT[:1], 50)), "seq") == [(1,), (3,)]
 
 
 def test_nothing_before_the_subscription(spark):
-    heard = channels.subscribe(messages(spark, SENT), ["cityuni"], since="2024-01-01 00:02:00")
-    assert rows(heard, "seq") == [(2,), (6,), (7,)]
+    heard = channels.subscribe(messages(spark, SENT), ["harbour"], since="2024-01-01 00:03:00")
+    assert rows(heard, "seq") == [(3,), (6,), (7,)]
 
 
 def test_split(spark):
-    df = spark.createDataFrame([("Yesterday:Beatles",), ("alone",)], "data string")
-    assert rows(channels.split_fields(df, "song", "singer"), "song", "singer") == [("Yesterday", "Beatles"), ("alone", None)]
+    df = spark.createDataFrame([("Tide:Low",), ("still",)], "data string")
+    assert rows(channels.split_fields(df, "song", "singer"), "song", "singer") == [("Tide", "Low"), ("still", None)]
 
 
 def changes(spark, data, column):
@@ -56,15 +70,15 @@ def changes(spark, data, column):
 
 
 def test_counters_over_batches(spark):
-    stream = arriving(spark, changes(spark, [("p", "gold", 4000), ("p", "level", 6)], "field"), changes(spark, [("p", "gold", 25)], "field"))
-    assert rows(counters.counters(stream)) == [("p", "gold", 4025, 2), ("p", "level", 6, 1)]
+    stream = arriving(spark, changes(spark, [("well", "drawn", 310), ("well", "depth", 9)], "field"), changes(spark, [("well", "drawn", 17)], "field"))
+    assert rows(counters.counters(stream)) == [("well", "depth", 9, 1), ("well", "drawn", 327, 2)]
 
 
 def test_leaderboard_over_batches(spark):
-    first = [("exp", "Rafael", 40), ("exp", "Ruben", 60), ("exp", "Felix", 80), ("exp", "New", 1)]
-    stream = arriving(spark, changes(spark, first, "member"), changes(spark, [("exp", "Rafael", -5), ("exp", "Ruben", 30)], "member"))
+    first = [("lap", "ivy", 31), ("lap", "max", 44), ("lap", "zoe", 58), ("lap", "bo", 2)]
+    stream = arriving(spark, changes(spark, first, "member"), changes(spark, [("lap", "ivy", 30), ("lap", "zoe", -9)], "member"))
     board = counters.live_leaderboard(stream, 3)
-    assert rows(board, "rank", "member", "score") == [(1, "Ruben", 90), (2, "Felix", 80), (3, "Rafael", 35)]
+    assert rows(board, "rank", "member", "score") == [(1, "ivy", 61), (2, "zoe", 49), (3, "max", 44)]
 
 
 def test_stock_over_batches_equals_one_batch(spark):
@@ -104,7 +118,19 @@ def test_handler_sees_every_batch_once(spark):
 
 
 def test_dedup_within_the_horizon(spark):
-    at = datetime(2024, 1, 1)
-    df = spark.createDataFrame([("a", at), ("a", at + timedelta(minutes=5)), ("b", at)], "k string, ts timestamp")
-    fresh = drained(counters.fresh_within(arriving(spark, df), ["k"], "ts", "1 hour"))
-    assert rows(fresh, "k") == [("a",), ("b",)]
+    at = datetime(2031, 3, 1, 6)
+    sent = [("a", 0), ("a", 50), ("b", 55), ("a", 105), ("b", 130), ("a", 170), ("c", 170), ("a", 240), ("b", 191), ("c", 230)]
+    df = spark.createDataFrame([(k, key, at + timedelta(minutes=m)) for k, (key, m) in enumerate(sent)], "id int, k string, ts timestamp_ntz")
+    late = F.col("ts") > F.lit(at + timedelta(minutes=120)).cast("timestamp_ntz")
+    stream = arriving(spark, df.where(~late), df.where(late))
+    fresh = counters.fresh_within(stream, ["k"], "ts", "id", 3600)
+    assert rows(fresh, "id") == [(0,), (2,), (4,), (5,), (6,), (7,), (8,)]
+
+
+def test_state_folders_do_not_pile_up(spark):
+    home = fresh_path(spark, "home")
+    parts = [spark.range(k, k + 1).selectExpr("id - id AS item", "id AS at") for k in range(5)]
+    on_hand = spark.createDataFrame([(0, 3)], "item long, quantity int")
+    sold = stock.sell(arriving(spark, *parts), on_hand, "item", [F.col("at")], "quantity", home=home)
+    assert sold.where("accepted").count() == 3
+    assert not exists(spark, f"{home}/sold/batch=2") and exists(spark, f"{home}/sold/batch=3")
