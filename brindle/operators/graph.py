@@ -130,16 +130,19 @@ def first_per_source(df: DataFrame, source: str, order: Sequence[Column], count:
 def merge_nodes(nodes: DataFrame, wanted: DataFrame, match: Sequence[str]) -> DataFrame:
     """Add the wanted nodes whose whole pattern (`match`, and the labels) is not there yet.
 
-    New nodes get the ids after the greatest one, in the order of their pattern.
+    New nodes get the ids after the greatest one, in the order of their pattern, unless the pattern gives the id.
     """
-    pattern = wanted.drop("id").withColumn("labels", F.array_sort(F.array_distinct("labels")))
+    given = "id" in match or "id" not in nodes.columns
+    pattern = (wanted if given else wanted.drop("id")).withColumn("labels", F.array_sort(F.array_distinct("labels")))
     fresh = pattern.dropDuplicates([*match, "labels"])
     have = nodes.select(*match, F.col("labels").alias("_have"))
     same = [nodes_c.eqNullSafe(wanted_c) for nodes_c, wanted_c in ((have[m], fresh[m]) for m in match)]
     covered = F.size(F.array_except(fresh["labels"], F.col("_have"))) == 0
     missing = fresh.join(have, [*same, covered], "left_anti")
-    numbered = next_ids(missing, nodes.agg(F.max("id").alias("top")), [*[F.col(m) for m in match], F.col("labels")], "id")
-    return nodes.unionByName(numbered, allowMissingColumns=True)
+    if not given:
+        top = nodes.agg(F.max("id").alias("top"))
+        missing = next_ids(missing, top, [*[F.col(m) for m in match], F.col("labels")], "id")
+    return nodes.unionByName(missing, allowMissingColumns=True)
 
 
 def merge_edges(edges: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def test_previous(hot):
 
 
 def test_hot_key_is_spread_over_slabs(hot):
-    slabs, _ = ordering._slabs(hot, ["k"], [F.col("o")])
+    slabs, _ = ordering.in_slabs(hot, ["k"], [F.col("o")])
     sizes = [r.n for r in slabs.groupBy("_slab").agg(F.count("*").alias("n")).collect()]
     in_hot = slabs.where("k = 'hot'").select("_slab").distinct().count()
     assert in_hot >= 2 and max(sizes) < 0.5 * N
