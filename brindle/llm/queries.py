@@ -102,7 +102,32 @@ def op1_decontamination(t: Tables) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@query("op9_ngram_join")
+@query("op9_ngram_join", f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM d
+), sets AS (
+  SELECT doc_id, md5(string_agg(s, '|' ORDER BY s)) AS h, count(*) AS n FROM gram GROUP BY doc_id
+), class AS (
+  SELECT h, min(doc_id) AS class_id, count(*) AS class_size, max(n) AS n FROM sets GROUP BY h
+), own AS (
+  SELECT class_id, s FROM class JOIN gram ON doc_id = class_id
+), pair AS (
+  SELECT a.class_id AS a, b.class_id AS b, count(*) AS shared FROM own a JOIN own b USING (s) WHERE a.class_id <> b.class_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM pair JOIN class x ON x.class_id = a JOIN class y ON y.class_id = b WHERE 5 * shared >= 4 * (x.n + y.n - shared)
+), reach AS (
+  SELECT class_id AS a, class_id AS b FROM class UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+), grouped AS (
+  SELECT a AS class_id, min(b) AS group_id FROM reach GROUP BY a
+), counted AS (
+  SELECT a AS class_id, count(*) AS n_links FROM link GROUP BY a
+)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(class_size, 1) AS class_size, coalesce(n_links, 0) AS n_links,
+       coalesce(group_id, d.doc_id) AS group_id
+FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN class USING (h) LEFT JOIN grouped USING (class_id) LEFT JOIN counted USING (class_id)
+""")
 def op9_ngram_join(t: Tables) -> DataFrame:
     """Class, links and group of every document under the Jaccard coefficient of word 5-grams, 0.8 or more."""
     return ngram_join.similar(t.documents)
