@@ -15,7 +15,7 @@ from brindle.session import materialize
 
 MOST_PLACES = 500  # places that travel with the plan; more go by grid
 # Cell widths on the unit sphere, from about 30 m to the whole globe.
-CELLS = (5e-6, 4e-5, 3.2e-4, 2.56e-3, 0.02, 0.16, 2.0)
+CELLS = (5e-6, 2e-5, 8e-5, 3.2e-4, 1.28e-3, 5.12e-3, 0.02, 0.08, 0.32, 2.0)
 _AXES = ("_x", "_y", "_z")
 
 
@@ -69,6 +69,8 @@ def _by_grid(points: DataFrame, spots: DataFrame, identity: str) -> DataFrame:
     open_points = _on_sphere(points.select(identity, "lat", "lon")).drop("lat", "lon")
     found = None
     for width in CELLS:
+        if found is not None and open_points.isEmpty():
+            break
         cells = [f"_c{a}" for a in _AXES]
         spread = spots.withColumns({c: F.floor(F.col(f"spot.{a}") / width) for c, a in zip(cells, _AXES)})
         for c in cells:  # into the cells before, at and after its own

@@ -23,6 +23,13 @@ def in_time_interval(df: DataFrame, ts: str, start: int, end: int) -> DataFrame:
     return df.where((F.col(ts) >= first) & (F.col(ts) < after))
 
 
+def run_steps(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Hand `df` from step to step; any function of a DataFrame is a step."""
+    for step in steps:
+        df = df.transform(step)
+    return df
+
+
 def after_epoch(df: DataFrame, position: int, epoch: int) -> DataFrame:
     """Rows whose column at `position` is a number above `epoch`; a header row is none."""
     return df.where(to_int(F.col(df.columns[position])) > epoch)

@@ -65,9 +65,10 @@ def doc_filter_or_and_nor(t: Tables) -> DataFrame:
 SELECT p_name AS title, p_size + 1990 AS year FROM part WHERE p_size + 1990 > 1990 AND p_size + 1990 < 2000 ORDER BY 2, 1""", bigint=["year"])
 def doc_range_sort(t: Tables) -> DataFrame:
     """Films of the nineties from old to recent, both ends open."""
-    first = films(t).withColumn("age", F.col("year") - 1990)  # Spark undoes this sum, so the scan sees the bounds
-    nineties = (F.col("age") > 0) & (F.col("age") < 10)
-    return doc.find(first, nineties, "title", "year", "id").orderBy("year", "title", "id").drop("id")
+    stored = t.part.select(F.col("p_name").alias("title"), F.col("p_size").alias("since"), F.col("p_partkey").alias("id"))
+    nineties = (F.col("since") > 0) & (F.col("since") < 10)  # years since 1990, as the scan knows them
+    found = doc.find(stored, nineties).withColumn("year", F.col("since") + 1990)
+    return found.orderBy("year", "title", "id").select("title", "year")
 
 
 @query("doc_regex_prefix", "SELECT p_partkey AS id, p_name AS title FROM part WHERE regexp_matches(p_name, '^re')")

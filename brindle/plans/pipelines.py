@@ -82,6 +82,17 @@ def interval_etl_split(t: Tables) -> DataFrame:
     return p.branch(not batch.isEmpty(), load, lambda: empty)
 
 
+@query("callable_steps", "SELECT user_id, count(*) AS bought FROM events WHERE event_type = 'purchase' AND value > 10 GROUP BY 1")
+def callable_steps(t: Tables) -> DataFrame:
+    """Plain functions and lambdas as steps of a job."""
+    def bought(df: DataFrame) -> DataFrame:
+        return df.where(F.col("event_type") == "purchase")
+
+    return p.run_steps(
+        t.events, bought, lambda df: df.where(F.col("value") > 10), lambda df: df.groupBy("user_id").agg(F.count("*").alias("bought"))
+    )
+
+
 @query("branch_on_empty", "SELECT 'split' AS taken, event_type, count(*) AS rows FROM events WHERE value > 100 GROUP BY 2")
 def branch_on_empty(t: Tables) -> DataFrame:
     """Go on where the filter leaves rows, else report the end."""

@@ -122,7 +122,7 @@ def plan(df) -> str:
 
 @pytest.mark.parametrize("name, filters", [
     ("doc_in_list", ["In(c_mktsegment"]), ("doc_find_project", ["EqualTo(c_mktsegment,BUILDING)"]),
-    ("doc_match_lookup", ["EqualTo(p_name,red widget)"]), ("doc_regex_prefix", ["StringStartsWith(p_name,re)"]),
+    ("doc_match_lookup", ["EqualTo(p_name,red widget)"]), ("doc_regex_prefix", ["StringStartsWith(p_name,re)"]), ("doc_range_sort", ["GreaterThan(p_size,0)", "LessThan(p_size,10)"]),
 ])
 def test_filters_reach_the_scan(spark, name, filters):
     text = plan(registry.QUERIES[name](spark, FOLDER))
