@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm import decontamination, exact_dedup, mixing, ngram_join, quality
 from brindle.llm.queries import TARGETS, domains
-from brindle.session import materialize, tune
+from brindle.session import fresh_path, scratch_of_its_own, tune
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; what a stage writes on its way is cleared when its result is written."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "stage")
+        path = fresh_path(spark, "stage")
+        with scratch_of_its_own(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
