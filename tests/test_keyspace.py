@@ -209,21 +209,23 @@ def test_choices(spark):
 
 
 def test_patterns(spark):
-    keys = spark.createDataFrame([(k,) for k in ("person:1", "person:12", "person:1:movies", "hat:5", "hat.5")], "key string")
-    assert rows(kv.keys(keys, "person:?")) == [("person:1",)]
-    assert rows(kv.keys(keys, "person:?:movies")) == [("person:1:movies",)]
-    assert rows(kv.keys(keys, "hat:*")) == [("hat:5",)]
-    assert glob_regex("a.b*") == r"^a\.b.*$"
+    keys = spark.createDataFrame([(k,) for k in ("bus:4", "bus:42", "bus:4:stops", "tram:4", "bus.4", "bus:4:stops:x")], "key string")
+    assert rows(kv.keys(keys, "bus:?")) == [("bus:4",)]
+    assert rows(kv.keys(keys, "*:stops")) == [("bus:4:stops",)]
+    assert rows(kv.keys(keys, "bus:4*")) == [("bus:4",), ("bus:42",), ("bus:4:stops",), ("bus:4:stops:x",)]
+    assert glob_regex("x+?.*") == r"^x\+.\..*$"
 
 
 def test_references(spark):
     hashes = spark.createDataFrame(
-        [("person:1", "name", "Charlie"), ("person:2", "name", "Michael"), ("movie:1", "title", "Wall Street")],
+        [("bus:4", "colour", "green"), ("bus:9", "colour", "grey"), ("stop:a", "street", "Mill Lane"), ("stop:b", "street", "Quay"), ("stop:c", "zone", "2")],
         "key string, field string, value string")
-    refs = spark.createDataFrame([("person:1:movies", "movie:1"), ("person:2:movies", "movie:1")], "key string, member string")
-    who = F.concat_ws(":", part_of(F.col("key"), 0), part_of(F.col("key"), 1))
-    named = kv.follow(kv.follow(refs, hashes, who, "name", "name"), hashes, F.col("member"), "title", "title")
-    assert rows(named, "name", "title") == [("Charlie", "Wall Street"), ("Michael", "Wall Street")]
+    refs = spark.createDataFrame(
+        [("bus:4:stops", "stop:a"), ("bus:4:stops", "stop:b"), ("bus:9:stops", "stop:b"), ("bus:9:stops", "stop:c"), ("bus:7:stops", "stop:a")],
+        "key string, member string")
+    line = F.concat_ws(":", part_of(F.col("key"), 0), part_of(F.col("key"), 1))
+    followed = kv.follow(kv.follow(refs, hashes, line, "colour", "colour"), hashes, F.col("member"), "street", "street")
+    assert rows(followed, "colour", "street") == [("green", "Mill Lane"), ("green", "Quay"), ("grey", "Quay")]
 
 
 def test_stock_is_conserved(spark):
