@@ -37,7 +37,7 @@ TREES, DEPTH = 24, 6  # tries, and values of a label
 TARGET = 0.99999  # recall of pairs at or above the threshold
 ESTIMATE = 64  # signature values that are compared before the sets are
 MARGIN = 0.25  # how far below the threshold an estimate may be; five standard deviations
-BLOCK = 1024  # classes of a block
+BLOCK = 512  # classes of a block
 BLOCK_GRAMS = 200_000  # n-grams of a block
 HELD = 500  # groups whose results are held before they are given on
 RUN = 1 << 16  # n-grams whose MinHash values are worked out at a time
