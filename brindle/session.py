@@ -20,6 +20,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Rows go to Python in batches of bounded size, also where texts are long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 _local_folder = None
