@@ -55,7 +55,7 @@ def gram_sets(texts: list[bytes | None], size: int = WORDS) -> list[np.ndarray]:
     sets = []
     for t, n in enumerate(words.counts):
         if 0 < n < size:
-            whole = np.uint64(n) + np.uint64(0)
+            whole = np.uint64(n)
             for h in words.of(t):
                 whole = mixed(np.array([whole ^ h]))[0]
             sets.append(np.array([whole], dtype=np.uint64))
