@@ -28,17 +28,18 @@ from brindle.session import materialize
 
 SIZE = 13  # words of a window
 SLOP = 3  # words that the two rarest terms may have moved against each other in a proximity match
-SEGMENT = 16 << 20  # bytes of text of an index segment
+SEGMENT = 8 << 20  # bytes of text of an index segment
 
 
 def _segments(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in slices(batches, "text", segment):
         words = split(texts)
-        ids, keys = rows.column("doc_id"), rows.column("text_key")
-        owner = words.owner()
-        place = (np.arange(len(owner)) - words.first[owner]).astype(np.int32)
-        order = np.argsort(words.hash, kind="stable")
+        ids, keys, sizes = rows.column("doc_id"), rows.column("text_key"), words.counts.astype(np.int32)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        place = np.arange(len(owner), dtype=np.int32) - words.first.astype(np.int32)[owner]
+        order = np.argsort(words.hash, kind="stable").astype(np.int32)
         terms = words.hash[order]
+        del words
         starts = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.empty(0, np.int64)
         bounds = pa.array(np.append(starts, len(terms)).astype(np.int32))
         counts = np.diff(np.append(starts, len(terms))).astype(np.int32)
@@ -56,7 +57,7 @@ def _segments(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.Re
         empty = lambda kind: pa.nulls(len(texts), pa.list_(kind))
         yield pa.RecordBatch.from_arrays(
             [
-                nothing(pa.int64(), len(texts)), pa.array(words.counts.astype(np.int32)), empty(ids.type),
+                nothing(pa.int64(), len(texts)), pa.array(sizes), empty(ids.type),
                 empty(pa.int32()), ids, keys,
             ],
             names=names,
