@@ -2,9 +2,9 @@
 
 Each text is the set of its word n-grams (five words; a text of fewer words, but not none, is one n-gram). Texts with
 equal sets form a class, and only classes are compared. A class's MinHash signature is cut into labels, one per tree;
-the labels of a tree, sorted, are a prefix trie. Classes that share a prefix in any tree are candidates. The search
-begins with the longest prefix and shortens it until the recall reaches its target: either by the estimate from the
-pairs found, or because even a pair at the threshold would be missed too seldom.
+the labels of a tree, sorted, are a prefix trie. Classes that share a prefix in any tree are candidates. The prefix is
+the longest one with which even a pair at the threshold is found with the target's chance. So the depth depends on the
+parameters alone, and no other group of the table decides how a pair is searched.
 
 Candidates are not listed as pairs. Classes of a trie node are compared block by block, the signatures of similar ones
 link them to components, and within a component the sets themselves are compared, again block by block, all with all.
@@ -34,7 +34,7 @@ from brindle.session import materialize
 WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 24, 6  # tries, and values of a label
-TARGET = 0.99999  # recall of pairs at or above the threshold
+TARGET = 0.99999  # recall of a pair at the threshold; those above it are missed less often
 ESTIMATE = 64  # signature values that are compared before the sets are
 MARGIN = 0.25  # how far below the threshold an estimate may be; five standard deviations
 BLOCK = 512  # classes of a block
@@ -183,10 +183,10 @@ def _table(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=names)
 
 
-def _by_estimate(batches: Iterator[pa.RecordBatch], depth: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Of each trie node: edges to the root, and how many pairs were met and how many such are missed by all trees."""
+def _by_estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Edges to the root of each trie node."""
+    names, parts = ["node", "root"], []
     least = threshold - MARGIN
-    parts, met, missed = [], 0.0, 0.0
     for g in _groups(batches, ["cell", "low", "high"]):
         node, first = np.unique(np.array(g["node"]), return_index=True)
         sign = np.frombuffer(b"".join(g["sign"][i] for i in first), dtype=np.uint16).reshape(len(first), -1)
@@ -201,29 +201,15 @@ def _by_estimate(batches: Iterator[pa.RecordBatch], depth: int, threshold: float
         root = _roots(alike)
         some = root != np.arange(len(node))
         parts.append((node[some], node[root[some]]))
-        seen = np.maximum(equal[np.triu(alike, 1) & (equal >= threshold * sign.shape[1])] / sign.shape[1], threshold)
-        once = 1 / (TREES * seen**depth)  # a pair is met in TREES * s ** depth nodes, on average
-        met += float(once.sum())
-        missed += float((once * (1 - recall(seen, depth))).sum())
         if len(parts) >= HELD:
-            yield _links(parts)
+            yield _table(parts, names)
             parts = []
     if parts:
-        yield _links(parts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([met]), pa.array([missed])],
-        names=["node", "root", "met", "missed"],
-    )
-
-
-def _links(parts: list[tuple]) -> pa.RecordBatch:
-    pairs = _table(parts, ["node", "root"])
-    nothing = pa.nulls(pairs.num_rows, pa.float64())
-    return pa.RecordBatch.from_arrays([*pairs.columns, nothing, nothing], names=["node", "root", "met", "missed"])
+        yield _table(parts, names)
 
 
-def _round(classes: DataFrame, depth: int, threshold: float) -> tuple[DataFrame, float]:
-    """Links by estimate among classes that share a prefix of `depth` values, and the recall estimated from them."""
+def _round(classes: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """Links by estimate among classes that share a prefix of `depth` values."""
     wide = 2 * DEPTH
     prefix = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -239,23 +225,19 @@ def _round(classes: DataFrame, depth: int, threshold: float) -> tuple[DataFrame,
     by = ["cell", "low", "high"]
     compared = (
         spread.select(*by, "block", "node", "sign").repartition(*by).sortWithinPartitions(*by)
-        .mapInArrow(
-            lambda batches: _by_estimate(batches, depth, threshold), "node bigint, root bigint, met double, missed double"
-        )
+        .mapInArrow(lambda batches: _by_estimate(batches, threshold), "node bigint, root bigint")
     )
-    compared = materialize(compared, f"links{depth}")
-    met, missed = compared.agg(F.sum("met"), F.sum("missed")).first()
-    reached = 1 - (missed or 0) / met if met else float(recall(threshold, depth))
-    return compared.where(F.col("node").isNotNull()).select("node", "root").distinct(), reached
+    return materialize(compared, f"links{depth}").distinct()
+
+
+def forest_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
+    """The longest prefix with which a pair at the threshold is found with the target's chance; 1 if there is none."""
+    return next((d for d in range(DEPTH, 1, -1) if recall(threshold, d) >= target), 1)
 
 
 def forest_links(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
-    """Shorten the matched prefixes until the target recall, estimated or guaranteed; a spanning forest of the links."""
-    for depth in range(DEPTH, 0, -1):
-        links, reached = _round(classes, depth, threshold)
-        if reached >= target or recall(threshold, depth) >= target:
-            break
-    return links
+    """A spanning forest of the links by estimate."""
+    return _round(classes, forest_depth(threshold, target), threshold)
 
 
 def jaccard_at_least(sets: list[np.ndarray], threshold: Fraction) -> np.ndarray:

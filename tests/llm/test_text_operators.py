@@ -131,6 +131,15 @@ def test_forest_shortens_prefixes_until_recall_is_reached():
     assert ngram_join.recall(0.95, 6) > ngram_join.recall(0.8, 6)
 
 
+def test_a_large_group_does_not_loosen_the_search_of_others(spark):
+    assert ngram_join.forest_depth() == 4 and ngram_join.forest_depth(0.95) == 6
+    # The first two share no prefix of six values in any tree, though their coefficient is 41/51.
+    rows = [(1, near(1272, 50, 0)), (2, near(1272, 50, 1))] + [(100 + k, near(9, 300, k % 2) + f" end{k}") for k in range(60)]
+    got = ngram_join.similar(plain.documents(spark, rows))
+    assert tuples(got, "doc_id", "class_id", "class_size", "n_links", "group_id") == sorted(plain.similar(rows), key=str)
+    assert {r.doc_id: r.group_id for r in got.collect()}[2] == 1
+
+
 TRICKY = [
     None, "", " ", "a", "two words", "  lead", "trail  ", "tab\tand  gaps", "it's we'll", "line\n\nbreak \n x", "x y", "中文 字",
     "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b <|endoftext|>", "sep\x1c here \x1c x", "é" * 500, "word " * 3000, "a  b   c", "🙂 🙂🙂",
