@@ -20,15 +20,26 @@ MESSAGE_SQL = """(SELECT event_id AS seq, event_type || CASE WHEN user_id < 100
   CASE WHEN value > 250 THEN 'KILL' ELSE 'song ' || event_type || ':singer ' || user_id END AS data, ts FROM events)"""
 
 
+MOST_FILES = 64  # of a part; more tasks than that do not write at once
+
+
 def table_stream(t: Tables, name: str, order: str = "event_id", parts: int = 3) -> DataFrame:
-    """One table of the folder as a stream: files that follow each other by `order`, one per micro-batch."""
+    """One table of the folder as a stream: parts that follow each other by `order`, one per micro-batch.
+
+    Each part has as many files as tasks read the table, some without rows if the part is small, so that every
+    micro-batch takes one whole part.
+    """
     rows, inbox = getattr(t, name), fresh_path(t.spark, "arriving")
     at = F.col(order).cast("timestamp").cast("double") if order in ("ts", "l_shipdate") else F.col(order).cast("double")
     low, high = rows.agg(F.min(at), F.max(at)).first()
     part = F.least(F.floor((at - F.lit(low)) * parts / F.lit(max(high - low, 1.0))), F.lit(parts - 1))
+    files = min(MOST_FILES, max(1, rows.rdd.getNumPartitions()))
     for k in range(parts):  # one write after the other, as files are read in the order they came
-        rows.where(F.coalesce(part, F.lit(0)) == k).coalesce(1).write.mode("append").parquet(inbox)
-    return file_stream(t.spark, inbox, rows.schema, maxFilesPerTrigger="1")
+        rows.where(F.coalesce(part, F.lit(0)) == k).repartition(files).write.mode("append").parquet(inbox)
+        there = len(t.spark.read.schema(rows.schema).parquet(inbox).inputFiles())
+        for _ in range(there, files * (k + 1)):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(inbox)
+    return file_stream(t.spark, inbox, rows.schema, maxFilesPerTrigger=str(files))
 
 
 def messages(t: Tables) -> DataFrame:

@@ -3,7 +3,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from brindle.operators.keyspace import allocate
+from brindle.plans.streams import table_stream
 from brindle.session import exists, fresh_path
+from brindle.sources.tables import Tables
 from brindle.streaming import channels, counters, stock
 from brindle.streaming.runner import drain, drained, file_stream
 from tests.conftest import rows
@@ -134,3 +136,23 @@ def test_state_folders_do_not_pile_up(spark):
     sold = stock.sell(arriving(spark, *parts), on_hand, "item", [F.col("at")], "quantity", home=home)
     assert sold.where("accepted").count() == 3
     assert not exists(spark, f"{home}/sold/batch=2") and exists(spark, f"{home}/sold/batch=3")
+
+
+def test_parts_of_a_table_are_written_by_all_tasks(spark, tmp_path):
+    made = spark.range(3000).select(F.col("id").alias("event_id"), F.lit("x").alias("event_type"))
+    few = made.where("event_id < 2 OR event_id >= 2000")  # the first part has two rows, the second none
+    for name, events in (("even", made), ("uneven", few)):
+        events.repartition(4).write.parquet(f"{tmp_path}/{name}/events.parquet")
+        t, seen = Tables(spark, f"{tmp_path}/{name}"), []
+        tasks = t.events.rdd.getNumPartitions()
+        assert tasks > 1
+
+        def note(batch, number):
+            files = batch.where("event_id IS NOT NULL").select(F.input_file_name()).distinct().count()
+            seen.append((files, *batch.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first()))
+
+        drain(table_stream(t, "events"), note)
+        if name == "even":
+            assert seen == [(tasks, 0, 999, 1000), (tasks, 1000, 1999, 1000), (tasks, 2000, 2999, 1000)]
+        else:
+            assert [s[1:] for s in seen] == [(0, 1, 2), (None, None, 0), (2000, 2999, 1000)]
