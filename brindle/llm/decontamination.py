@@ -1,7 +1,7 @@
 """Benchmark decontamination over a positional inverted index of the training texts.
 
-The index is a table: one row per term and segment of documents, with the documents and word positions where the term
-stands. Segments are what a task holds at a time, so no row grows with the corpus and building needs no shuffle.
+The index is a table: one row per term and segment of documents, with the rows and word positions where the term
+stands. Rows have numbers, so that those which share an id stay apart. Segments are what a task holds at a time, so no row grows with the corpus and building needs no shuffle.
 
 A search takes every window of an item. Of a window's terms the two that are rarest in the corpus are looked up; their
 lists, moved back by the terms' places in the item, give the places where the item would have to begin. Where both
@@ -34,7 +34,8 @@ SEGMENT = 8 << 20  # bytes of text of an index segment
 def _segments(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in slices(batches, "text", segment):
         words = split(texts)
-        ids, keys, sizes = rows.column("doc_id"), rows.column("text_key"), words.counts.astype(np.int32)
+        ids, keys, numbers = rows.column("doc_id"), rows.column("text_key"), rows.column("row")
+        sizes = words.counts.astype(np.int32)
         owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         place = np.arange(len(owner), dtype=np.int32) - words.first.astype(np.int32)[owner]
         order = np.argsort(words.hash, kind="stable").astype(np.int32)
@@ -44,37 +45,41 @@ def _segments(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.Re
         bounds = pa.array(np.append(starts, len(terms)).astype(np.int32))
         counts = np.diff(np.append(starts, len(terms))).astype(np.int32)
         nothing = lambda kind, n: pa.nulls(n, kind)
-        names = ["term", "n", "doc_ids", "positions", "doc_id", "text_key"]
+        names = ["term", "n", "rows", "positions", "row", "doc_id", "text_key"]
         list_of = lambda values: pa.ListArray.from_arrays(bounds, values)
         if len(starts):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(terms[starts])), pa.array(counts), list_of(ids.take(pa.array(owner[order]))),
-                    list_of(pa.array(place[order])), nothing(ids.type, len(starts)), nothing(pa.int64(), len(starts)),
+                    pa.array(signed(terms[starts])), pa.array(counts), list_of(numbers.take(pa.array(owner[order]))),
+                    list_of(pa.array(place[order])), nothing(pa.int64(), len(starts)), nothing(ids.type, len(starts)),
+                    nothing(pa.int64(), len(starts)),
                 ],
                 names=names,
             )
         empty = lambda kind: pa.nulls(len(texts), pa.list_(kind))
         yield pa.RecordBatch.from_arrays(
             [
-                nothing(pa.int64(), len(texts)), pa.array(sizes), empty(ids.type),
-                empty(pa.int32()), ids, keys,
+                nothing(pa.int64(), len(texts)), pa.array(sizes), empty(pa.int64()),
+                empty(pa.int32()), numbers, ids, keys,
             ],
             names=names,
         )
 
 
 def build_index(docs: DataFrame, segment: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
-    """Postings (term, n, doc_ids, positions) and documents (doc_id, text_key, n_words), read from one written table.
+    """Postings (term, n, rows, positions) and documents (row, doc_id, text_key, n_words), read from one written table.
 
-    `text_key` is a hash of the text; together with the id it tells rows apart.
+    `row` is the number of a row in this index. `text_key` is a hash of the text; with the id it tells all but repeated
+    rows apart.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"term bigint, n int, doc_ids array<{id_type}>, positions array<int>, doc_id {id_type}, text_key bigint"
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    schema = f"term bigint, n int, rows array<bigint>, positions array<int>, row bigint, doc_id {id_type}, text_key bigint"
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row"))
     table = materialize(rows.mapInArrow(lambda batches: _segments(batches, segment), schema), "index")
-    postings = table.where(F.col("term").isNotNull()).select("term", "n", "doc_ids", "positions")
-    documents = table.where(F.col("term").isNull()).select("doc_id", "text_key", F.col("n").cast("bigint").alias("n_words"))
+    postings = table.where(F.col("term").isNotNull()).select("term", "n", "rows", "positions")
+    documents = table.where(F.col("term").isNull()).select(
+        "row", "doc_id", "text_key", F.col("n").cast("bigint").alias("n_words")
+    )
     return postings, documents
 
 
@@ -120,15 +125,15 @@ def rarest_pairs(postings: DataFrame, items: DataFrame, size: int = SIZE) -> Dat
 
 
 def _lists(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Where an item would begin, by each wanted (pair, term, place): pair, doc_id, start."""
-    found = postings.join(wanted, "term").select("pair", "place", F.explode(F.arrays_zip("doc_ids", "positions")).alias("at"))
+    """Where an item would begin, by each wanted (pair, term, place): pair, row, start."""
+    found = postings.join(wanted, "term").select("pair", "place", F.explode(F.arrays_zip("rows", "positions")).alias("at"))
     return found.select(
-        "pair", F.col("at.doc_ids").alias("doc_id"), (F.col("at.positions") - F.col("place")).alias("start")
+        "pair", F.col("at.rows").alias("row"), (F.col("at.positions") - F.col("place")).alias("start")
     )
 
 
 def candidates(postings: DataFrame, pairs: DataFrame, slop: int = 0) -> DataFrame:
-    """Places that both lists of a pair give: item, doc_id, start, apart (0 for phrases, up to `slop` else)."""
+    """Places that both lists of a pair give: item, row, start, apart (0 for phrases, up to `slop` else)."""
     rare = _lists(postings, pairs.select("pair", "term", "place"))
     nxt = _lists(
         postings,
@@ -141,13 +146,12 @@ def candidates(postings: DataFrame, pairs: DataFrame, slop: int = 0) -> DataFram
     a, b = nearby.alias("a"), nxt.withColumn("cell", cell).alias("b")
     same = (
         (F.col("a.pair") == F.col("b.pair")) & (F.col("a.cell") == F.col("b.cell"))
-        & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
-        & (F.abs(F.col("a.start") - F.col("b.start")) <= slop)
+        & (F.col("a.row") == F.col("b.row")) & (F.abs(F.col("a.start") - F.col("b.start")) <= slop)
     )
-    both = a.join(b, same).select("a.pair", "a.doc_id", "a.start", F.abs(F.col("a.start") - F.col("b.start")).alias("apart"))
+    both = a.join(b, same).select("a.pair", "a.row", "a.start", F.abs(F.col("a.start") - F.col("b.start")).alias("apart"))
     alone = rare.join(pairs.where(F.col("next_place").isNull()).select("pair"), "pair", "left_semi").withColumn("apart", F.lit(0))
     met = both.unionByName(alone).join(pairs.select("pair", "item"), "pair")
-    return met.groupBy("item", "doc_id", "start").agg(F.min("apart").alias("apart"))
+    return met.groupBy("item", "row", "start").agg(F.min("apart").alias("apart"))
 
 
 def covered(own: np.ndarray, start: int, terms: np.ndarray, size: int) -> np.ndarray:
@@ -174,10 +178,12 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             own = words.of(t).view(np.int64)
             hit, ids = np.zeros(len(own), dtype=bool), set()
             for p in some:
-                more = covered(own, p["start"], np.array(p["terms"], dtype=np.int64), size)
-                if more.any():
-                    hit |= more
-                    ids.add(str(p["item_id"]))
+                terms = np.array(p["terms"], dtype=np.int64)
+                for start in p["starts"]:
+                    more = covered(own, start, terms, size)
+                    if more.any():
+                        hit |= more
+                        ids.add(str(p["item_id"]))
             n_hit.append(int(hit.sum()))
             found.append(sorted(ids))
         yield pa.RecordBatch.from_arrays(
@@ -186,16 +192,21 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         )
 
 
-def phrases(docs: DataFrame, met: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
-    """Documents with windows of items, compared word by word: doc_id, text_key, n_hit, item_ids (as sorted text)."""
+def phrases(docs: DataFrame, documents: DataFrame, met: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
+    """Documents with windows of items, compared word by word: doc_id, text_key, n_hit, item_ids (as sorted text).
+
+    A document gets the places of its own text only, with the terms of each item once.
+    """
     terms = items.select("item", "item_id", "terms")
+    named = met.where(F.col("apart") == 0).join(documents.select("row", "doc_id", "text_key"), "row")
+    starts = named.groupBy("doc_id", "text_key", "item").agg(F.collect_set("start").alias("starts"))
     places = (
-        met.where(F.col("apart") == 0).join(terms, "item")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "start", "terms")).alias("places"))
+        starts.join(terms, "item")
+        .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "starts", "terms")).alias("places"))
     )
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    together = with_findings(texts, materialize(places, "places"), "doc_id")
+    together = with_findings(texts, materialize(places, "places"), "doc_id", "text_key")
     checked = together.mapInArrow(
         lambda batches: _verify(batches, size), f"doc_id {id_type}, text_key bigint, n_hit bigint, item_ids array<string>"
     )
@@ -210,10 +221,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: i
     postings, documents = build_index(docs)
     known = read_items(items)
     met = materialize(candidates(postings, rarest_pairs(postings, known, size)), "met")
-    exact = phrases(docs, met, known, size).dropDuplicates(["doc_id", "text_key"])
+    exact = phrases(docs, documents, met, known, size).dropDuplicates(["doc_id", "text_key"])
     found = exact.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    joined = documents.join(found, same, "left")
+    joined = documents.drop("row").join(found, same, "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)), F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(
         "doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("bigint").alias("n_items"),
@@ -227,9 +238,10 @@ def proximity(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = S
 
     The documents with the phrase itself are among them, with `apart` 0.
     """
-    postings, _ = build_index(docs)
+    postings, documents = build_index(docs)
     known = read_items(items)
-    met = candidates(postings, rarest_pairs(postings, known, size), slop)
+    met = candidates(postings, rarest_pairs(postings, known, size), slop).join(documents.select("row", "doc_id"), "row")
+    met = met.groupBy("item", "doc_id", "start").agg(F.min("apart").alias("apart"))
     return met.join(known.select("item", "item_id"), "item").select("doc_id", "item_id", "start", "apart")
 
 

@@ -47,6 +47,18 @@ def test_contamination(spark):
     assert tuples(kept, "doc_id", "text") == sorted(wanted, key=str)
 
 
+def test_rows_of_one_id_get_their_own_places(spark, monkeypatch):
+    items = [(k, prose(500 + k, 30)) for k in range(6)]
+    rows = [(i, f"{prose(600 + k, 20)} {t} {t}") for k, t in items for i in (None, 7)] + [(7, prose(700, 50)), (8, items[0][1]), (8, items[0][1])]
+    docs, bench = plain.documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")
+    seen, plain_join = [], decontamination.with_findings
+    monkeypatch.setattr(decontamination, "with_findings", lambda texts, found, *by: seen.append(found) or plain_join(texts, found, *by))
+    got = decontamination.contamination(docs, bench)
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert tuples(got, *columns) == sorted(plain.contaminated(rows, items), key=str)
+    assert seen[0].count() == 13 and seen[0].selectExpr("max(size(places))").first()[0] == 1
+
+
 def test_contamination_of_nothing(spark):
     docs, bench = plain.documents(spark, [(1, "a b c")]), spark.createDataFrame([], "item_id bigint, text string")
     assert tuples(decontamination.contamination(docs, bench), "doc_id", "n_hit", "contaminated") == [(1, 0, False)]
