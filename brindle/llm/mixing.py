@@ -11,8 +11,8 @@ once". A rate r stands for r copies on average: the whole part, and one more by
 the rest.
 
 NULL and empty texts have no tokens; their rate follows from the prior. Rows without a domain are not learned from.
-Without labelled rows there is one domain, "all". Domains without a target weight have the target 0; targets of domains
-that no labelled row has are left out. Repeated rows are documents of their own, with equal rates.
+Without labelled rows there is one domain, "all". Domains without a target weight have the target 0, or with `keep_others`
+their present part of the tokens, and the weights divide the rest; targets of domains that no labelled row has are left out. Repeated rows are documents of their own, with equal rates.
 """
 
 from __future__ import annotations
@@ -102,16 +102,19 @@ def posteriors(docs: DataFrame, model: DataFrame, n_domains: int) -> DataFrame:
     return weights.select("doc_id", "text_key", "n_tokens", *[(F.col(f"e{k}") / whole).alias(f"p{k}") for k in range(n_domains)])
 
 
-def solve(members: DataFrame, targets: list[float]) -> DataFrame:
+def solve(members: DataFrame, targets: list[float | None]) -> DataFrame:
     """Add `rate` to rows with n_tokens and p0, p1, ...; `targets` are shares of all tokens, one per domain.
 
+    A domain with None for its target keeps the tokens that it has; the targets of the others are then shares of the rest.
+
     Minimises the sum over domains of (expected tokens - target)^2 / tokens of the domain, over rates >= 0.
     """
     count = range(len(targets))
     share = [F.col("n_tokens") * F.col(f"p{k}") for k in count]
     there = [x or 0.0 for x in members.agg(*[F.sum(s) for s in share]).first()]
     total = sum(there)
-    want = [total * t for t in targets]
+    rest = total - sum(x for x, t in zip(there, targets, strict=True) if t is None)
+    want = [x if t is None else rest * t for x, t in zip(there, targets, strict=True)]
     at, pending = members.withColumn("rate", F.lit(1.0)), 0
     for _ in range(STEPS if total else 0):
         have = at.agg(*[F.sum(s * F.col("rate")) for s in share]).first()
@@ -126,17 +129,20 @@ def solve(members: DataFrame, targets: list[float]) -> DataFrame:
 
 
 def rates(
-    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = PER_DOMAIN, seed: int = 1
+    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = PER_DOMAIN, seed: int = 1,
+    keep_others: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, text_key, n_tokens, domain (the likeliest), membership (its posterior), rate, copies.
 
-    `labelled` has doc_id, text and domain; `weights` gives each domain's part of the tokens, in any unit.
+    `labelled` has doc_id, text and domain; `weights` gives each domain's part of the tokens, in any unit. With
+    `keep_others` domains without a weight keep their present part, and `weights` divide the rest.
     """
     model, domains = train(labelled, per_domain)
     members = materialize(posteriors(docs, model, len(domains)), "members")
     wanted = [float(weights.get(d, 0.0)) for d in domains]
     scale = sum(wanted)
-    targets = [w / scale for w in wanted] if scale else [1.0 / len(domains)] * len(domains)
+    named = [d in weights or not keep_others for d in domains]
+    targets = [(w / scale if scale else 1.0 / sum(named)) if n else None for w, n in zip(wanted, named, strict=True)]
     solved = materialize(solve(members, targets), "solved")
     chance = [F.struct(F.col(f"p{k}").alias("p"), F.lit(d).alias("domain")) for k, d in enumerate(domains)]
     best = F.greatest(*chance) if len(chance) > 1 else chance[0]
@@ -149,10 +155,11 @@ def rates(
 
 
 def mixture(
-    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = PER_DOMAIN, seed: int = 1
+    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = PER_DOMAIN, seed: int = 1,
+    keep_others: bool = False,
 ) -> DataFrame:
     """The rows of `docs` that are drawn at least once, with `rate` and `copies`."""
-    drawn = rates(docs, labelled, weights, per_domain, seed).where(F.col("copies") > 0)
+    drawn = rates(docs, labelled, weights, per_domain, seed, keep_others).where(F.col("copies") > 0)
     drawn = drawn.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.max("rate").alias("_rate"), F.max("copies").alias("_copies")
     )

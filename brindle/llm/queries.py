@@ -133,7 +133,7 @@ def op9_ngram_join(t: Tables) -> DataFrame:
     return ngram_join.similar(t.documents)
 
 
-#: What part of the tokens each domain is to have.
+#: What part of the tokens each domain is to have; of those that are left if other domains, which keep theirs, are there.
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
 
@@ -145,7 +145,7 @@ def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 @query("op5_mixing")
 def op5_mixing(t: Tables) -> DataFrame:
     """Rate of every document, so that languages have their parts of the tokens."""
-    return mixing.rates(t.documents, domains(t.documents, t.labels), TARGETS).drop("text_key")
+    return mixing.rates(t.documents, domains(t.documents, t.labels), TARGETS, keep_others=True).drop("text_key")
 
 
 HTML = "coalesce(html, '')"

@@ -40,8 +40,8 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn at rates by which the languages have their target parts of the tokens."""
-    return mixing.mixture(docs, domains(docs, _table(spark, sf_dir, "labels")), TARGETS)
+    """Documents are drawn at rates by which the languages have their target parts of the tokens; others keep theirs."""
+    return mixing.mixture(docs, domains(docs, _table(spark, sf_dir, "labels")), TARGETS, keep_others=True)
 
 
 STAGES = [

@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-from brindle.llm import decontamination, exact_dedup, licenses, mixing, ngram_join, token_counts
+import corpus_pipeline
+from brindle.llm import decontamination, exact_dedup, licenses, mixing, ngram_join, queries, token_counts
 from brindle.llm.queries import tokenizer_path
 from tests.llm import plain
 
@@ -225,6 +226,18 @@ def test_mixing_meets_targets(spark):
     assert drawn.columns == [*docs.columns, "rate", "copies"] and drawn.where("copies < 1").count() == 0
 
 
+def test_languages_outside_the_targets_keep_their_part(spark, tmp_path):
+    own = {"en": "the quick word", "de": "der alte hund", "fr": "le chat noir", "es": "el perro azul", "it": "gatto nero bello"}
+    rows = [(k, own[lang] + " " + own[lang], lang) for k, lang in enumerate([*["en"] * 30, *["de"] * 10, *["fr"] * 10, *["es"] * 10, *["it"] * 20])]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k,) for k, *_ in rows], "doc_id bigint").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.QUERIES["op5_mixing"](spark, str(tmp_path)).collect()
+    part = {d: sum(r.rate for r in got if r.domain == d) / len(rows) for d in own}
+    assert part == pytest.approx({"it": 0.25, "en": 0.3, "de": 0.15, "fr": 0.15, "es": 0.15}, rel=0.01)
+    drawn = corpus_pipeline.mixed(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert drawn.where("lang = 'it'").count() > 0
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs = plain.documents(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id bigint, text string, domain string")
