@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import (
-    decontamination, exact_dedup, html_extraction, licenses, mixing, ngram_join, quality, token_counts, toxicity, warc,
+    decontamination, exact_dedup, filter_audit, html_extraction, licenses, mixing, ngram_join, periodic_runs, quality, repetition,
+    token_counts, toxicity, warc,
 )
 from brindle.session import tune
 from brindle.sources.tables import Tables
@@ -176,3 +177,135 @@ def op7_html_extraction(t: Tables) -> DataFrame:
 def op10_license_scan(t: Tables) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(t.documents)
+
+
+BLANK_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+@query("op11_repetition", f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {BLANK_WORDS} AS w FROM documents
+), line AS (
+  SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY r
+), place AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+repeat_of_3 AS (
+  SELECT r, p FROM (
+    SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM place WHERE p + 2 <= len(w)
+  ) WHERE n > 1
+), n_3 AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 3)) AS q FROM repeat_of_3) GROUP BY r),
+repeat_of_10 AS (
+  SELECT r, p FROM (
+    SELECT r, p, count(*) OVER (PARTITION BY r, array_to_string(w[p:p + {repetition.LEAST_REPEAT} - 1], ' ')) AS n
+    FROM place WHERE p + {repetition.LEAST_REPEAT} - 1 <= len(w)
+  ) WHERE n > 1
+), n_10 AS (
+  SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + {repetition.LEAST_REPEAT})) AS q FROM repeat_of_10) GROUP BY r
+), too_long AS (
+  SELECT DISTINCT r FROM (
+    SELECT r, count(*) OVER (PARTITION BY r, hash(w[p:p + {repetition.LONGEST_REPEAT}])) AS n
+    FROM place JOIN repeat_of_10 USING (r, p) WHERE p + {repetition.LONGEST_REPEAT} <= len(w)
+  ) WHERE n > 1
+), counted AS (
+  SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(line.n, 0) AS n_dup_lines,
+         coalesce(n_3.n, 0) AS n_repeat_words, coalesce(n_10.n, 0) AS n_covered
+  FROM d LEFT JOIN line USING (r) LEFT JOIN n_3 USING (r) LEFT JOIN n_10 USING (r)
+), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * n_covered <= {repetition.MOST_COVERED} * n_words AND too_long.r IS NULL AS kept
+FROM judged LEFT JOIN too_long ON too_long.r = judged.r
+""")
+def op11_repetition(t: Tables) -> DataFrame:
+    """What every document repeats, and whether that is little enough to keep it."""
+    found = repetition.judge(t.documents)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op12_filter_audit", f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {BLANK_WORDS} AS w FROM documents
+), least AS (SELECT text, min(doc_id) AS doc_id FROM d GROUP BY text),
+label AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+row_of AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+          100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text),
+          regexp_matches(d.text, '[#$%&*|]'), coalesce(least.doc_id < d.doc_id, false)] AS fails
+  FROM d JOIN least USING (text) LEFT JOIN label ON label.doc_id = d.doc_id
+), counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM row_of GROUP BY part, fails
+), letter AS (SELECT unnest(range(1, 6)) AS k),
+filter_list AS (
+  SELECT [a.k, b.k, c.k, e.k, f.k] AS ks FROM letter a, letter b, letter c, letter e, letter f
+  WHERE len(list_distinct([a.k, b.k, c.k, e.k, f.k])) = 5
+), step_of AS (
+  SELECT array_to_string([chr(CAST(64 + k AS INTEGER)) FOR k IN ks], '') AS filter_order, CAST(step AS INTEGER) AS step, ks[step] AS k, ks[1:step - 1] AS before
+  FROM (SELECT ks, unnest(range(1, 6)) AS step FROM filter_list)
+), each AS (
+  SELECT part, filter_order, step, k, n, good, toxic, fails[k] AS failing,
+         coalesce(list_bool_or([fails[b] FOR b IN before]), false) AS gone,
+         fails[k] AND len([1 FOR f IN fails IF f]) = 1 AS only_one
+  FROM counted, step_of
+), summed AS (
+  SELECT part, filter_order, step, k,
+         CAST(coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (failing AND NOT gone), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (failing AND gone), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (only_one), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (failing AND NOT gone), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(toxic) FILTER (failing AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM each GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM summed
+""")
+def op12_filter_audit(t: Tables) -> DataFrame:
+    """What each of five filters removes from every source, in each order of the filters."""
+    return filter_audit.audit(t.documents, t.labels)
+
+
+#: The CRC-32 of the decimal doc_id, bit by bit; NULL has none.
+CRC = """
+  SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295,
+    [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) AS h
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+"""
+
+
+@query("op13_periodic_runs", f"""
+WITH crc AS ({CRC}),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n, h % 10 = 0 AS moved, h // 10 AS g
+  FROM (SELECT doc_id, {BLANK_WORDS} AS w FROM documents) LEFT JOIN crc USING (doc_id)
+), place AS (SELECT *, unnest(range(n)) AS i FROM d),
+word AS (
+  SELECT r, i, n, CASE WHEN moved AND i >= g % n THEN w[g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) + 1] ELSE w[i + 1] END AS v
+  FROM place
+), equal AS (
+  SELECT a.r, b.i - a.i AS q, a.i FROM word a JOIN word b ON a.r = b.r AND a.v = b.v AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), island AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM equal) GROUP BY r, q, k
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (SELECT r, start, length, min(q) AS period FROM island GROUP BY r, start, length),
+per AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM run GROUP BY r
+), top AS (
+  SELECT r, start, length, period FROM run
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY 1000000000000 * length // period DESC, start, period) = 1
+), dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+rest AS (
+  SELECT r, string_agg(v, ' ' ORDER BY i) AS kept FROM word ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (r) LEFT JOIN top USING (r) LEFT JOIN rest USING (r)
+""")
+def op13_periodic_runs(t: Tables) -> DataFrame:
+    """Periodic runs of words in every document."""
+    return periodic_runs.digests(t.documents)
