@@ -189,28 +189,28 @@ WITH d AS (
   SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d)
   WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY r
 ), place AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d),
-repeat_of_3 AS (
+repeat_of_three AS (
   SELECT r, p FROM (
     SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM place WHERE p + 2 <= len(w)
   ) WHERE n > 1
-), n_3 AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 3)) AS q FROM repeat_of_3) GROUP BY r),
-repeat_of_10 AS (
+), n_3 AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 3)) AS q FROM repeat_of_three) GROUP BY r),
+long_repeat AS (
   SELECT r, p FROM (
     SELECT r, p, count(*) OVER (PARTITION BY r, array_to_string(w[p:p + {repetition.LEAST_REPEAT} - 1], ' ')) AS n
     FROM place WHERE p + {repetition.LEAST_REPEAT} - 1 <= len(w)
   ) WHERE n > 1
-), n_10 AS (
-  SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + {repetition.LEAST_REPEAT})) AS q FROM repeat_of_10) GROUP BY r
+), n_long AS (
+  SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + {repetition.LEAST_REPEAT})) AS q FROM long_repeat) GROUP BY r
 ), too_long AS (
   SELECT DISTINCT r FROM (
     SELECT r, count(*) OVER (PARTITION BY r, hash(w[p:p + {repetition.LONGEST_REPEAT}])) AS n
-    FROM place JOIN repeat_of_10 USING (r, p) WHERE p + {repetition.LONGEST_REPEAT} <= len(w)
+    FROM place JOIN long_repeat USING (r, p) WHERE p + {repetition.LONGEST_REPEAT} <= len(w)
   ) WHERE n > 1
 ), counted AS (
   SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(line.n, 0) AS n_dup_lines,
-         coalesce(n_3.n, 0) AS n_repeat_words, coalesce(n_10.n, 0) AS n_covered
-  FROM d LEFT JOIN line USING (r) LEFT JOIN n_3 USING (r) LEFT JOIN n_10 USING (r)
+         coalesce(n_3.n, 0) AS n_repeat_words, coalesce(n_long.n, 0) AS n_covered
+  FROM d LEFT JOIN line USING (r) LEFT JOIN n_3 USING (r) LEFT JOIN n_long USING (r)
 ), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * n_covered <= {repetition.MOST_COVERED} * n_words AND too_long.r IS NULL AS kept

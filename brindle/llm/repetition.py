@@ -28,9 +28,9 @@ from brindle.llm.blanks import covered, numbered
 from brindle.llm.words import slices
 
 BASE_WINDOW = 3
-LEAST_REPEAT = 10
-MOST_COVERED = 30
-LONGEST_REPEAT = 200
+LEAST_REPEAT = 20
+MOST_COVERED = 20
+LONGEST_REPEAT = 100
 LEAST_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
 
