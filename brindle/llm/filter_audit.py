@@ -9,7 +9,7 @@ The ids of E are united with what the other filters say about each row, and the
 Combinations are counted for each part; all else follows from those counts, at most 32 for a part: a filter removes what
 fails it and none of those before it, and all orders together remove a row by each of its filters equally often.
 
-NULL texts count as empty. A NULL doc_id is neither smaller nor larger than any other; rows that repeat a doc_id with
+NULL texts count as empty. A NULL doc_id is neither smaller nor larger than any other and has no labels; rows that repeat a doc_id with
 the same text are no copies of each other. NULL parts count as the empty part. Labels that repeat an id count if one of
 them does. Empty tables give empty results; other columns are ignored, whatever their names.
 """
