@@ -7,7 +7,6 @@ zset(key, member, score) · log(seq, op, key, ...)
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,36 +124,6 @@ def replay(log: DataFrame, on: Sequence[str]) -> DataFrame:
     return totals.select(*(on if by == list(on) else [f"{by[0]}.*"]), "value")
 
 
-def replay_mixed(log: DataFrame) -> DataFrame:
-    """Final state of a log(seq, op, key, item, value) that mixes kinds: key, kind, item, value, all text.
-
-    `set`, `incr` act on numbers; `hset`, `hdel` on the field `item` of a hash;
-    `sadd`, `srem` on the member `item` of a set; `zadd`, `zincrby`, `zrem` on the
-    score of the member `item`. `del` voids all that a key held.
-    """
-    dead = log.where(F.col("op") == "del").groupBy("key").agg(F.max("seq").alias("_dead"))
-    alive = log.where(F.col("op") != "del").join(plain_side(dead), "key", "left")
-    alive = materialize(alive.where(F.col("_dead").isNull() | (F.col("seq") > F.col("_dead"))).drop("_dead"), "alive")
-
-    def last(put: str, drop: str) -> DataFrame:
-        rows = alive.where(F.col("op").isin(put, drop))
-        newest = rows.groupBy("key", "item").agg(F.max_by(F.struct("op", "value"), "seq").alias("_now"))
-        return newest.where(F.col("_now.op") == put).select("key", "item", F.col("_now.value").alias("value"))
-
-    def numbers(commands: dict[str, str], on: list[str]) -> DataFrame:
-        op = F.coalesce(*[F.when(F.col("op") == c, F.lit(meaning)) for c, meaning in commands.items()])
-        rows = alive.where(F.col("op").isin(list(commands))).withColumn("op", op)
-        return replay(rows.withColumn("value", F.col("value").cast("decimal(18,2)")), on)
-
-    kinds = {
-        "string": numbers({"set": "set", "incr": "incr"}, ["key"]).withColumn("item", F.lit(None).cast("string")),
-        "hash": last("hset", "hdel"), "set": last("sadd", "srem").withColumn("value", F.lit(None).cast("string")),
-        "zset": numbers({"zadd": "set", "zincrby": "incr", "zrem": "del"}, ["key", "item"]),
-    }
-    parts = [df.select("key", F.lit(kind).alias("kind"), "item", F.col("value").cast("string").alias("value")) for kind, df in kinds.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 # --- sets ------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions import arrays, maps
 from brindle.functions.text import part_of
 from brindle.operators import keyspace as kv
-from brindle.operators import lists
+from brindle.operators import commands, lists, queues
 from brindle.operators.changes import delete_where
 from brindle.operators.documents import insert
 from brindle.registry import query
@@ -241,14 +241,17 @@ def kv_zadd(t: Tables) -> DataFrame:
     return kv.replay_scores(log.where(F.col("op").isNotNull()))
 
 
-@query("kv_replay_mixed", """
+NUMBER_TEXT = "regexp_replace(regexp_replace(CAST({0} AS VARCHAR), '([.][0-9]*?)0+$', '\\1'), '[.]$', '')"
+
+
+@query("kv_replay_mixed", f"""
 WITH e AS (SELECT event_id AS seq, 'user:' || user_id AS key, event_type AS op, CAST(value AS DECIMAL(18,2)) AS v FROM events),
 dead AS (SELECT key, max(seq) AS d FROM e WHERE op = 'error' GROUP BY key),
 a AS (SELECT e.* FROM e LEFT JOIN dead USING (key) WHERE d IS NULL OR seq > d)
 SELECT key, 'hash' AS kind, 'last' AS item, CAST(arg_max(v, seq) AS VARCHAR) AS value FROM a WHERE op = 'view' GROUP BY key
 UNION ALL SELECT key || ':pages', 'set', 'p' || (seq % 3), NULL FROM e WHERE op = 'click' GROUP BY 1, 3
-UNION ALL SELECT 'board', 'zset', key, CAST(sum(v) AS VARCHAR) FROM e WHERE op = 'purchase' GROUP BY key
-UNION ALL SELECT key || ':visits', 'string', NULL, CAST(CAST(count(*) AS DECIMAL(18,2)) AS VARCHAR) FROM e WHERE op = 'signup' GROUP BY key""")
+UNION ALL SELECT 'board', 'zset', key, {NUMBER_TEXT.format('sum(v)')} FROM e WHERE op = 'purchase' GROUP BY key
+UNION ALL SELECT key || ':visits', 'string', NULL, CAST(count(*) AS VARCHAR) FROM e WHERE op = 'signup' GROUP BY key""")
 def kv_replay_mixed(t: Tables) -> DataFrame:
     """A log that mixes hashes, sets, boards and counters; errors delete the user's hash."""
     kind, key = F.col("event_type"), user_key(t)
@@ -259,7 +262,85 @@ def kv_replay_mixed(t: Tables) -> DataFrame:
     item = F.when(kind == "view", "last").when(kind == "click", F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string"))).when(kind == "purchase", key)
     value = F.when(kind == "signup", F.lit("1")).otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     log = t.events.select(F.col("event_id").alias("seq"), op.alias("op"), named.alias("key"), item.alias("item"), value.alias("value"))
-    return kv.replay_mixed(log.where(F.col("op").isNotNull()))
+    return commands.replay(log.where(F.col("op").isNotNull())).drop("pos")
+
+
+def tasks(t: Tables) -> DataFrame:
+    """Events as commands on three lists: clicks and views push at the two ends, purchases and errors take from them."""
+    kind = F.col("event_type")
+    op = F.when(kind == "click", "rpush").when(kind == "view", "lpush").when(kind == "purchase", "lpop").when(kind == "error", "rpop")
+    return t.events.select(
+        F.col("event_id").alias("seq"), op.alias("op"), F.concat(F.lit("tasks:"), (F.col("user_id") % 3).cast("string")).alias("key"),
+        user_key(t).alias("item"),
+    ).where(F.col("op").isNotNull())
+
+
+#: Both ends of every list as running totals over the commands that find something.
+TAPE_SQL = """c AS (
+  SELECT event_id AS seq, 'tasks:' || (user_id % 3) AS key, 'user:' || user_id AS item, event_type IN ('click', 'view') AS push,
+         CASE event_type WHEN 'click' THEN 'rpush' WHEN 'view' THEN 'lpush' WHEN 'purchase' THEN 'lpop' ELSE 'rpop' END AS op
+  FROM events WHERE event_type IN ('click', 'view', 'purchase', 'error')
+), balance AS (SELECT *, sum(CASE WHEN push THEN 1 ELSE -1 END) OVER (PARTITION BY key ORDER BY seq) AS b FROM c),
+found AS (
+  SELECT *, push OR b >= coalesce(least(0, min(b) OVER (PARTITION BY key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 0) AS finds FROM balance
+), ends AS (
+  SELECT *, sum(CASE op WHEN 'lpush' THEN -1 WHEN 'lpop' THEN 1 ELSE 0 END) OVER w AS l,
+         sum(CASE op WHEN 'rpush' THEN 1 WHEN 'rpop' THEN -1 ELSE 0 END) OVER w AS r
+  FROM found WHERE finds WINDOW w AS (PARTITION BY key ORDER BY seq)
+), tape AS (
+  SELECT *, CASE op WHEN 'lpush' THEN l WHEN 'lpop' THEN l - 1 WHEN 'rpush' THEN r - 1 ELSE r END AS slot FROM ends
+)"""
+
+
+@query("kv_queue_replay", f"""
+WITH {TAPE_SQL}, taken AS (SELECT *, lag(item) OVER (PARTITION BY key, slot ORDER BY seq) AS got FROM tape)
+SELECT seq, c.op, c.key, got AS item FROM c LEFT JOIN (SELECT seq, got FROM taken) USING (seq) WHERE NOT push""")
+def kv_queue_replay(t: Tables) -> DataFrame:
+    """What every pop of three long lists takes; NULL where the list was empty."""
+    return queues.taken(queues.placed(tasks(t)))
+
+
+@query("kv_queue_left", f"""
+WITH {TAPE_SQL}, last AS (SELECT key, slot, arg_max(push, seq) AS held, arg_max(item, seq) AS item FROM tape GROUP BY key, slot)
+SELECT key, row_number() OVER (PARTITION BY key ORDER BY slot) - 1 AS position, item FROM last WHERE held""")
+def kv_queue_left(t: Tables) -> DataFrame:
+    """What is left in the three lists, in order."""
+    return lists.item_range(queues.remaining(queues.placed(tasks(t))), 0, -1).select("key", "position", "item")
+
+
+@query("kv_replay_log_full", """
+WITH e AS (SELECT event_id AS seq, user_id AS u, event_type AS op, value FROM events),
+span AS (
+  SELECT *, count(*) FILTER (op IN ('error', 'signup')) OVER (PARTITION BY u ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM e
+), cut AS (
+  SELECT u, s, seq, op, EXISTS (SELECT 1 FROM span x WHERE x.u = span.u AND x.s = span.s AND x.op = 'click') AS there FROM span WHERE op IN ('error', 'signup')
+), member AS (SELECT u, max(s) AS s FROM cut WHERE op = 'signup' AND there GROUP BY u),
+last AS (SELECT u, count(*) FILTER (op IN ('error', 'signup')) AS s FROM e GROUP BY u),
+own AS (
+  SELECT 'user:' || u || ':pages' AS key, seq, op, value FROM span JOIN last USING (u, s) WHERE op IN ('click', 'purchase')
+  UNION ALL SELECT 'member:' || u, seq, op, value FROM span JOIN member USING (u, s) WHERE op IN ('click', 'purchase')
+), balance AS (SELECT *, sum(CASE op WHEN 'click' THEN 1 ELSE -1 END) OVER (PARTITION BY key ORDER BY seq) AS b FROM own),
+found AS (
+  SELECT *, b < coalesce(least(0, min(b) OVER (PARTITION BY key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 0) AS none FROM balance
+), pushed AS (SELECT key, seq, row_number() OVER (PARTITION BY key ORDER BY seq) AS k FROM found WHERE op = 'click'),
+taken AS (SELECT key, count(*) FILTER (op = 'purchase' AND NOT none) AS n FROM found GROUP BY key)
+SELECT key, 'list' AS kind, 'page' || seq AS item, k - n - 1 AS position, CAST(NULL AS VARCHAR) AS value FROM pushed JOIN taken USING (key) WHERE k > n
+UNION ALL SELECT 'last:' || u, 'string', NULL, NULL, 'saw ' || arg_max(seq, seq) FROM e WHERE op = 'view' GROUP BY u""")
+def kv_replay_log_full(t: Tables) -> DataFrame:
+    """A log with lists, texts, deletions and changes of names: on signing up, a user's pages become the member's."""
+    kind, pages = F.col("event_type"), F.concat(user_key(t), F.lit(":pages"))
+    pairs = {"click": "rpush", "view": "set", "purchase": "lpop", "signup": "rename", "error": "del"}
+    op = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in pairs.items()])
+    item = F.when(kind == "click", F.concat(F.lit("page"), F.col("event_id"))).when(kind == "signup", kv.key_of("member", F.col("user_id")))
+    log = t.events.select(
+        F.col("event_id").alias("seq"), op.alias("op"), F.when(kind == "view", kv.key_of("last", F.col("user_id"))).otherwise(pages).alias("key"),
+        item.alias("item"), F.when(kind == "view", F.concat(F.lit("saw "), F.col("event_id"))).alias("value"),
+    )
+    found = commands.replay(log.where(F.col("op").isNotNull()))
+    listed = lists.item_range(found.where("kind = 'list'").withColumn("sub", F.lit(0)), 0, -1)
+    rest = found.where("kind <> 'list'").withColumn("position", F.lit(None).cast("bigint"))
+    columns = ["key", "kind", "item", "position", "value"]
+    return listed.select(columns).unionByName(rest.select(columns))
 
 
 @query("kv_delete_key", f"SELECT key, field, CAST(value AS DOUBLE) AS value FROM {HASH_SQL} WHERE key NOT IN ('user:2', 'user:3')")
