@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from brindle import sinks
 from brindle.operators import pipeline
 from brindle.plans.keyspace import SCORE_SQL
-from brindle.plans.pipelines import TREND_SQL
+from brindle.plans.pipelines import SESSION_SQL, TREND_SQL
 from brindle.registry import query
 from brindle.session import fresh_path
 from brindle.sources.tables import Tables
-from brindle.streaming import channels, counters, stock
+from brindle.streaming import channels, counters, sessions, stock
 from brindle.streaming.runner import drain, drained, file_stream, to_batches
 
 SINCE = "2024-01-10 00:00:00"
@@ -23,15 +23,18 @@ MESSAGE_SQL = """(SELECT event_id AS seq, event_type || CASE WHEN user_id < 100
 MOST_FILES = 64  # of a part; more tasks than that do not write at once
 
 
-def table_stream(t: Tables, name: str, order: str = "event_id", parts: int = 3) -> DataFrame:
+def table_stream(t: Tables, name: str, order: str = "event_id", parts: int = 3, beyond: int | None = None, late: int = 0) -> DataFrame:
     """One table of the folder as a stream: parts that follow each other by `order`, one per micro-batch.
 
-    Each part has as many files as tasks read the table, some without rows if the part is small, so that every
+    With `beyond`, a heartbeat that many seconds after the newest time ends the stream. With `late`, one row in five
+    comes that many seconds later than its place in the order. Each part has as many files as tasks read the table, some without rows if the part is small, so that every
     micro-batch takes one whole part.
     """
     rows, inbox = getattr(t, name), fresh_path(t.spark, "arriving")
     at = F.col(order).cast("timestamp").cast("double") if order in ("ts", "l_shipdate") else F.col(order).cast("double")
     low, high = rows.agg(F.min(at), F.max(at)).first()
+    if late:
+        at = at + F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(5)) == 0, F.lit(late)).otherwise(F.lit(0))
     part = F.least(F.floor((at - F.lit(low)) * parts / F.lit(max(high - low, 1.0))), F.lit(parts - 1))
     files = min(MOST_FILES, max(1, rows.rdd.getNumPartitions()))
     for k in range(parts):  # one write after the other, as files are read in the order they came
@@ -39,6 +42,9 @@ def table_stream(t: Tables, name: str, order: str = "event_id", parts: int = 3)
         there = len(t.spark.read.schema(rows.schema).parquet(inbox).inputFiles())
         for _ in range(there, files * (k + 1)):
             rows.limit(0).coalesce(1).write.mode("append").parquet(inbox)
+    if beyond is not None:
+        latest = F.lit(high + beyond).cast("timestamp")
+        sessions.heartbeat(t.spark, rows, order, latest).write.mode("append").parquet(inbox)
     return file_stream(t.spark, inbox, rows.schema, maxFilesPerTrigger=str(files))
 
 
@@ -114,9 +120,16 @@ def stream_counters(t: Tables) -> DataFrame:
 SELECT event_id, user_id, event_type, epoch_us(ts) AS ts FROM events
 WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id) QUALIFY lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 1 HOUR""")
 def stream_dedup_horizon(t: Tables) -> DataFrame:
-    """Events of a kind that the user had not caused in the hour before."""
-    events = table_stream(t, "events", "ts").select("event_id", "user_id", "event_type", "ts")
-    return counters.fresh_within(events, ["user_id", "event_type"], "ts", "event_id", 3600).drop("batch")
+    """Events of a kind that the user had not caused in the hour before; some come half an hour late."""
+    events = table_stream(t, "events", "ts", beyond=3 * 3600, late=1800).select("event_id", "user_id", "event_type", "ts")
+    return sessions.fresh_within(events, ["user_id", "event_type"], "ts", "event_id", 3600, delay=3600)
+
+
+@query("stream_presence", f"SELECT user_id, started, ended, events FROM ({SESSION_SQL})")
+def stream_presence(t: Tables) -> DataFrame:
+    """When was a user online, worked out as events come in, some of them half an hour late? Breaks above eight hours end a session."""
+    events = table_stream(t, "events", "ts", beyond=10 * 3600, late=1800)
+    return sessions.presence(events, "user_id", "ts", 8 * 3600, delay=3600)
 
 
 @query("stream_stock_guard", """

@@ -6,7 +6,7 @@ from brindle.operators.keyspace import allocate
 from brindle.plans.streams import table_stream
 from brindle.session import exists, fresh_path
 from brindle.sources.tables import Tables
-from brindle.streaming import channels, counters, stock
+from brindle.streaming import channels, counters, sessions, stock
 from brindle.streaming.runner import drain, drained, file_stream
 from tests.conftest import rows
 
@@ -119,14 +119,48 @@ def test_handler_sees_every_batch_once(spark):
     assert sorted(seen) == [(0, 3), (1, 5)] or sorted(n for _, n in seen) == [3, 5]
 
 
-def test_dedup_within_the_horizon(spark):
-    at = datetime(2031, 3, 1, 6)
-    sent = [("a", 0), ("a", 50), ("b", 55), ("a", 105), ("b", 130), ("a", 170), ("c", 170), ("a", 240), ("b", 191), ("c", 230)]
-    df = spark.createDataFrame([(k, key, at + timedelta(minutes=m)) for k, (key, m) in enumerate(sent)], "id int, k string, ts timestamp_ntz")
-    late = F.col("ts") > F.lit(at + timedelta(minutes=120)).cast("timestamp_ntz")
-    stream = arriving(spark, df.where(~late), df.where(late))
-    fresh = counters.fresh_within(stream, ["k"], "ts", "id", 3600)
-    assert rows(fresh, "id") == [(0,), (2,), (4,), (5,), (6,), (7,), (8,)]
+AT = datetime(2031, 3, 1, 6)
+SEEN = [("a", 0), ("a", 50), ("b", 55), ("a", 105), ("b", 130), ("a", 170), ("c", 170), ("a", 240), ("b", 191), ("c", 230)]
+
+
+def seen(spark, picked, beat=None):
+    events = [(k, *SEEN[k]) for k in picked] + ([(None, None, beat)] if beat else [])
+    return spark.createDataFrame([(k, key, AT + timedelta(minutes=m)) for k, key, m in events], "id int, k string, ts timestamp_ntz")
+
+
+def test_dedup_within_the_horizon_in_any_order(spark):
+    for order in ([0, 1, 2, 3, 4, 5, 6, 7, 8, 9], [4, 3, 1, 2, 0, 9, 7, 8, 6, 5]):
+        parts = [seen(spark, order[:5]), seen(spark, order[5:]), seen(spark, [], 900)]
+        fresh = sessions.fresh_within(arriving(spark, *parts), ["k"], "ts", "id", 3600, delay=4 * 3600)
+        # An event exactly an hour after the last one is not fresh; 8 comes 61 minutes after 4.
+        assert rows(fresh, "id") == [(0,), (2,), (4,), (5,), (6,), (7,), (8,)]
+
+
+def test_late_events_of_the_delay_count_and_later_ones_do_not(spark):
+    """One user at 0 and 30 minutes, the second event coming after another user's at 300 and 301 minutes."""
+    first = spark.createDataFrame([(0, "a", AT), (1, "b", AT + timedelta(minutes=300))], "id int, k string, ts timestamp_ntz")
+    second = spark.createDataFrame([(2, "b", AT + timedelta(minutes=301))], "id int, k string, ts timestamp_ntz")
+    third = spark.createDataFrame([(3, "a", AT + timedelta(minutes=30))], "id int, k string, ts timestamp_ntz")
+    for delay, events in ((300 * 60, [("a", 2), ("b", 2)]), (60, [("a", 1), ("b", 2)])):
+        stream = arriving(spark, first, second, third, seen(spark, [], 2000))
+        assert rows(sessions.presence(stream, "k", "ts", 3600, delay), "k", "events") == events
+
+
+def test_presence_goes_on_after_a_restart_and_closed_sessions_leave_the_state(spark):
+    folder, home = fresh_path(spark, "arriving"), fresh_path(spark, "home")
+
+    def run():
+        stream = file_stream(spark, folder, seen(spark, []).schema, maxFilesPerTrigger="1")
+        return rows(sessions.presence(stream, "k", "ts", 3600, 3600, home=home), "k", "events")
+
+    # Each run takes up where the one before left off; the last one hears of a time beyond all sessions.
+    for picked, beat in (([0, 2], None), ([1, 3, 4], None), ([5, 6, 7, 8, 9], None), ([], 900)):
+        seen(spark, picked, beat).coalesce(1).write.mode("append").parquet(folder)
+        out = run()
+        assert len(out) < 7 or beat
+    assert out == [("a", 1), ("a", 1), ("a", 3), ("b", 1), ("b", 1), ("b", 1), ("c", 2)]
+    held = spark.read.format("statestore").load(f"{home}/checkpoint")
+    assert [r.k for r in held.select("value.k").collect()] == [None]
 
 
 def test_state_folders_do_not_pile_up(spark):
