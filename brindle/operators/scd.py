@@ -37,7 +37,7 @@ def apply_type1(state: DataFrame, changes: DataFrame, key: str, tracked: Sequenc
 
 
 def apply_type2(
-    state: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], surrogate: str
+    state: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], surrogate: str, top: DataFrame | None = None
 ) -> DataFrame:
     """Close the open version of every changed key and add new versions.
 
@@ -45,7 +45,8 @@ def apply_type2(
     value in force, or are not newer than the open version, have no effect; for a
     key without an open version the same holds of its last closed one.
     Unknown keys are inserted. New versions get surrogate keys after the
-    greatest one in use, in order of date and key.
+    greatest one in use, in order of date and key. If `state` is only the part of a
+    table that the changes concern, `top` says which that is.
     """
     open_end = F.lit(OPEN_END).cast("date")
     closed = state.where(F.col("validto") != open_end)
@@ -71,7 +72,7 @@ def apply_type2(
     kept = versions.where(F.col(surrogate).isNotNull())
     added = next_ids(
         versions.where(F.col(surrogate).isNull()).drop(surrogate),
-        state.agg(F.max(surrogate).alias("top")), [F.col("validfrom"), F.col(key)], surrogate,
+        state.agg(F.max(surrogate).alias("top")) if top is None else top, [F.col("validfrom"), F.col(key)], surrogate,
     )
     rest = [c for c in state.columns if c not in kept.columns]
     if rest:  # attributes outside the tracked set follow the key

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle import stored
 from brindle.operators import changes as ch
 from brindle.operators import quality
 from brindle.operators.ordering import row_numbers
 from brindle.registry import query
+from brindle.session import fresh_path
 from brindle.sources import retail
 from brindle.sources.tables import Tables
 
@@ -184,3 +186,24 @@ def constraint_violations(t: Tables) -> DataFrame:
         quality.check(retail.payments(t), "method is known", F.col("paymentmethod").isin(methods), "purchaseid"),
         quality.check(t.customer, "balance is not negative", F.col("c_acctbal") >= 0, "c_custkey"),
     )
+
+
+PAYMENT_FILES = 32
+
+
+@query("stored_upsert", f"""
+SELECT o_orderkey AS purchaseid, CASE WHEN o_orderkey BETWEEN 1000 AND 1200 THEN 'Cash' ELSE {METHOD_SQL} END AS paymentmethod,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM orders WHERE (o_orderstatus = 'F' OR o_orderkey BETWEEN 1000 AND 1200) AND o_orderkey NOT BETWEEN 2000 AND 2050""")
+def stored_upsert(t: Tables) -> DataFrame:
+    """Payments stored in files; a small change and a small deletion rewrite the few files they touch."""
+    state = retail.payments(t).select("purchaseid", "paymentmethod", "amount")
+    base = fresh_path(t.spark, "payments")
+    stored.create(state, base, "purchaseid", PAYMENT_FILES)
+    incoming = t.orders.where(F.col("o_orderkey").between(1000, 1200)).select(
+        F.col("o_orderkey").alias("purchaseid"), F.lit("Cash").alias("paymentmethod"),
+        F.col("o_totalprice").cast(retail.AMOUNT).alias("amount"),
+    )
+    stored.upsert(t.spark, base, "purchaseid", incoming)
+    stored.delete(t.spark, base, "purchaseid", state.where(F.col("purchaseid").between(2000, 2050)))
+    return stored.read(t.spark, base)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle import stored
 from brindle.functions.casts import cast_for_load
 from brindle.functions.dates import minute_of_day
-from brindle.operators import scd, star
+from brindle.operators import delta, scd, star
 from brindle.operators.ordering import ranks
 from brindle.registry import query
+from brindle.session import fresh_path, materialize
 from brindle.sinks import replace_all
 from brindle.sources import retail
 from brindle.sources.tables import Tables
@@ -239,14 +243,16 @@ added AS (SELECT customerid, validfrom, (SELECT max(c_custkey) FROM customer) +
 dim AS (SELECT coalesce(sk, v.customerid) AS customer_sk, v.* FROM versions v LEFT JOIN added a ON a.customerid = v.customerid AND a.validfrom = v.validfrom)"""
 
 
-def _versions(t: Tables) -> DataFrame:
-    first = t.customer.select(
+def _first_versions(t: Tables) -> DataFrame:
+    return t.customer.select(
         F.col("c_custkey").alias("customer_sk"), F.col("c_custkey").alias("customerid"),
         F.col("c_mktsegment").alias("segment"), F.lit("1995-01-01").cast("date").alias("validfrom"),
         F.lit("9999-12-31").cast("date").alias("validto"),
     )
-    moves = _moves(t)
-    return scd.apply_type2(first, moves, "customerid", ["segment"], "customer_sk")
+
+
+def _versions(t: Tables) -> DataFrame:
+    return scd.apply_type2(_first_versions(t), _moves(t), "customerid", ["segment"], "customer_sk")
 
 
 def _moves(t: Tables) -> DataFrame:
@@ -292,3 +298,61 @@ def scd2_point_in_time(t: Tables) -> DataFrame:
         scd.at_time(daily, _versions(t), "customerid", "day")
         .groupBy("segment").agg(F.sum("n").alias("purchases"), F.sum("amount").alias("amount"))
     )
+
+
+@query("stored_scd2", f"""WITH {SCD_SQL}
+SELECT customer_sk, customerid, segment, CAST(validfrom AS VARCHAR) AS validfrom, CAST(validto AS VARCHAR) AS validto FROM dim""")
+def stored_scd2(t: Tables) -> DataFrame:
+    """The history of customers as a stored table, of which only files with moved customers are rewritten."""
+    base = fresh_path(t.spark, "customers")
+    stored.create(_first_versions(t), base, "customerid", 16)
+    moves = _moves(t)
+    top = stored.read(t.spark, base).agg(F.max("customer_sk").alias("top"))
+    stored.rewrite(
+        t.spark, base, "customerid", moves, lambda rows: scd.apply_type2(rows, moves, "customerid", ["segment"], "customer_sk", top)
+    )
+    return stored.read(t.spark, base)
+
+
+# --- refresh by difference --------------------------------------------------
+
+GROUPS = ["day", "storekey", "category"]
+CHANGED_SQL = """price AS (
+  SELECT p_partkey, p_type, CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey % 50 = 0 THEN 1 ELSE 0 END AS price FROM part
+), head AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 200 = 1 THEN 7 ELSE c_nationkey END AS storekey
+  FROM orders JOIN customer ON c_custkey = o_custkey
+), line AS (
+  SELECT l_orderkey, l_partkey, CASE WHEN l_orderkey % 97 = 5 THEN 1 ELSE CAST(l_quantity AS INT) END AS quantity FROM lineitem WHERE l_orderkey % 100 <> 3
+  UNION ALL SELECT l_orderkey, l_partkey, 2 FROM lineitem WHERE l_orderkey % 150 = 4
+)"""
+
+
+def _source(t: Tables, changed: bool) -> dict[str, DataFrame]:
+    """The tables behind the sales, as they were, or after new, changed and deleted items, prices and stores."""
+    items, products, purchases = retail.items(t), retail.products(t), retail.purchases(t)
+    if changed:
+        number = F.col("purchaseid")
+        left = items.where(number % 100 != 3).withColumn("quantity", F.when(number % 97 == 5, 1).otherwise(F.col("quantity")))
+        items = left.unionByName(items.where(number % 150 == 4).withColumn("quantity", F.lit(2)))
+        dearer = F.col("price") + F.when(F.col("productid") % 50 == 0, 1).otherwise(0)
+        products = products.withColumn("price", dearer.cast(retail.PRICE))
+        purchases = purchases.withColumn("storeid", F.when(number % 200 == 1, F.lit(7)).otherwise(F.col("storeid")))
+    return {"items": items, "products": products, "purchases": purchases}
+
+
+def _sales(source: Mapping[str, DataFrame]) -> DataFrame:
+    days = source["purchases"].withColumn("day", F.to_date("purchasedatetime"))
+    return star.fact_sales(source["items"], source["products"], days, keep=["categoryname"]).withColumnRenamed("categoryname", "category")
+
+
+@query("star_refresh_delta", f"""WITH {CHANGED_SQL}
+SELECT CAST(day AS VARCHAR) AS day, storekey, p_type AS category, count(*) AS rows, CAST(sum(CAST(quantity * price AS DECIMAL(18,2))) AS DOUBLE) AS salesamount
+FROM line LEFT JOIN head ON o_orderkey = l_orderkey LEFT JOIN price ON p_partkey = l_partkey GROUP BY 1, 2, 3""", bigint=["storekey"])
+def star_refresh_delta(t: Tables) -> DataFrame:
+    """Daily sales by store and category, brought up to date with what changed in the tables."""
+    old, new = _source(t, changed=False), _source(t, changed=True)
+    kept = materialize(delta.tallied(_sales(old), GROUPS, ["salesamount"]), "sales")
+    lookups = {"products": ("productid", "productid"), "purchases": ("purchaseid", "purchaseid")}
+    changes = delta.signed_changes(_sales, old, new, "items", "purchaseid", lookups)
+    return delta.refreshed(kept, changes, GROUPS, ["salesamount"])

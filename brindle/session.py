@@ -85,18 +85,19 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
+    """A path and the file system that it lies on."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    place, store = _hadoop(spark, path)
+    place, store = hadoop(spark, path)
     return store.exists(place)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    place, store = _hadoop(spark, path)
+    place, store = hadoop(spark, path)
     store.delete(place, True)
 
 
