@@ -136,22 +136,29 @@ def set_state_with_moves(log: DataFrame) -> DataFrame:
     """Members after a log of `add`, `rem` and `move` (to `target`).
 
     A move takes effect only if the member was there; then it is also an `add` to
-    the target, which later moves may build on. Each round decides one more link of
-    such chains, until nothing changes.
+    the target, which later moves may build on. Only (key, member) pairs with a
+    move are traced; after the first round only those that an arrival reached or
+    left since. The log of all others is read once, for their last word.
     """
-    log = log.where((F.col("op") != "move") | (F.col("key") != F.col("target")))
-    words = log.select("seq", "op", "key", "member", "target")
-    arrivals = words.limit(0).drop("target")
-    before = None
-    while True:
-        rows = words.unionByName(arrivals, allowMissingColumns=True)
-        traced = previous(rows, ["key", "member"], [F.col("seq")], "op", "before")
-        moved = traced.where((F.col("op") == "move") & (F.col("before") == "add"))
-        arrivals = materialize(moved.select("seq", F.lit("add").alias("op"), F.col("target").alias("key"), "member"), "arrivals")
-        now = arrivals.agg(F.count("*"), F.bit_xor(F.xxhash64("seq", "key", "member"))).first()
-        if now == before:
-            return set_state(words.drop("target").unionByName(arrivals))
-        before = now
+    log = log.where((F.col("op") != "move") | (F.col("key") != F.col("target"))).select("seq", "op", "key", "member", "target")
+    pair = ["key", "member"]
+    movers = materialize(log.where(F.col("op") == "move").select(*pair).distinct(), "movers")
+    words = materialize(log.join(movers, pair, "left_semi"), "moving")
+    # Arrivals with the pair that they come from, which is traced again when its own words change.
+    arrivals = words.limit(0).select("seq", F.col("target").alias("key"), "member", F.col("key").alias("source"))
+    todo = movers
+    while not todo.isEmpty():
+        sources = todo.withColumnRenamed("key", "source")
+        come = arrivals.join(todo, pair, "left_semi").select("seq", F.lit("add").alias("op"), *pair)
+        rows = words.join(todo, pair, "left_semi").unionByName(come, allowMissingColumns=True)
+        traced = previous(rows, pair, [F.col("seq")], "op", "before").where((F.col("op") == "move") & (F.col("before") == "add"))
+        found = materialize(traced.select("seq", F.col("target").alias("key"), "member", F.col("key").alias("source")), "found")
+        known = arrivals.join(sources, ["source", "member"], "left_semi").select(*found.columns)
+        differ = found.exceptAll(known).unionByName(known.exceptAll(found))
+        todo = materialize(differ.select(*pair).distinct().join(movers, pair, "left_semi"), "todo")
+        arrivals = materialize(arrivals.join(sources, ["source", "member"], "left_anti").unionByName(found), "arrivals")
+    added = arrivals.select("seq", F.lit("add").alias("op"), *pair)
+    return set_state(log.drop("target").unionByName(added))
 
 
 def members(sets: DataFrame, key: str) -> DataFrame:

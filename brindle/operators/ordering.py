@@ -130,6 +130,18 @@ def previous(
     )
 
 
+def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """Add the last `value` that is not NULL among a row and those before it, in key order."""
+    slabs, by = in_slabs(df, keys, order)
+    upto = Window.partitionBy(*by, SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*by).orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
+    here = slabs.withColumn("_here", F.last(value, ignorenulls=True).over(upto)).withColumn(
+        "_is_last", F.lead(F.lit(1)).over(Window.partitionBy(*by, SLAB).orderBy(*order)).isNull()
+    )
+    carried = here.where("_is_last").select(*by, SLAB, F.last("_here", ignorenulls=True).over(earlier).alias("_carried"))
+    return here.join(carried, [*by, SLAB]).withColumn(name, F.coalesce("_here", "_carried")).drop(_KEY, SLAB, "_here", "_carried", "_is_last")
+
+
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], count: int, name: str = "position"
 ) -> DataFrame:

@@ -84,12 +84,13 @@ def last_purchases(shop: Shop, count: int = 5) -> DataFrame:
 def store_revenue(shop: Shop, start: str, end: str) -> DataFrame:
     """Revenue and number of paid purchases per store within a closed time range.
 
-    A purchase paid in parts counts once.
+    A purchase paid in parts counts once. Payments of other times are left out before any sum.
     """
     bounds = [F.lit(x).cast("timestamp_ntz") for x in (start, end)]
+    wanted = shop.purchases.where(F.col("purchasedatetime").between(*bounds)).select("purchaseid", "storeid")
     return (
-        shop.purchases.where(F.col("purchasedatetime").between(*bounds))
-        .join(shop.payments.groupBy("purchaseid").agg(F.sum("amount").alias("amount")), "purchaseid")
+        shop.payments.select("purchaseid", "amount").join(wanted, "purchaseid")
+        .groupBy("purchaseid", "storeid").agg(F.sum("amount").alias("amount"))
         .groupBy("storeid")
         .agg(F.sum("amount").alias("total_amount"), F.count("*").alias("transaction_count"))
     )

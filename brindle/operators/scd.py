@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.dates import OPEN_END
 from brindle.operators.changes import next_ids, update_by_key
+from brindle.operators.ordering import last_known
 from brindle.session import materialize
 
 
@@ -85,3 +86,23 @@ def at_time(facts: DataFrame, versions: DataFrame, key: str, day: str) -> DataFr
     """Join each fact to the version in force on its day."""
     valid = (facts[key] == versions[key]) & facts[day].between(versions["validfrom"], versions["validto"])
     return facts.join(versions, valid).drop(versions[key])
+
+
+def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, since: str = "validfrom", until: str | None = "validto") -> DataFrame:
+    """Join each fact to the version in force at its time, by carrying versions along one ordering of both.
+
+    No fact is compared with more than one version, so a key with very many versions and facts costs what its rows do,
+    and is spread over many tasks. Versions of a key start at different times; of those that start together one counts.
+    Without `until` a version holds to the next one. Facts before the first version are left out, and NULL keys.
+    """
+    both = (
+        versions.select(key, F.col(since).alias("_at"), F.lit(0).alias("_late"), F.struct(*[F.col(c) for c in versions.columns if c != key]).alias("_version"))
+        .unionByName(
+            facts.select(key, F.col(at).alias("_at"), F.lit(1).alias("_late"), F.struct(*[F.col(c) for c in facts.columns if c != key]).alias("_fact")),
+            allowMissingColumns=True,
+        )
+        .where(F.col(key).isNotNull() & F.col("_at").isNotNull())
+    )
+    seen = last_known(both, [key], [F.col("_at"), F.col("_late")], "_version", "_now")
+    holds = F.col("_now").isNotNull() if until is None else F.col("_now").isNotNull() & (F.col(f"_now.{until}").isNull() | (F.col("_at") <= F.col(f"_now.{until}")))
+    return seen.where(F.col("_fact").isNotNull() & holds).select(key, "_fact.*", "_now.*")

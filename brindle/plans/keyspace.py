@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from brindle.functions import arrays, maps
 from brindle.functions.text import part_of
 from brindle.operators import keyspace as kv
-from brindle.operators import commands, lists, queues
+from brindle.operators import commands, lists, queues, ranked, seen
 from brindle.operators.changes import delete_where
 from brindle.operators.documents import insert
 from brindle.registry import query
+from brindle.session import fresh_path
 from brindle.sources.tables import Tables
 
 AS_OF = "2024-01-30 12:00:00"
@@ -479,3 +480,42 @@ def stock_guard(t: Tables) -> DataFrame:
     )
     order = [F.col(c) for c in ("at", "orderid", "line", "l_suppkey", "l_extendedprice")]
     return kv.allocate(requests, stock, "item", order, "quantity").select("item", "orderid", "line", "accepted")
+
+
+# --- stored for few or very many questions ---------------------------------------
+
+
+def stored_scores(t: Tables) -> ranked.Ranked:
+    return ranked.store(scores(t), fresh_path(t.spark, "scores"), 16)
+
+
+@query("kv_stored_rank", f"""
+WITH r AS (SELECT key, member, score, row_number() OVER (PARTITION BY key ORDER BY score, member) - 1 AS rank, count(*) OVER (PARTITION BY key) AS n FROM {SCORE_SQL}),
+asked AS (SELECT DISTINCT event_type AS key, 'user:' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS member FROM events WHERE event_id % 1000 = 7
+  UNION SELECT 'view', 'nobody')
+SELECT key, member, CAST(score AS DOUBLE) AS score, rank, n - 1 - rank AS revrank FROM asked LEFT JOIN r USING (key, member)""")
+def kv_stored_rank(t: Tables) -> DataFrame:
+    """Ranks of a few members of a stored board, from the buckets they lie in."""
+    member = kv.key_of("user", F.lpad(F.col("user_id").cast("string"), 9, "0"))
+    asked = t.events.where("event_id % 1000 = 7").select(F.col("event_type").alias("key"), member.alias("member"))
+    nobody = t.spark.createDataFrame([("view", "nobody")], "key string, member string")
+    return ranked.ranks(stored_scores(t), asked.unionByName(nobody))
+
+
+@query("kv_stored_range", f"""
+SELECT key, member, CAST(score AS DOUBLE) AS score, row_number() OVER (ORDER BY score, member) - 1 AS rank FROM {SCORE_SQL} WHERE key = 'view'
+QUALIFY rank BETWEEN 40 AND 99""")
+def kv_stored_range(t: Tables) -> DataFrame:
+    """Ranks 40 to 99 of a stored board."""
+    return ranked.rank_range(stored_scores(t), t.spark, "view", 40, 99)
+
+
+@query("seen_set", """
+SELECT event_id, user_id, user_id IN (SELECT user_id FROM events WHERE event_type = 'signup' AND event_id % 4 = 0) AS seen FROM events WHERE event_type = 'purchase'""")
+def seen_set(t: Tables) -> DataFrame:
+    """Which purchases come from users of a stored set: a filter settles most of the others."""
+    signed = t.events.where("event_type = 'signup' AND event_id % 4 = 0")
+    kept = seen.store(signed, "user_id", fresh_path(t.spark, "signed"), 8)
+    bought = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id")
+    yes, no = seen.split(kept, bought, "user_id")
+    return yes.withColumn("seen", F.lit(True)).unionByName(no.withColumn("seen", F.lit(False)))

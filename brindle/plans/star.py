@@ -314,6 +314,15 @@ def stored_scd2(t: Tables) -> DataFrame:
     return stored.read(t.spark, base)
 
 
+@query("scd2_as_of", f"""WITH {SCD_SQL}
+SELECT o_orderkey AS purchaseid, customerid, segment, CAST(validfrom AS VARCHAR) AS validfrom
+FROM orders JOIN dim ON customerid = o_custkey AND CAST(o_orderdate AS DATE) BETWEEN validfrom AND validto""")
+def scd2_as_of(t: Tables) -> DataFrame:
+    """Every purchase with the segment its customer had on that day, by one ordering of purchases and versions."""
+    facts = t.orders.select(F.col("o_custkey").alias("customerid"), F.col("o_orderkey").alias("purchaseid"), F.to_date("o_orderdate").alias("day"))
+    return scd.as_of(facts, _versions(t), "customerid", "day").select("purchaseid", "customerid", "segment", "validfrom")
+
+
 # --- refresh by difference --------------------------------------------------
 
 GROUPS = ["day", "storekey", "category"]
