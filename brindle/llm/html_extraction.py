@@ -5,14 +5,18 @@ comments and the like, told by element, role or class, and blocks full of links
 stop words are main text, and so are longer blocks without links inside an article. Pass two gives the other
 blocks, mostly short ones, the label of the nearest decided neighbour; a heading looks to what follows it.
 
-Character references are decoded, white space inside a block becomes one space, and blocks are joined by a line feed
-in page order. NULL and empty pages give an empty text. Repeated rows are extracted each.
+Character references are decoded run by run, white space inside a block becomes one space, and blocks are joined by a line feed
+in page order. NULL and empty pages give an empty text. Repeated rows are extracted each, and other columns are
+ignored, whatever their names. Very long pages are read whole, in time that grows with their length, tags without an end
+or a beginning included. A block as near to one neighbour as to another of the other label goes by whether it is in the
+article.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
 
@@ -61,14 +65,48 @@ FRAME_MARKS = frozenset(
 )
 FRAME, OUTSIDE = 1, 2
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S
-)
+VAIN = 4  # times a page's length that is looked through for quotes that never end
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _NAME = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(r"\s+")
 
 
+def tokens(html: str) -> Generator[tuple[int, int, str, bool, str], int | None, None]:
+    """Tags of a page: where each begins and ends, its name ("" for comments and the like), whether it is an end tag, and
+    its attributes. A caller may send the place to go on from.
+
+    One pass: nothing is looked for behind the last `>`, and a page whose quotes do not end is read as if they were none
+    once `VAIN` times its length was looked through in vain.
+    """
+    at, vain, last = 0, 0, html.rfind(">")
+    while 0 <= (begin := html.find("<", at)) < last:
+        at = begin + 1
+        after = html[begin + 1 : begin + 2]
+        name, is_end, attributes = "", False, ""
+        if html.startswith("<!--", begin):
+            stop = html.find("-->", begin + 4)
+            end = len(html) if stop < 0 else stop + 3
+        elif found := _TAG.match(html, begin):
+            is_end, name, inner = bool(found[1]), found[2], found.end()
+            quoted = _QUOTED.match(html, inner) if vain <= VAIN * len(html) else None
+            if not quoted:
+                vain += len(html) - inner
+            end = quoted.end() if quoted else html.find(">", inner) + 1
+            if not end:
+                return
+            attributes = html[inner : end - 1]
+        elif after in ("!", "?", "/"):
+            end = html.find(">", at) + 1
+        else:
+            continue
+        resumed = yield begin, end, name.lower(), is_end, attributes
+        at = max(end, resumed or 0)
+    if (begin := html.find("<!--", at)) >= 0:  # a comment without an end
+        yield begin, len(html), "", False, ""
+
+
 @dataclass
 class Block:
     text: str
@@ -100,64 +138,65 @@ def blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, int, bool]] = []  # tag, outside, article
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each name in the stack
     outside, article = 0, False
     links = heading = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 out.append(Block(text, min(linked, len(text)), outside > 0, article, bool(heading)))
             parts.clear()
         linked = 0
 
+    def add(text: str) -> None:
+        nonlocal linked
+        if text:
+            parts.append(unescape(text))  # each run by itself: a reference does not go on behind a tag
+            if links:
+                linked += len(parts[-1])
+
     def pop(to: int) -> None:
         nonlocal outside, article, links, heading
         for tag, _, _ in stack[to:]:
+            places[tag].pop()
             links -= tag == "a"
             heading -= tag[0] == "h" and tag[1:].isdigit()
         del stack[to:]
         outside, article = stack[-1][1:] if stack else (0, False)
 
-    at = 0
-    while at < len(html):
-        found = _TOKEN.search(html, at)
-        text = html[at : found.start() if found else len(html)]
-        if text:
-            parts.append(text)
-            if links:
-                linked += len(text)
-        if not found:
+    def innermost(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    at, found, go_on = 0, tokens(html), None
+    while True:
+        try:
+            begin, end, tag, is_end, attributes = found.send(go_on)
+        except StopIteration:
             break
-        at = found.end()
-        end, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
+        add(html[at:begin])
+        at, go_on = end, None
         if not tag:
             continue
-        tag = tag.lower()
         if tag in BLOCKS:
             flush()
         elif tag == "br":
             parts.append(" ")
-        if end:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+        if is_end:
+            if places.get(tag):
+                pop(places[tag][-1])
             continue
         if tag in RAW and not attributes.endswith("/"):
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-            at = close.end() if close else len(html)
+            close = re.compile(rf"</{tag}\b", re.I).search(html, at)
+            stop = html.find(">", close.end()) if close else -1
+            at = go_on = stop + 1 if stop >= 0 else len(html)
             continue
-        if tag in BLOCKS and any(t[0] == "p" for t in stack[-8:]):
-            pop(max(k for k, t in enumerate(stack) if t[0] == "p"))
-        if tag in CLOSES:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in CLOSES[tag]:
-                    pop(k)
-                    break
-                if stack[k][0] in HOLDS:
-                    break
+        if tag in BLOCKS and places.get("p"):
+            pop(places["p"][-1])
+        if tag in CLOSES and (inner_most := innermost(CLOSES[tag])) > innermost(HOLDS):
+            pop(inner_most)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         inner = article or tag in ("article", "main")
@@ -165,10 +204,12 @@ def blocks(html: str) -> list[Block]:
         if tag in DROPPED or tag == "header" and not article:
             own = OUTSIDE
         around = 0 if outside == FRAME and tag in ("article", "main") else outside
+        places[tag].append(len(stack))
         stack.append((tag, max(around, own), inner))
         outside, article = stack[-1][1:]
         links += tag == "a"
         heading += tag[0] == "h" and tag[1:].isdigit()
+    add(html[at:])
     flush()
     return out
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import time
 
 import pytest
 
@@ -99,3 +100,34 @@ def test_article_of_every_page(spark):
         body = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         parts = [re.sub(r"\s+", " ", unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", p)))).strip() for p in re.split(r"</?(?:p|h1)>", body)]
         assert html_extraction.main_text(r.html) == "\n".join(p for p in parts if p)
+
+
+@pytest.mark.parametrize("depth", [0, 3, 9, 1000])
+def test_an_open_paragraph_ends_at_a_block_however_deep(depth):
+    assert html_extraction.main_text(f'<p class="ad">x{"<span>" * depth}a<div>{ARTICLE}</div>{ARTICLE}') == f"{ARTICLE.strip()}\n{ARTICLE.strip()}"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("AT&<b>amp;</b>T", "AT&amp;T"), ("x &lt<b>;</b> y", "x <; y"), ("a &amp; b &#233;<i>&eacute;</i>", "a & b éé"), ("5 < 6 <b>is</b> so", "5 < 6 is so"),
+        ("text <b>of</b> <!-- a comment > that <i>does</i> not end", "text of"), ("text <b>of</b> <a href='x", "text of <a href='x"),
+        ("<b title='>'>bold</b> <i title=\"'>\">text</i>", "bold text"), ("one<script>if (a > b) '</b>'</script> two", "one two"),
+    ],
+)
+def test_markup_and_references(html, text):
+    assert html_extraction.main_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 700_000, "<div>" * 100_000 + "</q>" * 250_000, '<a ">"' * 330_000, "<ul>" + "<span>" * 100_000 + "<li></li>" * 150_000,
+        "<script>" + "</script " * 200_000, "<p><i>" * 300_000, "<!-- " * 400_000 + ">",
+    ],
+    ids=["no end of tag", "unmatched end tags", "quotes", "items", "script", "paragraphs", "comments"],
+)
+def test_long_hostile_pages_take_seconds(html):
+    start = time.perf_counter()
+    html_extraction.main_text(html)
+    assert time.perf_counter() - start < 40
