@@ -18,9 +18,9 @@ def labelled_sample(
 ) -> DataFrame:
     """Texts with `label` 0 or 1, about `per_class` of each, never held-out ones.
 
-    Rows are picked by a hash of their id, so the sample repeats, and its expected size does not grow with the
-    tables. Documents with two different labels, and NULL ids or labels, are left out. The ids are broadcast, which
-    the bound allows; a document that occurs several times may enter several times.
+    Ids are picked by a hash, so the sample repeats, and its expected size does not grow with the tables. Documents
+    with two different labels, and NULL ids or labels, are left out. The ids are broadcast, which the bound allows.
+    However often rows repeat an id, one text enters for it: the one with the least hash.
     """
     clean = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", modulus, keep_out))
@@ -32,4 +32,6 @@ def labelled_sample(
     for value, n in sizes.items():
         share = F.when(F.col("label") == value, min(_GRAIN, max(1, _GRAIN * per_class // n))).otherwise(share)
     picked = clean.where(F.pmod(F.xxhash64("doc_id"), F.lit(_GRAIN)) < share)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("_key"), "text")).alias("_one")
+    return found.groupBy("doc_id", "label").agg(one).select("doc_id", "_one.text", "label")

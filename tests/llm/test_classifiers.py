@@ -10,6 +10,7 @@ from brindle.llm.words import split
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.1"
+from brindle.llm.training import labelled_sample
 
 
 @pytest.mark.parametrize("name, label, least", [("op2_toxicity", "toxic", 0.9), ("op6_quality", "quality", 0.97)])
@@ -104,3 +105,12 @@ def test_pairs_are_summed_in_parts(monkeypatch):
 def test_languages_by_function_words():
     texts = ["the cat of it is", "der Hund und das", "le chat et les", "el gato y los", None, "xyz"]
     assert [toxicity.LANGUAGES[k] for k in toxicity.languages(split(texts))] == ["en", "de", "fr", "es", "other", "other"]
+
+
+def test_a_labelled_id_enters_the_sample_once_however_often_it_occurs(spark):
+    docs = spark.range(30_000).selectExpr("id % 2 AS doc_id", "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN NULL ELSE concat('t', id % 7) END AS text")
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0)], "doc_id long, quality int")
+    sample = labelled_sample(docs, labels, "quality", 5, 9, per_class=100)
+    assert sorted((r.doc_id, r.label) for r in sample.collect()) == [(0, 1), (1, 0)]
+    again = labelled_sample(docs.repartition(7), labels, "quality", 5, 9, per_class=100)
+    assert sorted(sample.collect(), key=str) == sorted(again.collect(), key=str)
