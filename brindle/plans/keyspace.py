@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle import stored
 from brindle.functions import arrays, maps
 from brindle.functions.text import part_of
 from brindle.operators import keyspace as kv
@@ -66,6 +67,17 @@ def kv_key_pattern(t: Tables) -> DataFrame:
     return kv.keys(store, "?i*:1?:*")
 
 
+@query("kv_stored_key_pattern", """
+SELECT DISTINCT event_type || ':' || user_id || ':seen' AS key FROM events
+WHERE event_type || ':' || user_id || ':seen' GLOB 'purchase:1?:s*'""")
+def kv_stored_key_pattern(t: Tables) -> DataFrame:
+    """Keys by pattern from a store clustered by key: the fixed head of the pattern picks the row groups that are read."""
+    store = t.events.select(F.concat_ws(":", "event_type", "user_id", F.lit("seen")).alias("key")).distinct()
+    base = fresh_path(t.spark, "store")
+    stored.create(store, base, "key", 16)
+    return kv.keys(stored.read(t.spark, base), "purchase:1?:s*")
+
+
 @query("kv_exists", """
 SELECT 'user:' || c_custkey AS key, c_custkey IN (SELECT user_id FROM events WHERE event_type = 'signup') AS present FROM customer""")
 def kv_exists(t: Tables) -> DataFrame:

@@ -12,7 +12,7 @@ from brindle.plans.pipelines import SESSION_SQL, TREND_SQL
 from brindle.registry import query
 from brindle.session import fresh_path
 from brindle.sources.tables import Tables
-from brindle.streaming import channels, counters, sessions, stock
+from brindle.streaming import channel_source, channels, counters, sessions, stock
 from brindle.streaming.runner import drain, drained, file_stream, to_batches
 
 SINCE = "2024-01-10 00:00:00"
@@ -69,6 +69,28 @@ def stream_channel_filter(t: Tables) -> DataFrame:
     return drained(lines).drop("batch")
 
 
+@query("stream_subscription", f"""
+SELECT seq, channel, data FROM {MESSAGE_SQL} WHERE channel = 'click' AND ts >= TIMESTAMP '{SINCE}'""")
+def stream_subscription(t: Tables) -> DataFrame:
+    """A subscription to a channel source that begins when some messages are already gone."""
+    folder, home = fresh_path(t.spark, "channel"), fresh_path(t.spark, "subscriber")
+    sent = t.events.select(F.col("event_id").alias("seq"), F.col("event_type").alias("kind"), "user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    user = F.col("user_id").cast("string")
+    sent = sent.select(
+        "seq", F.when(F.col("user_id") < 100, F.concat_ws(":", "kind", user)).otherwise(F.col("kind")).alias("channel"),
+        F.when(F.col("value") > 250, channels.STOP).otherwise(F.concat(F.lit("song "), F.col("kind"), F.lit(":singer "), user)).alias("data"), "ts")
+    began = F.lit(SINCE).cast("timestamp")
+
+    def heard() -> DataFrame:
+        stream = channel_source.listen(t.spark, folder, sent.schema, start="latest")
+        return drained(channels.subscribe(stream, ["click"]).select("seq", "channel", "data"), home=home).drop("batch")
+
+    channel_source.publish(sent.where(F.col("ts") < began), folder)
+    heard()  # from now on
+    channel_source.publish(sent.where(F.col("ts") >= began), folder)
+    return heard()
+
+
 @query("stream_message_split", f"""
 SELECT seq, split_part(data, ':', 1) AS song, split_part(data, ':', 2) AS singer FROM {MESSAGE_SQL} WHERE channel LIKE 'purchase%' AND data <> 'KILL'""")
 def stream_message_split(t: Tables) -> DataFrame:

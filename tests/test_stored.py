@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle import stored
 from brindle.operators import delta, star
+from brindle.operators import keyspace as kv
 from brindle.session import fresh_path
 from tests.conftest import rows
 
@@ -134,3 +135,15 @@ def test_what_did_not_change_is_not_built_again(spark):
     lookups = {"products": ("productid", "productid"), "purchases": ("purchaseid", "purchaseid")}
     changes = delta.signed_changes(sales, old, new, "items", "purchaseid", lookups)
     assert sorted({r.saleid for r in changes.collect()}) == [7, 9] and changes.count() == 5
+
+
+def test_a_key_pattern_reads_the_row_groups_of_its_head(spark):
+    base = fresh_path(spark, "keys")
+    names = spark.range(60_000).select(F.concat(F.lit("k"), F.lpad("id", 6, "0"), F.lit(":x")).alias("key"))
+    stored.create(names, base, "key", 12)
+    found = kv.keys(stored.read(spark, base), "k0123*:x")
+    assert "StringStartsWith(key,k0123)" in found._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan()
+    assert len(found.collect()) == 100
+    # Rows of the row groups that may hold such keys: one or two files of twelve.
+    assert 100 <= plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value() <= 15_000
