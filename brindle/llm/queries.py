@@ -188,23 +188,25 @@ WITH d AS (
 ), line AS (
   SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d)
   WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY r
-), place AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d),
-repeat_of_three AS (
+), repeat_of_three AS (
   SELECT r, p FROM (
-    SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM place WHERE p + 2 <= len(w)
+    SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n
+    FROM (SELECT r, unnest(range(1, len(w) - 1)) AS p, unnest([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) AS g FROM d)
   ) WHERE n > 1
 ), n_3 AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 3)) AS q FROM repeat_of_three) GROUP BY r),
 long_repeat AS (
   SELECT r, p FROM (
-    SELECT r, p, count(*) OVER (PARTITION BY r, array_to_string(w[p:p + {repetition.LEAST_REPEAT} - 1], ' ')) AS n
-    FROM place WHERE p + {repetition.LEAST_REPEAT} - 1 <= len(w)
+    SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n
+    FROM (SELECT r, unnest(range(1, len(w) - {repetition.LEAST_REPEAT} + 2)) AS p,
+                 unnest([array_to_string(w[i:i + {repetition.LEAST_REPEAT} - 1], ' ') FOR i IN range(1, len(w) - {repetition.LEAST_REPEAT} + 2)]) AS g FROM d)
   ) WHERE n > 1
 ), n_long AS (
   SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + {repetition.LEAST_REPEAT})) AS q FROM long_repeat) GROUP BY r
-), too_long AS (
+), start AS (SELECT r, list(p) AS ps FROM long_repeat GROUP BY r),
+too_long AS (
   SELECT DISTINCT r FROM (
-    SELECT r, count(*) OVER (PARTITION BY r, hash(w[p:p + {repetition.LONGEST_REPEAT}])) AS n
-    FROM place JOIN long_repeat USING (r, p) WHERE p + {repetition.LONGEST_REPEAT} <= len(w)
+    SELECT r, count(*) OVER (PARTITION BY r, g) AS n
+    FROM (SELECT r, unnest([hash(w[i:i + {repetition.LONGEST_REPEAT}]) FOR i IN ps IF i + {repetition.LONGEST_REPEAT} <= len(w)]) AS g FROM d JOIN start USING (r))
   ) WHERE n > 1
 ), counted AS (
   SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
