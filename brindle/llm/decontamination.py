@@ -5,8 +5,8 @@ stands. Rows have numbers, so that those which share an id stay apart. Segments
 
 A search takes every window of an item. Of a window's terms the two that are rarest in the corpus are looked up; their
 lists, moved back by the terms' places in the item, give the places where the item would have to begin. Where both
-lists give the same place there may be an exact phrase; where the places are a few words apart there is a proximity
-match. Phrases are then compared word by word with the document's text.
+lists give the same place there may be an exact phrase; where the places are a few words apart there may be a proximity
+match, the window's words in order with a few others in between. Both are then compared word by word with the text.
 
 A window is `size` consecutive words of an item; an item of fewer words, but not none, is one window. NULL texts have
 no words. Items without an id are ignored; rows that share an item id are one item. Each row of the documents is
@@ -27,7 +27,7 @@ from brindle.llm.words import signed, slices, split
 from brindle.session import materialize
 
 SIZE = 13  # words of a window
-SLOP = 3  # words that the two rarest terms may have moved against each other in a proximity match
+SLOP = 3  # other words that may stand between the words of a window in a proximity match
 SEGMENT = 8 << 20  # bytes of text of an index segment
 
 
@@ -233,16 +233,80 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: i
     )
 
 
+def loose(own: np.ndarray, diagonals: list[int], terms: np.ndarray, size: int, slop: int) -> dict[int, int]:
+    """Places of a text where a window of the item begins whose words come in order with at most `slop` others between.
+
+    A word of the item at place t that stands at t + d of the text lies on diagonal d; words put in between move what
+    follows to higher diagonals. The result maps the place of a window's first word to the least number of words in
+    between, over the item's windows that begin on one of the diagonals and hold them.
+    """
+    size = min(size, len(terms))
+    windows = np.arange(len(terms) - size + 1)
+    found: dict[int, int] = {}
+    for first in diagonals:
+        at = np.arange(len(terms)) + np.arange(first, first + slop + 1)[:, None]
+        inside = (at >= 0) & (at < len(own))
+        same = inside & (own[np.where(inside, at, 0)] == terms)
+        # For each number of words put in so far, the least number from there on with which the item's word is met.
+        met = np.where(same, np.arange(slop + 1)[:, None], slop + 1)
+        met = np.minimum.accumulate(met[::-1])[::-1]
+        met = np.vstack([met, np.full(len(terms), slop + 1)])
+        moved = np.where(same[0, windows], 0, slop + 1)
+        for step in range(1, size):
+            moved = met[moved, windows + step]
+        for window in np.flatnonzero(moved <= slop):
+            place = first + int(window)
+            found[place] = min(found.get(place, slop), int(moved[window]))
+    return found
+
+
+def _verify_loose(batches: Iterator[pa.RecordBatch], size: int, slop: int) -> Iterator[pa.RecordBatch]:
+    for rows, texts in slices(batches, "text"):
+        words = split(texts)
+        owner, item, start, apart = [], [], [], []
+        for t, some in enumerate(rows.column("places").to_pylist()):
+            own = words.of(t).view(np.int64)
+            for p in some:
+                begins = sorted({s - back for s in p["starts"] for back in range(slop + 1)})
+                found = loose(own, begins, np.array(p["terms"], dtype=np.int64), size, slop)
+                owner += [t] * len(found)
+                item += [p["item_id"]] * len(found)
+                start += found.keys()
+                apart += found.values()
+        at = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                rows.column("doc_id").take(at), rows.column("text_key").take(at), pa.array(item, pa.string()),
+                pa.array(start, pa.int64()), pa.array(apart, pa.int64()),
+            ],
+            names=["doc_id", "text_key", "item_id", "start", "apart"],
+        )
+
+
 def proximity(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
-    """Proximity matches: doc_id, item_id, start and how far `apart` the two rarest terms of a window are moved.
+    """Proximity matches: doc_id, text_key, item_id (as text), start, apart.
 
-    The documents with the phrase itself are among them, with `apart` 0.
+    The words of a window stand in the text in their order, with at most `slop` other words between the first and the
+    last. `start` is the place of the first word, from 0; `apart` is the number of other words, the least over the item's
+    windows that match from there. Phrases are among them, with `apart` 0. Equal rows (id and text) give a match once.
+    NULL and empty texts match nothing; texts of any length are read whole.
     """
     postings, documents = build_index(docs)
     known = read_items(items)
-    met = candidates(postings, rarest_pairs(postings, known, size), slop).join(documents.select("row", "doc_id"), "row")
-    met = met.groupBy("item", "doc_id", "start").agg(F.min("apart").alias("apart"))
-    return met.join(known.select("item", "item_id"), "item").select("doc_id", "item_id", "start", "apart")
+    met = materialize(candidates(postings, rarest_pairs(postings, known, size), slop), "met")
+    starts = (
+        met.join(documents.select("row", "doc_id", "text_key"), "row")
+        .groupBy("doc_id", "text_key", "item").agg(F.collect_set("start").alias("starts"))
+        .join(known.select("item", F.col("item_id").cast("string").alias("item_id"), "terms"), "item")
+    )
+    places = starts.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "starts", "terms")).alias("places"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    found = with_findings(texts, materialize(places, "places"), "doc_id", "text_key").mapInArrow(
+        lambda batches: _verify_loose(batches, size, slop),
+        f"doc_id {id_type}, text_key bigint, item_id string, start bigint, apart bigint",
+    )
+    return found.groupBy("doc_id", "text_key", "item_id", "start").agg(F.min("apart").alias("apart"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:

@@ -103,6 +103,16 @@ def op1_decontamination(t: Tables) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("benchmark_proximity")
+def benchmark_proximity(t: Tables) -> DataFrame:
+    """Benchmark items whose windows stand in a document with up to three other words in between, or none."""
+    found = decontamination.proximity(t.documents, t.benchmark)
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count("*").alias("n_starts"), F.min("start").alias("first_start"),
+        F.min("apart").alias("least_apart"), F.max("apart").alias("most_apart"),
+    )
+
+
 @query("op9_ngram_join", f"""
 WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 gram AS (

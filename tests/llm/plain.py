@@ -22,6 +22,25 @@ def documents(spark, rows, extra=True):
     return spark.createDataFrame(full, schema)
 
 
+def near(docs, items, size, slop):
+    """(doc_id, item_id, start) -> least words between the words of a window, by trying every place and going on greedily."""
+    out = {}
+    for item_id, text in items:
+        term = words(text)
+        k = min(size, len(term))
+        for doc_id, body in docs if item_id is not None and term else []:
+            own = words(body)
+            for s, start in ((s, p) for s in range(len(term) - k + 1) for p in range(len(own)) if own[p] == term[s]):
+                at = start
+                for w in term[s + 1 : s + k]:
+                    at = next((q for q in range(at + 1, len(own)) if own[q] == w), len(own) + slop + k)
+                apart = at - start + 1 - k
+                if apart <= slop:
+                    key = (doc_id, str(item_id), start)
+                    out[key] = min(apart, out.get(key, apart))
+    return out
+
+
 def contaminated(docs, items, size=13, one_in=20):
     wins = []
     for item_id, text in items:

@@ -68,11 +68,44 @@ def test_contamination_of_nothing(spark):
 
 def test_proximity(spark):
     first = prose(1, 13).split()
-    docs = plain.documents(spark, [(1, " ".join(first)), (2, " ".join(first[:6] + ["in", "between"] + first[6:])), (3, prose(9, 30))])
+    docs = plain.documents(spark, [
+        (1, " ".join(first)), (2, " ".join(first[:6] + ["in", "between"] + first[6:])), (3, prose(9, 30)),
+        (4, " ".join(first[:6] + ["one", "word", "too", "many"] + first[6:])), (5, " ".join(first[6:] + first[:6])),
+    ])
     bench = spark.createDataFrame([(7, " ".join(first))], "item_id bigint, text string")
-    got = decontamination.proximity(docs, bench, slop=2).groupBy("doc_id").agg({"apart": "min"})
-    found = {r[0]: r[1] for r in got.collect()}
-    assert found[1] == 0 and 3 not in found and found.get(2, 0) in (0, 2)
+    for slop, want in ((0, [(1, 0)]), (2, [(1, 0), (2, 2)]), (4, [(1, 0), (2, 2), (4, 4)])):
+        assert tuples(decontamination.proximity(docs, bench, slop=slop), "doc_id", "apart") == want
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_equals_brute_force(spark, slop):
+    rng = random.Random(slop)
+    few = "ab cd ef gh ij".split()  # few words, so that terms repeat inside windows
+    items = [(k, " ".join(rng.choices(few, k=rng.choice([1, 2, 4, 5, 9])))) for k in range(12)]
+    items += [(3, "ab ab cd ab"), (None, "ab cd"), (40, None), (41, "...")]
+    rows = [(k, " ".join(rng.choices([*few, "zz"], k=rng.choice([0, 1, 6, 40])))) for k in range(40)]
+    for k, (_, text) in enumerate(items[:12]):  # items with words put in, at the begin and at the end of a text
+        own = text.split()
+        for _ in range(2):
+            own.insert(rng.randrange(len(own) + 1), "qq")
+        rows += [(100 + k, " ".join(own)), (200 + k, prose(k, 30) + " " + " ".join(own))]
+    rows += [(300, None), (301, ""), (5, items[5][1]), (None, items[6][1]), (None, items[6][1]), *ODD]
+    rows.append((302, " ".join([prose(5, 3000), items[4][1], prose(6, 3000)])))
+    got = decontamination.proximity(plain.documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"), 5, slop)
+    want = {(*key, apart) for key, apart in plain.near(rows, items, 5, slop).items()}
+    assert any(w[-1] == slop for w in want)
+    assert tuples(got, "doc_id", "item_id", "start", "apart") == sorted(want, key=str)
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontamination.proximity(plain.documents(spark, rows[:2]), none).count() == 0
+
+
+def test_proximity_query_on_the_tables(spark):
+    """Every phrase that op1 finds is a match with nothing in between."""
+    folder = "/root/testdata/sf0.001"
+    near = queries.QUERIES["benchmark_proximity"](spark, folder).where("least_apart = 0")
+    exact = queries.QUERIES["op1_decontamination"](spark, folder)
+    found = {r.doc_id: r.n_items for r in exact.where("n_items > 0").collect()}
+    assert found and {r.doc_id: r["count"] for r in near.groupBy("doc_id").count().collect()} == found
 
 
 def test_exact_duplicates(spark):
