@@ -1,85 +1,120 @@
-"""Nearest place to each point on the globe.
+"""Nearest places to each point on the globe.
 
-Candidates are compared by the straight line through the globe, which grows with
-the distance on it and costs no trigonometry per pair. Only the winner's distance
-is worked out.
+Places lie in a tree of cells on the unit sphere; a cell with more than `CAPACITY` places is split, so cells are small
+where places are dense. Every distinct position goes down the tree, a level a round, and keeps the cells that may still
+hold one of its nearest: a cell is left out once the cells before it are known to hold `k` places that are nearer than
+its nearest corner could be. The bounds are those of the places inside, so nothing is lost and no width covers the globe.
+
+Candidates are compared by the straight line through the globe, which grows with the distance on it and costs no
+trigonometry per pair. Only the winners' distances are worked out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.geo import haversine_km, on_unit_sphere
 from brindle.session import materialize
 
-MOST_PLACES = 500  # places that travel with the plan; more go by grid
-# Cell widths on the unit sphere, from about 30 m to the whole globe.
-CELLS = (5e-6, 2e-5, 8e-5, 3.2e-4, 1.28e-3, 5.12e-3, 0.02, 0.08, 0.32, 2.0)
+CAPACITY = 64  # places that a cell holds before it is split
+STEP = 2  # bits of each axis that a level adds: up to 64 cells in a cell
+LEVELS = 10  # the cells of the last level are 12 m wide and are not split
 _AXES = ("_x", "_y", "_z")
+_CELL = ("_cx", "_cy", "_cz")
+_AT = ["lat", "lon"]
 
 
-def nearest(points: DataFrame, places: DataFrame, identity: str, most_places: int = MOST_PLACES) -> DataFrame:
+def nearest(points: DataFrame, places: DataFrame) -> DataFrame:
     """Add the nearest place's columns and `km` to each point.
 
-    Both sides have `lat` and `lon`; `identity` is unique among the points. Ties
-    go to the first place in column order. A point without a position, or without
-    any place to go to, keeps NULL; a place without a position is nobody's nearest.
+    Both sides have `lat` and `lon`; their other columns have different names. Ties go to the first place in column
+    order. A point without a position (NULL or NaN), or without any place to go to, keeps NULL; a place without a
+    position is nobody's nearest. Rows of points that repeat stay.
     """
-    fields = [c for c in places.columns if c not in ("lat", "lon")]
-    places = places.dropna(subset=["lat", "lon"])
-    everyone, lost = points, F.col("lat").isNull() | F.col("lon").isNull()
-    points = points.where(~lost)
-    # Of several places at one spot the first one wins every tie.
-    spots = places.groupBy("lat", "lon").agg(F.min(F.struct(*fields)).alias("place"))
-    spots = _on_sphere(spots).select(F.struct(*_AXES, "place", "lat", "lon").alias("spot"))
-    few = places.limit(most_places + 1).count() <= most_places
-    best = _by_array(points, spots) if few else _by_grid(points, spots, identity)
-    km = haversine_km(F.col("lat"), F.col("lon"), F.col("_best.lat"), F.col("_best.lon"))
-    found = best.select(*points.columns, *[F.col(f"_best.place.{f}").alias(f) for f in fields], km.alias("km"))
-    return found.unionByName(everyone.where(lost), allowMissingColumns=True)
+    return points.join(_best(points, places, 1).drop("rank"), _AT, "left").select(*points.columns, *_named(places), "km")
+
+
+def nearest_k(points: DataFrame, places: DataFrame, k: int) -> DataFrame:
+    """A row for each point and each of its `k` nearest places: the point's columns, `rank` from 1, the place's, `km`.
+
+    Positions and ties are treated as by `nearest`. Where there are fewer places than `k`, all come; points without a
+    position have no row.
+    """
+    if k < 1:
+        raise ValueError("k is 1 or more")
+    return points.join(_best(points, places, k), _AT).select(*points.columns, "rank", *_named(places), "km")
+
+
+def _named(places: DataFrame) -> list[str]:
+    return [c for c in places.columns if c not in _AT]
 
 
-def _on_sphere(df: DataFrame) -> DataFrame:
-    return df.withColumns(dict(zip(_AXES, on_unit_sphere(F.col("lat"), F.col("lon")))))
+def _best(points: DataFrame, places: DataFrame, k: int) -> DataFrame:
+    """The nearest places of each distinct position of the points: lat, lon, rank, the place's columns, km."""
+    spots, tree = _grown(_positioned(places), k)
+    open_cells = _descended(_positioned(points.select(*_AT).distinct()), tree, k)
+    # Within the cells that are left every place is measured.
+    near = spots.withColumn("place", F.struct(*_named(places), F.col("lat").alias("_lat"), F.col("lon").alias("_lon")))
+    met = open_cells.join(near.select("level", *_CELL, *[F.col(a).alias(f"{a}_lo") for a in _AXES], "place"), ["level", *_CELL])
+    chord = _squares([F.col(a) - F.col(f"{a}_lo") for a in _AXES])
+    order = Window.partitionBy(*_AT).orderBy("chord", "place")
+    ranked = met.select(*_AT, chord.alias("chord"), "place").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    km = haversine_km(F.col("lat"), F.col("lon"), F.col("place._lat"), F.col("place._lon"))
+    return ranked.select(*_AT, "rank", *[F.col(f"place.`{c}`") for c in _named(places)], km.alias("km"))
 
 
-def _candidate(spot: Column) -> Column:
-    """A spot with its squared chord to the row's point in front, so that the least struct is nearest."""
-    steps = [F.col(a) - spot[a] for a in _AXES]
-    chord = sum((s * s for s in steps[1:]), steps[0] * steps[0])
-    return F.struct(chord.alias("chord"), spot["place"].alias("place"), spot["lat"].alias("lat"), spot["lon"].alias("lon"))
+def _positioned(df: DataFrame) -> DataFrame:
+    """The rows with a position, and where it is on the unit sphere."""
+    known = df.where(~(F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon")))
+    return known.withColumns(dict(zip(_AXES, on_unit_sphere(F.col("lat"), F.col("lon")))))
 
 
-def _by_array(points: DataFrame, spots: DataFrame) -> DataFrame:
-    """Few places: each point is measured against all of them in place, with no join."""
-    packed = spots.agg(F.collect_list("spot")).scalar()
-    measured = F.array_min(F.transform("_spots", _candidate))
-    return _on_sphere(points).withColumn("_spots", packed).withColumn("_best", measured)
+def _cell(axis: str, level: Column) -> Column:
+    most = 1 << (STEP * LEVELS)
+    finest = F.least(F.floor((F.col(axis) + 1) * (most // 2)), F.lit(most - 1)).cast("int")
+    return F.floor(finest / F.pow(F.lit(2.0), STEP * (LEVELS - level))).cast("int")
 
 
-def _by_grid(points: DataFrame, spots: DataFrame, identity: str) -> DataFrame:
-    """Many places: points meet the places of their own and the adjoining cells.
+def _grown(places: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The places with the cell of the tree that holds them, and the cells of the tree with the bounds of their places.
 
-    A place outside those cells is further than one cell width, so a nearer match
-    is final. Points without one try again with wider cells; the widest cells
-    cover the globe.
+    Of several places at one spot, `k` are enough: the first ones win every tie.
     """
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    open_points = _on_sphere(points.select(identity, "lat", "lon")).drop("lat", "lon")
-    found = None
-    for width in CELLS:
-        if found is not None and open_points.isEmpty():
-            break
-        cells = [f"_c{a}" for a in _AXES]
-        spread = spots.withColumns({c: F.floor(F.col(f"spot.{a}") / width) for c, a in zip(cells, _AXES)})
-        for c in cells:  # into the cells before, at and after its own
-            spread = spread.withColumn("_step", F.explode(around)).withColumn(c, F.col(c) + F.col("_step")).drop("_step")
-        placed = open_points.withColumns({c: F.floor(F.col(a) / width) for c, a in zip(cells, _AXES)})
-        best = placed.join(spread, cells).groupBy(identity).agg(F.min(_candidate(F.col("spot"))).alias("_best"))
-        if width < CELLS[-1]:
-            best = best.where(F.col("_best.chord") <= width * width)
-        best = materialize(best, "nearest")
-        found = best if found is None else found.unionByName(best)
-        open_points = open_points.join(best.select(identity), identity, "left_anti")
-    return points.join(found, identity, "left")
+    at_spot = Window.partitionBy(*_AT).orderBy(*[c for c in places.columns if c not in (*_AT, *_AXES)])
+    spots = places.withColumn("_nth", F.row_number().over(at_spot)).where(F.col("_nth") <= k).drop("_nth")
+    levels = spots.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    levels = levels.withColumns({c: _cell(a, F.col("level")) for c, a in zip(_CELL, _AXES)})
+    bounds = [f(a).alias(f"{a}_{side}") for a in _AXES for side, f in (("lo", F.min), ("hi", F.max))]
+    cells = levels.groupBy("level", *_CELL).agg(F.count("*").alias("n"), *bounds)
+    around = Window.partitionBy("level", *[F.shiftright(c, STEP) for c in _CELL])  # the cells of one cell above
+    split = (F.col("level") == 0) | (F.sum("n").over(around) > CAPACITY)
+    tree = cells.withColumn("_split", split).where("_split").drop("_split")
+    tree = materialize(tree.withColumn("inner", (F.col("n") > CAPACITY) & (F.col("level") < LEVELS)), "tree")
+    leaves = tree.where(~F.col("inner")).select("level", *_CELL)
+    return levels.join(leaves, ["level", *_CELL]), tree
+
+
+def _squares(steps: list[Column]) -> Column:
+    return sum((s * s for s in steps[1:]), steps[0] * steps[0])
+
+
+def _descended(positions: DataFrame, tree: DataFrame, k: int) -> DataFrame:
+    """The cells without cells below them that may hold one of the `k` nearest places of a position."""
+    depth = tree.agg(F.max("level").alias("depth")).first()["depth"] or 0  # without places there is no tree
+    cells = positions.withColumns({"level": F.lit(0), **{c: F.lit(0) for c in _CELL}, "inner": F.lit(depth > 0)})
+    cells = cells.withColumns({"n": F.lit(0).cast("bigint"), "near": F.lit(0.0), "far": F.lit(4.0)})
+    gaps = [F.greatest(F.col(f"{a}_lo") - F.col(a), F.col(a) - F.col(f"{a}_hi"), F.lit(0.0)) for a in _AXES]
+    spans = [F.greatest(F.abs(F.col(a) - F.col(f"{a}_lo")), F.abs(F.col(a) - F.col(f"{a}_hi"))) for a in _AXES]
+    by_far = Window.partitionBy(*_AT).orderBy("far", "level", *_CELL)
+    whole = Window.partitionBy(*_AT)
+    for level in range(1, depth + 1):
+        below = tree.where(F.col("level") == level).withColumns({f"{c}_over": F.shiftright(c, STEP) for c in _CELL})
+        split = cells.where("inner").select(*_AT, *_AXES, *[F.col(c).alias(f"{c}_over") for c in _CELL])
+        opened = split.join(below, [f"{c}_over" for c in _CELL]).withColumns({"near": _squares(gaps), "far": _squares(spans)})
+        kept = cells.where(~F.col("inner")).unionByName(opened.select(*cells.columns))
+        # The least distance within which whole cells hold k places; a cell that begins beyond it is out.
+        bound = kept.withColumn("_enough", F.when(F.sum("n").over(by_far) >= k, F.col("far")))
+        bound = bound.withColumn("_enough", F.min("_enough").over(whole))
+        cells = materialize(bound.where(F.col("_enough").isNull() | (F.col("near") <= F.col("_enough"))).drop("_enough"), "cells")
+    return cells.select(*_AT, *_AXES, "level", *_CELL)

@@ -14,7 +14,7 @@ from brindle.functions.text import decoded
 from brindle.operators import pipeline as p
 from brindle.operators import sampling, sessions
 from brindle.operators.documents import exact_mean
-from brindle.operators.nearest import nearest
+from brindle.operators.nearest import nearest, nearest_k
 from brindle.operators.ordering import top_per_key
 from brindle.operators.skew import plain_side
 from brindle.registry import query
@@ -288,7 +288,29 @@ def nearest_country(t: Tables) -> DataFrame:
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_name").alias("country"), F.col("r_name").alias("continent"),
         (n * F.lit(6.5) - 78).alias("lat"), (F.pmod(n * 97, F.lit(360)) - F.lit(179.0)).alias("lon"))
-    return nearest(points, places, "id").select("id", "country", "continent", F.round("km", 3).alias("km"))
+    return nearest(points, places).select("id", "country", "continent", F.round("km", 3).alias("km"))
+
+
+@query("nearest_customers", f"""
+WITH a AS (SELECT s_suppkey, (s_suppkey * 7919 % 178001) / 1000.0::DOUBLE - 89 AS lat, (s_suppkey * 104729 % 358001) / 1000.0::DOUBLE - 179 AS lon FROM supplier),
+b AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 48.1 + (c_custkey * 31 % 10007) / 1e5::DOUBLE ELSE (c_custkey * 15485863 % 178001) / 1000.0::DOUBLE - 89 END AS lat,
+  CASE WHEN c_custkey % 3 = 0 THEN 11.5 + (c_custkey * 37 % 10009) / 1e5::DOUBLE ELSE (c_custkey * 32452843 % 358001) / 1000.0::DOUBLE - 179 END AS lon FROM customer)
+SELECT s_suppkey AS id, row_number() OVER (PARTITION BY s_suppkey ORDER BY km, c_custkey) AS rank, c_custkey AS customer, round(km, 3) AS km
+FROM (SELECT *, {_KM} AS km FROM a, b) QUALIFY rank <= 5""")
+def nearest_customers(t: Tables) -> DataFrame:
+    """The five customers nearest to each supplier; a third of the customers live in one town."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+
+    def spread(key, factor, width):
+        return F.pmod(key * F.lit(factor), F.lit(width))
+
+    points = t.supplier.select(s.alias("id"), (spread(s, 7919, 178001) / 1000 - 89).alias("lat"), (spread(s, 104729, 358001) / 1000 - 179).alias("lon"))
+    town = F.pmod(c, F.lit(3)) == 0
+    places = t.customer.select(
+        c.alias("customer"),
+        F.when(town, 48.1 + spread(c, 31, 10007) / 1e5).otherwise(spread(c, 15485863, 178001) / 1000 - 89).alias("lat"),
+        F.when(town, 11.5 + spread(c, 37, 10009) / 1e5).otherwise(spread(c, 32452843, 358001) / 1000 - 179).alias("lon"))
+    return nearest_k(points, places, 5).select("id", F.col("rank").cast("bigint").alias("rank"), "customer", F.round("km", 3).alias("km"))
 
 
 @query("random_row", f"SELECT c_custkey AS id, c_name AS name FROM customer ORDER BY {stable_hash_sql('c_custkey', '7')}, 1 LIMIT 1")

@@ -89,13 +89,12 @@ def test_unique_allows_missing_values_and_a_key_does_not(spark):
     assert rows(quality.primary_key(df, "p", "mail")) == [("p", "NULL", 2), ("p", "b", 2)]
 
 
-@pytest.mark.parametrize("most", [0, 500])
-def test_points_without_a_position_stay(spark, most):
+def test_points_without_a_position_stay(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 5.0), (3, 10.0, None), (4, 41.0, 9.0)], "id int, lat double, lon double")
     places = spark.createDataFrame([("p", 1.0, 1.0), ("q", 40.0, 10.0), ("lost", None, None)], "name string, lat double, lon double")
-    got = nearest.nearest(points, places, "id", most)
+    got = nearest.nearest(points, places)
     assert rows(got, "id", "name") == [(1, "p"), (2, None), (3, None), (4, "q")]
-    assert rows(nearest.nearest(points, places.limit(0), "id", most), "id", "name") == [(k, None) for k in (1, 2, 3, 4)]
+    assert rows(nearest.nearest(points, places.limit(0)), "id", "name") == [(k, None) for k in (1, 2, 3, 4)]
 
 
 def test_old_versions_go(spark):

@@ -11,7 +11,8 @@ from brindle.functions.dates import calendar, minute_of_day
 from brindle.functions.geo import haversine_km
 from brindle.operators import pipeline as p
 from brindle.operators import sampling, sessions
-from brindle.operators.nearest import nearest
+from brindle.operators import nearest as operators_nearest
+from brindle.operators.nearest import nearest, nearest_k
 from brindle.session import fresh_path
 from brindle.sources import files
 from tests.conftest import rows
@@ -128,19 +129,58 @@ def test_distance(spark):
     assert got == pytest.approx(_km(here, there)) and 160 < got < 170
 
 
-def test_nearest_by_grid_equals_brute_force(spark):
+@pytest.fixture
+def globe(spark):
     rng = random.Random(3)
-    # A dense town, places all over, the poles and both sides of the date line.
-    places = [(59 + rng.random() / 100, 24 + rng.random() / 100) for _ in range(60)]
-    places += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)] + [(90.0, 0.0), (0.0, 179.99), (0.0, -179.99)]
-    points = [(59 + rng.random() / 50, 24 + rng.random() / 50) for _ in range(80)]
-    points += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(80)] + [(-90.0, 10.0), (0.0, 180.0), (89.9, 170.0)]
+    # A dense town, one yard with more places than a cell holds, places all over, the poles, both sides of the date line.
+    places = [(59 + rng.random() / 100, 24 + rng.random() / 100) for _ in range(300)]
+    places += [(10 + rng.random() / 1e6, 20 + rng.random() / 1e6) for _ in range(100)]
+    places += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)] + [(90.0, 0.0), (0.0, 179.99), (0.0, -179.99)]
+    places += [(0.0, 0.0)] * 90  # one spot
+    points = [(59 + rng.random() / 50, 24 + rng.random() / 50) for _ in range(60)] + [(10.0, 20.0), (0.0, 0.0)]
+    points += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)] + [(-90.0, 10.0), (0.0, 180.0), (89.9, 170.0)]
+    points += points[:3]  # positions that repeat
     pl = spark.createDataFrame([(i, *x) for i, x in enumerate(places)], "place int, lat double, lon double")
     pt = spark.createDataFrame([(i, *x) for i, x in enumerate(points)], "id int, lat double, lon double")
-    expected = [(i, min(range(len(places)), key=lambda j: _km(a, places[j]))) for i, a in enumerate(points)]
-    assert sorted(tuple(r) for r in nearest(pt, pl, "id").select("id", "place").collect()) == expected
-    by_grid = nearest(pt, pl, "id", most_places=10)
-    assert sorted(tuple(r) for r in by_grid.select("id", "place").collect()) == expected
+    return pt, pl, points, places
+
+
+def _sphere(a):
+    lat, lon = map(math.radians, a)
+    return math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)
+
+
+@pytest.mark.parametrize("k", [1, 4, 95])
+def test_nearest_equals_brute_force(globe, k):
+    pt, pl, points, places = globe
+    spots = [_sphere(p) for p in places]
+    expected = []
+    for i, a in enumerate(map(_sphere, points)):
+        far = sorted((sum((x - y) ** 2 for x, y in zip(a, s)), j) for j, s in enumerate(spots))
+        expected += [(i, r + 1, j) for r, (_, j) in enumerate(far[:k])]
+    assert sorted(tuple(r) for r in nearest_k(pt, pl, k).select("id", "rank", "place").collect()) == sorted(expected)
+    if k == 1:
+        assert sorted(tuple(r) for r in nearest(pt, pl).select("id", "place").collect()) == [(i, j) for i, _, j in sorted(expected)]
+
+
+def test_few_cells_are_opened_for_a_position(globe):
+    """A position ends with a handful of cells, not with all of them."""
+    pt, pl, points, _ = globe
+    spots, tree = operators_nearest._grown(operators_nearest._positioned(pl), 1)
+    cells = operators_nearest._descended(operators_nearest._positioned(pt.select("lat", "lon").distinct()), tree, 1)
+    assert tree.where("NOT inner").count() > 50
+    assert cells.count() < 12 * len(set(points))
+    assert spots.count() == pl.select("lat", "lon").distinct().count()
+
+
+def test_nearest_k_without_enough_places(spark):
+    places = spark.createDataFrame([("p", 1.0, 1.0), ("q", 40.0, 10.0), ("lost", None, 3.0), ("nan", float("nan"), 3.0)], "name string, lat double, lon double")
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0), (3, float("nan"), 0.0), (None, 0.0, 0.0)], "id int, lat double, lon double")
+    got = nearest_k(points, places, 3).select("id", "rank", "name").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(i, r, n) for i in (1, None) for r, n in ((1, "p"), (2, "q"))], key=str)
+    assert nearest_k(points, places.limit(0), 3).count() == 0 == nearest_k(points.limit(0), places, 3).count()
+    with pytest.raises(ValueError):
+        nearest_k(points, places, 0)
 
 
 def test_sessions_equal_brute_force(spark):
