@@ -9,7 +9,7 @@ from brindle.functions.arrays import field_of_each
 from brindle.functions.dates import epoch_seconds, object_id_time
 from brindle.functions.text import json_number
 from brindle.operators import documents as doc
-from brindle.operators.nesting import collect_pages, embed, lookup, lookup_unwind, pages_sql, unwind
+from brindle.operators.nesting import PAGE_ROWS, collect_pages, embed, lookup, lookup_unwind, pages_sql, unwind
 from brindle.registry import query
 from brindle.sources.tables import Tables
 
@@ -170,27 +170,39 @@ def doc_add_to_set_match(t: Tables) -> DataFrame:
     return sets.where(F.col("total") >= 4).withColumn("suppliers", F.array_join("suppliers", ", "))
 
 
-@query("doc_lookup_nested", f"""
-SELECT p_partkey AS id, count(personid) AS players, coalesce(min(personid), 0) AS first FROM part LEFT JOIN {ROLES_SQL} r ON filmid = p_partkey GROUP BY 1""")
+def _nested_sql(members: str, parents: str) -> str:
+    """Pages of members in order; `members` selects side, id and v, `parents` selects side and id."""
+    return f"""
+WITH placed AS (SELECT *, row_number() OVER (PARTITION BY side, id ORDER BY v) - 1 AS place FROM ({members})),
+pages AS (SELECT side, id, place // {PAGE_ROWS} AS page, string_agg(CAST(v AS VARCHAR), ',' ORDER BY place) AS members FROM placed GROUP BY ALL)
+SELECT side, id, coalesce(page, 0) AS page, coalesce(members, '') AS members FROM ({parents}) LEFT JOIN pages USING (side, id)"""
+
+
+def _listed(nested: DataFrame, side: str, column: str, field: str) -> DataFrame:
+    members = F.transform(column, lambda m: m[field].cast("string"))
+    return nested.select(F.lit(side).alias("side"), "id", F.col("page").cast("bigint").alias("page"), F.array_join(members, ",").alias("members"))
+
+
+@query("doc_lookup_nested", _nested_sql(
+    f"SELECT 'film' AS side, filmid AS id, personid AS v FROM {ROLES_SQL}", "SELECT 'film' AS side, p_partkey AS id FROM part"))
 def doc_lookup_nested(t: Tables) -> DataFrame:
     """A lookup without unwind: each film with its roles nested; a film without roles has none."""
     found = lookup(films(t).select("id"), roles(t), "id", "filmid", "cast", ["personid"])
-    per_page = found.select("id", F.size("cast").alias("n"), F.array_min(F.transform("cast", lambda r: r["personid"])).alias("least"))
-    return per_page.groupBy("id").agg(F.sum("n").alias("players"), F.coalesce(F.min("least"), F.lit(0)).alias("first"))
+    return _listed(found, "film", "cast", "personid")
 
 
-@query("doc_embed_both_ways", f"""
-SELECT 'person' AS side, c_custkey AS id, count(filmid) AS members FROM customer LEFT JOIN {ROLES_SQL} r ON personid = c_custkey GROUP BY 2
-UNION ALL SELECT 'film', p_partkey, count(personid) FROM part LEFT JOIN {ROLES_SQL} r ON filmid = p_partkey GROUP BY 2""")
+@query("doc_embed_both_ways", _nested_sql(
+    f"SELECT 'person' AS side, personid AS id, filmid AS v FROM {ROLES_SQL} UNION ALL SELECT 'film', filmid, personid FROM {ROLES_SQL}",
+    "SELECT 'person' AS side, c_custkey AS id FROM customer UNION ALL SELECT 'film', p_partkey FROM part"))
 def doc_embed_both_ways(t: Tables) -> DataFrame:
     """Films embedded in people, and people embedded in films."""
     sides = [("person", people(t).select("id"), "personid", "filmid"), ("film", films(t).select("id"), "filmid", "personid")]
-    counted = []
+    listed = []
     for side, parents, own, other in sides:
         children = roles(t).select(F.col(own).alias("id"), other)
         nested = embed(parents, children, "id", [other], "members", identity=[other])
-        counted.append(nested.groupBy(F.lit(side).alias("side"), "id").agg(F.sum(F.size("members")).alias("members")))
-    return counted[0].unionByName(counted[1])
+        listed.append(_listed(nested, side, "members", other))
+    return listed[0].unionByName(listed[1])
 
 
 @query("doc_sort_before_limit", "SELECT p_partkey AS id, p_name AS title FROM part ORDER BY p_size, p_partkey LIMIT 3")
