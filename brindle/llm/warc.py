@@ -280,7 +280,7 @@ def read(archives: DataFrame, id_type: str = "bigint", with_payload: bool = True
     asked for, payload (NULL for revisits).
     """
     kind = {"bigint": pa.int64(), "int": pa.int32()}[id_type]
-    files = archives.repartition(max(1, archives.count()))
+    files = archives.repartitionByRange(max(1, archives.count()), "folder", "path")  # one file a task
     schema = f"page_id {id_type}, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to {id_type}"
     return files.select("folder", "path").mapInArrow(
         lambda batches: _read(batches, kind, with_payload), schema + ", payload binary" * with_payload
