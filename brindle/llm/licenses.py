@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -153,10 +154,18 @@ def likeness(own: np.ndarray, template: np.ndarray) -> float:
 
 
 def closest(found: list[tuple[float, int, int, str]]) -> list[tuple[float, int, int, str]]:
-    """Spans (likeness, begin, end, label) without those that overlap one that is more like its template."""
-    return [
-        x for x in found if not any(y[0] > x[0] and y[1] < x[2] and x[1] < y[2] for y in found)
-    ]
+    """Spans (likeness, begin, end, label) without those that overlap one that is more like its template.
+
+    From the most alike down, the words of spans are marked, so the work grows with the words in spans.
+    """
+    taken = np.zeros(max((end for _, _, end, _ in found), default=0), dtype=bool)
+    kept = []
+    for _, equal in groupby(sorted(found, key=lambda x: -x[0]), key=lambda x: x[0]):
+        equal = list(equal)
+        kept += [x for x in equal if not taken[x[1] : x[2]].any()]
+        for _, begin, end, _ in equal:
+            taken[begin:end] = True
+    return kept
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -235,6 +235,16 @@ def test_license_scan(spark):
     assert licenses.scan(plain.documents(spark, [])).count() == 0
 
 
+def test_closest_spans_equal_all_against_all():
+    rng = random.Random(2)
+    for n in (0, 1, 5, 60):
+        found = [(rng.choice([0.8, 0.9, 0.95, 1.0]), b, b + rng.randint(1, 40), f"l{k}") for k in range(n) for b in [rng.randint(0, 400)]]
+        want = [x for x in found if not any(y[0] > x[0] and y[1] < x[2] and x[1] < y[2] for y in found)]
+        assert sorted(licenses.closest(found)) == sorted(want)
+    many = [(0.8 + k % 3 / 10, 30 * k, 30 * k + 40, "mit") for k in range(100_000)]
+    assert 0 < len(licenses.closest(many)) < len(many)  # in a second or so; each against every other takes a quarter of an hour
+
+
 def test_mixing_meets_targets(spark):
     vocabulary = {"a": "alpha beta gamma delta", "b": "uno dos tres cuatro", "c": "rot blau gelb weiss"}
     rng = random.Random(3)
