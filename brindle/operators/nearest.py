@@ -104,6 +104,7 @@ def _descended(positions: DataFrame, tree: DataFrame, k: int) -> DataFrame:
     depth = tree.agg(F.max("level").alias("depth")).first()["depth"] or 0  # without places there is no tree
     cells = positions.withColumns({"level": F.lit(0), **{c: F.lit(0) for c in _CELL}, "inner": F.lit(depth > 0)})
     cells = cells.withColumns({"n": F.lit(0).cast("bigint"), "near": F.lit(0.0), "far": F.lit(4.0)})
+    cells = materialize(cells, "positions")  # written, since joins on constants would become products
     gaps = [F.greatest(F.col(f"{a}_lo") - F.col(a), F.col(a) - F.col(f"{a}_hi"), F.lit(0.0)) for a in _AXES]
     spans = [F.greatest(F.abs(F.col(a) - F.col(f"{a}_lo")), F.abs(F.col(a) - F.col(f"{a}_hi"))) for a in _AXES]
     by_far = Window.partitionBy(*_AT).orderBy("far", "level", *_CELL)
