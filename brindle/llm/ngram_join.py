@@ -2,11 +2,17 @@
 
 Each text is the set of its word n-grams (five words; a text of fewer words, but not none, is one n-gram). Texts with
 equal sets form a class, and only classes are compared. A class's MinHash signature is cut into labels, one per tree;
-the labels of a tree, sorted, are a prefix trie. Classes that share a prefix in any tree are candidates. The prefix is
-the longest one with which even a pair at the threshold is found with the target's chance. So the depth depends on the
-parameters alone, and no other group of the table decides how a pair is searched.
+the labels of a tree, sorted, are a prefix trie, and classes below a node of a trie are candidates.
 
-Candidates are not listed as pairs. Classes of a trie node are compared block by block, the signatures of similar ones
+The search goes up the tries, from the longest prefixes to shorter ones. What is linked so far is a component, within
+which all sets are compared later on, so a node is open only if it holds classes of several components; the classes of
+other nodes are not compared again, nor are two classes of one component. A class's prefix is therefore shortened only
+as far as shorter ones bring it together with something new: a group of near copies mostly ends at the longest prefix,
+borderline pairs go on. The last prefix length is the longest one with which even a pair at the threshold is found with
+the target's chance. It depends on the parameters alone; a class stops earlier only where all that it still
+meets is in its own component, so no group loosens the search of another.
+
+Candidates are not listed as pairs. Classes of an open node are compared block by block, the signatures of similar ones
 link them to components, and within a component the sets themselves are compared, again block by block, all with all.
 What leaves a block are counts and a spanning forest, so no output grows with the square of a group.
 
@@ -184,18 +190,20 @@ def _table(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def _by_estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Edges to the root of each trie node."""
+    """Edges to the root of each trie node, between classes of different components."""
     names, parts = ["node", "root"], []
     least = threshold - MARGIN
     for g in _groups(batches, ["cell", "low", "high"]):
         node, first = np.unique(np.array(g["node"]), return_index=True)
+        comp = np.array(g["comp"])[first]
+        if (comp == comp[0]).all():
+            continue
         sign = np.frombuffer(b"".join(g["sign"][i] for i in first), dtype=np.uint16).reshape(len(first), -1)
         equal = _equal_values(sign)
-        alike = equal >= least * sign.shape[1]
+        alike = (equal >= least * sign.shape[1]) & (comp[:, None] != comp[None, :])
         if g["low"][0] != g["high"][0]:
             block = np.array(g["block"])[first]
             alike &= block[:, None] != block[None, :]
-        np.fill_diagonal(alike, False)
         if not alike.any():
             continue
         root = _roots(alike)
@@ -208,26 +216,45 @@ def _by_estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         yield _table(parts, names)
 
 
-def _round(classes: DataFrame, depth: int, threshold: float) -> DataFrame:
-    """Links by estimate among classes that share a prefix of `depth` values."""
+def _cell(label: Column, depth: int) -> Column:
+    """The trie node of a label (its tree's number first) at a depth."""
+    return F.xxhash64(F.substring(label, 1, 2 + 2 * depth))
+
+
+def _tries(classes: DataFrame, depth: int) -> DataFrame:
+    """node and label of each class in each tree, where another class shares `depth` values with it: the others meet none."""
     wide = 2 * DEPTH
-    prefix = F.transform(
+    labels = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.xxhash64(t, F.substring(F.col("sign"), t * wide + 1, F.lit(2 * depth))),
+        lambda t: F.concat(F.unhex(F.lpad(F.hex(t), 4, "0")), F.substring(F.col("sign"), t * wide + 1, F.lit(wide))),
     )
-    cells = classes.select("node", F.explode(prefix).alias("cell"))
-    shared = materialize(
-        cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), f"cells{depth}"
-    )
-    members = materialize(cells.join(shared, "cell"), f"members{depth}")
+    leaves = classes.select("node", F.explode(labels).alias("label")).withColumn("cell", _cell(F.col("label"), depth))
+    shared = leaves.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("cell")
+    return materialize(leaves.join(materialize(shared, "shared"), "cell").drop("cell"), "tries")
+
+
+def _open_nodes(tries: DataFrame, comps: DataFrame | None, depth: int) -> DataFrame:
+    """The classes of trie nodes that hold several components: cell, n (classes of the node), node, comp."""
+    own = tries.select("node", _cell(F.col("label"), depth).alias("cell"))
+    if comps is None:
+        own = own.withColumn("comp", F.col("node"))
+    else:
+        own = own.join(comps, "node", "left").select("node", "cell", F.coalesce("root", "node").alias("comp"))
+    several = own.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = materialize(several.where("low != high").select("cell", "n"), f"open{depth}")
+    return materialize(own.join(several, "cell"), f"members{depth}")
+
+
+def _round(classes: DataFrame, members: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """Links by estimate between components that meet in an open node."""
     short = classes.select("node", F.substring("sign", 1, 2 * ESTIMATE).alias("sign"))
     spread = _spread(members.join(short, "node"), F.ceil(F.col("n") / BLOCK), "node")
     by = ["cell", "low", "high"]
     compared = (
-        spread.select(*by, "block", "node", "sign").repartition(*by).sortWithinPartitions(*by)
+        spread.select(*by, "block", "node", "comp", "sign").repartition(*by).sortWithinPartitions(*by)
         .mapInArrow(lambda batches: _by_estimate(batches, threshold), "node bigint, root bigint")
     )
-    return materialize(compared, f"links{depth}").distinct()
+    return materialize(compared.distinct(), f"links{depth}")
 
 
 def forest_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
@@ -235,9 +262,37 @@ def forest_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
     return next((d for d in range(DEPTH, 1, -1) if recall(threshold, d) >= target), 1)
 
 
+def rounds(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """The search, longest prefixes first: the prefix length, the classes of its open nodes, and all links up to there."""
+    last = forest_depth(threshold, target)
+    tries, comps, links = _tries(classes, last), None, None
+    for depth in range(DEPTH, last - 1, -1):
+        members = _open_nodes(tries, comps, depth)
+        found = _round(classes, members, depth, threshold)
+        links = found if links is None else links.unionByName(found)
+        yield depth, members, links
+        if depth > last:
+            comps = materialize(components(links, "node", "root"), f"comps{depth}")
+
+
 def forest_links(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
-    """A spanning forest of the links by estimate."""
-    return _round(classes, forest_depth(threshold, target), threshold)
+    """Links by estimate that join all candidates to components."""
+    *_, (_, _, links) = rounds(classes, threshold, target)
+    return links
+
+
+def search_depths(docs: DataFrame, size: int = WORDS, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
+    """How far each class's prefix was shortened: class_id, depth (of the last open node with the class in it).
+
+    NULL for a class that shares no prefix with another.
+    """
+    classes = _classes(_signed(docs, size))
+    met = None
+    for depth, members, _ in rounds(classes, threshold, target):
+        here = members.select("node", F.lit(depth).alias("depth"))
+        met = here if met is None else met.unionByName(here)
+    ends = met.groupBy("node").agg(F.min("depth").alias("depth"))
+    return classes.select("node", "class_id").join(ends, "node", "left").select("class_id", "depth")
 
 
 def jaccard_at_least(sets: list[np.ndarray], threshold: Fraction) -> np.ndarray:

@@ -186,6 +186,26 @@ def test_a_large_group_does_not_loosen_the_search_of_others(spark):
     assert {r.doc_id: r.group_id for r in got.collect()}[2] == 1
 
 
+def test_prefixes_are_shortened_class_by_class(spark):
+    copies = [(100 + k, near(9, 300, 0) + f" end{k}") for k in range(40)]  # neighbours at about 0.99
+    pair = [(1, near(1272, 50, 0)), (2, near(1272, 50, 1))]  # at 41/51, without a common prefix of six values
+    alone = [(50 + k, prose(7000 + k, 80)) for k in range(5)]
+
+    def depths(rows):
+        return {r.class_id: r.depth for r in ngram_join.search_depths(plain.documents(spark, rows)).collect()}
+
+    got = depths(copies + pair + alone)
+    assert {got[k] for k, _ in copies} == {6} and {got[k] for k, _ in pair} <= {4, 5} and {got[k] for k, _ in alone} == {None}
+    assert got == {**depths(copies), **depths(pair), **depths(alone)}  # no group changes how another is searched
+
+
+def test_links_of_the_forest_on_the_tables(spark):
+    """Every pair at the threshold that brute force finds in sf0.01 is linked, so measured recall is 1."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = ngram_join.similar(plain.documents(spark, rows))
+    assert tuples(got, "doc_id", "class_id", "class_size", "n_links", "group_id") == sorted(plain.similar(rows), key=str)
+
+
 TRICKY = [
     None, "", " ", "a", "two words", "  lead", "trail  ", "tab\tand  gaps", "it's we'll", "line\n\nbreak \n x", "x y", "中文 字",
     "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b <|endoftext|>", "sep\x1c here \x1c x", "é" * 500, "word " * 3000, "a  b   c", "🙂 🙂🙂",
