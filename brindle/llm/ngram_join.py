@@ -5,8 +5,9 @@ equal sets form a class, and only classes are compared. A class's MinHash signat
 the labels of a tree, sorted, are a prefix trie, and classes below a node of a trie are candidates.
 
 The search goes up the tries, from the longest prefixes to shorter ones. What is linked so far is a component, within
-which all sets are compared later on, so a node is open only if it holds classes of several components; the classes of
-other nodes are not compared again, nor are two classes of one component. A class's prefix is therefore shortened only
+which all sets are compared later on, and classes that reach the same one over two links are known to be in one. So a
+node is open only if it holds several of these; the classes of other nodes are not compared again, nor are two of one
+component. A class's prefix is therefore shortened only
 as far as shorter ones bring it together with something new: a group of near copies mostly ends at the longest prefix,
 borderline pairs go on. The last prefix length is the longest one with which even a pair at the threshold is found with
 the target's chance. It depends on the parameters alone; a class stops earlier only where all that it still
@@ -262,6 +263,13 @@ def forest_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
     return next((d for d in range(DEPTH, 1, -1) if recall(threshold, d) >= target), 1)
 
 
+def _joined(links: DataFrame, depth: int) -> DataFrame:
+    """The least node that each linked node reaches over two links: nodes with the same one are in one component."""
+    least = materialize(links.groupBy("node").agg(F.min("root").alias("root")), f"joined{depth}")
+    further = least.select(F.col("node").alias("via"), F.col("root").alias("end"))
+    return least.join(further, F.col("root") == F.col("via"), "left").select("node", F.coalesce("end", "root").alias("root"))
+
+
 def rounds(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> Iterator[tuple[int, DataFrame, DataFrame]]:
     """The search, longest prefixes first: the prefix length, the classes of its open nodes, and all links up to there."""
     last = forest_depth(threshold, target)
@@ -272,7 +280,7 @@ def rounds(classes: DataFrame, threshold: float = THRESHOLD, target: float = TAR
         links = found if links is None else links.unionByName(found)
         yield depth, members, links
         if depth > last:
-            comps = materialize(components(links, "node", "root"), f"comps{depth}")
+            comps = _joined(links, depth)
 
 
 def forest_links(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:

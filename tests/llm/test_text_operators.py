@@ -199,13 +199,6 @@ def test_prefixes_are_shortened_class_by_class(spark):
     assert got == {**depths(copies), **depths(pair), **depths(alone)}  # no group changes how another is searched
 
 
-def test_links_of_the_forest_on_the_tables(spark):
-    """Every pair at the threshold that brute force finds in sf0.01 is linked, so measured recall is 1."""
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
-    got = ngram_join.similar(plain.documents(spark, rows))
-    assert tuples(got, "doc_id", "class_id", "class_size", "n_links", "group_id") == sorted(plain.similar(rows), key=str)
-
-
 TRICKY = [
     None, "", " ", "a", "two words", "  lead", "trail  ", "tab\tand  gaps", "it's we'll", "line\n\nbreak \n x", "x y", "中文 字",
     "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b <|endoftext|>", "sep\x1c here \x1c x", "é" * 500, "word " * 3000, "a  b   c", "🙂 🙂🙂",
