@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents for the classifiers."""
+"""Labelled documents for the classifiers to learn from."""
 
 from __future__ import annotations
 
@@ -13,6 +13,15 @@ def held_out(doc_id: str, modulus: int, keep_out: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(modulus)) == keep_out, F.lit(False))
 
 
+def learning_labels(labels: DataFrame, label: str, modulus: int, keep_out: int) -> DataFrame:
+    """doc_id and `label` (0 or 1) of what may be learned from: no held-out ids, none with two different labels, no NULL."""
+    return (
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", modulus, keep_out))
+        .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_other"))
+        .where(F.col("label") == F.col("_other")).select("doc_id", "label")
+    )
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, keep_out: int, per_class: int
 ) -> DataFrame:
@@ -22,11 +31,7 @@ def labelled_sample(
     with two different labels, and NULL ids or labels, are left out. The ids are broadcast, which the bound allows.
     However often rows repeat an id, one text enters for it: the one with the least hash.
     """
-    clean = (
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", modulus, keep_out))
-        .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_other"))
-        .where(F.col("label") == F.col("_other")).select("doc_id", "label")
-    )
+    clean = learning_labels(labels, label, modulus, keep_out)
     sizes = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
     share = F.lit(0)
     for value, n in sizes.items():

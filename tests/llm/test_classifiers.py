@@ -113,3 +113,44 @@ def test_a_labelled_id_enters_the_sample_once_however_often_it_occurs(spark):
     assert sorted((r.doc_id, r.label) for r in sample.collect()) == [(0, 1), (1, 0)]
     again = labelled_sample(docs.repartition(7), labels, "quality", 5, 9, per_class=100)
     assert sorted(sample.collect(), key=str) == sorted(again.collect(), key=str)
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    """More documents of a class than any sample held, and few of the other; as many blocks as it takes."""
+    docs = spark.range(26_000).selectExpr("id AS doc_id", "concat(CASE WHEN id % 100 = 0 THEN 'bad!! ### ' ELSE 'good words of it. ' END, id % 7) AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 100 <> 0 AS INT) AS mark")
+    rows = quality.learning_rows(docs, labels, "mark", 5, 0)
+    wanted = docs.where(~held_out("doc_id", 5, 0)).count()
+    assert rows.count() == wanted > 20_000
+    monkeypatch.setattr(quality, "BLOCK", 3_000)
+    got = quality.scores(docs, labels, "mark", 5, 0, 0.3)
+    assert got.where((F.col("predicted") == 1) != (F.col("doc_id") % 100 != 0)).isEmpty()
+
+
+def test_blocks_hold_every_document(spark, monkeypatch):
+    """Those of the larger class once, those of the smaller one as often as it takes."""
+    width = quality.WIDTH
+    rows = spark.range(500).selectExpr("id AS doc_id", "CAST(id % 50 = 0 AS INT) AS label", f"array_repeat(CAST(id AS DOUBLE), {width}) AS x")
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    monkeypatch.setattr(quality, "LEAST", 8)
+    blocks = [[np.frombuffer(r[k]).reshape(-1, width)[:, 0] for k in ("good", "bad")]
+              for r in quality._blocked(rows, 10, 490, np.zeros(width), np.ones(width)).collect()]
+    assert len(blocks) == 5 and all(len(good) and len(bad) for good, bad in blocks)
+    assert sorted(np.concatenate([bad for _, bad in blocks])) == [k for k in range(500) if k % 50]
+    assert sorted(set(np.concatenate([good for good, _ in blocks]))) == list(range(0, 500, 50))
+
+
+def test_every_row_is_in_pairs():
+    first, second = quality._pairs(700, 30, 1)
+    assert len(first) == len(second) == 20 * 730
+    assert np.bincount(first, minlength=700).min() >= 20 and np.bincount(second, minlength=30).min() >= 20
+
+
+def test_the_cut_is_that_of_all_scores(spark):
+    rng = np.random.default_rng(4)
+    good = rng.random(3000) < 0.3
+    scores = rng.normal(size=3000) + 1.5 * good
+    scored = spark.createDataFrame([(int(g), float(s)) for g, s in zip(good, scores)], "label int, score double").repartition(5)
+    assert quality._best_cut(scored, int(good.sum()), int((~good).sum())) == pytest.approx(quality.best_quantile(scores, good))
+    same = spark.createDataFrame([(1, 0.5), (0, 0.5)], "label int, score double")
+    assert quality._best_cut(same, 1, 1) == 0.5
