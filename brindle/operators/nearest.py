@@ -54,12 +54,16 @@ def _best(points: DataFrame, places: DataFrame, k: int) -> DataFrame:
     """The nearest places of each distinct position of the points: lat, lon, rank, the place's columns, km."""
     spots, tree = _grown(_positioned(places), k)
     open_cells = _descended(_positioned(points.select(*_AT).distinct()), tree, k)
-    # Within the cells that are left every place is measured.
-    near = spots.withColumn("place", F.struct(*_named(places), F.col("lat").alias("_lat"), F.col("lon").alias("_lon")))
-    met = open_cells.join(near.select("level", *_CELL, *[F.col(a).alias(f"{a}_lo") for a in _AXES], "place"), ["level", *_CELL])
-    chord = _squares([F.col(a) - F.col(f"{a}_lo") for a in _AXES])
+    # Within the cells that are left every place is measured: a list of places at a time, of which only the best go on.
+    lists = _listed(spots, tree, _named(places))
+    if tree.where("inner").isEmpty():
+        lists = F.broadcast(lists)  # one cell, so at most CAPACITY places, and all positions have its key
+    chord = lambda p: _squares([F.col(a) - p[a] for a in _AXES]).alias("chord")
+    measured = F.transform("places", lambda p: F.struct(chord(p), p["place"].alias("place")))
+    best = F.array_min(measured) if k == 1 else F.explode(F.slice(F.sort_array(measured), 1, k))
+    met = open_cells.join(lists, ["level", *_CELL]).select(*_AT, best.alias("_best")).select(*_AT, "_best.*")
     order = Window.partitionBy(*_AT).orderBy("chord", "place")
-    ranked = met.select(*_AT, chord.alias("chord"), "place").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("place._lat"), F.col("place._lon"))
     return ranked.select(*_AT, "rank", *[F.col(f"place.`{c}`") for c in _named(places)], km.alias("km"))
 
@@ -95,6 +99,14 @@ def _grown(places: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return levels.join(leaves, ["level", *_CELL]), tree
 
 
+def _listed(spots: DataFrame, tree: DataFrame, named: list[str]) -> DataFrame:
+    """The places of each cell that is not split, as lists of about CAPACITY; a cell of the last level has as many as it takes."""
+    cells = tree.where(~F.col("inner")).select("level", *_CELL, F.ceil(F.col("n") / CAPACITY).alias("_lists"))
+    place = F.struct(*named, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).alias("place")
+    dealt = spots.join(cells, ["level", *_CELL]).withColumn("_list", F.pmod(F.xxhash64("lat", "lon", *named), F.col("_lists")))
+    return dealt.groupBy("level", *_CELL, "_list").agg(F.collect_list(F.struct(*_AXES, place)).alias("places")).drop("_list")
+
+
 def _squares(steps: list[Column]) -> Column:
     return sum((s * s for s in steps[1:]), steps[0] * steps[0])
 

@@ -173,6 +173,20 @@ def test_few_cells_are_opened_for_a_position(globe):
     assert spots.count() == pl.select("lat", "lon").distinct().count()
 
 
+def test_places_are_met_as_lists(globe):
+    """A position meets a row for each list of places, not for each place; lists are short, also where many places lie close."""
+    pt, pl, _, _ = globe
+    spots, tree = operators_nearest._grown(operators_nearest._positioned(pl), 4)
+    lists = operators_nearest._listed(spots, tree, ["place"])
+    sizes = [len(r.places) for r in lists.collect()]
+    assert sum(sizes) == spots.count() and max(sizes) < 2 * operators_nearest.CAPACITY
+    assert len(sizes) < tree.where("NOT inner").count() + 4
+    few = pl.where("place < 25")
+    met = operators_nearest._best(pt, few, 1)
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
 def test_nearest_k_without_enough_places(spark):
     places = spark.createDataFrame([("p", 1.0, 1.0), ("q", 40.0, 10.0), ("lost", None, 3.0), ("nan", float("nan"), 3.0)], "name string, lat double, lon double")
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0), (3, float("nan"), 0.0), (None, 0.0, 0.0)], "id int, lat double, lon double")
