@@ -76,19 +76,24 @@ def _existing(opened: DataFrame, renamed: DataFrame, written: DataFrame) -> Data
     """Spans (key, span) at whose end the key exists.
 
     Something was written in them, or a rename opened them and its source existed or the key did before. Each round
-    carries this one rename on; only spans found in the round before take part.
+    doubles the steps, so that spans are reached in as many rounds as the longest way has binary digits, at most; it is
+    over once a round reaches no further span.
     """
     arrivals = opened.where("cut = 'in'")
     from_source = renamed.join(arrivals.select("seq", F.col("key").alias("to_key"), F.col("span").alias("to_span")), "seq").select("key", "span", "to_key", "to_span")
     from_before = arrivals.select("key", (F.col("span") - 1).alias("span"), F.col("key").alias("to_key"), F.col("span").alias("to_span"))
     steps = materialize(from_source.unionByName(from_before), "steps")
-    known = [written]
-    front = written
-    while not front.isEmpty():
-        reached = steps.join(front, ["key", "span"]).select(F.col("to_key").alias("key"), F.col("to_span").alias("span")).distinct()
-        front = materialize(reduce(lambda df, k: df.join(k, ["key", "span"], "left_anti"), known, reached), "reached")
-        known = [materialize(reduce(DataFrame.unionByName, [*known, front]), "known")] if len(known) > 8 else [*known, front]
-    return reduce(DataFrame.unionByName, known)
+    reached = materialize(written.join(steps.select("key", "span"), ["key", "span"], "left_semi"), "reached")
+    count, before = reached.count(), -1
+    while count > before:
+        landed = steps.join(reached, ["key", "span"], "left_semi").select(F.col("to_key").alias("key"), F.col("to_span").alias("span"))
+        reached = materialize(reached.unionByName(landed).distinct(), "reached")
+        count, before = reached.count(), count
+        if count > before:
+            ahead = steps.select(F.col("key").alias("to_key"), F.col("span").alias("to_span"), F.col("to_key").alias("far_key"), F.col("to_span").alias("far_span"))
+            farther = steps.join(ahead, ["to_key", "to_span"])
+            steps = materialize(farther.select("key", "span", F.col("far_key").alias("to_key"), F.col("far_span").alias("to_span")).distinct(), "steps")
+    return written.unionByName(reached)
 
 
 def _chains(follows: DataFrame) -> DataFrame:

@@ -133,6 +133,15 @@ def test_chains_of_renames(spark):
     assert rows(commands.pops(df)) == [(32, "lpop", "k5", "first")]
 
 
+def test_long_ways_take_few_rounds(spark, monkeypatch):
+    """That a key exists is carried over sixty renames by doubling, not one after the other."""
+    rounds, write = [], commands.materialize
+    monkeypatch.setattr(commands, "materialize", lambda df, label="cut": rounds.append(label) or write(df, label))
+    log = [(0, "rpush", "k0", "x", None), *[(k + 1, "rename", f"k{k}", f"k{k + 1}", None) for k in range(60)], (70, "rename", "no", "k60", None)]
+    assert rows(commands.replay(spark.createDataFrame(log, SCHEMA)), "key", "item") == [("k60", "x")]
+    assert rounds.count("reached") <= 10
+
+
 def test_texts_and_exact_numbers(spark):
     log = [
         (1, "set", "name", None, "Kim"), (2, "incr", "name", None, "1"), (3, "zincrby", "z", "m", "0.004"), (4, "zincrby", "z", "m", "0.004"),
