@@ -16,6 +16,10 @@ RUNTIME = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A task gets a few megabytes of files or shuffled rows however large the tables are; in its sorts and maps they take twenty times that.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "800",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "16m",
     # Split hot join keys even where the next step groups by the same key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

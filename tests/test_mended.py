@@ -9,7 +9,7 @@ from brindle import registry, sinks
 from brindle.operators import graph as g
 from brindle.operators import nearest, ordering, quality, scd, star
 from brindle.plans import load_all
-from brindle.session import exists, fresh_path
+from brindle.session import exists, fresh_path, tune
 from brindle.streaming.runner import stored
 from tests.conftest import rows
 
@@ -142,3 +142,10 @@ def test_few_requests_leave_the_store_in_place(spark):
     got = kv.get_many(store, spark.createDataFrame([("1",), ("x",)], "key string"))
     text = plan(got)
     assert "BroadcastHashJoin" in text and "LeftSemi" in text
+
+
+def test_partitions_stay_small_however_much_is_shuffled(spark):
+    """The session's number of shuffle partitions is no limit to how finely a large shuffle is cut."""
+    tune(spark)
+    cut = spark.range(4_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64(F.col("id") + 1).alias("b")).distinct()
+    assert cut.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
