@@ -17,7 +17,6 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A task gets a few megabytes of files or shuffled rows however large the tables are; in its sorts and maps they take twenty times that.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "800",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.files.maxPartitionBytes": "16m",
     # Split hot join keys even where the next step groups by the same key.
@@ -28,6 +27,8 @@ RUNTIME = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
+INITIAL_PARTS = 200  # of a shuffle before its parts are joined, or the session's own number if that is larger
+
 _local_folder = None
 _scratch: set[str] = set()
 _scope = threading.local()
@@ -44,7 +45,8 @@ def build(app: str = "brindle", master: str | None = None, **conf: str) -> Spark
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME.items():
+    parts = max(INITIAL_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for key, value in {**RUNTIME, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts)}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
