@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from brindle.llm.joining import packed
 from brindle.llm.words import LOWER, field
-from brindle.session import materialize
+from brindle.session import materialize, scratch_of_its_own
 
 COUNTERS = 4096  # counters of a summary; at most so many digests, and one more, count as frequent
 
@@ -117,7 +117,8 @@ def keep_one(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     Copies of a frequent text go where they lie; only its winner and the texts that are not frequent are shuffled.
     """
-    best = _winners(_narrow(docs), counters).select("_digest", F.col("best.doc_id").alias("_best"))
+    with scratch_of_its_own(docs.sparkSession) as keep:
+        best = keep(_winners(_narrow(docs), counters).select("_digest", F.col("best.doc_id").alias("_best")), "best")
     left = (
         with_digest(packed(docs).select("row"), "row.text").join(F.broadcast(best), "_digest", "left")
         .where(F.col("_best").isNull() | F.col("row.doc_id").eqNullSafe(F.col("_best")))

@@ -23,7 +23,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.session import materialize
+from brindle.session import materialize, scratch_of_its_own
 
 BUCKETS = 1 << 14  # word hashes; with MOST_DOMAINS it bounds the model that is broadcast
 MOST_DOMAINS = 32
@@ -159,10 +159,12 @@ def mixture(
     keep_others: bool = False,
 ) -> DataFrame:
     """The rows of `docs` that are drawn at least once, with `rate` and `copies`."""
-    drawn = rates(docs, labelled, weights, per_domain, seed, keep_others).where(F.col("copies") > 0)
-    drawn = drawn.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.max("rate").alias("_rate"), F.max("copies").alias("_copies")
-    )
+    with scratch_of_its_own(docs.sparkSession) as keep:
+        drawn = rates(docs, labelled, weights, per_domain, seed, keep_others).where(F.col("copies") > 0)
+        drawn = drawn.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+            F.max("rate").alias("_rate"), F.max("copies").alias("_copies")
+        )
+        drawn = keep(drawn, "drawn")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     own = [c for c in docs.columns if c not in ("rate", "copies")]
-    return docs.join(materialize(drawn, "drawn"), same).select(*own, F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
+    return docs.join(drawn, same).select(*own, F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))

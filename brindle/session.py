@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,11 +108,22 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def scratch_of_its_own(spark: SparkSession) -> Iterator[None]:
-    """What is written to fresh paths inside, by this thread, is deleted at the end."""
+def scratch_of_its_own(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is written to fresh paths inside, by this thread, is deleted at the end.
+
+    It gives a `materialize` whose copies stay, as if they were written outside.
+    """
     outer, _scope.paths = getattr(_scope, "paths", None), []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        inner, _scope.paths = _scope.paths, outer
+        try:
+            return materialize(df, label)
+        finally:
+            _scope.paths = inner
+
     try:
-        yield
+        yield keep
     finally:
         for path in _scope.paths:
             remove(spark, path)

@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, with NULLs, empty and long texts, ties, repeats and name clashes."""
 
 import hashlib
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ import pytest
 import corpus_pipeline
 from brindle.llm import decontamination, exact_dedup, licenses, mixing, ngram_join, queries, token_counts
 from brindle.llm.queries import tokenizer_path
+from brindle.session import work_folder
 from tests.llm import plain
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -294,6 +296,28 @@ def test_languages_outside_the_targets_keep_their_part(spark, tmp_path):
     assert drawn.where("lang = 'it'").count() > 0
 
 
+def test_stages_leave_only_what_their_result_reads(spark):
+    rows = [(k, prose(k % 50, 30)) for k in range(60)] + [(70, prose(3, 29)), (71, None), (72, prose(9, 20) + " " + prose(500, 13)), (None, "x y")]
+    rows += [rows[4]] * 2
+    docs = plain.documents(spark, rows)
+    items = spark.createDataFrame([(1, prose(500, 13))], "item_id bigint, text string")
+    known = spark.createDataFrame([(k, t, "ab"[k % 2]) for k, t in rows[:40]], "doc_id bigint, text string, domain string")
+
+    def left_by(stage):
+        before = set(os.listdir(work_folder(spark)))
+        out = stage()
+        return out, {p.split("-")[0] for p in set(os.listdir(work_folder(spark))) - before}
+
+    out, left = left_by(lambda: exact_dedup.keep_one(docs))
+    assert left == {"best"} and out.count() == len({(t or "") for _, t in rows})
+    out, left = left_by(lambda: ngram_join.keep_one(docs))
+    assert left == {"lost", "again"} and {r.doc_id for r in out.collect()} >= {0, 49, 71} and out.where("doc_id between 50 and 59").count() == 0
+    out, left = left_by(lambda: decontamination.keep_clean(docs, items))
+    assert left == {"contaminated"} and out.count() == len(rows) - 1
+    out, left = left_by(lambda: mixing.mixture(docs, known, {"a": 1, "b": 1}))
+    assert left == {"drawn"} and out.count() > 0
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs = plain.documents(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id bigint, text string, domain string")
